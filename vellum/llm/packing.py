@@ -14,6 +14,7 @@ its own blocks with the same result.
 
 from __future__ import annotations
 
+import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,7 +22,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -198,72 +198,80 @@ def pack_block(lengths: np.ndarray, losses: Losses, limits: Limits) -> list[Sequ
     return [part for b in packed for part in ([b] if _closed(b, limits) else at_powers(b, losses, limits))]
 
 
-class WordTokenizer:
-    """Whole-text token ids of a tokenizer that never joins across white space.
+class PieceTokenizer:
+    """Whole-text token ids of a tokenizer that never joins across white space or ASCII kinds.
 
-    Texts are cut at ASCII white space; each distinct word is encoded once and kept.
-    Words of plain letters and marks are cut further, into the tokenizer's own pieces.
-    The kept words are bounded, so memory is too.
+    Texts are cut where the tokenizer surely cuts: at ASCII white space, and between ASCII
+    letters, digits and marks. Each distinct piece is encoded once and kept; the kept pieces
+    are bounded, so memory is too. Other characters stay with their neighbours, and such
+    pieces go through the whole tokenizer.
     """
 
-    #: The pieces that the tokenizer file names, and the letters for which
-    #: lowering and composing is the same here as there.
-    PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-    PLAIN = regex.compile(r"[\x21-\x7eÀ-įı-ž]+")
-
-    def __init__(self, path: str, kept: int = 600_000):
-        from tokenizers import Tokenizer
-
-        self.full = Tokenizer.from_file(path)
-        self.full.encode_special_tokens = True
-        self.kept, self.words, self.pieces = kept, {}, {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.full.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.pieces) > self.kept:
-            self.pieces = {}
-        cut, odd, findall = {}, [], self.PIECE.findall
-        for w in words:
-            if self.PLAIN.fullmatch(w):
-                cut[w] = findall(w if w.isascii() else w.lower())
-            else:
-                odd.append(w)
-        new = list(dict.fromkeys(p for ps in cut.values() for p in ps if p not in self.pieces))
-        self.pieces.update(zip(new, self._encode(new), strict=True))
-        pieces = self.pieces
-        for w, ps in cut.items():
-            self.words[w] = pieces[ps[0]] if len(ps) == 1 else b"".join([pieces[p] for p in ps])
-        self.words.update(zip(odd, self._encode(odd), strict=True))
+    #: Kinds of bytes: white space, letters, digits, marks, and parts of other characters.
+    KINDS = np.full(256, 3, np.uint8)
+    KINDS[[9, 10, 11, 12, 13, 32]] = 0
+    KINDS[[*range(65, 91), *range(97, 123)]] = 1
+    KINDS[48:58] = 2
+    KINDS[128:] = 4
+    LOWER = np.arange(256, dtype=np.uint8)
+    LOWER[65:91] += 32
+    PLAIN = re.compile(rb"[a-z]+|[!-/:-@\[-`{-~]+")
+
+    def __init__(self, path: str, kept: int = 800_000):
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.full, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.full.encode_special_tokens = self.plain.encode_special_tokens = True
+        # Plain pieces are normal already, and one word each.
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.kept, self.pieces = kept, {}
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        plain, odd = [], []
+        for p in pieces:
+            (plain if self.PLAIN.fullmatch(p) else odd).append(p)
+        for some, tokenizer in ((plain, self.plain), (odd, self.full)):
+            texts = [p.decode() for p in some]
+            for p, e in zip(some, tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                self.pieces[p] = array("I", e.ids).tobytes()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one text after the other, and where each text starts (one more than texts)."""
-        texts = pc.ascii_lower(pc.ascii_trim_whitespace(pc.fill_null(texts.cast(pa.large_string()), "")))
-        split = pc.ascii_split_whitespace(texts)
-        bounds = split.offsets.to_numpy()
-        words = split.flatten().dictionary_encode()
-        names = words.dictionary.to_pylist()
-        known = self.words
-        if "" not in known:
-            known[""] = b""
-        if None in (found := list(map(known.get, names))):
-            if len(known) + len(names) > self.kept:
-                self.words = known = {"": b""}
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy())
+        total = int(ends[-1]) if len(ends) else 0
+        if not total:
+            return np.zeros(0, np.uint32), np.zeros(len(ends) + 1, np.int64)
+        raw = texts.buffers()[2]
+        first = int(np.frombuffer(texts.buffers()[1], np.int64)[texts.offset])
+        data = self.LOWER[np.frombuffer(raw, np.uint8)[first : first + total]]
+        kind = self.KINDS[data]
+        cut = kind[1:] != kind[:-1]
+        one_sided = (kind[1:] == 4) | (kind[:-1] == 4) | ((data[:-1] == 39) & (kind[1:] == 1))
+        cut &= ~(one_sided & (kind[1:] > 0) & (kind[:-1] > 0))
+        at = np.concatenate(([True], cut, [True]))
+        at[ends] = True
+        offsets = np.flatnonzero(at)
+        pieces = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)]
+        ).dictionary_encode()
+        found = list(map(self.pieces.get, names := pieces.dictionary.to_pylist()))
+        if None in found:
+            if len(self.pieces) + len(names) > self.kept:
+                self.pieces = {}
                 found = [None] * len(names)
-            self._learn([w for w, ids in zip(names, found, strict=True) if ids is None and w])
-            found = list(map(known.__getitem__, names))
+            self._learn([p for p, ids in zip(names, found, strict=True) if ids is None])
+            found = list(map(self.pieces.__getitem__, names))
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         pool = np.frombuffer(b"".join(found), np.uint32)
         begin = np.cumsum(sizes) - sizes
-        index = words.indices.to_numpy()
+        index = pieces.indices.to_numpy()
         n = sizes[index]
-        ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = pool[np.repeat(begin[index] - (ends - n), n) + np.arange(total)]
-        before = np.concatenate(([0], ends))
-        bounds = bounds - bounds[0]
-        return ids, before[bounds]
+        upto = np.cumsum(n)
+        ids = pool[np.repeat(begin[index] - (upto - n), n) + np.arange(int(upto[-1]))]
+        before = np.concatenate(([0], upto))
+        return ids, before[np.searchsorted(offsets, np.concatenate(([0], ends)))]
 
 
 def pack_tokens(
@@ -274,7 +282,7 @@ def pack_tokens(
     text_column: str = "text",
     limits: Limits = Limits(),
     end_id: int = 1,
-    block_tokens: int = 4_000_000,
+    block_tokens: int = 1_000_000,
 ) -> DataFrame:
     """Tokenise and pack every row of ``df``; one row a piece, with its ids.
 
@@ -347,14 +355,14 @@ def _packer(tokenizer_path: str, limits: Limits, end_id: int, block_tokens: int,
     return run
 
 
-_TOKENIZERS: dict[str, WordTokenizer] = {}
+_TOKENIZERS: dict[str, PieceTokenizer] = {}
 
 
-def _tokenizer(path: str) -> WordTokenizer:
-    """One a Python worker: its words serve all the tasks that the worker runs."""
+def _tokenizer(path: str) -> PieceTokenizer:
+    """One a Python worker: its pieces serve all the tasks that the worker runs."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordTokenizer(path)
+        _TOKENIZERS[path] = PieceTokenizer(path)
     return _TOKENIZERS[path]
