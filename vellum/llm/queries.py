@@ -28,9 +28,35 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vellum.llm.secret_ledger import BASE, BlobLedger, scan_versions, spans_of, spans_text
+
+    found = scan_versions(_table(spark, sf_dir, "documents"), BlobLedger(spark))
+    counts = [F.size(spans_of(F.col("spans"), (r.kind,))).cast("long").alias(f"n_{r.kind}") for r in BASE]
+    base = spans_text(spans_of(F.col("spans"), tuple(r.kind for r in BASE)))
+    return found.select(
+        F.col("path").alias("doc_id"), *counts, F.sha2(base, 256).alias("base_sha256"), spans_text(F.col("spans")).alias("spans")
+    )
+
+
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vellum.llm.mixing import mix
+
+    mixed = mix(_table(spark, sf_dir, "documents"), weights=(1, 2, 3), most_passes=3, block_words=4096)
+    return mixed.documents.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vellum.llm.exact_dedup import exact_dedup
+
+    return exact_dedup(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing}
+    return {name: query for name, query in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from vellum.llm.oracles import ORACLES
+
+    return dict(ORACLES)
