@@ -46,6 +46,13 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vellum.llm.jaccard import Alike, JaccardJoin
+
+    join = JaccardJoin(_table(spark, sf_dir, "documents"), Alike(words=3, percent=90))
+    return join.groups().select("doc_id", "n_shingles", "component_id", "class_id")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vellum.llm.exact_dedup import exact_dedup
 
