@@ -57,5 +57,15 @@ WITH docs AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coa
 SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
   row_number() OVER best = 1 AS kept, sha256(norm) AS text_sha256
 FROM docs WINDOW best AS (PARTITION BY norm ORDER BY n DESC, doc_id NULLS LAST)
+""",
+    "op9_hamming_topk": r"""
+WITH codes AS (
+  SELECT vec_id, list_sum(list_transform(range(1, len(embedding) + 1), lambda i: CASE WHEN embedding[i] > 0 THEN 1::HUGEINT << (i - 1)::INTEGER ELSE 0::HUGEINT END))::UBIGINT AS code
+  FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS neighbour_id, bit_count(xor(q.code, c.code))::INTEGER AS distance
+  FROM codes q, codes c WHERE q.vec_id % 20 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id)::INTEGER AS rank, neighbour_id, distance
+FROM pairs QUALIFY rank <= 10
 """,
 }

@@ -59,6 +59,13 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op9_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vellum.llm.hamming_topk import top_k
+
+    vectors = _table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter(F.col("vec_id") % 20 == 0).select("vec_id"), k=10)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vellum.llm.toxicity import held_out, toxicity
 
