@@ -75,6 +75,14 @@ def test_alike_sets_share_a_key(percent):
             assert set(keys(a, alike).tolist()) & set(keys(b, alike).tolist())
 
 
+def test_null_and_repeated_ids(spark):
+    text = "one two three four five six seven"
+    rows = [(7, text), (7, text), (None, text), (3, text + " eight"), (4, ""), (None, None)]
+    got = JaccardJoin(spark.createDataFrame(rows, "doc_id long, text string"), Alike(5, 80)).groups().collect()
+    found = sorted((r.n_shingles, str(r.doc_id), str(r.component_id)) for r in got)
+    assert found == [(0, "4", "4"), (0, "None", "None"), (3, "7", "7"), (3, "7", "7"), (3, "None", "7"), (4, "3", "3")]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert JaccardJoin(df).groups().count() == 0

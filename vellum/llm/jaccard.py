@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm.components import components
-from vellum.llm.shared import slices, text_or_empty, written
+from vellum.llm.rolling import MULTIPLIER, mix, prefix_sums, substring_hashes
+from vellum.llm.shared import slices, with_own_ids, written
 
 #: Sets of a tile that are compared in one task.
 TILE = 2048
@@ -63,31 +64,6 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
-MULTIPLIER = 0x9E3779B97F4A7C15
-_POWERS: dict[int, np.ndarray] = {}
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd multiplier modulo 2 ** 64, and of its inverse; the length is bounded by a slice's."""
-    if len(_POWERS.get(0, ())) < n:
-        size = 1 << (n - 1).bit_length()
-        for key, base in ((0, MULTIPLIER), (1, pow(MULTIPLIER, -1, 1 << 64))):
-            table = np.ones(size, np.uint64)
-            done, power = 1, np.uint64(base)
-            with np.errstate(over="ignore"):
-                while done < size:
-                    table[done : 2 * done] = table[:done] * power
-                    power, done = power * power, 2 * done
-            _POWERS[key] = table
-    return _POWERS[0], _POWERS[1]
-
-
 def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of texts that lie one after the other, and each text's bounds in them."""
     if not len(data):
@@ -101,9 +77,7 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     stop[:-1] &= space[1:]
     stop[inner - 1] = ~space[inner - 1]
     starts, ends = np.flatnonzero(begin), np.flatnonzero(stop) + 1
-    up, down = _powers(len(data) + 1)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)])))
-    hashes = _mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    hashes = substring_hashes(prefix_sums(data), starts, ends)
     return hashes, np.searchsorted(starts, bounds)
 
 
@@ -116,7 +90,7 @@ def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     hashes, bounds = word_hashes(data, offsets - offsets[0])
     rolled = np.zeros(max(len(hashes) - words + 1, 0), np.uint64)
     for k in range(words):
-        rolled = _mix(rolled * np.uint64(MULTIPLIER) + hashes[k : k + len(rolled)])
+        rolled = mix(rolled * np.uint64(MULTIPLIER) + hashes[k : k + len(rolled)])
     out = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         if b - a >= words:
@@ -125,8 +99,8 @@ def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
         elif b > a:
             value = np.zeros(1, np.uint64)
             for k in range(a, b):
-                value = _mix(value * np.uint64(MULTIPLIER) + hashes[k])
-            out.append(_mix(value + np.uint64(b - a)))
+                value = mix(value * np.uint64(MULTIPLIER) + hashes[k])
+            out.append(mix(value + np.uint64(b - a)))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
@@ -180,13 +154,13 @@ def keys(one: np.ndarray, alike: Alike) -> np.ndarray:
         place = ((one >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
         first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
         held = place[first]
-        sums = np.add.reduceat(_mix(one + np.uint64(0x632BE59BD9B4E019)), first)
+        sums = np.add.reduceat(mix(one + np.uint64(0x632BE59BD9B4E019)), first)
         salt = np.uint64((band + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-        out.append(_mix(sums + _mix(held + salt)))
+        out.append(mix(sums + mix(held + salt)))
         if len(held) < count:
             # Alike sets share at least one of these: the overlap is all but as many of the larger one.
             least = -(-n * alike.percent // 100)
-            out.append(_mix(one[: n - least + 1] ^ salt) + np.uint64(1))
+            out.append(mix(one[: n - least + 1] ^ salt) + np.uint64(1))
     return np.concatenate(out)
 
 
@@ -198,7 +172,7 @@ def _sets(df: DataFrame, alike: Alike) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in slices(batch, 1, 8_000_000):
+            for some in slices(batch, 1, 4_000_000):
                 sets = shingle_sets(some.column(1), alike.words)
                 lists = [keys(s, alike).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
                 ends = np.concatenate(([0], np.cumsum([len(x) for x in lists])))
@@ -226,7 +200,7 @@ def _arrays(df: DataFrame, alike: Alike) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in slices(batch, 1, 8_000_000):
+            for some in slices(batch, 1, 4_000_000):
                 sets = shingle_sets(some.column(1), alike.words)
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "shingles"]
@@ -256,17 +230,16 @@ def _agree(pairs: DataFrame, percent: int, kind: str) -> DataFrame:
 class JaccardJoin:
     """All links between rows of ``df``, and the groups that they make.
 
-    Ids must be integers or strings and differ; rows with a null id, or repeating one,
-    should be given ids before. Null and empty texts have an empty set, linked with
-    nothing. Equal sets are one class, however many rows have it. Further columns of
-    ``df`` aren't read; an empty table gives no rows.
+    Null and empty texts have an empty set, linked with nothing. Equal sets are one class,
+    however many rows have it. Rows that repeat an id, and rows with a null id, are rows of
+    their own; a null id is larger than any other. Further columns of ``df`` aren't read;
+    an empty table gives no rows.
     """
 
     def __init__(self, df: DataFrame, alike: Alike = Alike(), *, id_column: str = "doc_id", text_column: str = "text"):
         self.alike = alike
-        self.docs = df.select(
-            F.col(f"`{id_column}`").alias("doc_id"), text_or_empty(F.col(f"`{text_column}`")).alias("body")
-        )
+        docs, self.names = with_own_ids(df, id_column, text_column)
+        self.docs = docs.withColumnRenamed("doc", "doc_id")
         self.kind = _kind(self.docs)
 
     def groups(self) -> DataFrame:
@@ -290,12 +263,16 @@ class JaccardJoin:
         )
         found = salted.join(named.withColumn("salt", salts), ["digest", "salt"], "left")
         alone = F.col("n") == 0
-        return found.select(
+        grouped = found.select(
             "doc_id",
             F.col("n").alias("n_shingles"),
             F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
             F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         )
+        for column in ("doc_id", "class_id", "component_id") if self.names is not None else ():
+            named = self.names.select(F.col("doc").alias(column), F.col("name").alias("own"))
+            grouped = grouped.join(named, column).drop(column).withColumnRenamed("own", column)
+        return grouped.select("doc_id", "n_shingles", "class_id", "component_id")
 
     def _labels(self, heads: DataFrame) -> DataFrame:
         """id, component_id of classes that have links."""

@@ -39,6 +39,13 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vellum.llm.suffix_dedup import suffix_dedup
+
+    done = suffix_dedup(_table(spark, sf_dir, "documents"), length=100)
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vellum.llm.mixing import mix
 

@@ -54,6 +54,21 @@ def without_spaces(text: Column) -> Column:
     return text
 
 
+def with_own_ids(df: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame | None]:
+    """Rows (doc, body) whose ``doc`` tells them apart, and names (doc, name) where it isn't the id.
+
+    Where ids are all there and differ, doc is the id. Otherwise rows are numbered in the
+    ids' order, null last, and written, so that all later reads agree on the numbers.
+    """
+    rows = df.select(F.col(f"`{id_column}`").alias("doc"), text_or_empty(F.col(f"`{text_column}`")).alias("body"))
+    ids = rows.groupBy("doc").count()
+    if ids.filter("doc IS NULL OR count > 1").limit(1).count() == 0:
+        return rows, None
+    numbered = rows.orderBy(F.col("doc").asc_nulls_last(), "body").withColumn("number", F.monotonically_increasing_id())
+    numbered = written(numbered.select(F.col("number").alias("doc"), F.col("doc").alias("name"), "body"), "numbered")
+    return numbered.select("doc", "body"), numbered.select("doc", "name")
+
+
 def slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
     """``batch`` in slices of about ``most`` bytes in ``column``; a longer row is a slice of its own."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
