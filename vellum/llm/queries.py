@@ -52,6 +52,13 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vellum.llm.cotraining import quality
+
+    scored = quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vellum.llm.mixing import mix
 
