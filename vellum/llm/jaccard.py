@@ -374,3 +374,14 @@ class JaccardJoin:
                 )
 
         return sized.select("a", "b", "na", "nb", "ma", "mb").mapInArrow(run, f"a {self.kind}, b {self.kind}")
+
+
+def without_near_copies(df: DataFrame, alike: Alike = Alike(), *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``df``, one of each group: that with the smallest id. Empty texts stay.
+
+    Rows that share an id stay or go together; they stay if one of them does.
+    """
+    groups = JaccardJoin(df, alike, id_column=id_column, text_column=text_column).groups()
+    judged = groups.groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays"))
+    gone = written(judged.filter("NOT stays").select(F.col("doc_id").alias("gone_id")), "gone")
+    return df.join(gone, F.col(f"`{id_column}`").eqNullSafe(F.col("gone_id")), "left_anti")

@@ -197,3 +197,16 @@ def _taken(placed: DataFrame, sources: DataFrame, schedule: DataFrame, block_wor
     return taken.join(sources.select("skey", "source_size", "target"), "skey").select(
         "doc_id", "source", "size", "source_size", "target", "taken", "row"
     )
+
+
+def repeated(df: DataFrame, mixed: Mix, *, id_column: str = "doc_id") -> DataFrame:
+    """The rows of ``df`` as often as the mix takes them: its taken words over its size, rounded.
+
+    Documents without words aren't drawn. Rows that share an id are drawn alike.
+    """
+    drawn = mixed.documents.groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
+    times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
+    drawn = drawn.filter("size > 0").select(F.col("doc_id").alias("drawn_id"), times.alias("times")).filter("times > 0")
+    joined = df.join(drawn, F.col(f"`{id_column}`").eqNullSafe(F.col("drawn_id")))
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return joined.select(*columns, F.explode(F.sequence(F.lit(1), "times")).alias("drawn_time")).select(*columns)

@@ -108,3 +108,16 @@ def score(docs: DataFrame, model: Grams) -> DataFrame:
 def toxicity(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> DataFrame:
     """Scores of all ``docs``, learnt from ``labels`` (doc_id, toxic) outside the held-out fifth."""
     return score(docs, train(*sample(docs, labels, "toxic", fit), fit))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns, in one pass."""
+    shared = docs.sparkSession.sparkContext.broadcast(train(*sample(docs, labels, "toxic", fit), fit))
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = [sigmoid(shared.value.margins(some)) for some in text_slices(batch.column(at))]
+            yield batch.filter(pa.array(np.concatenate(scores) < threshold)) if scores else batch
+
+    return docs.mapInArrow(run, docs.schema)
