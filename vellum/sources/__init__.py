@@ -1 +1,7 @@
-"""sources."""
+"""Scans: driver tables, documents as JSON or markup, web pages, manifests."""
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
