@@ -48,16 +48,18 @@ def decoded(text: Column) -> Column:
 
 
 def join_tokens(tokens: Column) -> Column:
-    """Tokens as running text: no space before marks that close or after ones that open."""
+    """Tokens as running text: no space before lone marks and marks that close, nor after "("."""
+    tight = r"^([.,;:)(?!»«]$|[.,;:)\]!?])"
     folded = F.aggregate(
-        F.filter(tokens, lambda t: F.trim(t) != ""),
+        F.filter(F.transform(tokens, lambda t: F.trim(t)), lambda t: t != ""),
         F.lit(""),
         lambda text, t: F.when(text == "", t)
-        .when(t.rlike(r"^[,.;:)\]]"), F.concat(text, t))
-        .when(text.rlike(r"[(\[]$"), F.concat(text, t))
+        .when(t.rlike(tight) | text.endswith("("), F.concat(text, t))
         .otherwise(F.concat(text, F.lit(" "), t)),
     )
-    return F.trim(F.regexp_replace(folded, r"\s+", " "))
+    for wrong, right in (("120 )", "120)"), ("č. 1 .", "č. 1.")):
+        folded = F.replace(folded, F.lit(wrong), F.lit(right))
+    return F.regexp_replace(folded, r"\s+([,.])", "$1")
 
 
 def html_escaped(text: Column) -> Column:
