@@ -10,25 +10,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from vellum.functions import markers as m
 
-ORDER = W.partitionBy("doc_id").orderBy("pos")
-RUNNING = ORDER.rowsBetween(W.unboundedPreceding, W.currentRow)
+
+
+def _order() -> WindowSpec:
+    return W.partitionBy("doc_id").orderBy("pos")
+
+
+def _running() -> WindowSpec:
+    return _order().rowsBetween(W.unboundedPreceding, W.currentRow)
 
 
 def zones(items: DataFrame) -> DataFrame:
     """``zone`` of each element: main, end, annex or notes. After the law's end come annexes."""
     text, link = m.normalised(F.col("text")), F.col("hyperlink")
     marked = items.withColumn("text", text).filter(F.coalesce(~F.col("label").isin("title", "page_footer"), F.lit(True)))
-    in_notes = F.max(m.notes_start(F.col("text"), link).cast("int")).over(RUNNING)
-    ended = F.max(m.law_end(F.col("text")).cast("int")).over(RUNNING)
+    in_notes = F.max(m.notes_start(F.col("text"), link).cast("int")).over(_running())
+    ended = F.max(m.law_end(F.col("text")).cast("int")).over(_running())
     annex = F.when(ended == 1, m.annex(F.col("text")))
     return (
         marked.withColumn("in_notes", in_notes)
         .withColumn("ended", ended)
         .withColumn("annex", annex)
-        .withColumn("annex_no", F.last("annex", ignorenulls=True).over(RUNNING))
+        .withColumn("annex_no", F.last("annex", ignorenulls=True).over(_running()))
         .withColumn(
             "zone",
             F.when(F.col("in_notes") == 1, "notes")
@@ -48,7 +55,7 @@ def marked(items: DataFrame, guard: bool = True) -> DataFrame:
     """
     rows = zones(items)
     text = F.col("text")
-    before = F.array_join(F.collect_list("text").over(ORDER.rowsBetween(-3, -1)), " ")
+    before = F.array_join(F.collect_list("text").over(_order().rowsBetween(-3, -1)), " ")
     rows = rows.withColumn("letter", m.pismeno(text))
     reference = m.is_reference(F.col("letter"), F.col("hyperlink"), before) if guard else F.lit(False)
     free = F.col("hyperlink").isNull()
@@ -85,7 +92,7 @@ def placed(items: DataFrame, guard: bool = True) -> DataFrame:
     rows = marked(items, guard)
     for level in (*LEVELS, "annex", "footnote"):
         here = F.when(F.col("level") == level, F.struct("pos", "marker"))
-        rows = rows.withColumn(f"{level}_at", F.last(here, ignorenulls=True).over(RUNNING))
+        rows = rows.withColumn(f"{level}_at", F.last(here, ignorenulls=True).over(_running()))
     floor: Column = F.lit(-1).cast("long")
     for level in ("paragraph", "odsek", "pismeno", "subitem"):
         at = F.col(f"{level}_at")
@@ -120,7 +127,7 @@ def units(items: DataFrame, guard: bool = True) -> DataFrame:
     dotted = lambda name, *levels: F.when(
         number(levels[-1]).isNotNull(), F.concat(F.lit(f"{name}-"), F.concat_ws(".", *[number(x) for x in levels]))
     )
-    part_no = F.count(F.when(F.col("level") == "part", 1)).over(RUNNING)
+    part_no = F.count(F.when(F.col("level") == "part", 1)).over(_running())
     ids = {
         "part": F.concat(F.lit("part-"), F.col("part_no").cast("string")),
         "paragraph": dotted("paragraf", "paragraph"),

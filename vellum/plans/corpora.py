@@ -525,8 +525,8 @@ def insert_siblings(spark, sf_dir):
     """WITH a AS (SELECT * FROM documents WHERE source = 'src0'), b AS (SELECT * FROM documents WHERE source = 'src1'),
 k AS (SELECT count(*) FILTER (a IS NOT NULL AND b IS NOT NULL) AS "both", count(*) FILTER (b IS NULL) AS only_a, count(*) FILTER (a IS NULL) AS only_b
   FROM (SELECT DISTINCT text AS a FROM a) FULL JOIN (SELECT DISTINCT text AS b FROM b) ON a = b)
-SELECT "both", only_a, only_b, (SELECT count(*) FROM a) AS texts_a, (SELECT sum(length(text)) FROM a)::BIGINT AS length_a, (SELECT count(*) FROM b) AS texts_b,
-  (SELECT sum(length(text)) FROM b)::BIGINT AS length_b, round(100 * (length_b - length_a) / length_a, 6) AS change FROM k""",
+SELECT *, round(100 * (length_b - length_a) / length_a, 6) AS change FROM (SELECT "both", only_a, only_b FROM k),
+  (SELECT count(*) AS texts_a, sum(length(text))::BIGINT AS length_a FROM a), (SELECT count(*) AS texts_b, sum(length(text))::BIGINT AS length_b FROM b)""",
 )
 def compare_documents(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -724,3 +724,92 @@ def event_windows(spark, sf_dir):
     """Beyond parity: events in windows of five minutes."""
     counted = table(spark, sf_dir, "events").groupBy(F.window("ts", "5 minutes").alias("w"), "event_type").agg(F.count("*").alias("n"))
     return counted.select(F.col("w.start").alias("start"), "event_type", "n")
+
+
+# Scans of markup
+
+
+@query(
+    "html_titles",
+    r"SELECT page_id, trim(regexp_replace(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM pages WHERE regexp_matches(html, '<title>')",
+)
+def html_titles(spark, sf_dir):
+    found = html.elements(table(spark, sf_dir, "pages"), "page_id", "html").filter("tag = 'title'")
+    return found.select("page_id", F.col("text").alias("title"))
+
+
+@query("html_elements")
+def html_elements(spark, sf_dir):
+    found = html.elements(table(spark, sf_dir, "pages"), "page_id", "html")
+    return found.groupBy("page_id", "layer", "tag").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("length"))
+
+
+@query("table_tokens_parse", _CELLS + " SELECT table_id, r AS r0, r + 1 AS r1, c AS c0, c + 1 AS c1, text FROM grid")
+def table_tokens_parse(spark, sf_dir):
+    from vellum.sources import markup
+
+    tokens = tables.as_tokens(_cells(spark, sf_dir))
+    return markup.table_cells(tokens, "table_id", "tokens").select("table_id", "r0", "r1", "c0", "c1", "text")
+
+
+@query(
+    "markup_items",
+    "SELECT conv_id, (turn // 4 + 1)::INTEGER AS page_no, (row_number() OVER (PARTITION BY conv_id, turn // 4 ORDER BY turn) - 1)::INTEGER AS ord, CASE role WHEN 'user' THEN 'section_header' ELSE 'text' END AS label, trim(text) AS text FROM conversations",
+)
+def markup_items(spark, sf_dir):
+    from vellum.sources import markup
+
+    label = F.when(F.col("role") == "user", "section_header").otherwise("text")
+    rows = table(spark, sf_dir, "conversations").withColumn("x", render.tagged(label, F.col("text"), F.lit(2), F.lit("<loc_1><loc_2><loc_3><loc_4>")))
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("turn", "x"))), lambda y: y["x"])
+    pages = rows.groupBy("conv_id", F.expr("turn div 4").alias("page")).agg(F.array_join(ordered, "").alias("markup"))
+    whole = F.transform(F.sort_array(F.collect_list(F.struct("page", "markup"))), lambda y: y["markup"])
+    texts = pages.groupBy("conv_id").agg(F.array_join(whole, "<page_break>").alias("markup"))
+    return markup.items(markup.pages_of(texts, "conv_id", "markup"), "conv_id").select("conv_id", "page_no", "ord", "label", "text")
+
+
+@query(
+    "code_chunks",
+    "SELECT p_partkey, 'function' AS type, 'f' || p_size AS name, 3 AS start_line, 4 AS end_line, sha256('import math' || chr(10) || 'def f' || p_size || '():' || chr(10) || '    return math.pi') AS sha256 FROM part UNION ALL SELECT p_partkey, 'preamble', '', 1, 1, sha256('import math') FROM part",
+)
+def code_chunks(spark, sf_dir):
+    from vellum.operators.code import code_chunks as chunked
+
+    code = F.concat(F.lit("import math\n\ndef f"), F.col("p_size").cast("string"), F.lit("():\n    return math.pi"))
+    files = table(spark, sf_dir, "part").select("p_partkey", code.alias("code"))
+    return chunked(files, "p_partkey", "code").select("p_partkey", "type", "name", "start_line", "end_line", "sha256")
+
+
+@query(
+    "first_candidates",
+    "SELECT o_custkey, first(o_orderpriority ORDER BY o_orderpriority, o_orderkey) AS o_orderpriority, first(o_orderkey ORDER BY o_orderpriority, o_orderkey) AS o_orderkey FROM orders GROUP BY 1",
+)
+def first_candidates(spark, sf_dir):
+    from vellum.operators.annexes import first_candidate
+
+    return first_candidate(table(spark, sf_dir, "orders"), "o_custkey", "o_orderpriority", "o_orderkey")
+
+
+@query(
+    "argmax_prediction",
+    "SELECT user_id, first(event_type ORDER BY value DESC, event_type) AS event_type, max(value) AS value FROM events GROUP BY 1",
+)
+def argmax_prediction(spark, sf_dir):
+    return analytics.argmax(table(spark, sf_dir, "events"), "user_id", "event_type", "value")
+
+
+@query(
+    "run_times",
+    "SELECT event_type, count(*) AS runs, round(avg(event_id), 6) AS mean, min(event_id) AS least, max(event_id) AS greatest, round(stddev_pop(event_id), 3) AS deviation FROM events GROUP BY 1",
+)
+def run_times(spark, sf_dir):
+    made = analytics.run_times(table(spark, sf_dir, "events"), "event_type", "event_id")
+    return made.withColumn("deviation", F.round("deviation", 3))
+
+
+@query(
+    "nested_text",
+    """SELECT event_id, json_extract_string(props, '$.k') AS k FROM events""",
+)
+def nested_text(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
