@@ -659,14 +659,14 @@ box AS (SELECT vec_id, label, least(a, b) AS l, greatest(a, b) AS r, least(c, d)
     _BOX
     + """, p AS (SELECT x.vec_id AS a, y.vec_id AS b, greatest(least(x.r, y.r) - greatest(x.l, y.l), 0) * greatest(least(x.bo, y.bo) - greatest(x.t, y.t), 0) AS i,
   (x.r - x.l) * (x.bo - x.t) AS sa, (y.r - y.l) * (y.bo - y.t) AS sb FROM box x JOIN box y ON x.label = y.label AND x.vec_id // 10 = y.vec_id // 10 AND x.vec_id < y.vec_id)
-SELECT a, b, round(i, 4) AS inter, round(i / (sa + sb - i + 1e-6), 4) AS iou FROM p WHERE i > 0""",
+SELECT a, b, round(i, 6) AS inter, round(i / (sa + sb - i + 1e-6), 6) AS iou FROM p WHERE i > 0""",
 )
 def bbox_iou_join(spark, sf_dir):
     boxes = _boxes(spark, sf_dir).withColumn("cell", F.expr("vec_id div 10"))
     x, y = (boxes.select("label", "cell", F.col("vec_id").alias(n), F.col("box").alias(f"box_{n}")) for n in ("a", "b"))
     met = x.join(y, ["label", "cell"]).filter("a < b")
     both = g.intersection(F.col("box_a"), F.col("box_b"))
-    return met.filter(both > 0).select("a", "b", F.round(both, 4).alias("inter"), F.round(g.iou(F.col("box_a"), F.col("box_b")), 4).alias("iou"))
+    return met.filter(both > 0).select("a", "b", F.round(both, 6).alias("inter"), F.round(g.iou(F.col("box_a"), F.col("box_b")), 6).alias("iou"))
 
 
 @query("bbox_enclosing", _BOX + " SELECT label, min(l) AS l, min(t) AS t, max(r) AS r, max(bo) AS b FROM box GROUP BY label")
