@@ -182,3 +182,12 @@ def test_renderings(spark):
 def test_text_direction(spark):
     assert one(spark, text.direction(F.col("x")), "שלום abc") == "rtl"
     assert one(spark, text.direction(F.col("x")), "abc") == "ltr"
+
+
+def test_a_new_part_ends_the_paragraph(spark):
+    texts = ["PRVÁ ČASŤ", "§ 1", "x", "(1)", "y", "a)", "z", "DRUHÁ ČASŤ", "Nadpis", "1.", "§ 2", "w", "b)", "v"]
+    rows = [(1, i, "text", "body", t, None) for i, t in enumerate(texts)]
+    items = spark.createDataFrame(rows, "doc_id long, pos long, label string, layer string, text string, hyperlink string")
+    got = {r.unit_id: (r.level, r.text, r.part_no) for r in structure.units(items).collect()}
+    assert got["part-2"] == ("part", "Nadpis", 2) and got["paragraf-2"][1:] == ("w\nv", 2)
+    assert got["pismeno-1.1.a"] == ("pismeno", "z", 1)

@@ -19,8 +19,16 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.replace(text, F.lit(" "), F.lit(" ")), r"^\s+|\s+$", "")
 
 
+# Each marker asks something cheap of the text before its pattern runs: few elements are markers.
+
+
 def part(text: Column) -> Column:
-    return F.upper(extract(text, rf"(?iu)^({'|'.join(PARTS)})\s+ČASŤ", 0))
+    found = F.upper(extract(text, rf"(?iu)^({'|'.join(PARTS)})\s+ČASŤ", 0))
+    return F.when(F.upper(text).contains("ČASŤ"), found)
+
+
+def _digit(text: Column) -> Column:
+    return F.left(text, F.lit(1)).between("0", "9")
 
 
 def paragraph(text: Column, link: Column | None = None) -> Column:
@@ -30,18 +38,18 @@ def paragraph(text: Column, link: Column | None = None) -> Column:
 
 
 def odsek(text: Column, link: Column | None = None) -> Column:
-    own = extract(text, r"^\(\s*(\d+)\s*\)")
+    own = F.when(text.startswith("("), extract(text, r"^\(\s*(\d+)\s*\)"))
     return own if link is None else F.coalesce(extract(link, r"odsek-(\d+)"), own)
 
 
 def pismeno(text: Column, link: Column | None = None) -> Column:
     own = F.coalesce(extract(text, r"^(\p{L}+)\s*\)$"), extract(text, r"(?i)^([a-z]+)\s*\)"))
-    own = F.lower(own)
+    own = F.when(text.contains(")") & ~text.startswith("("), F.lower(own))
     return own if link is None else F.coalesce(F.lower(extract(link, r"(?i)pismeno-([a-z]+)")), own)
 
 
 def subitem(text: Column) -> Column:
-    return F.coalesce(extract(text, r"^(\d+)\s*\.$"), extract(text, r"^(\d+)\.\s+"))
+    return F.when(_digit(text) & text.contains("."), extract(text, r"^(\d+)(?:\s*\.$|\.\s+)"))
 
 
 def law_end(text: Column) -> Column:
@@ -53,9 +61,10 @@ def annex(text: Column) -> Column:
     """The number of an annex whose heading this is; links and tables that name one aren't."""
     lower = F.lower(F.trim(text))
     none = lower.contains("prevziať prílohu") | lower.contains("tabul") | lower.contains("tabuľka")
+    named = lower.contains("príloha") | lower.startswith("annex")
     heading = (F.length(text) < 100) | lower.contains("k zákonu")
     return F.when(
-        ~none,
+        named & ~none,
         F.coalesce(
             extract(lower, r"(?u)príloha\s+č\.\s*(\d+)\s+k\s+zákonu"),
             F.when(heading, extract(lower, r"(?u)^príloha\s+č\.\s*(\d+)")),
@@ -71,7 +80,7 @@ def notes_start(text: Column, link: Column) -> Column:
 def footnote(text: Column, link: Column) -> Column:
     """The number of a footnote that is defined here; one that is linked is only referred to."""
     linked = F.coalesce(link.rlike(r"poznamka-\d"), F.lit(False))
-    return F.when(~linked, extract(text, r"^(\d+[a-z]*)\)"))
+    return F.when(_digit(text) & ~linked, extract(text, r"^(\d+[a-z]*)\)"))
 
 
 def remainder(text: Column) -> Column:
@@ -81,5 +90,8 @@ def remainder(text: Column) -> Column:
 
 def is_reference(letter: Column, link: Column, before: Column) -> Column:
     """Whether "x)" is named in running text, not a marker: linked, or after "písm." or "písmene"."""
-    named = F.concat(F.lit(r"(?iu)(písm\.|písmene|písmena|písmeno)\s*("), letter, F.lit(r"\))?\s*$"))
-    return F.coalesce(link.isNotNull() | F.rlike(before, named), F.lit(False))
+    word = r"(?iu)(?:písm\.|písmene|písmena|písmeno)\s*"
+    open_end = before.rlike(word + "$")
+    same = F.lower(F.regexp_extract(before, word + r"(\p{L}+)\)\s*$", 1)) == letter
+    named = F.when(letter.isNotNull() & F.lower(before).contains("písm"), open_end | same)
+    return link.isNotNull() | F.coalesce(named, F.lit(False))

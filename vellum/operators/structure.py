@@ -54,31 +54,32 @@ def marked(items: DataFrame, guard: bool = True) -> DataFrame:
     it refers to a unit. ``guard``: a letter that running text before it names isn't a marker.
     """
     rows = zones(items)
-    text = F.col("text")
+    text, link = F.col("text"), F.col("hyperlink")
     before = F.array_join(F.collect_list("text").over(_order().rowsBetween(-3, -1)), " ")
-    rows = rows.withColumn("letter", m.pismeno(text))
-    reference = m.is_reference(F.col("letter"), F.col("hyperlink"), before) if guard else F.lit(False)
-    free = F.col("hyperlink").isNull()
-    level = (
-        F.when(F.col("zone") == "notes", F.when(m.footnote(text, F.col("hyperlink")).isNotNull(), "footnote"))
-        .when(F.col("zone") == "annex", F.when(F.col("annex").isNotNull(), "annex"))
-        .when(F.col("zone") == "end", None)
-        .when(m.part(text).isNotNull(), "part")
-        .when(free & m.paragraph(text).isNotNull(), "paragraph")
-        .when(F.col("letter").isNotNull() & ~reference, "pismeno")
-        .when(free & m.odsek(text).isNotNull(), "odsek")
-        .when(m.subitem(text).isNotNull(), "subitem")
+    free, main = link.isNull(), F.col("zone") == "main"
+    # Each marker is a column of its own, so its pattern runs once an element.
+    rows = (
+        rows.withColumn("_before", before if guard else F.lit(""))
+        .withColumn("_part", F.when(main, m.part(text)))
+        .withColumn("_paragraph", F.when(main & free, m.paragraph(text)))
+        .withColumn("_letter", F.when(main, m.pismeno(text)))
+        .withColumn("_odsek", F.when(main & free, m.odsek(text)))
+        .withColumn("_subitem", F.when(main, m.subitem(text)))
+        .withColumn("_footnote", F.when(F.col("zone") == "notes", m.footnote(text, link)))
     )
-    marker = (
-        F.when(F.col("level") == "footnote", m.footnote(text, F.col("hyperlink")))
-        .when(F.col("level") == "annex", F.col("annex"))
-        .when(F.col("level") == "part", m.part(text))
-        .when(F.col("level") == "paragraph", m.paragraph(text))
-        .when(F.col("level") == "pismeno", F.col("letter"))
-        .when(F.col("level") == "odsek", m.odsek(text))
-        .when(F.col("level") == "subitem", m.subitem(text))
-    )
-    return rows.withColumn("level", level).withColumn("marker", marker).drop("letter")
+    if guard:
+        reference = m.is_reference(F.col("_letter"), link, F.col("_before"))
+        rows = rows.withColumn("_letter", F.when(~reference, F.col("_letter")))
+    order = {
+        "footnote": "_footnote", "annex": "annex", "part": "_part", "paragraph": "_paragraph", "pismeno": "_letter",
+        "odsek": "_odsek", "subitem": "_subitem",
+    }
+    annex = F.when(F.col("zone") == "annex", F.col("annex"))
+    value = lambda name: annex if name == "annex" else F.col(name)
+    level = F.coalesce(*[F.when(value(c).isNotNull(), F.lit(k)) for k, c in order.items()])
+    marker = F.coalesce(*[value(c) for c in order.values()])
+    own = [c for c in order.values() if c.startswith("_")]
+    return rows.withColumn("level", level).withColumn("marker", marker).drop("_before", *own)
 
 
 LEVELS = ("part", "paragraph", "odsek", "pismeno", "subitem")
@@ -93,19 +94,16 @@ def placed(items: DataFrame, guard: bool = True) -> DataFrame:
     for level in (*LEVELS, "annex", "footnote"):
         here = F.when(F.col("level") == level, F.struct("pos", "marker"))
         rows = rows.withColumn(f"{level}_at", F.last(here, ignorenulls=True).over(_running()))
-    floor: Column = F.lit(-1).cast("long")
-    for level in ("paragraph", "odsek", "pismeno", "subitem"):
-        at = F.col(f"{level}_at")
-        needed = F.col("paragraph_at").isNotNull() if level != "paragraph" else F.lit(True)
-        parent = {"pismeno": "odsek", "subitem": "odsek"}.get(level)
-        if parent:
-            needed = needed & F.col(f"{parent}_at").isNotNull()
-        if level != "paragraph":
-            above = F.col("part_at")["pos"]
-            needed = needed & (F.col("paragraph_at")["pos"] > F.coalesce(above, F.lit(-1)))
-        rows = rows.withColumn(f"{level}_at", F.when(needed & (at["pos"] > F.coalesce(floor, F.lit(-1))), at))
-        floor = F.greatest(F.coalesce(floor, F.lit(-1)), F.coalesce(F.col(f"{level}_at")["pos"], F.lit(-1)))
-    return rows
+    part, paragraph, odsek, pismeno, subitem = (F.col(f"{level}_at")["pos"] for level in LEVELS)
+    in_paragraph = paragraph > F.coalesce(part, F.lit(-1))
+    in_odsek = in_paragraph & (odsek > paragraph)
+    opened = {
+        "paragraph": in_paragraph,
+        "odsek": in_odsek,
+        "pismeno": in_odsek & (pismeno > odsek),
+        "subitem": in_odsek & (subitem > F.greatest(odsek, pismeno)),
+    }
+    return rows.withColumns({f"{level}_at": F.when(is_open, F.col(f"{level}_at")) for level, is_open in opened.items()})
 
 
 def units(items: DataFrame, guard: bool = True) -> DataFrame:
