@@ -191,3 +191,43 @@ def test_a_new_part_ends_the_paragraph(spark):
     got = {r.unit_id: (r.level, r.text, r.part_no) for r in structure.units(items).collect()}
     assert got["part-2"] == ("part", "Nadpis", 2) and got["paragraf-2"][1:] == ("w\nv", 2)
     assert got["pismeno-1.1.a"] == ("pismeno", "z", 1)
+
+
+def test_table_from_regions(spark):
+    from vellum.operators import layout
+
+    def boxes(rows, name=None):
+        kind = "struct<l:double,t:double,r:double,b:double,origin:string>"
+        if name:
+            return spark.createDataFrame([(1, i, (*map(float, x), "TOPLEFT")) for i, x in enumerate(rows)], f"table_id long, {name} int, box {kind}")
+        return spark.createDataFrame([(1, (*map(float, x), "TOPLEFT")) for x in rows], f"table_id long, box {kind}")
+
+    rows = boxes([(1, 25 * i, 99, 25 * i + 24) for i in range(6)])
+    columns = boxes([(25 * i, 1, 25 * i + 24, 149) for i in range(4)])
+    merges = boxes([(1, 1, 50, 25), (75, 100, 99, 149)], "merge_id")
+    cells = layout.grid_from_regions(rows, columns, merges)
+    got = {(r.r0, r.c0): (r.r1, r.c1) for r in cells.collect()}
+    assert len(got) == 24 - 2 + 2 - 2
+    assert got[0, 0] == (1, 2) and got[4, 3] == (6, 4) and got[1, 1] == (2, 2)
+    heads = spark.createDataFrame([(1, (0.0, 0.0, 100.0, 25.0, "TOPLEFT"))], cells.select("table_id", "box").schema).withColumnRenamed("box", "region")
+    flagged = layout.with_headers(cells, heads, "column_header").filter("column_header").collect()
+    assert sorted(r.c0 for r in flagged) == [0, 2, 3]
+
+
+def test_cropped_text(spark):
+    from vellum.operators import layout
+
+    rows = [(1, 0, "ab", (0.0, 0.0, 10.0, 5.0, "TOPLEFT")), (1, 1, "cd", (10.2, 0.0, 20.0, 5.0, "TOPLEFT")), (1, 2, "ef", (25.0, 0.0, 30.0, 5.0, "TOPLEFT"))]
+    cells = spark.createDataFrame(rows, "page long, index int, text string, box struct<l:double,t:double,r:double,b:double,origin:string>")
+    assert layout.cropped_text(cells, ["page"]).first().text == "abcd ef"
+
+
+def test_values_are_checked(spark):
+    from vellum.functions import checks
+
+    assert one(spark, checks.moment(F.lit("2024"))) is None
+    assert one(spark, checks.moment(F.lit("2024-01-02 03:04:05"))).hour == 3
+    fields = one(spark, checks.custom_fields(F.create_map(*map(F.lit, ("ns__a", "1", "_x__y", "2", "plain", "3")))))
+    assert fields == {"ns__a": "1"}
+    xml = "<a><dc:title>T</dc:title><dc:title>U</dc:title><pdf:Producer>P</pdf:Producer></a>"
+    assert one(spark, checks.metadata_fields(F.lit(xml))) == {"dc:title": "T", "pdf:Producer": "P"}
