@@ -55,6 +55,14 @@ def test_removes_what_brute_force_removes(spark, monkeypatch, seed, hot):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in rows} == brute(docs, 100)
 
 
+def test_shared_cores_without_a_repeat(spark):
+    core = "".join(random.Random(9).choice("abcdefgh") for _ in range(90))
+    docs = [(i, chr(65 + i) * 60 + core + chr(75 + i) * 60) for i in range(8)]
+    rows = suffix_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in rows} == brute(docs, 100)
+    assert not any(r.n_removed for r in rows)
+
+
 def test_null_and_repeated_ids(spark):
     texts = [(1, "q" * 150), (None, "q" * 120), (1, "q" * 150), (2, None), (None, "")]
     rows = suffix_dedup(spark.createDataFrame(texts, "doc_id long, text string")).collect()

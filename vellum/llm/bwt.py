@@ -44,7 +44,7 @@ def shards(texts: list[bytes], shard_bytes: int) -> list[tuple[np.ndarray, np.nd
     return out
 
 
-def merged(texts: list[bytes], length: int, shard_bytes: int = 32_768) -> tuple[np.ndarray, np.ndarray]:
+def merged(texts: list[bytes], length: int, shard_bytes: int = 8_192) -> tuple[np.ndarray, np.ndarray]:
     """Places of all characters in merged order, and the interval of each: equal where ``length`` characters are.
 
     Places count the texts' bytes with one more after each text.
@@ -58,21 +58,21 @@ def merged(texts: list[bytes], length: int, shard_bytes: int = 32_768) -> tuple[
     places, transform = np.concatenate(sorted_places), np.concatenate(last)
     small = np.uint8 if len(parts) <= 256 else np.uint16 if len(parts) <= 65536 else np.uint32
     interleave = np.repeat(np.arange(len(parts)), [len(p) for p in sorted_places]).astype(small)
-    interval = np.zeros(len(places), np.int64)
+    interval, parted = np.zeros(len(places), np.int32), np.zeros(len(places), bool)
     # The k-th place that a shard has in the interleave is the k-th of its own order.
-    column, own = np.empty_like(transform), np.argsort(interleave, kind="stable")
+    column, own, found = np.empty_like(transform), np.argsort(interleave, kind="stable"), 0
     for _ in range(length):
         column[own] = transform
         step = np.argsort(column, kind="stable")
-        before, character = interval[step], column[step]
-        parted = (before[1:] != before[:-1]) | (character[1:] != character[:-1])
-        interleave = interleave[step]
+        before, character = interval.take(step), column.take(step)
+        np.not_equal(before[1:], before[:-1], out=parted[1:])
+        parted[1:] |= character[1:] != character[:-1]
+        interleave = interleave.take(step)
         own = np.argsort(interleave, kind="stable")
-        found = int(parted.sum())
-        again = found == interval[-1]
-        interval = np.concatenate(([0], np.cumsum(parted)))
-        if again or found == len(places) - 1:
+        np.cumsum(parted, out=interval)
+        if found == interval[-1] or interval[-1] == len(places) - 1:
             break  # no two neighbours part at this depth, so none do at a greater one
+        found = interval[-1]
     out = np.empty_like(places)
     out[own] = places
     return out, interval

@@ -27,13 +27,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vellum.llm.bwt import merged
-from vellum.llm.rolling import mix, prefix_sums, substring_hashes
+from vellum.llm.rolling import mix, powers, prefix_sums, substring_hashes
 from vellum.llm.shared import with_own_ids, written
 
 #: A k-gram's bytes; aligned blocks and how many of them every window holds.
 GRAM, BLOCK = 24, 25
 #: Bytes of a text that are taken at once, and of slices that are transformed together.
-CHUNK, BATCH = 4_000_000, 262_144
+CHUNK, BATCH = 1_500_000, 65_536
 #: Slices under one key beyond which their windows are compared as rows.
 HOT = 4096
 
@@ -56,14 +56,14 @@ def fragments(data: np.ndarray, bounds: np.ndarray, length: int):
         return none.view(np.uint64), none.view(np.uint64), none, none, none
     sums = prefix_sums(data)
     at = np.arange(len(data) - GRAM + 1)
-    hashes = substring_hashes(sums, at, at + GRAM)
+    # The same as substring_hashes() up to the length, which is the same for all.
+    hashes = mix((sums[GRAM:] - sums[:-GRAM]) * powers(len(sums))[1][: len(at)])
     # Equal hashes: the later k-gram, whose place counts downwards in the lower bits.
     keys = (hashes & ~np.uint64(0xFFFFFF)) | (np.uint64(0xFFFFFF) - at.astype(np.uint64))
     least = _sliding_least(keys, length - GRAM + 1)
     anchor = (np.uint64(0xFFFFFF) - (least & np.uint64(0xFFFFFF))).astype(np.int64)
-    windows = np.arange(len(anchor))
-    text = np.searchsorted(bounds, windows, side="right")
-    inside = windows + length <= bounds[np.minimum(text, len(bounds) - 1)]
+    text = np.repeat(np.arange(len(bounds)), np.diff(bounds, prepend=0))[: len(anchor)]
+    inside = np.arange(length, len(anchor) + length) <= bounds[text]
     change = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]) | (inside[1:] != inside[:-1])))
     first = np.flatnonzero(change)
     count = np.diff(np.append(first, len(anchor)))
@@ -144,7 +144,7 @@ def _slices(docs: DataFrame, open_fragments: DataFrame, length: int) -> DataFram
             for row in range(batch.num_rows):
                 raw = batch.column(1)[row].as_buffer()
                 data = np.frombuffer(raw, np.uint8)
-                place = batch.column(2)[row].values.to_numpy(zero_copy_only=False)
+                place = np.sort(batch.column(2)[row].values.to_numpy(zero_copy_only=False))
                 start, far, count = place >> 16, (place >> 8) & 255, place & 255
                 top, low = far // BLOCK, (far - count + 1) // BLOCK
                 n = top - low + 1
@@ -185,7 +185,7 @@ def _covers_by_transform(slices: DataFrame, kind: str, length: int) -> DataFrame
     """doc, start, end of windows that occur earlier, from merged transforms of bounded batches."""
     dealt = slices.repartition("key").sortWithinPartitions("key")
 
-    def covers(keys: list, docs: list, places: list, bodies: list) -> pa.RecordBatch:
+    def covers(keys: list, docs: list, places: list, bodies: list) -> tuple[list, list, list]:
         ranks = {d: k for k, d in enumerate(sorted({d for d in docs if d is not None}))}
         doc = np.array([ranks.get(d, -1) for d in docs])
         sizes = np.array([len(b) + 1 for b in bodies])
@@ -201,8 +201,9 @@ def _covers_by_transform(slices: DataFrame, kind: str, length: int) -> DataFrame
         item, offset = item[again], offset[again]
         by = np.lexsort((offset, item))
         item, offset = item[by], offset[by]
-        fresh = np.concatenate(([True], (item[1:] != item[:-1]) | (offset[1:] != offset[:-1] + 1))) if len(item) else np.zeros(0, bool)
-        first = np.flatnonzero(fresh)
+        if not len(item):
+            return [], [], []
+        first = np.flatnonzero(np.concatenate(([True], (item[1:] != item[:-1]) | (offset[1:] != offset[:-1] + 1))))
         last = np.append(first[1:], len(item)) - 1
         begin = [places[i] + o for i, o in zip(item[first].tolist(), offset[first].tolist(), strict=True)]
         end = [places[i] + o + length for i, o in zip(item[last].tolist(), offset[last].tolist(), strict=True)]
