@@ -231,3 +231,13 @@ def test_values_are_checked(spark):
     assert fields == {"ns__a": "1"}
     xml = "<a><dc:title>T</dc:title><dc:title>U</dc:title><pdf:Producer>P</pdf:Producer></a>"
     assert one(spark, checks.metadata_fields(F.lit(xml))) == {"dc:title": "T", "pdf:Producer": "P"}
+
+
+def test_lost_letters_come_back(spark):
+    texts = ["§ 1", "x" * 201, "§ 2", "short", "§ 3", "y" * 201, "(1)", "z"]
+    rows = [(1, i, "text", "body", t, None) for i, t in enumerate(texts)]
+    items = spark.createDataFrame(rows, "doc_id long, pos long, label string, layer string, text string, hyperlink string")
+    letters = spark.createDataFrame([(1, p, "a", "t", 100) for p in "123"], "doc_id long, paragraph string, letter string, text string, pos long")
+    units = structure.units(items)
+    more = {r.unit_id for r in context.enriched(units, letters).collect()} - {r.unit_id for r in units.collect()}
+    assert more == {"odsek-1.1", "pismeno-1.1.a"}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vellum.functions import markers as m
 from vellum.functions import refs
 from vellum.operators import structure
 
@@ -84,3 +85,41 @@ def superior(all_units: DataFrame) -> DataFrame:
         .join(parts, ["doc_id", "part_no"], "left")
         .select("doc_id", "unit_id", "paragraph_id", "paragraph_text", "part_text")
     )
+
+
+def full_blocks(items: DataFrame) -> DataFrame:
+    """doc_id, paragraph, start, end (exclusive; null: to the document's end) of full paragraphs.
+
+    A paragraph is full where its second successor is "(1)": "§ N" alone also occurs in lists
+    of contents. The first such place of a number counts; a block ends at the next § that
+    heads an element.
+    """
+    order = W.partitionBy("doc_id").orderBy("pos")
+    number = m.paragraph(F.col("text"))
+    heads = items.withColumn("number", number).withColumn("second", F.lead("text", 2).over(order)).filter("number IS NOT NULL")
+    heads = heads.withColumn("next", F.lead("pos").over(order)).filter("second = '(1)'")
+    first = F.row_number().over(W.partitionBy("doc_id", "number").orderBy("pos"))
+    found = heads.withColumn("first", first).filter("first = 1")
+    return found.select("doc_id", F.col("number").alias("paragraph"), F.col("pos").alias("start"), F.col("next").alias("end"))
+
+
+def enriched(all_units: DataFrame, letters: DataFrame, least: int = 200) -> DataFrame:
+    """Units with odseks and pismenos that pages hold and the stream lost.
+
+    letters: doc_id, paragraph, letter, text, pos of a page's pismenos. Paragraphs without an
+    odsek whose text is longer than ``least`` get one odsek, numbered 1, and its pismenos.
+    """
+    has = all_units.filter("level = 'odsek'").select("doc_id", F.col("parent_id").alias("unit_id")).distinct()
+    long = all_units.filter((F.col("level") == "paragraph") & (F.length("text") > least)).join(has, ["doc_id", "unit_id"], "left_anti")
+    bare = long.select("doc_id", F.regexp_replace("unit_id", "^paragraf-", "").alias("paragraph"), "part_no", F.col("pos").alias("head"))
+    held = bare.join(letters, ["doc_id", "paragraph"])
+    odsek = F.concat(F.lit("odsek-"), "paragraph", F.lit(".1"))
+    odseks = held.select(
+        "doc_id", odsek.alias("unit_id"), F.lit("odsek").alias("level"), F.col("head").alias("pos"),
+        F.concat(F.lit("paragraf-"), "paragraph").alias("parent_id"), "part_no", F.lit("").alias("text"),
+    ).distinct()
+    pismenos = held.select(
+        "doc_id", F.concat(F.lit("pismeno-"), "paragraph", F.lit(".1."), "letter").alias("unit_id"), F.lit("pismeno").alias("level"),
+        "pos", odsek.alias("parent_id"), "part_no", "text",
+    )
+    return all_units.unionByName(odseks).unionByName(pismenos)

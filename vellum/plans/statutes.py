@@ -265,3 +265,13 @@ def unit_rollup(spark, sf_dir):
         "doc_id", F.col("paragraph_at.marker").cast("long").alias("k"), F.expr("cast(substring(text, 10) AS bigint)").alias("q")
     )
     return rows.rollup("doc_id", "k").agg(F.count("*").alias("n_odseks"), F.sum("q").alias("quantity"))
+
+
+@query(
+    "full_paragraph_blocks",
+    ORD
+    + """, n AS (SELECT doc_id, k, o_orderkey, lead(k) OVER (PARTITION BY doc_id ORDER BY k) AS nk FROM ord)
+SELECT doc_id, k::VARCHAR AS paragraph, k * 10000 AS start, nk * 10000 AS "end" FROM n WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)""",
+)
+def full_paragraph_blocks(spark, sf_dir):
+    return context.full_blocks(law_items(spark, sf_dir))
