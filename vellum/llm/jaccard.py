@@ -3,9 +3,11 @@
 Two sets can only be alike if their sizes are, so everything happens within bands of
 sizes. A band bounds by how many shingles two of its sets may differ; the space of
 shingle hashes is cut into one range more than that, so two sets that are alike agree in
-at least one whole range. Agreeing ranges make tiles (band, range, its shingles). A range
-mixes shingles of all of a text, so a passage or line that many texts share makes no
-large tile by itself: large tiles hold texts that are alike.
+at least one whole range. Agreeing ranges make tiles (band, range, its shingles). There are
+some ranges more than that, and ranges of very few shingles are left out wherever a set
+has enough others: a range that counts mixes shingles of all of a text, so a passage or
+line that many texts share makes no large tile by itself. Large tiles hold texts that are
+alike.
 
 Sets meet first with one hub of each of their tiles, which is linear however large the
 tile, and links found so join into groups. Tiles whose sets then all lie in one group are
@@ -18,11 +20,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vellum.llm.components import components
@@ -41,7 +45,11 @@ class Alike:
 
     words: int = 5
     percent: int = 80
-    growth: float = 1.5
+
+    @property
+    def growth(self) -> float:
+        """From one band to the next: alike sets lie in the same band or in neighbouring ones."""
+        return 1.5 if self.percent >= 90 else max(1.3, 100 / self.percent)
 
     def band(self, n: int) -> int:
         return int(np.floor(np.log(n) / np.log(self.growth) + 1e-9))
@@ -53,12 +61,30 @@ class Alike:
             n -= 1
         return n
 
-    def ranges(self, band: int) -> int:
-        """One more than two sets that are alike can differ, the smaller one in ``band``."""
+    def differences(self, band: int) -> int:
+        """The most shingles that are in one only of two sets that are alike, the smaller one in ``band``."""
         low = self.top(band)
         both = low + low * 100 // self.percent
-        return both * (100 - self.percent) // (100 + self.percent) + 1
+        return both * (100 - self.percent) // (100 + self.percent)
+
+    def ranges(self, band: int) -> tuple[int, int]:
+        """How many ranges, and how many shingles make one of them strong.
+
+        Any number beyond differences() is right. This one lets most sets have more strong
+        ranges than differences, with as many shingles in a strong one as that allows.
+        """
+        needed = self.differences(band) + 1
+        size = self.growth**band
+        for strong in (4, 3, 2):
+            for count in range(needed, needed * 3 // 2 + 1):
+                mean = size / count
+                weak = sum(mean**k * np.exp(-mean) / _FACTORIALS[k] for k in range(strong))
+                if count * (1 - weak) >= needed + 2 * np.sqrt(count * weak):
+                    return count, strong
+        return needed, 2
+
 
+_FACTORIALS = (1, 1, 2, 6)
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -130,18 +156,49 @@ def bounded_overlap(a: np.ndarray, n: int, b: np.ndarray, m: int) -> int:
     return min(n - int(np.bitwise_count(a & ~b).sum()), m - int(np.bitwise_count(b & ~a).sum()))
 
 
-def folded(maps: list[bytes]) -> np.ndarray:
-    """Bitmaps as the rows of a matrix, all folded to the shortest one's bits."""
-    least = min(map(len, maps))
-    rows = [np.bitwise_or.reduce(np.frombuffer(m, np.uint8).reshape(-1, least), axis=0) for m in maps]
-    return np.stack(rows).view(np.uint64)
+class Bitmaps:
+    """Bitmaps of different sizes, folded to the smaller one's bits where two are compared."""
+
+    def __init__(self, maps: list[bytes]):
+        self.maps, self.lengths, self.folded = maps, np.fromiter(map(len, maps), np.int64, len(maps)), {}
+
+    def _at(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of a matrix with ``length`` bytes each, and where each bitmap that is no smaller lies."""
+        if length not in self.folded:
+            rows = np.flatnonzero((self.lengths >= length) & (self.lengths <= 4 * length))
+            place = np.full(len(self.maps), -1)
+            place[rows] = np.arange(len(rows))
+            matrix = [
+                np.bitwise_or.reduce(np.frombuffer(self.maps[r], np.uint8).reshape(-1, length), axis=0) for r in rows.tolist()
+            ]
+            self.folded[length] = np.stack(matrix).view(np.uint64), place
+        return self.folded[length]
+
+    def overlaps(self, x: np.ndarray, y: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """No fewer than the shingles that sets x and y have in common, pair by pair."""
+        least, out = np.minimum(self.lengths[x], self.lengths[y]), np.zeros(len(x), np.int64)
+        for length in np.unique(least).tolist():
+            matrix, place = self._at(length)
+            for k in np.array_split(np.flatnonzero(least == length), -(-len(x) * length // 16_000_000)):
+                p, q = matrix[place[x[k]]], matrix[place[y[k]]]
+                apart = [np.bitwise_count(u & ~v).sum(axis=1, dtype=np.int64) for u, v in ((p, q), (q, p))]
+                out[k] = np.minimum(size[x[k]] - apart[0], size[y[k]] - apart[1])
+        return out
+
+
+@lru_cache(maxsize=4096)
+def _shape(alike: Alike, band: int) -> tuple[tuple[int, int], int]:
+    return alike.ranges(band), alike.differences(band)
 
 
 def keys(one: np.ndarray, alike: Alike) -> np.ndarray:
     """Keys of the set's tiles, in its own band and, if smaller sets may be alike, in the one below.
 
-    A range that holds no shingle can't be a key. If a set has such a range, it gets keys
-    of its smallest shingles besides; two sets that agree in empty ranges only have both.
+    A set with more strong ranges than differences agrees in one of them with every set
+    alike, and has no other keys. Any other set has keys of its weak ranges too. A range
+    that holds no shingle can't be a key: a set with such a range gets keys of its smallest
+    shingles besides. So two such sets share a key even if they agree in weak or in empty
+    ranges only.
     """
     n, out = len(one), []
     own = alike.band(n)
@@ -149,14 +206,18 @@ def keys(one: np.ndarray, alike: Alike) -> np.ndarray:
     if own and alike.top(own - 1) * 100 >= n * alike.percent:
         bands.append(own - 1)
     for band in bands:
-        count = alike.ranges(band)
+        (count, strong), differences = _shape(alike, band)
         # The upper 32 bits times the count: the range, from 0 to count - 1, in the hashes' order.
         place = ((one >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
         first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-        held = place[first]
+        held, sizes = place[first], np.diff(np.append(first, n))
         sums = np.add.reduceat(mix(one + np.uint64(0x632BE59BD9B4E019)), first)
         salt = np.uint64((band + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-        out.append(mix(sums + mix(held + salt)))
+        found = mix(sums + mix(held + salt))
+        if (full := sizes >= strong).sum() > differences:
+            out.append(found[full])
+            continue
+        out.append(found)
         if len(held) < count:
             # Alike sets share at least one of these: the overlap is all but as many of the larger one.
             least = -(-n * alike.percent // 100)
@@ -164,31 +225,41 @@ def keys(one: np.ndarray, alike: Alike) -> np.ndarray:
     return np.concatenate(out)
 
 
-SETS = "n long, digest binary, bitmap binary, keys array<long>"
-
-
 def _sets(df: DataFrame, alike: Alike) -> DataFrame:
-    """Per row: size, digest and bitmap of its set, and the keys of its tiles."""
+    """Per row: size, digest and bitmap of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in slices(batch, 1, 4_000_000):
+            for some in slices(batch, 1, 2_000_000):
                 sets = shingle_sets(some.column(1), alike.words)
-                lists = [keys(s, alike).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
-                ends = np.concatenate(([0], np.cumsum([len(x) for x in lists])))
-                flat = pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [
                         some.column(0),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([_digest(s) for s in sets], pa.binary()),
                         pa.array([bitmap(s).tobytes() for s in sets], pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat),
                     ],
-                    ["doc_id", "n", "digest", "bitmap", "keys"],
+                    ["doc_id", "n", "digest", "bitmap"],
                 )
 
-    return df.mapInArrow(run, f"doc_id {_kind(df)}, {SETS}")
+    return df.mapInArrow(run, f"doc_id {_kind(df)}, n long, digest binary, bitmap binary")
+
+
+def _tiles(df: DataFrame, alike: Alike) -> DataFrame:
+    """One row a key of each row's set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in slices(batch, 1, 2_000_000):
+                sets = shingle_sets(some.column(1), alike.words)
+                found = [keys(s, alike) if len(s) else np.zeros(0, np.uint64) for s in sets]
+                row = np.repeat(np.arange(len(found)), [len(x) for x in found])
+                flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(flat.view(np.int64)), some.column(0).take(pa.array(row))], ["key", "id"]
+                )
+
+    return df.mapInArrow(run, f"key long, id {_kind(df)}")
 
 
 def _kind(df: DataFrame) -> str:
@@ -200,7 +271,7 @@ def _arrays(df: DataFrame, alike: Alike) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in slices(batch, 1, 4_000_000):
+            for some in slices(batch, 1, 2_000_000):
                 sets = shingle_sets(some.column(1), alike.words)
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "shingles"]
@@ -250,10 +321,11 @@ class JaccardJoin:
         """
         sets = written(_sets(self.docs, self.alike), "sets")
         full = sets.filter("n > 0")
-        classes = full.groupBy("digest").agg(F.min("doc_id").alias("class_id"))
-        heads = full.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
-        heads = written(heads.select(F.col("doc_id").alias("id"), "n", "bitmap", "keys"), "heads")
-        labels = self._labels(heads)
+        classes = written(full.groupBy("digest").agg(F.min("doc_id").alias("class_id")), "classes")
+        heads = classes.select(F.col("class_id").alias("doc_id"))
+        copies = written(full.select("doc_id").join(heads, "doc_id", "left_anti"), "copies")
+        wide = full.join(copies, "doc_id", "left_anti").select(F.col("doc_id").alias("id"), "n", "bitmap")
+        labels = self._labels(self.docs.join(copies, "doc_id", "left_anti"), written(wide, "bitmaps"))
         named = written(classes.join(labels, F.col("class_id") == F.col("id"), "left").select(
             "digest", "class_id", F.coalesce("component_id", "class_id").alias("component_id")
         ), "named")
@@ -274,13 +346,13 @@ class JaccardJoin:
             grouped = grouped.join(named, column).drop(column).withColumnRenamed("own", column)
         return grouped.select("doc_id", "n_shingles", "class_id", "component_id")
 
-    def _labels(self, heads: DataFrame) -> DataFrame:
-        """id, component_id of classes that have links."""
-        tiles = heads.select("id", F.explode("keys").alias("key"))
-        hubs = tiles.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last")
-        shared = written(tiles.join(hubs.select("key", "hub"), "key"), "tiles")
+    def _labels(self, docs: DataFrame, wide: DataFrame) -> DataFrame:
+        """id, component_id of the classes' first rows ``docs`` that have links."""
+        tile = W.partitionBy("key")
+        tiles = _tiles(docs, self.alike)
+        tiles = tiles.withColumn("hub", F.min("id").over(tile)).withColumn("last", F.max("id").over(tile))
+        shared = written(tiles.filter("hub < last").drop("last"), "tiles")
         stars = shared.filter("id <> hub").groupBy("id", "hub").agg(F.first("key").alias("key"))
-        wide = heads.select("id", "n", "bitmap")
         first = self._verified(stars.select(F.col("hub").alias("a"), F.col("id").alias("b")), wide)
         known = components(first)
         labelled = shared.select("key", "id").join(known, "id", "left")
@@ -308,34 +380,52 @@ class JaccardJoin:
             F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
         )
         percent = self.alike.percent
+        names = ("key", "low", "high")
+        dealt = dealt.repartition(*names).sortWithinPartitions(*names, "n")
+
+        def compare(table: pa.Table) -> pa.RecordBatch:
+            tile = [table.column(c).to_numpy() for c in names]
+            group = np.cumsum(np.concatenate(([0], np.any([t[1:] != t[:-1] for t in tile], axis=0))))
+            across = tile[1] != tile[2]
+            size, part = table.column("n").to_numpy(), table.column("part").to_numpy()
+            component = table.column("component_id").combine_chunks().dictionary_encode().indices.to_numpy()
+            maps = Bitmaps(table.column("bitmap").to_pylist())
+            a, b, at = [], [], np.arange(len(group))
+            for step in range(1, len(group)):
+                at = at[at + step < len(group)]
+                at = at[group[at] == group[at + step]]
+                # Sizes rise within a tile: beyond the first that is too large, all are.
+                at = at[100 * size[at] >= percent * size[at + step]]
+                if not len(at):
+                    break
+                keep = (component[at] != component[at + step]) & (~across[at] | (part[at] != part[at + step]))
+                x, y = at[keep], at[keep] + step
+                both = maps.overlaps(x, y, size)
+                alike = 100 * both >= percent * (size[x] + size[y] - both)
+                a.append(x[alike])
+                b.append(y[alike])
+            ids = table.column("id").combine_chunks()
+            pairs = [ids.take(pa.array(np.concatenate(z) if z else np.zeros(0, np.int64))) for z in (a, b)]
+            return pa.RecordBatch.from_arrays([pc.min_element_wise(*pairs), pc.max_element_wise(*pairs)], ["a", "b"])
 
-        def compare(table: pa.Table) -> pa.Table:
-            sizes = table.column("n").to_numpy()
-            table = table.take(pa.array(np.argsort(sizes, kind="stable")))
-            sizes, parts = table.column("n").to_numpy(), table.column("part").to_numpy()
-            groups = table.column("component_id").combine_chunks().dictionary_encode().indices.to_numpy()
-            maps = folded(table.column("bitmap").to_pylist())
-            across = table.column("low")[0].as_py() != table.column("high")[0].as_py()
-            a, b = [], []
-            for i in range(len(sizes) - 1):
-                end = int(np.searchsorted(sizes, sizes[i] * 100 // percent, side="right"))
-                near = np.arange(i + 1, end)
-                near = near[(groups[near] != groups[i]) & ((parts[near] != parts[i]) if across else True)]
-                if len(near):
-                    mine, theirs = maps[i], maps[near]
-                    both = np.minimum(
-                        sizes[i] - np.bitwise_count(mine & ~theirs).sum(axis=1, dtype=np.int64),
-                        sizes[near] - np.bitwise_count(theirs & ~mine).sum(axis=1, dtype=np.int64),
-                    )
-                    near = near[100 * both >= percent * (sizes[i] + sizes[near] - both)]
-                    a += [i] * len(near)
-                    b += near.tolist()
-            ids = table.column("id")
-            pairs = ids.take(pa.array(a, pa.int64())), ids.take(pa.array(b, pa.int64()))
-            return pa.table({"a": pc.min_element_wise(*pairs), "b": pc.max_element_wise(*pairs)})
-
-        found = dealt.groupBy("key", "low", "high").applyInArrow(compare, f"a {self.kind}, b {self.kind}")
-        return found.distinct()
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, rows = [], 0
+            for batch in batches:
+                held.append(batch)
+                rows += batch.num_rows
+                if rows < 20_000:
+                    continue
+                table = pa.Table.from_batches(held)
+                last = np.all([(t := table.column(c).to_numpy()) == t[-1] for c in names], axis=0)
+                whole = int(np.argmax(last))
+                if whole:
+                    yield compare(table.slice(0, whole))
+                    held, rows = table.slice(whole).to_batches(), rows - whole
+            if rows:
+                yield compare(pa.Table.from_batches(held))
+
+        columns = [*names, "id", "component_id", "n", "part", "bitmap"]
+        return dealt.select(*columns).mapInArrow(run, f"a {self.kind}, b {self.kind}").distinct()
 
     def _verified(self, pairs: DataFrame, wide: DataFrame, bounded: bool = False) -> DataFrame:
         """The pairs (a, b) that are alike. ``bounded``: their bitmaps were compared already."""
