@@ -6,7 +6,10 @@ by their whole Hamming distance. Codes that no segment has met within radius r d
 at least r + 1 in each of m segments; so once the k-th verified distance is below
 m * (r + 1), no unseen code can be as near, and the search ends. Otherwise r grows by one.
 
-Equal codes are one entry, so a vector that a third of all rows share is looked up once.
+An index lies in buckets by the upper bits of the segment's value. A query goes to the
+buckets within the radius, and meets their codes there, in blocks: only its k best of a
+bucket leave it. Equal codes are one entry, so a vector that a third of all rows share is
+looked up once.
 """
 
 from __future__ import annotations
@@ -24,6 +27,10 @@ from pyspark.sql import functions as F
 from vellum.llm.shared import written
 
 
+#: Codes of a bucket, on average, and at most in one task.
+BUCKET, PART = 8192, 65_536
+
+
 def sign_codes(vectors: DataFrame, *, id_column: str, vector_column: str, bits: int, segments: int) -> DataFrame:
     """id and ``code``, the signs of the vector's components, as ``segments`` integers.
 
@@ -79,22 +86,24 @@ def top_k(
     place = F.row_number().over(W.partitionBy("code").orderBy("id"))
     members = codes.withColumn("place", place).filter(F.col("place") <= k)
     members = written(members.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "members")
-    entries = members.select("code", F.posexplode("code").alias("segment", "value"))
+    entries = _entries(members, width, m, least_bits := max(0, round(math.log2(max(rows, 1) / BUCKET))))
     asked = queries.select(F.col(queries.columns[0]).alias("query_id")).distinct().join(codes, F.col("query_id") == F.col("id"))
     asked = written(asked.select("query_id", F.col("code").alias("q")).distinct(), "asked")
-    opened = asked.select("q").distinct()
+    opened = asked.select("q").distinct().withColumn("bound", F.lit(bits + 1))
     least = min(k, members.agg(F.sum(F.size("ids"))).first()[0] or 0)
     kind = codes.schema["id"].dataType.simpleString()
     best, finished = None, []
     for radius in range(width + 1 if least else 0):
-        met = _ring(opened, entries, members, radius, width, m)
+        met = _ring(opened, entries, radius, width, min(least_bits, width), k)
         found = met if best is None else best.join(opened, "q", "left_semi").unionByName(met)
         rank = F.row_number().over(W.partitionBy("q").orderBy("distance", "neighbour_id"))
         best = written(found.withColumn("rank", rank).filter(F.col("rank") <= k), "best")
         covered = m * (radius + 1) - 1
         done = best.filter((F.col("rank") == least) & (F.col("distance") <= covered)).select("q")
         finished.append(best.join(done, "q", "left_semi") if radius < width else best)
-        opened = written(opened.join(done, "q", "left_anti"), "open")
+        furthest = best.groupBy("q").agg(F.max(F.when(F.col("rank") == least, F.col("distance"))).alias("last"))
+        opened = opened.join(done, "q", "left_anti").join(furthest, "q", "left")
+        opened = written(opened.select("q", F.coalesce("last", F.lit(bits + 1)).alias("bound")), "open")
         best = best.drop("rank")
         if not opened.limit(1).count():
             break
@@ -106,18 +115,80 @@ def top_k(
     return asked.join(near, "q").select("query_id", "rank", "neighbour_id", "distance")
 
 
-def _ring(opened: DataFrame, entries: DataFrame, members: DataFrame, radius: int, width: int, m: int) -> DataFrame:
-    """Rows whose code some segment meets at exactly ``radius`` and none below it, once each."""
-    masks = [sum(1 << i for i in chosen) for chosen in combinations(range(width), radius)]
-    probes = opened.select("q", F.posexplode("q").alias("segment", "own"))
+def _entries(members: DataFrame, width: int, m: int, upper: int) -> DataFrame:
+    """segment, bucket, part, code, ids: each code under its value in each segment.
+
+    A bucket beyond PART codes is cut into parts, so a task holds one part's codes.
+    """
+    upper = min(upper, width)
+    spread = members.select("code", "ids", F.posexplode("code").alias("segment", "value"))
+    spread = spread.withColumn("bucket", F.shiftright("value", width - upper)).drop("value")
+    parts = spread.groupBy("segment", "bucket").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("code"), F.col("parts")).cast("int")
+    return written(spread.join(parts, ["segment", "bucket"]).withColumn("part", part), "entries")
+
+
+def _ring(opened: DataFrame, entries: DataFrame, radius: int, width: int, upper: int, k: int) -> DataFrame:
+    """q, neighbour_id, distance of codes that some segment meets at exactly ``radius`` and none nearer.
+
+    The first segment of those reports the code, so it comes once. Beyond a query's bound,
+    its k-th distance so far, nothing is reported.
+    """
+    masks = [sum(1 << i for i in chosen) for n in range(min(radius, upper) + 1) for chosen in combinations(range(upper), n)]
+    parts = entries.groupBy("segment", "bucket").agg(F.max("parts").alias("parts"))
+    probes = opened.select("q", "bound", F.posexplode("q").alias("segment", "own"))
     probes = probes.withColumn("mask", F.explode(F.lit(masks).cast("array<long>")))
-    probes = probes.select("q", "segment", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
-    apart = F.zip_with("q", "code", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
-    met = probes.join(entries, ["segment", "value"]).withColumn("apart", apart)
-    met = met.filter((F.array_min("apart") == radius) & (F.array_position("apart", F.lit(radius)) == F.col("segment") + 1))
-    total = F.aggregate("apart", F.lit(0), lambda s, x: s + x)
-    return (
-        met.select("q", "code", total.alias("distance"))
-        .join(members, "code")
-        .select("q", F.explode("ids").alias("neighbour_id"), "distance")
-    )
+    probes = probes.withColumn("bucket", F.shiftright("own", width - upper).bitwiseXOR(F.col("mask")))
+    probes = probes.join(parts, ["segment", "bucket"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    none = F.array().cast(entries.schema["ids"].dataType)
+    sent = probes.select("segment", "bucket", "part", F.lit(1).alias("asks"), F.col("q").alias("code"), "bound", none.alias("ids"))
+    held = entries.select("segment", "bucket", "part", F.lit(0).alias("asks"), "code", F.lit(0).alias("bound"), "ids")
+    place = ["segment", "bucket", "part"]
+    dealt = held.unionByName(sent).repartition(*place).sortWithinPartitions(*place, "asks")
+
+    def search(table: pa.Table) -> pa.RecordBatch:
+        asks, bound = table.column("asks").to_numpy() == 1, table.column("bound").to_numpy()
+        segment = table.column("segment")[0].as_py()
+        code = table.column("code").combine_chunks()
+        values = code.flatten().to_numpy().reshape(len(code), -1).astype(np.uint64)
+        mine, theirs = np.flatnonzero(asks), np.flatnonzero(~asks)
+        first = [x[0] for x in table.column("ids").take(pa.array(theirs)).to_pylist()]
+        order = np.empty(len(theirs), np.int64)
+        order[sorted(range(len(first)), key=first.__getitem__)] = np.arange(len(first))
+        a, b, far = [], [], []
+        for block in np.array_split(mine, max(1, -(-len(mine) * len(theirs) // 4_000_000))):
+            near = np.bitwise_count(values[block, segment][:, None] ^ values[theirs, segment][None, :]) == radius
+            x, y = np.nonzero(near)
+            apart = np.bitwise_count(values[block[x]] ^ values[theirs[y]])
+            distance = apart.sum(axis=1, dtype=np.int64)
+            keep = (apart.min(axis=1) == radius) & (apart.argmin(axis=1) == segment) & (distance <= bound[block[x]])
+            x, y, distance = x[keep], y[keep], distance[keep]
+            best = np.lexsort((order[y], distance, x))
+            x, y, distance = x[best], y[best], distance[best]
+            rank = np.arange(len(x)) - np.searchsorted(x, x, side="left")
+            a.append(block[x[rank < k]])
+            b.append(theirs[y[rank < k]])
+            far.append(distance[rank < k])
+        a, b, far = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (a, b, far))
+        return pa.RecordBatch.from_arrays(
+            [code.take(pa.array(a)), table.column("ids").combine_chunks().take(pa.array(b)), pa.array(far, pa.int32())],
+            ["q", "ids", "distance"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[pa.RecordBatch] = []
+        for batch in batches:
+            table = pa.Table.from_batches([*rest, batch])
+            keys = np.stack([table.column(c).to_numpy() for c in place], axis=1)
+            ends = [*(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()]
+            for begin, end in zip([0, *ends], ends, strict=False):
+                one = table.slice(begin, end - begin)
+                if one.column("asks")[-1].as_py():
+                    yield search(one)
+            rest = table.slice(ends[-1] if ends else 0).to_batches()
+        if rest and (one := pa.Table.from_batches(rest)).column("asks")[-1].as_py():
+            yield search(one)
+
+    ids = entries.schema["ids"].dataType.simpleString()
+    met = dealt.mapInArrow(run, f"q array<long>, ids {ids}, distance int")
+    return met.select("q", F.explode("ids").alias("neighbour_id"), "distance")
