@@ -241,3 +241,9 @@ def test_lost_letters_come_back(spark):
     units = structure.units(items)
     more = {r.unit_id for r in context.enriched(units, letters).collect()} - {r.unit_id for r in units.collect()}
     assert more == {"odsek-1.1", "pismeno-1.1.a"}
+
+
+def test_tokens_as_markdown(spark):
+    rows = [("Podľa", "text", None), ("§ 5", "reference", "#paragraf-5"), ("1", "footnote", None), (")", "text", None), ("Zobraziť", "text", None), ("(", "text", None), ("daň", "text", None), (".", "text", None)]
+    tokens = F.array(*[F.struct(F.lit(t).alias("text"), F.lit(k).alias("kind"), F.lit(x).cast("string").alias("link")) for t, k, x in rows])
+    assert one(spark, render.content(tokens)) == "Podľa [§ 5](#paragraf-5)<sup>1</sup>) (daň."

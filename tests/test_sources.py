@@ -140,3 +140,19 @@ def test_windows_of_a_stream(spark, tmp_path):
     query = counted.writeStream.format("memory").queryName("counted").outputMode("complete").trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.table("counted").count() == 2
+
+
+def test_records_are_checked(spark):
+    from vellum.sources import records
+
+    good = {
+        "subject": {"name": "S", "type": "material"}, "more": 1,
+        "attributes": [{"conf": 0.5, "predicates": [
+            {"key": {"name": "mass"}, "value": {"numerical": {"val": 2.5}}}, {"key": {"name": "kind"}, "value": {"nominal": "x"}}]}],
+    }
+    rows = [(1, json.dumps(good)), (2, "{"), (3, json.dumps({"attributes": []})), (4, json.dumps({"subject": {"name": "S"}, "attributes": "no"})), (5, None)]
+    read = records.validated(spark.createDataFrame(rows, "k long, j string"), "j")
+    got = {r.k: r.problem for r in read.collect()}
+    assert got == {1: None, 2: "not as the schema says", 3: "subject lacks", 4: "not as the schema says", 5: "not as the schema says"}
+    said = records.statements(read.filter("problem IS NULL"), "k").collect()
+    assert sorted((r.subject, r["name"], r.kind, r.value) for r in said) == [("S", "kind", "nominal", "x"), ("S", "mass", "numerical", "2.5")]

@@ -74,3 +74,32 @@ def styled(text: Column, bold: Column, italic: Column, link: Column) -> Column:
     text = F.when(bold, F.concat(F.lit("**"), text, F.lit("**"))).otherwise(text)
     text = F.when(italic, F.concat(F.lit("*"), text, F.lit("*"))).otherwise(text)
     return F.when(link.isNotNull(), F.concat(F.lit("["), text, F.lit("]("), link, F.lit(")"))).otherwise(text)
+
+
+#: Words of page controls that are no text.
+CONTROLS = ("Zobraziť", "Skryť", "Otvoriť", "Zavrieť", "Kopírovať")
+
+
+def content(tokens: Column) -> Column:
+    """Tokens (text, kind, link) as Markdown: references as links, footnotes raised, page controls dropped.
+
+    Marks that close a clause come without a space, as do raised numbers.
+    """
+    shown = F.transform(
+        F.filter(tokens, lambda t: (F.trim(t["text"]) != "") & ~F.trim(t["text"]).isin(*CONTROLS)),
+        lambda t: F.struct(
+            F.when(t["kind"] == "footnote", F.concat(F.lit("<sup>"), F.trim(t["text"]), F.lit("</sup>")))
+            .when((t["kind"] == "reference") & t["link"].isNotNull(), F.concat(F.lit("["), F.trim(t["text"]), F.lit("]("), t["link"], F.lit(")")))
+            .otherwise(F.trim(t["text"]))
+            .alias("text"),
+            ((t["kind"] == "footnote") | F.trim(t["text"]).rlike(r"^[,.;:)\]]")).alias("tight"),
+        ),
+    )
+    folded = F.aggregate(
+        shown,
+        F.lit(""),
+        lambda text, t: F.when((text == "") | t["tight"] | text.rlike(r"[(\[]$"), F.concat(text, t["text"])).otherwise(
+            F.concat(text, F.lit(" "), t["text"])
+        ),
+    )
+    return F.regexp_replace(F.regexp_replace(folded, r"[ \t]+", " "), r"\n{3,}", "\n\n")
