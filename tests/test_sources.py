@@ -82,11 +82,12 @@ def test_html_elements_and_annexes(spark):
 
 def test_manifest(spark, tmp_path):
     (tmp_path / "manifest.yaml").write_text(
-        "law_id: 1/2003\nannexes:\n  - {number: '1', title: A, type: external_pdf, filename: a.pdf, unknown: 1}\n  - {number: '2', local_path: /b.pdf}\n"
+        "law_id: 1/2003\nannexes:\n  - {number: '1', title: A, type: external_pdf, filename: a.pdf, unknown: 1}\n  - {number: '2', local_path: /b.pdf, some_path: c.json}\n"
     )
     rows = manifest.annexes(manifest.read(spark, str(tmp_path))).orderBy("ord").collect()
     assert [(r.number, r.kind) for r in rows] == [("1", "external_pdf"), ("2", "inline")]
     assert rows[0].file.endswith("/a.pdf") and rows[1].file == "/b.pdf"
+    assert rows[0].cache is None and rows[1].cache.endswith("/c.json")
 
 
 def test_code_chunks(spark):

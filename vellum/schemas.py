@@ -37,8 +37,8 @@ DOCUMENT = (
     "pages map<string, struct<page_no: int, size: struct<width: double, height: double>>>"
 )
 MANIFEST = (
-    "law_id string, source string, main_document struct<type: string, filename: string, docling_cache: string>, "
+    "law_id string, source string, main_document struct<type: string, filename: string, cache: string>, "
     "annexes array<struct<number: string, title: string, type: string, url: string, filename: string, local_path: string, "
-    "docling_cache: string, docling_path: string, content_type: string, html_id: string, parser: string, "
+    "cache: string, content_type: string, html_id: string, parser: string, "
     "parser_options: map<string, string>>>"
 )
