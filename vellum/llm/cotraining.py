@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from vellum.llm import toxicity
 from vellum.llm.linear import Grams, logistic, sigmoid, text_slices
-from vellum.llm.shared import text_or_empty
+from vellum.llm.shared import bounded_batches, text_or_empty, tidy
 
 #: Buckets of metadata features.
 META_BITS = 14
@@ -162,6 +162,7 @@ def quality(
     body = text_or_empty(F.col("text"))
     viewed = docs.select("doc_id", body.alias("body"), metadata(list(columns), body).alias("words"))
     model = _fitted(docs, viewed, labels, fit)
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +178,7 @@ def quality(
             )
 
     kind = viewed.schema["doc_id"].dataType.simpleString()
-    return viewed.mapInArrow(run, f"doc_id {kind}, score double, text_score double, meta_score double")
+    return viewed.mapInArrow(tidy(run), f"doc_id {kind}, score double, text_score double, meta_score double")
 
 
 def _fitted(docs: DataFrame, viewed: DataFrame, labels: DataFrame, fit: CoFit) -> Views:

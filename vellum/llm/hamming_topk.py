@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vellum.llm.shared import written
+from vellum.llm.shared import tidy, written
 
 
 #: Codes of a bucket, on average, and at most in one task.
@@ -56,7 +56,7 @@ def sign_codes(vectors: DataFrame, *, id_column: str, vector_column: str, bits:
 
     chosen = vectors.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{vector_column}`").alias("vector")).dropna()
     kind = chosen.schema["id"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"id {kind}, code array<long>")
+    return chosen.mapInArrow(tidy(run), f"id {kind}, code array<long>")
 
 
 def top_k(
@@ -190,5 +190,5 @@ def _ring(opened: DataFrame, entries: DataFrame, radius: int, width: int, upper:
             yield search(one)
 
     ids = entries.schema["ids"].dataType.simpleString()
-    met = dealt.mapInArrow(run, f"q array<long>, ids {ids}, distance int")
+    met = dealt.mapInArrow(tidy(run), f"q array<long>, ids {ids}, distance int")
     return met.select("q", F.explode("ids").alias("neighbour_id"), "distance")

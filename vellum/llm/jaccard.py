@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from vellum.llm.components import components
 from vellum.llm.rolling import MULTIPLIER, mix, prefix_sums, substring_hashes
-from vellum.llm.shared import slices, with_own_ids, written
+from vellum.llm.shared import slices, tidy, with_own_ids, written
 
 #: Sets of a tile that are compared in one task.
 TILE = 2048
@@ -242,7 +242,7 @@ def _sets(df: DataFrame, alike: Alike) -> DataFrame:
                     ["doc_id", "n", "digest", "bitmap"],
                 )
 
-    return df.mapInArrow(run, f"doc_id {_kind(df)}, n long, digest binary, bitmap binary")
+    return df.mapInArrow(tidy(run), f"doc_id {_kind(df)}, n long, digest binary, bitmap binary")
 
 
 def _tiles(df: DataFrame, alike: Alike) -> DataFrame:
@@ -259,7 +259,7 @@ def _tiles(df: DataFrame, alike: Alike) -> DataFrame:
                     [pa.array(flat.view(np.int64)), some.column(0).take(pa.array(row))], ["key", "id"]
                 )
 
-    return df.mapInArrow(run, f"key long, id {_kind(df)}")
+    return df.mapInArrow(tidy(run), f"key long, id {_kind(df)}")
 
 
 def _kind(df: DataFrame) -> str:
@@ -277,7 +277,7 @@ def _arrays(df: DataFrame, alike: Alike) -> DataFrame:
                     [some.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "shingles"]
                 )
 
-    return df.mapInArrow(run, f"id {_kind(df)}, shingles binary")
+    return df.mapInArrow(tidy(run), f"id {_kind(df)}, shingles binary")
 
 
 def _agree(pairs: DataFrame, percent: int, kind: str) -> DataFrame:
@@ -295,7 +295,7 @@ def _agree(pairs: DataFrame, percent: int, kind: str) -> DataFrame:
                 [c.filter(pa.array(keep, pa.bool_())) for c in (batch.column(0), batch.column(1))], ["a", "b"]
             )
 
-    return pairs.mapInArrow(run, f"a {kind}, b {kind}")
+    return pairs.mapInArrow(tidy(run), f"a {kind}, b {kind}")
 
 
 class JaccardJoin:
@@ -425,7 +425,7 @@ class JaccardJoin:
                 yield compare(pa.Table.from_batches(held))
 
         columns = [*names, "id", "component_id", "n", "part", "bitmap"]
-        return dealt.select(*columns).mapInArrow(run, f"a {self.kind}, b {self.kind}").distinct()
+        return dealt.select(*columns).mapInArrow(tidy(run), f"a {self.kind}, b {self.kind}").distinct()
 
     def _verified(self, pairs: DataFrame, wide: DataFrame, bounded: bool = False) -> DataFrame:
         """The pairs (a, b) that are alike. ``bounded``: their bitmaps were compared already."""
@@ -463,7 +463,7 @@ class JaccardJoin:
                     [c.filter(pa.array(keep, pa.bool_())) for c in (batch.column(0), batch.column(1))], ["a", "b"]
                 )
 
-        return sized.select("a", "b", "na", "nb", "ma", "mb").mapInArrow(run, f"a {self.kind}, b {self.kind}")
+        return sized.select("a", "b", "na", "nb", "ma", "mb").mapInArrow(tidy(run), f"a {self.kind}, b {self.kind}")
 
 
 def without_near_copies(df: DataFrame, alike: Alike = Alike(), *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from vellum.llm.components import components
 from vellum.llm.linear import text_slices
 from vellum.llm.rolling import mix, prefix_sums, substring_hashes
-from vellum.llm.shared import SPACES, with_own_ids, written
+from vellum.llm.shared import SPACES, tidy, with_own_ids, written
 
 #: Lines of one tile that are compared in one task, and salts of joins with hot lines.
 TILE, SALTS = 1024, 16
@@ -173,7 +173,7 @@ def _tiles(docs: DataFrame, near: Near) -> DataFrame:
                         [pa.array(keys[some].view(np.int64)), pa.array(members[some].view(np.int64))], ["key", "member"]
                     )
 
-    return docs.select("body").mapInArrow(run, "key long, member long")
+    return docs.select("body").mapInArrow(tidy(run), "key long, member long")
 
 
 def _facts(docs: DataFrame, needed: DataFrame, near: Near) -> DataFrame:
@@ -199,8 +199,8 @@ def _facts(docs: DataFrame, needed: DataFrame, near: Near) -> DataFrame:
             counts = pa.array([c.tobytes() for c in counts], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lengths), counts], ["name", "line", "length", "counts"])
 
-    found = docs.select("body").mapInArrow(named, "name long, line string").join(needed, "name", "left_semi").distinct()
-    facts = found.mapInArrow(counted, "name long, line string, length long, counts binary")
+    found = docs.select("body").mapInArrow(tidy(named), "name long, line string").join(needed, "name", "left_semi").distinct()
+    facts = found.mapInArrow(tidy(counted), "name long, line string, length long, counts binary")
     return facts.withColumn("line_id", F.unhex(F.md5("line")))
 
 
@@ -260,7 +260,7 @@ def _candidates(rows: DataFrame, near: Near) -> DataFrame:
         if size:
             yield compare(pa.Table.from_batches(held))
 
-    return dealt.mapInArrow(run, "a binary, b binary").distinct()
+    return dealt.mapInArrow(tidy(run), "a binary, b binary").distinct()
 
 
 def line_links(docs: DataFrame, near: Near) -> DataFrame:
@@ -288,7 +288,7 @@ def line_links(docs: DataFrame, near: Near) -> DataFrame:
             keep = pa.array(within(batch.column(2).to_pylist(), batch.column(3).to_pylist(), near.edits))
             yield pa.RecordBatch.from_arrays([c.filter(keep) for c in batch.columns[:2]], ["a", "b"])
 
-    return written(both.mapInArrow(verify, "a binary, b binary"), "links")
+    return written(both.mapInArrow(tidy(verify), "a binary, b binary"), "links")
 
 
 def line_dedup(

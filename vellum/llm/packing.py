@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from vellum.llm.shared import slices, text_or_empty
+from vellum.llm.shared import bounded_batches, slices, text_or_empty, tidy
 
 PACKED = (
     "start long, length long, ids binary, doc_tokens long, loss_tokens long, "
@@ -217,7 +217,7 @@ class PieceTokenizer:
     LOWER[65:91] += 32
     PLAIN = re.compile(rb"[a-z]+|[!-/:-@\[-`{-~]+")
 
-    def __init__(self, path: str, kept: int = 800_000):
+    def __init__(self, path: str, kept: int = 300_000):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.full, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
@@ -298,6 +298,7 @@ def pack_tokens(
     """
     from pyspark.sql import functions as F
 
+    bounded_batches(df.sparkSession)
     columns = df.select(F.col(id_column).alias("doc_id"), text_or_empty(F.col(text_column)).alias("text"))
     id_type = columns.schema["doc_id"].dataType.simpleString()
     arrow_id = {"bigint": pa.int64(), "int": pa.int32()}.get(id_type, pa.string())
@@ -305,7 +306,7 @@ def pack_tokens(
         columns = columns.withColumn("doc_id", F.col("doc_id").cast("string"))
         id_type = "string"
     return columns.mapInArrow(
-        _packer(tokenizer_path, limits, end_id, block_tokens, arrow_id), f"doc_id {id_type}, {PACKED}"
+        tidy(_packer(tokenizer_path, limits, end_id, block_tokens, arrow_id)), f"doc_id {id_type}, {PACKED}"
     )
 
 
@@ -338,7 +339,7 @@ def _packer(tokenizer_path: str, limits: Limits, end_id: int, block_tokens: int,
         sequence = TaskContext.get().partitionId() << 36
         doc_ids, parts, held = [], [], 0
         for batch in batches:
-            for some in slices(batch, 1, 8_000_000):
+            for some in slices(batch, 1, 3_000_000):
                 ids, bounds = tokenizer.encode(some.column(1))
                 for k, doc in enumerate(some.column(0).to_pylist()):
                     part = np.append(ids[bounds[k] : bounds[k + 1]], np.uint32(end_id))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,30 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+#: Rows of an Arrow batch: documents are long, and a batch lies in memory on both sides.
+BATCH_ROWS = 1024
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Arrow batches of this session hold BATCH_ROWS rows at most."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, after which the worker gives free memory back: it stays alive between tasks."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return wrapped
+
+
 def table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
@@ -38,6 +63,7 @@ def table_path(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet into the shared folder and read again: cuts the lineage."""
     spark = df.sparkSession
+    bounded_batches(spark)
     path = table_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

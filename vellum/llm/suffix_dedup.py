@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from vellum.llm.bwt import merged
 from vellum.llm.rolling import mix, powers, prefix_sums, substring_hashes
-from vellum.llm.shared import with_own_ids, written
+from vellum.llm.shared import tidy, with_own_ids, written
 
 #: A k-gram's bytes; aligned blocks and how many of them every window holds.
 GRAM, BLOCK = 24, 25
@@ -112,7 +112,7 @@ def _fragments(docs: DataFrame, length: int) -> DataFrame:
                     ["key", "content", "doc", "place"],
                 )
 
-    return docs.mapInArrow(run, f"key long, content long, doc {_kind(docs)}, place long")
+    return docs.mapInArrow(tidy(run), f"key long, content long, doc {_kind(docs)}, place long")
 
 
 def _kind(docs: DataFrame) -> str:
@@ -176,8 +176,7 @@ def _slices(docs: DataFrame, open_fragments: DataFrame, length: int) -> DataFram
                     )
 
     joined = docs.join(by_text, "doc").select("doc", "body", "places")
-    return joined.mapInArrow(
-        run, f"key long, content long, doc {_kind(docs)}, place long, windows long, body binary"
+    return joined.mapInArrow(tidy(run), f"key long, content long, doc {_kind(docs)}, place long, windows long, body binary"
     )
 
 
@@ -231,7 +230,7 @@ def _covers_by_transform(slices: DataFrame, kind: str, length: int) -> DataFrame
         if size:
             yield out()
 
-    return dealt.select("key", "doc", "place", "body").mapInArrow(run, f"doc {kind}, start long, end long")
+    return dealt.select("key", "doc", "place", "body").mapInArrow(tidy(run), f"doc {kind}, start long, end long")
 
 
 def _covers_by_rows(slices: DataFrame, kind: str, length: int) -> DataFrame:
@@ -250,7 +249,7 @@ def _covers_by_rows(slices: DataFrame, kind: str, length: int) -> DataFrame:
                 ["window", "doc", "start"],
             )
 
-    windows = slices.select("key", "doc", "place", "body").mapInArrow(run, f"window binary, doc {kind}, start long")
+    windows = slices.select("key", "doc", "place", "body").mapInArrow(tidy(run), f"window binary, doc {kind}, start long")
     first = windows.groupBy("window").agg(F.min(F.struct("doc", "start")).alias("first"))
     later = windows.join(first, "window").filter(~F.struct("doc", "start").eqNullSafe(F.col("first")))
     return later.select("doc", "start", (F.col("start") + length).alias("end"))
@@ -318,7 +317,7 @@ def suffix_dedup(
             )
 
     joined = docs.join(by_text, "doc", "left").select("doc", "body", "spans")
-    done = joined.mapInArrow(run, f"doc_id {_kind(docs)}, kept binary, n_bytes long, n_removed long, n_spans long")
+    done = joined.mapInArrow(tidy(run), f"doc_id {_kind(docs)}, kept binary, n_bytes long, n_removed long, n_spans long")
     if names is None:
         return done
     named = done.join(names, F.col("doc_id") == F.col("doc"))

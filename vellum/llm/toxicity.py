@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm.linear import Grams, logistic, present, sigmoid, text_slices
-from vellum.llm.shared import text_or_empty
+from vellum.llm.shared import bounded_batches, text_or_empty, tidy
 
 
 @dataclass(frozen=True)
@@ -92,6 +92,7 @@ def score(docs: DataFrame, model: Grams) -> DataFrame:
     like any other; further columns aren't read; an empty table gives no rows. The model
     that is broadcast has 2 ** bits weights, whatever the input.
     """
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,7 +103,7 @@ def score(docs: DataFrame, model: Grams) -> DataFrame:
 
     chosen = docs.select("doc_id", text_or_empty(F.col("text")).alias("body"))
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"doc_id {kind}, score double")
+    return chosen.mapInArrow(tidy(run), f"doc_id {kind}, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> DataFrame:
@@ -112,6 +113,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, with all their columns, in one pass."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(train(*sample(docs, labels, "toxic", fit), fit))
     at = docs.columns.index("text")
 
@@ -120,4 +122,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), threshol
             scores = [sigmoid(shared.value.margins(some)) for some in text_slices(batch.column(at))]
             yield batch.filter(pa.array(np.concatenate(scores) < threshold)) if scores else batch
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
