@@ -78,6 +78,17 @@ def context_frame(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", last.alias("frame"))
 
 
+@query(
+    "context_frame_whole",
+    "SELECT conv_id, turn, coalesce(string_agg(text, '|') OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), '') AS frame FROM conversations",
+)
+def context_frame_whole(spark, sf_dir):
+    """context_frame with the whole texts."""
+    frame = W.partitionBy("conv_id").orderBy("turn").rowsBetween(-3, -1)
+    last = F.array_join(F.collect_list("text").over(frame), "|")
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", last.alias("frame"))
+
+
 @query(
     "html_escape_render",
     "SELECT doc_id, '<p>' || replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(10), '<br>') || '</p>' AS html FROM documents",
@@ -374,10 +385,23 @@ def heading_path(spark, sf_dir):
     return chunks.heading_paths(_turns(spark, sf_dir), 2)
 
 
-def _turns(spark, sf_dir):
+@query(
+    "heading_path_whole",
+    """WITH i AS (SELECT conv_id AS doc_id, turn AS pos, CASE role WHEN 'system' THEN 1 WHEN 'user' THEN 2 END AS level, text FROM conversations),
+h AS (SELECT *, last_value(CASE WHEN level = 1 THEN pos END IGNORE NULLS) OVER w AS p1, last_value(CASE WHEN level = 2 THEN pos END IGNORE NULLS) OVER w AS p2 FROM i WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT h.doc_id, h.pos, h.text, concat_ws(' > ', a.text, CASE WHEN p2 > coalesce(p1, -1) THEN b.text END) AS path
+FROM h LEFT JOIN i a ON a.doc_id = h.doc_id AND a.pos = p1 LEFT JOIN i b ON b.doc_id = h.doc_id AND b.pos = p2 WHERE h.level IS NULL""",
+)
+def heading_path_whole(spark, sf_dir):
+    """heading_path with the whole texts."""
+    return chunks.heading_paths(_turns(spark, sf_dir, F.col("text")), 2)
+
+
+def _turns(spark, sf_dir, text=None):
+    text = F.left("text", F.lit(30)) if text is None else text
     level = F.when(F.col("role") == "system", 1).when(F.col("role") == "user", 2)
     return table(spark, sf_dir, "conversations").select(
-        F.col("conv_id").alias("doc_id"), F.col("turn").alias("pos"), level.alias("level"), F.left("text", F.lit(30)).alias("text")
+        F.col("conv_id").alias("doc_id"), F.col("turn").alias("pos"), level.alias("level"), text.alias("text")
     )
 
 
@@ -393,6 +417,20 @@ def contextualised_chunks(spark, sf_dir):
     return chunks.contextualised(found.join(kept, ["doc_id", "pos"], "left_semi")).select("doc_id", "pos", "context")
 
 
+@query(
+    "contextualised_chunks_whole",
+    """SELECT c.conv_id AS doc_id, c.turn AS pos, coalesce(nullif(u.text, '') || chr(10), '') || c.text AS context
+FROM conversations c LEFT JOIN conversations u ON u.conv_id = c.conv_id AND u.role = 'user' AND u.turn = (SELECT max(turn) FROM conversations x WHERE x.conv_id = c.conv_id AND x.role = 'user' AND x.turn < c.turn)
+WHERE c.role = 'assistant'""",
+)
+def contextualised_chunks_whole(spark, sf_dir):
+    """contextualised_chunks with the whole texts."""
+    turns = _turns(spark, sf_dir, F.col("text")).filter("level IS NULL OR level = 2")
+    kept = table(spark, sf_dir, "conversations").filter("role = 'assistant'").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("pos"))
+    found = chunks.heading_paths(turns, 2).join(kept, ["doc_id", "pos"], "left_semi")
+    return chunks.contextualised(found).select("doc_id", "pos", "context")
+
+
 @query(
     "page_chunks",
     "SELECT conv_id AS doc_id, turn // 4 AS page_no, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS text, count(*) AS n_items FROM conversations GROUP BY ALL",
