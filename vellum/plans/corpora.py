@@ -251,6 +251,21 @@ def table_position_range_join(spark, sf_dir):
     return tables.assigned_by_position(held, units)
 
 
+@query(
+    "table_position_range_join_whole",
+    """WITH u AS (SELECT user_id AS doc_id, event_id AS unit_id, event_id AS a, event_id + 20 AS b FROM events),
+t AS (SELECT user_id AS doc_id, event_id AS table_id, event_id + 22 AS pos FROM events WHERE event_type = 'error'),
+m AS (SELECT t.doc_id, table_id, unit_id, a, CASE WHEN pos >= a AND pos < b THEN 1 ELSE 2 END AS priority FROM t JOIN u ON t.doc_id = u.doc_id AND pos >= a - 5 AND pos < b + 5)
+SELECT doc_id, table_id, unit_id, priority FROM m QUALIFY row_number() OVER (PARTITION BY doc_id, table_id ORDER BY priority, a, unit_id) = 1""",
+)
+def table_position_range_join_whole(spark, sf_dir):
+    """Every event's range is a unit; tables stand just behind that of their own event, so both priorities occur."""
+    events = table(spark, sf_dir, "events").withColumnRenamed("user_id", "doc_id")
+    units = events.select("doc_id", F.col("event_id").alias("unit_id"), F.col("event_id").alias("start"), (F.col("event_id") + 20).alias("end"))
+    held = events.filter("event_type = 'error'").select("doc_id", F.col("event_id").alias("table_id"), (F.col("event_id") + 22).alias("pos"))
+    return tables.assigned_by_position(held, units)
+
+
 @query(
     "unassigned_and_duplicate",
     """SELECT doc_id AS table_id, 'unassigned' AS finding, 0 AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
