@@ -122,6 +122,65 @@ def best_header_match(texts: DataFrame, tables: DataFrame, least: float = 0.5) -
     return best.select("text_id", "b.table_id", "b.common", "b.words")
 
 
+#: Headers ("Words, n = value.") and rows ("n, m = value.") of a table's text form.
+_TEXT_HEADER = r"(?U)([A-ZÁÉÍÓÚÝŽŠČŤĎĽŇa-záéíóúýžščťďľň\s*]+,?\s*\d+\s*=\s*[^.]+\.)"
+_TEXT_ROW = r"(?U)(\d+,\s*\d+\s*=\s*[^.]+\.)"
+
+
+def best_table_match(texts: DataFrame, grid: DataFrame, excluded: DataFrame | None = None, least: int = 10) -> DataFrame:
+    """For each table written as text the document's table with the highest score, if ``least`` at least.
+
+    texts: doc_id, text_id, text; grid: doc_id, table_id, r, c, text, the first row being the
+    header; excluded: doc_id, text_id, table_id. A header of the text half of whose words are in
+    the table's header scores 10. Rows of the text whose value holds a row of the table or lies
+    in one score 5 each, if there are two. Ties go to the smaller table id.
+    """
+    words = lambda x: F.filter(F.array_distinct(F.split(x, " ")), lambda w: w != "")
+    parsed = lambda pattern: F.transform(
+        F.regexp_extract_all("text", F.lit(pattern), F.lit(1)), lambda x: fold(F.regexp_replace(x, r"\.$", ""))
+    )
+    value = lambda x: F.trim(F.regexp_extract(x, "(?s)=(.*)$", 1))
+    wanted = texts.select(
+        "doc_id", "text_id", F.transform(parsed(_TEXT_HEADER), words).alias("headers"),
+        F.transform(parsed(_TEXT_ROW), value).alias("values"),
+    )
+    cells = F.transform(F.sort_array(F.collect_list(F.struct("c", "text"))), lambda x: F.trim(x["text"]))
+    said = fold(F.array_join(F.filter(cells, lambda x: x != ""), " "))
+    rows = grid.groupBy("doc_id", "table_id", "r").agg(said.alias("said"))
+    held = rows.groupBy("doc_id", "table_id").agg(
+        words(F.min_by("said", "r")).alias("head"),
+        F.transform(F.sort_array(F.collect_list(F.struct("r", "said"))), lambda x: x["said"]).alias("rows"),
+    )
+    held = held.withColumn("rows", F.filter(F.slice("rows", 2, F.size("rows")), lambda x: x != ""))
+    met = wanted.join(held, "doc_id")
+    if excluded is not None:
+        met = met.join(excluded, ["doc_id", "text_id", "table_id"], "left_anti")
+    alike = lambda h: (F.size(h) > 0) & (F.size("head") > 0) & (F.size(F.array_intersect(h, "head")) * 2 >= F.size(h))
+    found = lambda v: F.exists("rows", lambda x: x.contains(v) | v.contains(x))
+    same = F.size(F.filter("values", found))
+    score = F.size(F.filter("headers", alike)) * 10 + F.when(same >= 2, same * 5).otherwise(0)
+    scored = met.withColumn("score", score).filter(F.col("score") >= least)
+    best = F.max_by(F.struct("table_id", "score"), F.struct("score", -F.col("table_id"))).alias("b")
+    return scored.groupBy("doc_id", "text_id").agg(best).select("doc_id", "text_id", "b.table_id", "b.score")
+
+
+def described_items(elements: DataFrame) -> DataFrame:
+    """doc_id, item, pos, name of item numbers ("4-17"): the list items up to the next number, joined by ", ".
+
+    elements: doc_id, pos, label, text (decoded). What follows a document's first notes is left out.
+    """
+    order = W.partitionBy("doc_id").orderBy("pos").rowsBetween(W.unboundedPreceding, W.currentRow)
+    number = F.regexp_extract("text", r"(?U)^\s*(\d+-\d+)\s*$", 1)
+    rows = elements.withColumn("notes", F.max(F.col("text").contains("Poznámk")).over(order)).filter("NOT coalesce(notes, false)")
+    rows = rows.withColumn("number", F.nullif(number, F.lit("")))
+    held = F.when(F.col("number").isNotNull(), F.struct(F.col("number").alias("item"), "pos"))
+    rows = rows.withColumn("of", F.last(held, ignorenulls=True).over(order)).filter("of IS NOT NULL")
+    said = F.when(F.col("number").isNull() & (F.col("label") == "list_item"), F.struct("pos", "text"))
+    names = F.transform(F.sort_array(F.collect_list(said)), lambda x: x["text"])
+    made = rows.groupBy("doc_id", "of").agg(F.array_join(names, ", ").alias("name"))
+    return made.select("doc_id", "of.item", "of.pos", "name")
+
+
 def assigned_by_position(tables: DataFrame, units: DataFrame, slack: int = 5) -> DataFrame:
     """Each table's unit: the one whose range holds its position, else one within ``slack`` of it.
 
