@@ -33,10 +33,30 @@ STRIP = "".join(SPACES)
 
 @dataclass(frozen=True)
 class Near:
-    """Lines are near within ``edits``; lines of fewer than ``least`` code points only if equal."""
+    """Lines are near within ``edits``; lines of fewer than ``least`` code points only if equal.
+
+    ``short`` allows shorter lines fewer edits: (length, edits) for pairs whose shorter line
+    has fewer than ``least`` code points and at least that length.
+    """
 
     edits: int = 2
     least: int = 20
+    short: tuple[tuple[int, int], ...] = ()
+
+    def tiers(self) -> list[tuple[int, int, int | None]]:
+        """(least length, edits, least length of the next tier) of the shorter line of a pair."""
+        steps = [*sorted(self.short), (self.least, self.edits)]
+        return [(a, edits, following) for (a, edits), following in zip(steps, [a for a, _ in steps[1:]] + [None])]
+
+    def shortest(self) -> int:
+        return self.tiers()[0][0]
+
+    def allowed(self, lengths: np.ndarray) -> np.ndarray:
+        """The edits for pairs whose shorter lines have these lengths; -1: none, not even if equal."""
+        out = np.full(len(lengths), -1, np.int64)
+        for a, edits, _ in self.tiers():
+            out[lengths >= a] = edits
+        return out
 
     def segments(self, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and lengths of the edits + 1 segments of lines of these lengths, one row a line."""
@@ -70,9 +90,21 @@ def names(lines: list[str]) -> np.ndarray:
 
 def tile_keys(lines: list[str], near: Near) -> tuple[np.ndarray, np.ndarray]:
     """Keys, and the name of the line; the name's last bit is set where the line offers a segment."""
-    lines = [x for x in lines if len(x) >= near.least]
+    lines = [x for x in lines if len(x) >= near.shortest()]
     if not lines:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    keys, members = [], []
+    for least, edits, following in near.tiers():
+        # The shorter line of a pair is of this tier; the longer one may reach into the next.
+        some = [x for x in lines if len(x) >= least and (following is None or len(x) < following + edits)]
+        if some:
+            k, m = _tier_keys(some, Near(edits, least), following)
+            keys.append(k)
+            members.append(m)
+    return np.concatenate(keys), np.concatenate(members)
+
+
+def _tier_keys(lines: list[str], near: Near, following: int | None) -> tuple[np.ndarray, np.ndarray]:
     points, bounds = _points(lines)
     sums, first, lengths = prefix_sums(points), bounds[:-1], np.diff(bounds)
     named = substring_hashes(sums, bounds[:-1], bounds[1:]) & ~np.uint64(1)
@@ -84,6 +116,8 @@ def tile_keys(lines: list[str], near: Near) -> tuple[np.ndarray, np.ndarray]:
             a = starts[:, i] + shift
             b = a + sizes[:, i]
             fits = (a >= 0) & (b <= lengths) & (other >= near.least)
+            if following is not None:
+                fits &= other < following
             a, b = (first + a)[fits], (first + b)[fits]
             place = (other[fits] * (near.edits + 1) + i).astype(np.uint64)
             keys.append(mix(substring_hashes(sums, a, b) ^ mix(place + np.uint64(0x51ED270B))))
@@ -182,7 +216,7 @@ def _facts(docs: DataFrame, needed: DataFrame, near: Near) -> DataFrame:
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in text_slices(batch.column(0)):
-                lines = [x for x in _lines(texts) if len(x) >= near.least]
+                lines = [x for x in _lines(texts) if len(x) >= near.shortest()]
                 if lines:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(names(lines).view(np.int64)), pa.array(lines, pa.string())], ["name", "line"]
@@ -229,10 +263,11 @@ def _candidates(rows: DataFrame, near: Near) -> DataFrame:
             if not len(at):
                 break
             a, b = at, at + step
-            keep = (offers[a] + offers[b] > 0) & (np.abs(length[a] - length[b]) <= near.edits)
+            edits = near.allowed(np.minimum(length[a], length[b]))
+            keep = (offers[a] + offers[b] > 0) & (np.abs(length[a] - length[b]) <= edits)
             keep &= ~across[a] | (part[a] != part[b])
-            a, b = a[keep], b[keep]
-            keep = np.abs(counts[a] - counts[b]).sum(axis=1) <= 2 * near.edits
+            a, b, edits = a[keep], b[keep], edits[keep]
+            keep = np.abs(counts[a] - counts[b]).sum(axis=1) <= 2 * edits
             firsts.append(a[keep])
             seconds.append(b[keep])
         ids = table.column("line_id")
@@ -285,7 +320,13 @@ def line_links(docs: DataFrame, near: Near) -> DataFrame:
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = pa.array(within(batch.column(2).to_pylist(), batch.column(3).to_pylist(), near.edits))
+            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            allowed = near.allowed(np.array([min(len(p), len(q)) for p, q in zip(x, y, strict=True)], np.int64))
+            hit = np.zeros(len(x), bool)
+            for edits in {e for _, e, _ in near.tiers()}:
+                at = np.flatnonzero(allowed == edits)
+                hit[at] = within([x[i] for i in at], [y[i] for i in at], edits)
+            keep = pa.array(hit)
             yield pa.RecordBatch.from_arrays([c.filter(keep) for c in batch.columns[:2]], ["a", "b"])
 
     return written(both.mapInArrow(tidy(verify), "a binary, b binary"), "links")

@@ -31,7 +31,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vellum.llm.line_dedup import Near, line_dedup
 
-    return line_dedup(_table(spark, sf_dir, "documents"), Near(edits=2, least=20))
+    return line_dedup(_table(spark, sf_dir, "documents"), Near(edits=2, least=20, short=((8, 1),)))
 
 
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
