@@ -1,10 +1,11 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from vellum.llm.components import components
-from vellum.llm.jaccard import Alike, JaccardJoin, keys, shingle_sets
+from vellum.llm.jaccard import Alike, JaccardJoin, keys, packed, shingle_sets, unpacked, without_near_copies
 
 pa = pytest.importorskip("pyarrow")
 
@@ -69,7 +70,7 @@ def test_alike_sets_share_a_key(percent):
         n = rng.choice([1, 2, 5, 9, 10, 11, 19, 30, 100])
         base = [f"t{rng.randrange(10**9)}" for _ in range(n)]
         other = base[rng.randrange(0, 1 + n // 8) :] + [f"t{rng.randrange(10**9)}" for _ in range(rng.randrange(0, 1 + n // 8))]
-        a, b = shingle_sets(pa.array([" ".join(base), " ".join(other)]), 1)
+        (a, _), (b, _) = shingle_sets(pa.array([" ".join(base), " ".join(other)]), 1)
         x, y = set(base), set(other)
         if 100 * len(x & y) >= percent * len(x | y):
             assert set(keys(a, alike).tolist()) & set(keys(b, alike).tolist())
@@ -92,3 +93,55 @@ def test_components_of_chains(spark):
     links = [(i, i + 1) for i in range(40)] + [(60, 50), (50, 60), (70, 70), (61, 60)]
     got = {r.id: r.component_id for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 50: 50, 60: 50, 61: 50}
+
+
+def cloud(seed, n, words=120):
+    """A text and copies of it with a tenth of its words changed, more or less: many only just alike, or just not."""
+    rng = random.Random(seed)
+    base = [f"v{rng.randrange(10**6)}" for _ in range(words)]
+    texts = []
+    for _ in range(n):
+        copy = list(base)
+        for k in rng.sample(range(words), rng.choice([0, 1, 2, 3, 4, 5, 6, 7])):
+            copy[k] = f"n{rng.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    return texts
+
+
+@pytest.mark.parametrize("tile", [2048, 8])
+def test_clouds_around_a_text(spark, tile, monkeypatch):
+    import vellum.llm.jaccard as module
+
+    # Small tiles: their parts meet in several blocks.
+    monkeypatch.setattr(module, "TILE", tile)
+    monkeypatch.setattr(module, "WEIGHT", tile * 128)
+    texts = cloud(1, 70) + cloud(2, 40, 60) + cloud(3, 30, 25)
+    random.Random(4).shuffle(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in JaccardJoin(df, Alike(3, 80)).groups().collect()}
+    assert got == brute(list(range(len(texts))), texts, 3, 80)
+
+
+def test_packed_columns_come_back():
+    rng = np.random.default_rng(1)
+    columns = [rng.integers(-5, 5, 300), rng.integers(-(2**62), 2**62, 300), np.full(300, 2**40), np.arange(300)]
+    assert all((a == b).all() for a, b in zip(unpacked(packed(*columns), 4), columns, strict=True))
+    assert [x.tolist() for x in unpacked(packed(np.array([7])), 1)] == [[7]]
+
+
+def test_very_long_texts_and_clashing_names(spark):
+    rng = random.Random(9)
+    long = [f"w{rng.randrange(50_000)}" for _ in range(200_000)]
+    near = [*long[:100_000], "another", *long[100_000:]]
+    rows = [(1, " ".join(long)), (2, " ".join(near)), (3, " ".join(long[:1000])), (4, None), (5, "x " * 70_000), (6, "x")]
+    names = ("gone_id", "__hot", "__salt", "digest", "key", "id", "n", "component_id", "body", "doc")
+    df = spark.createDataFrame(rows, "doc_id long, text string").select("*", *[spark_lit(i).alias(c) for i, c in enumerate(names)])
+    out = without_near_copies(df, Alike(5, 80))
+    assert out.columns == df.columns
+    assert sorted(r.doc_id for r in out.collect()) == [1, 3, 4, 5, 6]
+
+
+def spark_lit(value):
+    from pyspark.sql import functions as F
+
+    return F.lit(value)

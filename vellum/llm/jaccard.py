@@ -1,42 +1,43 @@
 """Texts whose sets of word shingles are alike, exactly, by Jaccard similarity.
 
 Two sets can only be alike if their sizes are, so everything happens within bands of
-sizes. A band bounds by how many shingles two of its sets may differ; the space of
-shingle hashes is cut into one range more than that, so two sets that are alike agree in
-at least one whole range. Agreeing ranges make tiles (band, range, its shingles). There are
-some ranges more than that, and ranges of very few shingles are left out wherever a set
-has enough others: a range that counts mixes shingles of all of a text, so a passage or
-line that many texts share makes no large tile by itself. Large tiles hold texts that are
-alike.
-
-Sets meet first with one hub of each of their tiles, which is linear however large the
-tile, and links found so join into groups. Tiles whose sets then all lie in one group are
-done. In the others the pairs from different groups remain. Candidates are compared by
-hashed bitmaps, whose bit counts bound the overlap from above, and those that pass by
-intersecting their sorted shingle arrays.
+sizes. In a band the space of shingle hashes is cut into ranges, in a fixed order. A range
+that holds enough shingles of a set is strong in it. Two sets differ by a bounded number of
+shingles, and each of them spoils one range, so of two sets that are alike the first strong
+range in which they agree is among the first ``most differences + 1`` strong ranges of both:
+those are a set's keys, and no others are needed. Equal keys make tiles. A strong range mixes
+shingles of all of a text, so a passage or line that many texts share rarely makes a tile.
+
+Keys are sorted and combined within a task before they are shuffled, as packed arrays: a
+task sends one entry a key, its smallest id, and keeps its other members. Tiles meet as
+stars: each member with the smallest one of its task, and those with the smallest of all. So
+links that are found join into groups, however large a tile is. Only tiles whose sets then
+lie in several groups are left, and only there sets of different groups are compared: by
+hashed bitmaps first, whose bit counts bound the overlap from above, and those that pass
+by intersecting their sorted shingle arrays. What leaves a tile at each step is bounded by
+the rows that went in: members that passed with another, and links that join groups.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vellum.llm.components import components
-from vellum.llm.rolling import MULTIPLIER, mix, prefix_sums, substring_hashes
-from vellum.llm.shared import slices, tidy, with_own_ids, written
+from vellum.llm.rolling import MULTIPLIER, OTHER, mix, prefix_sums, substring_hashes
+from vellum.llm.shared import Sieve, hot_keys, hot_of, salted, slices, spread, tidy, with_own_ids, written
 
-#: Sets of a tile that are compared in one task.
-TILE = 2048
-#: Salts of joins with a hub's set.
-SALTS = 8
+#: Sets of a tile that are compared in one task, and their shingles.
+TILE, WEIGHT = 2048, 1 << 20
+#: Keys that are sorted together, those that a task holds, those of a packed array, and a key's bits in its bucket.
+BUCKET, HELD, PACKED, KEY_BITS = 1 << 20, 1 << 21, 4096, 40
 
 
 @dataclass(frozen=True)
@@ -46,54 +47,65 @@ class Alike:
     words: int = 5
     percent: int = 80
 
-    @property
-    def growth(self) -> float:
-        """From one band to the next: alike sets lie in the same band or in neighbouring ones."""
-        return 1.5 if self.percent >= 90 else max(1.3, 100 / self.percent)
-
     def band(self, n: int) -> int:
-        return int(np.floor(np.log(n) / np.log(self.growth) + 1e-9))
+        """Bands are octaves: alike sets lie in the same one or in neighbouring ones."""
+        return n.bit_length() - 1
 
     def top(self, band: int) -> int:
         """The largest size in ``band``."""
-        n = int(np.ceil(self.growth ** (band + 1)))
-        while self.band(n) > band:
-            n -= 1
-        return n
+        return (2 << band) - 1
+
+    def apart(self, n: int, m: int) -> int:
+        """The most shingles that are in one only of two alike sets of these sizes."""
+        return (n + m) * (100 - self.percent) // (100 + self.percent)
 
-    def differences(self, band: int) -> int:
-        """The most shingles that are in one only of two sets that are alike, the smaller one in ``band``."""
-        low = self.top(band)
-        both = low + low * 100 // self.percent
-        return both * (100 - self.percent) // (100 + self.percent)
+    def differences(self, n: int, band: int) -> int:
+        """The most shingles by which a set differs from one that is alike, the smaller of them being in ``band``."""
+        return self.apart(n, n * 100 // self.percent if self.band(n) == band else self.top(band))
 
     def ranges(self, band: int) -> tuple[int, int]:
         """How many ranges, and how many shingles make one of them strong.
 
-        Any number beyond differences() is right. This one lets most sets have more strong
-        ranges than differences, with as many shingles in a strong one as that allows.
+        Any numbers give the same links. These are the strongest ranges of which sets at both
+        ends of the band have more than they need, by two standard deviations.
         """
-        needed = self.differences(band) + 1
-        size = self.growth**band
-        for strong in (4, 3, 2):
-            for count in range(needed, needed * 3 // 2 + 1):
-                mean = size / count
-                weak = sum(mean**k * np.exp(-mean) / _FACTORIALS[k] for k in range(strong))
-                if count * (1 - weak) >= needed + 2 * np.sqrt(count * weak):
-                    return count, strong
-        return needed, 2
+        low, high = 1 << band, self.top(band)
+        best = (1, 1)
+        for strong in (6, 5, 4, 3, 2):
+            spare = -np.inf
+            for mean in np.arange(0.5, 8, 0.1):
+                count = max(1, round(float(np.sqrt(low * high) / mean)))
+                least = np.inf
+                for n in (low, high):
+                    share = _share_strong(n / count, strong)
+                    needed = self.differences(n, band) + 1
+                    least = min(least, (count * share - needed) / np.sqrt(max(count * share * (1 - share), 1)))
+                if least > spare:
+                    spare, best = least, (count, strong)
+            if spare >= 2:
+                break
+        return best
+
+
+def _share_strong(mean: float, strong: int) -> float:
+    """Of ranges with ``mean`` shingles on average, the share with ``strong`` or more."""
+    term, below = float(np.exp(-mean)), 0.0
+    for k in range(strong):
+        below += term
+        term *= mean / (k + 1)
+    return 1 - below
 
 
-_FACTORIALS = (1, 1, 2, 6)
-
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
-def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of texts that lie one after the other, and each text's bounds in them."""
+
+
+def word_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words of texts that lie one after the other, and each text's bounds in them."""
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(bounds), np.int64)
     space = SPACE[data]
     inner = bounds[(bounds > 0) & (bounds < len(data))]
     begin = ~space
@@ -102,60 +114,65 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     stop = ~space
     stop[:-1] &= space[1:]
     stop[inner - 1] = ~space[inner - 1]
-    starts, ends = np.flatnonzero(begin), np.flatnonzero(stop) + 1
-    hashes = substring_hashes(prefix_sums(data), starts, ends)
-    return hashes, np.searchsorted(starts, bounds)
+    starts = np.flatnonzero(begin)
+    return starts, np.flatnonzero(stop) + 1, np.searchsorted(starts, bounds)
+
+
+def _rolled(hashes: np.ndarray, words: int) -> np.ndarray:
+    """Hashes of ``words`` words that follow each other."""
+    out = np.zeros(max(len(hashes) - words + 1, 0), np.uint64)
+    for k in range(words):
+        out = mix(out * np.uint64(MULTIPLIER) + hashes[k : k + len(out)])
+    return out
+
 
+def shingle_sets(texts: pa.Array, words: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Each text's distinct shingles as 128-bit hashes: two arrays, sorted by the first and then the second.
 
-def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
-    """Sorted hashes of each text's distinct shingles; a text of fewer words is one shingle."""
+    A text of fewer words is one shingle; one without words has none.
+    """
     texts = texts.cast(pa.large_string())
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     buffer = texts.buffers()[2]
     data = LOWER[np.frombuffer(buffer, np.uint8)[offsets[0] : offsets[-1]]] if buffer else np.zeros(0, np.uint8)
-    hashes, bounds = word_hashes(data, offsets - offsets[0])
-    rolled = np.zeros(max(len(hashes) - words + 1, 0), np.uint64)
-    for k in range(words):
-        rolled = mix(rolled * np.uint64(MULTIPLIER) + hashes[k : k + len(rolled)])
+    starts, ends, bounds = word_bounds(data, offsets - offsets[0])
+    named = [substring_hashes(prefix_sums(data, v), starts, ends) for v in (None, OTHER)]
+    rolled = [_rolled(h, words) for h in named]
     out = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         if b - a >= words:
-            one = np.sort(rolled[a : b - words + 1])
-            out.append(one[np.concatenate(([True], one[1:] != one[:-1]))])
+            one, two = (r[a : b - words + 1] for r in rolled)
         elif b > a:
-            value = np.zeros(1, np.uint64)
-            for k in range(a, b):
-                value = mix(value * np.uint64(MULTIPLIER) + hashes[k])
-            out.append(mix(value + np.uint64(b - a)))
+            one, two = (mix(_rolled(h[a:b], b - a) + np.uint64(b - a)) for h in named)
         else:
-            out.append(np.zeros(0, np.uint64))
+            out.append((np.zeros(0, np.uint64), np.zeros(0, np.uint64)))
+            continue
+        order = np.argsort(one)
+        one, two = one[order], two[order]
+        same = one[1:] == one[:-1]
+        if same.any() and (two[1:] != two[:-1])[same].any():  # different shingles of one first hash
+            order = np.lexsort((two, one))
+            one, two = one[order], two[order]
+            same = one[1:] == one[:-1]
+        fresh = np.concatenate(([True], ~(same & (two[1:] == two[:-1]))))
+        out.append((one[fresh], two[fresh]))
     return out
 
 
-def _digest(one: np.ndarray) -> bytes:
+def _digest(one: np.ndarray, two: np.ndarray) -> bytes:
     import hashlib
 
-    return hashlib.blake2b(one.tobytes(), digest_size=16).digest()
+    return hashlib.blake2b(one.tobytes() + two.tobytes(), digest_size=16).digest()
 
 
 def bitmap(one: np.ndarray) -> np.ndarray:
-    """Two bits a shingle or more, hashed, as bytes; sizes are powers of two, so bitmaps fold."""
-    bits = 1 << max(6, (2 * len(one)).bit_length())
+    """Four bits a shingle or more, hashed, as bytes; sizes are powers of two, so bitmaps fold."""
+    bits = 1 << max(6, (4 * len(one)).bit_length())
     marks = np.zeros(bits, bool)
     marks[(one & np.uint64(bits - 1)).astype(np.int64)] = True
     return np.packbits(marks)
 
 
-def bounded_overlap(a: np.ndarray, n: int, b: np.ndarray, m: int) -> int:
-    """No fewer than the shingles that both sets have: each bit that only one set has is a shingle apart."""
-    while len(a) != len(b):
-        if len(a) > len(b):
-            a = a.reshape(2, -1)[0] | a.reshape(2, -1)[1]
-        else:
-            b = b.reshape(2, -1)[0] | b.reshape(2, -1)[1]
-    return min(n - int(np.bitwise_count(a & ~b).sum()), m - int(np.bitwise_count(b & ~a).sum()))
-
-
 class Bitmaps:
     """Bitmaps of different sizes, folded to the smaller one's bits where two are compared."""
 
@@ -187,18 +204,16 @@ class Bitmaps:
 
 
 @lru_cache(maxsize=4096)
-def _shape(alike: Alike, band: int) -> tuple[tuple[int, int], int]:
-    return alike.ranges(band), alike.differences(band)
+def _ranges(alike: Alike, band: int) -> tuple[int, int]:
+    return alike.ranges(band)
 
 
 def keys(one: np.ndarray, alike: Alike) -> np.ndarray:
     """Keys of the set's tiles, in its own band and, if smaller sets may be alike, in the one below.
 
-    A set with more strong ranges than differences agrees in one of them with every set
-    alike, and has no other keys. Any other set has keys of its weak ranges too. A range
-    that holds no shingle can't be a key: a set with such a range gets keys of its smallest
-    shingles besides. So two such sets share a key even if they agree in weak or in empty
-    ranges only.
+    They are the first strong ranges, one more than the set's differences. A set with fewer has
+    all of them, and the first ranges besides that hold any shingle, by which it meets its
+    like; if those are too few as well, its smallest shingles, of which alike sets share one.
     """
     n, out = len(one), []
     own = alike.band(n)
@@ -206,64 +221,159 @@ def keys(one: np.ndarray, alike: Alike) -> np.ndarray:
     if own and alike.top(own - 1) * 100 >= n * alike.percent:
         bands.append(own - 1)
     for band in bands:
-        (count, strong), differences = _shape(alike, band)
+        (count, strong), needed = _ranges(alike, band), alike.differences(n, band) + 1
         # The upper 32 bits times the count: the range, from 0 to count - 1, in the hashes' order.
         place = ((one >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
         first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-        held, sizes = place[first], np.diff(np.append(first, n))
         sums = np.add.reduceat(mix(one + np.uint64(0x632BE59BD9B4E019)), first)
         salt = np.uint64((band + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-        found = mix(sums + mix(held + salt))
-        if (full := sizes >= strong).sum() > differences:
-            out.append(found[full])
-            continue
-        out.append(found)
-        if len(held) < count:
-            # Alike sets share at least one of these: the overlap is all but as many of the larger one.
-            least = -(-n * alike.percent // 100)
-            out.append(mix(one[: n - least + 1] ^ salt) + np.uint64(1))
+        held = mix(sums + mix(place[first] + salt))
+        full = held[np.diff(np.append(first, n)) >= strong]
+        out.append(full[:needed])
+        if len(full) < needed:
+            out.append(mix(held[:needed] + np.uint64(1)))
+            if len(held) < needed:
+                least = -(-n * alike.percent // 100)
+                out.append(mix((one[: n - least + 1] ^ salt) + np.uint64(2)))
     return np.concatenate(out)
 
 
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers as bytes: each less its least, the bytes of a place together, as few as are needed."""
+    out = [len(columns[0]).to_bytes(4, "little")]
+    for column in columns:
+        low = int(column.min())
+        rest = (column.astype(np.int64) - low).view(np.uint64)
+        width = (int(rest.max()).bit_length() + 7) // 8
+        planes = np.ascontiguousarray(rest.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+        out += [low.to_bytes(8, "little", signed=True), width.to_bytes(1, "little"), planes.tobytes()]
+    return b"".join(out)
+
+
+def unpacked(data: bytes, columns: int) -> list[np.ndarray]:
+    rows, at, out = int.from_bytes(data[:4], "little"), 4, []
+    for _ in range(columns):
+        low, width = int.from_bytes(data[at : at + 8], "little", signed=True), data[at + 8]
+        at += 9
+        wide = np.zeros((rows, 8), np.uint8)
+        wide[:, :width] = np.frombuffer(data, np.uint8, rows * width, at).reshape(width, rows).T
+        out.append(wide.view("<u8").ravel().astype(np.int64) + low)
+        at += rows * width
+    return out
+
+
+def _groups(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.zeros(0, np.int64)
+
+
+def _combined(code: np.ndarray, ids: np.ndarray, buckets: int, task: int) -> Iterator[tuple[int, int, bytes]]:
+    """Rows (bucket, first key, packed entries): of each key the smallest id, and whether it has more members.
+
+    Those other members go by themselves, under a negative number, past the buckets.
+    """
+    order = np.lexsort((ids, code))
+    code, ids = code[order], ids[order]
+    first = _groups(code)
+    sizes = np.diff(np.append(first, len(code)))
+    hub = np.repeat(ids[first], sizes)
+    other = np.flatnonzero(ids != hub)
+    for a in range(0, len(other), PACKED):
+        some = other[a : a + PACKED]
+        yield -1 - task, int(code[some[0]]), packed(np.diff(code[some], prepend=code[some[0]]), ids[some], hub[some])
+    code, ids, more = code[first], ids[first], (sizes > 1).astype(np.int64)
+    ends = np.searchsorted(code >> KEY_BITS, np.arange(buckets + 1))
+    for bucket in np.flatnonzero(np.diff(ends)).tolist():
+        for a in range(int(ends[bucket]), int(ends[bucket + 1]), PACKED):
+            some = slice(a, min(a + PACKED, int(ends[bucket + 1])))
+            yield bucket, int(code[a]), packed(np.diff(code[some], prepend=code[a]) << 1 | more[some], ids[some])
+
+
 def _sets(df: DataFrame, alike: Alike) -> DataFrame:
     """Per row: size, digest and bitmap of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in slices(batch, 1, 2_000_000):
+            for some in slices(batch, 1, 1_000_000):
                 sets = shingle_sets(some.column(1), alike.words)
                 yield pa.RecordBatch.from_arrays(
                     [
                         some.column(0),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([_digest(s) for s in sets], pa.binary()),
-                        pa.array([bitmap(s).tobytes() for s in sets], pa.binary()),
+                        pa.array([len(one) for one, _ in sets], pa.int64()),
+                        pa.array([_digest(*both) for both in sets], pa.binary()),
+                        pa.array([bitmap(one).tobytes() for one, _ in sets], pa.binary()),
                     ],
                     ["doc_id", "n", "digest", "bitmap"],
                 )
 
-    return df.mapInArrow(tidy(run), f"doc_id {_kind(df)}, n long, digest binary, bitmap binary")
+    return df.mapInArrow(tidy(run), "doc_id long, n long, digest binary, bitmap binary")
 
 
-def _tiles(df: DataFrame, alike: Alike) -> DataFrame:
-    """One row a key of each row's set."""
+def _tiles(df: DataFrame, alike: Alike, shingles: int) -> DataFrame:
+    """key, id, hub of all members of tiles with two or more. ``shingles``: about how many there are in all."""
+    buckets = max(1, -(-shingles // (2 * BUCKET)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for some in slices(batch, 1, 2_000_000):
-                sets = shingle_sets(some.column(1), alike.words)
-                found = [keys(s, alike) if len(s) else np.zeros(0, np.uint64) for s in sets]
-                row = np.repeat(np.arange(len(found)), [len(x) for x in found])
-                flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, held, size = TaskContext.get().partitionId(), [], 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            found, ids = (np.concatenate(x) for x in zip(*held))
+            bucket = (found >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+            code = (bucket << np.uint64(KEY_BITS) | found & np.uint64((1 << KEY_BITS) - 1)).astype(np.int64)
+            rows = list(_combined(code, ids, buckets, task))
+            for a in range(0, len(rows), 256):
+                some = list(zip(*rows[a : a + 256], strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(flat.view(np.int64)), some.column(0).take(pa.array(row))], ["key", "id"]
+                    [pa.array(some[0], pa.int32()), pa.array(some[1], pa.int64()), pa.array(some[2], pa.binary())],
+                    ["bucket", "base", "entries"],
                 )
 
-    return df.mapInArrow(tidy(run), f"key long, id {_kind(df)}")
-
+        for batch in batches:
+            for some in slices(batch, 1, 1_000_000):
+                for (one, _), doc in zip(shingle_sets(some.column(1), alike.words), some.column(0).to_pylist(), strict=True):
+                    if len(one):
+                        held.append((found := keys(one, alike), np.full(len(found), doc, np.int64)))
+                        size += len(found)
+                if size >= HELD:
+                    yield from out()
+                    held, size = [], 0
+        if held:
+            yield from out()
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(code: np.ndarray, ids: np.ndarray, hub: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for a in range(0, len(code), 100_000):
+                some = [pa.array(x[a : a + 100_000]) for x in (code, ids, hub)]
+                yield pa.RecordBatch.from_arrays(some, ["key", "id", "hub"])
+
+        def together() -> Iterator[pa.RecordBatch]:
+            flagged, ids = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((ids, flagged >> 1))
+            code, more, ids = flagged[order] >> 1, flagged[order] & 1, ids[order]
+            first = _groups(code)
+            sizes = np.diff(np.append(first, len(code)))
+            kept = np.repeat((sizes > 1) | np.logical_or.reduceat(more > 0, first), sizes)
+            yield from rows(code[kept], ids[kept], np.repeat(ids[first], sizes)[kept])
+
+        held, last = [], None
+        for batch in batches:
+            for bucket, base, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if bucket < 0:
+                    steps, ids, hub = unpacked(data, 3)
+                    yield from rows(base + np.cumsum(steps), ids, hub)
+                    continue
+                if held and bucket != last:
+                    yield from together()
+                    held = []
+                steps, ids = unpacked(data, 2)
+                held.append(((base + np.cumsum(steps >> 1)) << 1 | steps & 1, ids))
+                last = bucket
+        if held:
+            yield from together()
 
-def _kind(df: DataFrame) -> str:
-    return df.schema["doc_id"].dataType.simpleString()
+    dealt = df.mapInArrow(tidy(keyed), "bucket int, base long, entries binary")
+    dealt = dealt.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(tidy(met), "key long, id long, hub long")
 
 
 def _arrays(df: DataFrame, alike: Alike) -> DataFrame:
@@ -271,47 +381,186 @@ def _arrays(df: DataFrame, alike: Alike) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in slices(batch, 1, 2_000_000):
+            for some in slices(batch, 1, 1_000_000):
                 sets = shingle_sets(some.column(1), alike.words)
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "shingles"]
+                    [some.column(0), pa.array([one.tobytes() + two.tobytes() for one, two in sets], pa.binary())],
+                    ["id", "shingles"],
                 )
 
-    return df.mapInArrow(tidy(run), f"id {_kind(df)}, shingles binary")
+    return df.mapInArrow(tidy(run), "id long, shingles binary")
+
+
+def overlap(x: bytes, y: bytes) -> tuple[int, int, int]:
+    """Shingles that both sets have, and the sizes of both."""
+    p, q = (np.frombuffer(z, np.uint64).reshape(2, -1) for z in (x, y))
+    n, m = p.shape[1], q.shape[1]
+    if not n or not m:
+        return 0, n, m
+    at = np.minimum(np.searchsorted(p[0], q[0]), n - 1)
+    hit = p[0][at] == q[0]
+    both = int(np.count_nonzero(hit & (p[1][at] == q[1])))
+    if (p[0][1:] == p[0][:-1]).any() or (q[0][1:] == q[0][:-1]).any():  # a first hash that two shingles share
+        both = len({*zip(*p.tolist(), strict=True)} & {*zip(*q.tolist(), strict=True)})
+    return both, n, m
 
 
-def _agree(pairs: DataFrame, percent: int, kind: str) -> DataFrame:
+def _agree(pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, sa, sb) whose sets are alike, by intersecting sorted arrays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                p, q = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                at = np.searchsorted(p, q)
-                both = int(np.count_nonzero(p[np.minimum(at, len(p) - 1)] == q))
-                keep.append(100 * both >= percent * (len(p) + len(q) - both))
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                both, n, m = overlap(x, y)
+                keep.append(100 * both >= percent * (n + m - both))
             yield pa.RecordBatch.from_arrays(
                 [c.filter(pa.array(keep, pa.bool_())) for c in (batch.column(0), batch.column(1))], ["a", "b"]
             )
 
-    return pairs.mapInArrow(tidy(run), f"a {kind}, b {kind}")
+    return pairs.mapInArrow(tidy(run), "a long, b long")
+
+
+#: How a tile that isn't settled is dealt to tasks; each block of it lies in one.
+_BLOCK = ("key", "low", "high")
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Rows (key, id, component_id, n) of unsettled tiles of three sets or more, with the blocks in which groups meet.
+
+    Sets of the tile's largest group needn't meet each other. They are cut into parts, as are
+    the others; each part of the others meets all parts, its own included. So a large group is
+    copied as often as the others have parts, once mostly.
+    """
+    weight = F.sum(F.greatest("n", F.lit(WEIGHT // TILE)))
+    groups = rows.groupBy("key", "component_id").agg(weight.alias("weight"), F.count("*").alias("rows"))
+    tiles = groups.groupBy("key").agg(
+        F.max(F.struct("weight", "component_id")).alias("main"), F.sum("weight").alias("weight"), F.sum("rows").alias("rows")
+    )
+    parts = lambda x: F.ceil(x / WEIGHT).cast("int")
+    tiles = tiles.filter("main.weight < weight AND rows > 2").select(
+        "key", F.col("main.component_id").alias("main"), parts(F.col("main.weight")).alias("mains"),
+        parts(F.col("weight") - F.col("main.weight")).alias("others"), "rows",
+    )
+    tiles = written(tiles, "unsettled")
+    hot = hot_of(tiles, "key", rows.count())
+    dealt = salted(rows, hot, "key", "id").join(spread(tiles.drop("rows"), hot, "key"), ["key", "__salt"])
+    in_main, others = F.col("component_id") == F.col("main"), F.col("others")
+    # Parts of the others come first, those of the largest group after them.
+    own = F.pmod(F.xxhash64("id"), F.when(in_main, F.col("mains")).otherwise(others)).cast("int")
+    own = own + F.when(in_main, others).otherwise(0)
+    last = others - 1 + F.when(in_main, 0).otherwise(F.col("mains"))
+    dealt = dealt.withColumn("part", own).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    return dealt.select(
+        "key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "id", "component_id", "n"
+    )
+
+
+def _by_block(dealt: DataFrame, compare: Callable[[pa.Table], pa.RecordBatch], schema: str) -> DataFrame:
+    """``compare`` over whole blocks, some at a time, by rising size."""
+    dealt = dealt.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK, "n")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, weight = [], 0
+        for batch in batches:
+            held.append(batch)
+            weight += int(np.maximum(batch.column("n").to_numpy(), WEIGHT // TILE).sum())
+            if weight < 2 * WEIGHT:
+                continue
+            table = pa.Table.from_batches(held)
+            last = np.all([(t := table.column(c).to_numpy()) == t[-1] for c in _BLOCK], axis=0)
+            whole = int(np.argmax(last))
+            if whole:
+                yield compare(table.slice(0, whole))
+                held = table.slice(whole).combine_chunks().to_batches()
+                weight = int(np.maximum(table.column("n").to_numpy()[whole:], WEIGHT // TILE).sum())
+        if weight:
+            yield compare(pa.Table.from_batches(held))
+
+    return dealt.mapInArrow(tidy(run), schema)
+
+
+def _pairs(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs of a block that are of different groups and whose sizes let them be alike.
+
+    In a block of two parts, sets of the same part met elsewhere.
+    """
+    block = [table.column(c).to_numpy() for c in _BLOCK]
+    group = np.cumsum(np.concatenate(([0], np.any([t[1:] != t[:-1] for t in block], axis=0))))
+    across, part, size = block[1] != block[2], table.column("part").to_numpy(), table.column("n").to_numpy()
+    component, at = table.column("component_id").to_numpy(), np.arange(len(group))
+    for step in range(1, len(group)):
+        at = at[at + step < len(group)]
+        at = at[group[at] == group[at + step]]
+        # Sizes rise within a block: beyond the first that is too large, all are.
+        at = at[100 * size[at] >= percent * size[at + step]]
+        if not len(at):
+            break
+        keep = (component[at] != component[at + step]) & (~across[at] | (part[at] != part[at + step]))
+        yield at[keep], at[keep] + step
+
+
+#: What a step hands to the next one of each set that passed.
+_PASSED = "key long, low int, high int, part int, id long, component_id long, n long"
+
+
+def _near(table: pa.Table, maps: Bitmaps, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Those of _pairs() whose bitmaps let them be alike."""
+    size = table.column("n").to_numpy()
+    for x, y in _pairs(table, percent):
+        both = maps.overlaps(x, y, size)
+        alike = 100 * both >= percent * (size[x] + size[y] - both)
+        if alike.any():
+            yield x[alike], y[alike]
+
+
+def _passing(table: pa.Table, percent: int) -> pa.RecordBatch:
+    """The rows that bitmaps let be alike with another one of their block; no more rows than come in."""
+    passed = np.zeros(len(table), bool)
+    for x, y in _near(table, Bitmaps(table.column("bitmap").to_pylist()), percent):
+        passed[x] = passed[y] = True
+    names = [c.split()[0] for c in _PASSED.split(", ")]
+    kept = table.select(names).filter(pa.array(passed))
+    return pa.RecordBatch.from_arrays([c.combine_chunks() for c in kept.columns], names)
+
+
+def _joining(table: pa.Table, percent: int) -> pa.RecordBatch:
+    """Pairs (a, b) of alike sets that join groups: none between groups that others of the block have joined."""
+    ids, component = table.column("id").to_numpy(), table.column("component_id").to_numpy()
+    sets, root, a, b = table.column("shingles").to_pylist(), {}, [], []
+    maps = Bitmaps([bitmap(np.frombuffer(x, np.uint64)[: len(x) // 16]).tobytes() for x in sets])
+
+    def find(x: int) -> int:
+        while (above := root.get(x, x)) != x:
+            root[x] = x = root.get(above, above)
+        return x
+
+    for x, y in _near(table, maps, percent):
+        for i, j in zip(x.tolist(), y.tolist(), strict=True):
+            p, q = find(int(component[i])), find(int(component[j]))
+            if p != q:
+                both, n, m = overlap(sets[i], sets[j])
+                if 100 * both >= percent * (n + m - both):
+                    root[max(p, q)] = min(p, q)
+                    a.append(min(ids[i], ids[j]))
+                    b.append(max(ids[i], ids[j]))
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 class JaccardJoin:
     """All links between rows of ``df``, and the groups that they make.
 
     Null and empty texts have an empty set, linked with nothing. Equal sets are one class,
-    however many rows have it. Rows that repeat an id, and rows with a null id, are rows of
-    their own; a null id is larger than any other. Further columns of ``df`` aren't read;
-    an empty table gives no rows.
+    however many rows have it; very long texts are taken whole, one at a time. Rows that repeat
+    an id, and rows with a null id, are rows of their own; a null id is larger than any other.
+    Further columns of ``df`` aren't read, whatever their names; an empty table gives no rows.
+    Shingles are told apart by 128 bits of hashes.
     """
 
     def __init__(self, df: DataFrame, alike: Alike = Alike(), *, id_column: str = "doc_id", text_column: str = "text"):
         self.alike = alike
         docs, self.names = with_own_ids(df, id_column, text_column)
         self.docs = docs.withColumnRenamed("doc", "doc_id")
-        self.kind = _kind(self.docs)
 
     def groups(self) -> DataFrame:
         """doc_id, n_shingles, class_id, component_id of every row.
@@ -321,157 +570,93 @@ class JaccardJoin:
         """
         sets = written(_sets(self.docs, self.alike), "sets")
         full = sets.filter("n > 0")
-        classes = written(full.groupBy("digest").agg(F.min("doc_id").alias("class_id")), "classes")
-        heads = classes.select(F.col("class_id").alias("doc_id"))
-        copies = written(full.select("doc_id").join(heads, "doc_id", "left_anti"), "copies")
-        wide = full.join(copies, "doc_id", "left_anti").select(F.col("doc_id").alias("id"), "n", "bitmap")
-        labels = self._labels(self.docs.join(copies, "doc_id", "left_anti"), written(wide, "bitmaps"))
-        named = written(classes.join(labels, F.col("class_id") == F.col("id"), "left").select(
-            "digest", "class_id", F.coalesce("component_id", "class_id").alias("component_id")
-        ), "named")
-        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        salted = sets.select("doc_id", "n", "digest").withColumn(
-            "salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+        classes = written(full.groupBy("digest").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("rows")), "classes")
+        several = classes.filter("rows > 1").select("digest", "class_id")
+        heads = full.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "n", "bitmap")
+        copies = full.select("doc_id").join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_anti")
+        labels = self._labels(Sieve(written(copies, "copies")).others(self.docs, "doc_id"), written(heads, "heads"))
+        named = several.join(labels, F.col("class_id") == F.col("id"), "left").select(
+            "digest", "class_id", F.coalesce("component_id", "class_id").alias("class_component")
         )
-        found = salted.join(named.withColumn("salt", salts), ["digest", "salt"], "left")
-        alone = F.col("n") == 0
-        grouped = found.select(
-            "doc_id",
-            F.col("n").alias("n_shingles"),
-            F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-            F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        hot = hot_keys(full, "digest")
+        found = salted(full.select("doc_id", "n", "digest"), hot, "digest", "doc_id").join(
+            spread(written(named, "named"), hot, "digest"), ["digest", "__salt"], "left"
+        )
+        found = found.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
+            "doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"),
+            F.coalesce("class_component", "component_id", "doc_id").alias("component_id"),
+        )
+        alone = sets.filter("n = 0").select(
+            "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id")
         )
+        grouped = found.unionByName(alone)
         for column in ("doc_id", "class_id", "component_id") if self.names is not None else ():
             named = self.names.select(F.col("doc").alias(column), F.col("name").alias("own"))
             grouped = grouped.join(named, column).drop(column).withColumnRenamed("own", column)
         return grouped.select("doc_id", "n_shingles", "class_id", "component_id")
 
-    def _labels(self, docs: DataFrame, wide: DataFrame) -> DataFrame:
+    def _labels(self, docs: DataFrame, heads: DataFrame) -> DataFrame:
         """id, component_id of the classes' first rows ``docs`` that have links."""
-        tile = W.partitionBy("key")
-        tiles = _tiles(docs, self.alike)
-        tiles = tiles.withColumn("hub", F.min("id").over(tile)).withColumn("last", F.max("id").over(tile))
-        shared = written(tiles.filter("hub < last").drop("last"), "tiles")
-        stars = shared.filter("id <> hub").groupBy("id", "hub").agg(F.first("key").alias("key"))
-        first = self._verified(stars.select(F.col("hub").alias("a"), F.col("id").alias("b")), wide)
-        known = components(first)
-        labelled = shared.select("key", "id").join(known, "id", "left")
-        labelled = labelled.withColumn("component_id", F.coalesce("component_id", "id"))
-        open_keys = labelled.groupBy("key").agg(
-            F.min("component_id").alias("low"), F.max("component_id").alias("high"), F.count("*").alias("members")
-        )
-        open_keys = open_keys.filter("low < high").select("key", F.ceil(F.col("members") / TILE).cast("int").alias("parts"))
-        # Pairs of two sets were compared as hub and member already.
-        rest = written(labelled.join(open_keys.filter("parts > 0"), "key").select("key", "id", "component_id", "parts"), "open")
-        second = self._verified(self._crossing(rest, wide), wide, bounded=True)
-        return components(first.unionByName(second))
-
-    def _crossing(self, rest: DataFrame, wide: DataFrame) -> DataFrame:
-        """Pairs of an open tile whose bitmaps let them be alike and that lie in different groups.
-
-        A tile beyond TILE sets is cut into parts, and parts meet two by two, each pair of
-        them a task's work at most.
-        """
-        part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-        cut = rest.withColumn("part", part).join(wide, "id")
-        other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-        dealt = cut.withColumn("other", other).select(
-            "key", "id", "component_id", "n", "bitmap", "part",
-            F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
-        )
         percent = self.alike.percent
-        names = ("key", "low", "high")
-        dealt = dealt.repartition(*names).sortWithinPartitions(*names, "n")
-
-        def compare(table: pa.Table) -> pa.RecordBatch:
-            tile = [table.column(c).to_numpy() for c in names]
-            group = np.cumsum(np.concatenate(([0], np.any([t[1:] != t[:-1] for t in tile], axis=0))))
-            across = tile[1] != tile[2]
-            size, part = table.column("n").to_numpy(), table.column("part").to_numpy()
-            component = table.column("component_id").combine_chunks().dictionary_encode().indices.to_numpy()
-            maps = Bitmaps(table.column("bitmap").to_pylist())
-            a, b, at = [], [], np.arange(len(group))
-            for step in range(1, len(group)):
-                at = at[at + step < len(group)]
-                at = at[group[at] == group[at + step]]
-                # Sizes rise within a tile: beyond the first that is too large, all are.
-                at = at[100 * size[at] >= percent * size[at + step]]
-                if not len(at):
-                    break
-                keep = (component[at] != component[at + step]) & (~across[at] | (part[at] != part[at + step]))
-                x, y = at[keep], at[keep] + step
-                both = maps.overlaps(x, y, size)
-                alike = 100 * both >= percent * (size[x] + size[y] - both)
-                a.append(x[alike])
-                b.append(y[alike])
-            ids = table.column("id").combine_chunks()
-            pairs = [ids.take(pa.array(np.concatenate(z) if z else np.zeros(0, np.int64))) for z in (a, b)]
-            return pa.RecordBatch.from_arrays([pc.min_element_wise(*pairs), pc.max_element_wise(*pairs)], ["a", "b"])
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held, rows = [], 0
-            for batch in batches:
-                held.append(batch)
-                rows += batch.num_rows
-                if rows < 20_000:
-                    continue
-                table = pa.Table.from_batches(held)
-                last = np.all([(t := table.column(c).to_numpy()) == t[-1] for c in names], axis=0)
-                whole = int(np.argmax(last))
-                if whole:
-                    yield compare(table.slice(0, whole))
-                    held, rows = table.slice(whole).to_batches(), rows - whole
-            if rows:
-                yield compare(pa.Table.from_batches(held))
-
-        columns = [*names, "id", "component_id", "n", "part", "bitmap"]
-        return dealt.select(*columns).mapInArrow(tidy(run), f"a {self.kind}, b {self.kind}").distinct()
-
-    def _verified(self, pairs: DataFrame, wide: DataFrame, bounded: bool = False) -> DataFrame:
-        """The pairs (a, b) that are alike. ``bounded``: their bitmaps were compared already."""
-        if not bounded:
-            pairs = self._bounded(pairs, wide)
-        pairs = written(pairs, "pairs")
-        ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-        arrays = written(_arrays(self.docs.join(ids, "doc_id", "left_semi"), self.alike), "arrays")
-        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        hubs = arrays.join(pairs.select(F.col("a").alias("id")).distinct(), "id", "left_semi").withColumn("salt", salts)
-        salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
-        both = salted.join(arrays.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
-        both = both.join(hubs.select(F.col("id").alias("a"), "salt", F.col("shingles").alias("sa")), ["a", "salt"])
-        return written(_agree(both.select("a", "b", "sa", "sb"), self.alike.percent, self.kind), "links")
+        shingles = heads.agg(F.sum("n")).first()[0] or 0
+        shared = written(_tiles(docs, self.alike, shingles), "tiles")
+        wide = heads.withColumnRenamed("doc_id", "id").join(shared.select("id").distinct(), "id", "left_semi")
+        wide = written(wide, "bitmaps")
+        stars = shared.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+        first = self._verified(written(stars, "stars"), wide)
+        known = components(first)
+        members = shared.select("key", "id").join(wide.select("id", "n"), "id").join(known, "id", "left")
+        members = written(members.withColumn("component_id", F.coalesce("component_id", "id")), "members")
+        open_rows = written(_blocks(members), "open")
+        passing = _by_block(open_rows.join(wide.select("id", "bitmap"), "id"), lambda t: _passing(t, percent), _PASSED)
+        passing = written(passing, "passing")
+        arrays = self._arrays_of(passing.select("id"))
+        second = _by_block(passing.join(arrays, "id"), lambda t: _joining(t, percent), "a long, b long").distinct()
+        return written(components(first.unionByName(written(second, "links"))), "labels")
+
+    def _arrays_of(self, ids: DataFrame) -> DataFrame:
+        ids = written(ids.distinct().select(F.col("id").alias("doc_id")), "ids")
+        return written(_arrays(Sieve(ids).held(self.docs, "doc_id"), self.alike), "arrays")
+
+    def _verified(self, pairs: DataFrame, wide: DataFrame) -> DataFrame:
+        """The pairs (a, b), of a hub and a member, that are alike: by bitmaps, then by whole sets."""
+        pairs = written(self._bounded(pairs, wide), "pairs")
+        arrays = self._arrays_of(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))))
+        hot = hot_keys(pairs, "a")
+        hubs = arrays.join(pairs.select(F.col("a").alias("id")).distinct(), "id", "left_semi")
+        hubs = spread(hubs.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), hot, "a")
+        both = salted(pairs, hot, "a", "b").join(arrays.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
+        both = both.join(hubs, ["a", "__salt"])
+        return written(_agree(both.select("a", "b", "sa", "sb"), self.alike.percent), "links")
 
     def _bounded(self, pairs: DataFrame, wide: DataFrame) -> DataFrame:
         """Pairs whose sizes and bitmaps let them be alike."""
-        percent = self.alike.percent
-        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        hubs = wide.join(pairs.select(F.col("a").alias("id")).distinct(), "id", "left_semi").withColumn("salt", salts)
-        salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
-        both = salted.join(wide.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("bitmap").alias("mb")), "b")
-        both = both.join(
-            hubs.select(F.col("id").alias("a"), "salt", F.col("n").alias("na"), F.col("bitmap").alias("ma")), ["a", "salt"]
-        )
+        percent, hot = self.alike.percent, hot_keys(pairs, "a")
+        hubs = wide.join(pairs.select(F.col("a").alias("id")).distinct(), "id", "left_semi")
+        hubs = spread(hubs.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("bitmap").alias("ma")), hot, "a")
+        other = wide.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("bitmap").alias("mb"))
+        both = salted(pairs, hot, "a", "b").join(other, "b").join(hubs, ["a", "__salt"])
         sized = both.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                keep = []
-                for n, m, x, y in zip(*[batch.column(k).to_pylist() for k in (2, 3, 4, 5)], strict=True):
-                    both = bounded_overlap(np.frombuffer(x, np.uint8), n, np.frombuffer(y, np.uint8), m)
-                    keep.append(100 * both >= percent * (n + m - both))
-                yield pa.RecordBatch.from_arrays(
-                    [c.filter(pa.array(keep, pa.bool_())) for c in (batch.column(0), batch.column(1))], ["a", "b"]
-                )
+                size = np.concatenate([batch.column(k).to_numpy() for k in (2, 3)])
+                x = np.arange(batch.num_rows)
+                y = x + batch.num_rows
+                maps = Bitmaps(batch.column(4).to_pylist() + batch.column(5).to_pylist())
+                overlaps = maps.overlaps(x, y, size)
+                keep = pa.array(100 * overlaps >= percent * (size[x] + size[y] - overlaps))
+                yield pa.RecordBatch.from_arrays([c.filter(keep) for c in batch.columns[:2]], ["a", "b"])
 
-        return sized.select("a", "b", "na", "nb", "ma", "mb").mapInArrow(tidy(run), f"a {self.kind}, b {self.kind}")
+        return sized.select("a", "b", "na", "nb", "ma", "mb").mapInArrow(tidy(run), "a long, b long")
 
 
 def without_near_copies(df: DataFrame, alike: Alike = Alike(), *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``df``, one of each group: that with the smallest id. Empty texts stay.
 
-    Rows that share an id stay or go together; they stay if one of them does.
+    Rows that share an id stay or go together; they stay if one of them does. All columns come
+    along, whatever their names.
     """
     groups = JaccardJoin(df, alike, id_column=id_column, text_column=text_column).groups()
     judged = groups.groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays"))
-    gone = written(judged.filter("NOT stays").select(F.col("doc_id").alias("gone_id")), "gone")
-    return df.join(gone, F.col(f"`{id_column}`").eqNullSafe(F.col("gone_id")), "left_anti")
+    return Sieve(written(judged.filter("NOT stays").select("doc_id"), "gone")).others(df, id_column)

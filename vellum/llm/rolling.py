@@ -29,11 +29,20 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def prefix_sums(data: np.ndarray) -> np.ndarray:
-    """Running sums s with (s[b] - s[a]) * powers()[1][a] depending on data[a:b] only."""
+#: A number for each byte, by which a second, independent hash of the same bytes comes.
+OTHER = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
+
+
+def prefix_sums(data: np.ndarray, values: np.ndarray | None = None) -> np.ndarray:
+    """Running sums s with (s[b] - s[a]) * powers()[1][a] depending on data[a:b] only.
+
+    ``values`` holds a number for each element that ``data`` can have; without it that is the
+    element and one.
+    """
     up = powers(len(data) + 1)[0]
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    numbers = data.astype(np.uint64) + np.uint64(1) if values is None else values[data]
+    np.cumsum(numbers * up[: len(data)], out=sums[1:])
     return sums
 
 
