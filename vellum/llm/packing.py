@@ -15,7 +15,6 @@ its own blocks with the same result.
 from __future__ import annotations
 
 import re
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -201,10 +200,11 @@ def pack_block(lengths: np.ndarray, losses: Losses, limits: Limits) -> list[Sequ
 class PieceTokenizer:
     """Whole-text token ids of a tokenizer that never joins across white space or ASCII kinds.
 
-    Texts are cut where the tokenizer surely cuts: at ASCII white space, and between ASCII
-    letters, digits and marks. Each distinct piece is encoded once and kept; the kept pieces
-    are bounded, so memory is too. Other characters stay with their neighbours, and such
-    pieces go through the whole tokenizer.
+    The ids are those of the tokenizer as its file has it, without special tokens added; names of
+    special tokens that a text holds are their ids, as there. Texts are cut where the tokenizer
+    surely cuts: at ASCII white space, and between ASCII letters, digits and marks. Each distinct
+    piece is encoded once and kept; the kept pieces are bounded, so memory is too. Other
+    characters stay with their neighbours, and such pieces go through the whole tokenizer.
     """
 
     #: Kinds of bytes: white space, letters, digits, marks, and parts of other characters.
@@ -216,30 +216,80 @@ class PieceTokenizer:
     LOWER = np.arange(256, dtype=np.uint8)
     LOWER[65:91] += 32
     PLAIN = re.compile(rb"[a-z]+|[!-/:-@\[-`{-~]+")
+    #: Stands between pieces that are encoded together.
+    BETWEEN = b"\x01"
 
     def __init__(self, path: str, kept: int = 300_000):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.full, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.full.encode_special_tokens = self.plain.encode_special_tokens = True
+        special = [t.content for t in self.full.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)) or "(?!)")
         # Plain pieces are normal already, and one word each.
+        self.plain.encode_special_tokens = True
         self.plain.normalizer = normalizers.Sequence([])
-        self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.kept, self.pieces = kept, {}
+        words = pre_tokenizers.Split(" ", "removed")
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [words, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.kept, self.pieces, self.older = kept, {}, {}
+        # Every word's last token ends the word, so ids of many words can be parted again.
+        ending = sorted(i for token, i in self.full.get_vocab().items() if token.endswith("</w>"))
+        self.ends = np.zeros(self.full.get_vocab_size(), bool)
+        self.ends[ending] = True
+        self.between = self._ids(self.full, [self.BETWEEN])[0]
+
+    @staticmethod
+    def _ids(tokenizer, texts: list[bytes]) -> list[np.ndarray]:
+        found = tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in found]
 
     def _learn(self, pieces: list[bytes]) -> None:
+        """Pieces are encoded together, parted by what they can't hold; where that fails, one by one."""
         plain, odd = [], []
         for p in pieces:
             (plain if self.PLAIN.fullmatch(p) else odd).append(p)
-        for some, tokenizer in ((plain, self.plain), (odd, self.full)):
-            texts = [p.decode() for p in some]
-            for p, e in zip(some, tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                self.pieces[p] = array("I", e.ids).tobytes()
+        for a in range(0, len(plain), 4096):
+            some = plain[a : a + 4096]
+            ids = self._ids(self.plain, [b" ".join(some)])[0]
+            self._keep(some, ids, np.flatnonzero(self.ends[ids]) + 1, 0, self.plain)
+        mark = len(self.between)
+        for a in range(0, len(odd), 4096):
+            some = odd[a : a + 4096]
+            ids = self._ids(self.full, [b"".join(p + b" " + self.BETWEEN + b" " for p in some)])[0]
+            if mark == 1 and not any(self.BETWEEN in p for p in some):
+                self._keep(some, ids, np.flatnonzero(ids == self.between[0]) + 1, 1, self.full)
+            else:
+                self._keep(some, ids, np.zeros(0, np.int64), 1, self.full)
+
+    def _keep(self, pieces: list[bytes], ids: np.ndarray, ends: np.ndarray, mark: int, tokenizer) -> None:
+        """``ends``: where each piece's ids end, the ``mark`` last ones of them not being its own."""
+        if len(ends) == len(pieces):
+            raw, starts = ids.tobytes(), [0, *(4 * ends[:-1]).tolist()]
+            self.pieces.update(
+                (p, raw[a:b]) for p, a, b in zip(pieces, starts, (4 * (ends - mark)).tolist(), strict=True)
+            )
+        else:
+            self.pieces.update((p, x.tobytes()) for p, x in zip(pieces, self._ids(tokenizer, pieces), strict=True))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one text after the other, and where each text starts (one more than texts)."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        ends = np.cumsum(pc.binary_length(texts).to_numpy())
+        named = pc.match_substring_regex(texts, self.special.pattern).to_numpy(zero_copy_only=False)
+        if named.any():
+            return self._apart(texts.to_pylist(), named)
+        return self._pieces_of(texts)
+
+    def _apart(self, texts: list[str], named: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Texts that name special tokens, each through the whole tokenizer, and the others."""
+        plain = [t for t, n in zip(texts, named, strict=True) if not n]
+        ids, bounds = self._pieces_of(pa.array(plain, pa.large_string()))
+        rest = iter(ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True))
+        own = [self._ids(self.full, [t.encode()])[0] if n else next(rest) for t, n in zip(texts, named, strict=True)]
+        return np.concatenate(own), np.concatenate(([0], np.cumsum([len(x) for x in own])))
+
+    def _pieces_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
         total = int(ends[-1]) if len(ends) else 0
         if not total:
             return np.zeros(0, np.uint32), np.zeros(len(ends) + 1, np.int64)
@@ -256,13 +306,7 @@ class PieceTokenizer:
         pieces = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)]
         ).dictionary_encode()
-        found = list(map(self.pieces.get, names := pieces.dictionary.to_pylist()))
-        if None in found:
-            if len(self.pieces) + len(names) > self.kept:
-                self.pieces = {}
-                found = [None] * len(names)
-            self._learn([p for p, ids in zip(names, found, strict=True) if ids is None])
-            found = list(map(self.pieces.__getitem__, names))
+        found = self._found(pieces.dictionary.to_pylist())
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         pool = np.frombuffer(b"".join(found), np.uint32)
         begin = np.cumsum(sizes) - sizes
@@ -273,6 +317,19 @@ class PieceTokenizer:
         before = np.concatenate(([0], upto))
         return ids, before[np.searchsorted(offsets, np.concatenate(([0], ends)))]
 
+    def _found(self, names: list[bytes]) -> list[bytes]:
+        """The pieces' ids. Pieces kept longest without being asked for are forgotten, half of all at a time."""
+        if len(self.pieces) > self.kept:
+            self.pieces, self.older = {}, self.pieces
+        found = list(map(self.pieces.get, names))
+        if None in found:
+            missing = [p for p, ids in zip(names, found, strict=True) if ids is None]
+            known = {p: ids for p in missing if (ids := self.older.get(p)) is not None}
+            self.pieces.update(known)
+            self._learn([p for p in missing if p not in known])
+            found = list(map(self.pieces.__getitem__, names))
+        return found
+
 
 def pack_tokens(
     df: DataFrame,
@@ -280,6 +337,7 @@ def pack_tokens(
     *,
     id_column: str = "doc_id",
     text_column: str = "text",
+    loss_column: str | None = None,
     limits: Limits = Limits(),
     end_id: int = 1,
     block_tokens: int = 1_000_000,
@@ -290,72 +348,126 @@ def pack_tokens(
     which training readers map them. ``padded_length`` is the sequence's length after
     padding: ``limits.tokens``, or its own where that is a power of two.
 
-    Null and empty texts are the end id alone. Very long texts are cut. Repeated rows
-    and rows with a null or repeated id are packed like any other. An empty table gives
-    no rows. Further columns of ``df`` aren't read. ``sequence_id`` holds the number of
-    the input partition in its upper bits: it is unique, and the same again when a task
-    is repeated.
+    All tokens of plain texts bear loss. With ``loss_column`` the text column holds an array of
+    texts, such as the turns of a conversation, and the loss column an array that says of each
+    whether its tokens bear loss; texts without a word there don't. An example's end id does as
+    its last text does. ``loss_tokens`` counts a piece's tokens that bear loss.
+
+    Null and empty texts are the end id alone, as are null arrays and those without texts.
+    Very long texts are cut. Repeated rows and rows with a null or repeated id are packed like
+    any other. An empty table gives no rows. Further columns of ``df`` aren't read, whatever
+    their names. ``sequence_id`` holds the number of the input partition in its upper bits: it
+    is unique, and the same again when a task is repeated.
     """
     from pyspark.sql import functions as F
 
     bounded_batches(df.sparkSession)
-    columns = df.select(F.col(id_column).alias("doc_id"), text_or_empty(F.col(text_column)).alias("text"))
-    id_type = columns.schema["doc_id"].dataType.simpleString()
+    text = F.col(f"`{text_column}`")
+    columns = [F.col(f"`{id_column}`").alias("doc_id"), text_or_empty(text).alias("text")]
+    if loss_column is not None:
+        bears = F.coalesce(F.col(f"`{loss_column}`").cast("array<boolean>"), F.array().cast("array<boolean>"))
+        columns[1:] = [F.coalesce(text.cast("array<string>"), F.array().cast("array<string>")).alias("text"), bears.alias("bears")]
+    chosen = df.select(*columns)
+    id_type = chosen.schema["doc_id"].dataType.simpleString()
     arrow_id = {"bigint": pa.int64(), "int": pa.int32()}.get(id_type, pa.string())
     if arrow_id == pa.string():
-        columns = columns.withColumn("doc_id", F.col("doc_id").cast("string"))
+        chosen = chosen.withColumn("doc_id", F.col("doc_id").cast("string"))
         id_type = "string"
-    return columns.mapInArrow(
+    return chosen.mapInArrow(
         tidy(_packer(tokenizer_path, limits, end_id, block_tokens, arrow_id)), f"doc_id {id_type}, {PACKED}"
     )
 
 
+@dataclass
+class Examples:
+    """Encoded examples of a block: ids one after the other, each example's end id included."""
+
+    doc_ids: list[pa.Array]
+    ids: list[np.ndarray]
+    lengths: list[np.ndarray]
+    spans: list[np.ndarray | None]
+    tokens: int = 0
+
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, bounds: np.ndarray, end_id: int, spans: list | None) -> None:
+        n = len(bounds) - 1
+        sizes = np.diff(bounds)
+        ended = np.empty(len(ids) + n, np.uint32)
+        ended[np.arange(len(ids)) + np.repeat(np.arange(n), sizes)] = ids
+        ended[bounds[1:] + np.arange(n)] = end_id
+        self.doc_ids.append(doc_ids)
+        self.ids.append(ended)
+        self.lengths.append(sizes + 1)
+        self.spans += spans if spans is not None else [None] * n
+        self.tokens += len(ended)
+
+
+def _loss_spans(texts: pa.Array, bears: pa.Array, bounds: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Bounds of the examples, and of each the token ranges that bear loss."""
+    offsets = texts.offsets.to_numpy() - texts.offsets[0].as_py()
+    whole, spans = bounds[offsets], []
+    for row, marks in enumerate(bears.to_pylist()):
+        first, n = int(offsets[row]), int(offsets[row + 1] - offsets[row])
+        marks = [bool(m) for m in marks[:n]] + [False] * (n - len(marks))
+        at = bounds[first : first + n + 1] - whole[row]
+        own = [(int(at[k]), int(at[k + 1])) for k in range(n) if marks[k]]
+        end = int(whole[row + 1] - whole[row])
+        spans.append(np.array(own + ([(end, end + 1)] if n and marks[-1] else []), np.int64).reshape(-1, 2))
+    return whole, spans
+
+
 def _packer(tokenizer_path: str, limits: Limits, end_id: int, block_tokens: int, arrow_id: pa.DataType):
-    def flush(doc_ids: list, parts: list[np.ndarray], first: int) -> tuple[pa.RecordBatch, int]:
-        lengths = np.array([len(p) for p in parts], np.int64)
-        sequences = pack_block(lengths, Losses(lengths), limits)
-        rows: dict[str, list] = {k: [] for k in ("doc", "start", "length", "ids", "tokens", "loss", "seq", "offset", "padded")}
-        for k, sequence in enumerate(sequences):
-            n, offset = sequence.tokens, 0
-            padded = n if n & (n - 1) == 0 else limits.tokens
-            for p in sequence.pieces:
-                rows["doc"].append(doc_ids[p.item])
-                rows["start"].append(p.start)
-                rows["length"].append(p.length)
-                rows["ids"].append(parts[p.item][p.start : p.start + p.length].astype("<u4").tobytes())
-                rows["tokens"].append(lengths[p.item])
-                rows["loss"].append(p.loss)
-                rows["seq"].append(first + k)
-                rows["offset"].append(offset)
-                rows["padded"].append(padded)
-                offset += p.length
-        kinds = [arrow_id, pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 5]
-        names = ["doc_id", "start", "length", "ids", "doc_tokens", "loss_tokens", "sequence_id", "offset", "padded_length"]
-        arrays = [pa.array(v, kind) for v, kind in zip(rows.values(), kinds, strict=True)]
+    names = ["doc_id", "start", "length", "ids", "doc_tokens", "loss_tokens", "sequence_id", "offset", "padded_length"]
+
+    def flush(block: Examples, first: int) -> tuple[pa.RecordBatch, int]:
+        lengths = np.concatenate(block.lengths)
+        ids, begin = np.concatenate(block.ids), np.cumsum(lengths) - lengths
+        sequences = pack_block(lengths, Losses(lengths, block.spans), limits)
+        pieces = [p for sequence in sequences for p in sequence.pieces]
+        item, start, length, loss = (
+            np.fromiter((getattr(p, name) for p in pieces), np.int64, len(pieces)) for name in ("item", "start", "length", "loss")
+        )
+        of = np.repeat(np.arange(len(sequences)), [len(s.pieces) for s in sequences])
+        tokens = np.array([s.tokens for s in sequences], np.int64)
+        upto = np.cumsum(length)
+        padded = np.where(tokens & (tokens - 1) == 0, tokens, limits.tokens)
+        at = begin[item] + start
+        body = ids[np.repeat(at - (upto - length), length) + np.arange(int(upto[-1]))].astype("<u4")
+        bounds = (4 * np.concatenate(([0], upto))).astype(np.int32)
+        offset = (upto - length) - (np.cumsum(tokens) - tokens)[of]
+        arrays = [
+            pa.concat_arrays([a.cast(arrow_id) for a in block.doc_ids]).take(pa.array(item)), pa.array(start), pa.array(length),
+            pa.BinaryArray.from_buffers(pa.binary(), len(pieces), [None, pa.py_buffer(bounds), pa.py_buffer(body)]),
+            pa.array(lengths[item]), pa.array(loss), pa.array(of + first), pa.array(offset), pa.array(padded[of]),
+        ]
         return pa.RecordBatch.from_arrays(arrays, names), first + len(sequences)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(tokenizer_path)
         sequence = TaskContext.get().partitionId() << 36
-        doc_ids, parts, held = [], [], 0
+        block = Examples([], [], [], [])
         for batch in batches:
-            for some in slices(batch, 1, 3_000_000):
-                ids, bounds = tokenizer.encode(some.column(1))
-                for k, doc in enumerate(some.column(0).to_pylist()):
-                    part = np.append(ids[bounds[k] : bounds[k + 1]], np.uint32(end_id))
-                    doc_ids.append(doc)
-                    parts.append(part)
-                    held += len(part)
-                if held >= block_tokens:
-                    out, sequence = flush(doc_ids, parts, sequence)
-                    doc_ids, parts, held = [], [], 0
+            for some in slices(batch, 1, 3_000_000) if batch.num_columns == 2 else _rows(batch, 64):
+                spans = None
+                if batch.num_columns == 2:
+                    ids, bounds = tokenizer.encode(some.column(1))
+                else:
+                    ids, bounds = tokenizer.encode(some.column(1).flatten())
+                    bounds, spans = _loss_spans(some.column(1), some.column(2), bounds)
+                block.add(some.column(0), ids, bounds, end_id, spans)
+                if block.tokens >= block_tokens:
+                    out, sequence = flush(block, sequence)
+                    block = Examples([], [], [], [])
                     yield out
-        if parts:
-            yield flush(doc_ids, parts, sequence)[0]
+        if block.tokens:
+            yield flush(block, sequence)[0]
 
     return run
 
 
+def _rows(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    return (batch.slice(a, most) for a in range(0, batch.num_rows, most))
+
+
 _TOKENIZERS: dict[str, PieceTokenizer] = {}
 
 
