@@ -122,17 +122,40 @@ def test_mix_reaches_its_targets(spark, block_words):
             open_.remove(s)
     want |= {s: even * weight[s] for s in open_}
     assert target == pytest.approx(want)
-    assert all(abs(taken[s] - target[s]) <= 0.5 for s in size) and abs(sum(taken.values()) - total) <= 3
-    # Every prefix of the schedule is near the weights; blocks of a source come in rounds.
+    assert all(abs(taken[s] - target[s]) <= 4 * block_words for s in size)
+    assert abs(sum(taken.values()) - total) <= 4 * block_words * len(size)
+    # Blocks of a source come in rounds, and what is taken is what its slots hold.
     slots = made.schedule.orderBy("slot").collect()
+    ranks = Counter(r.skey for r in slots)
     assert len({(r.skey, r.rank) for r in slots}) == len(slots)
+    for s in size:
+        held = ranks["n" if s is None else f"s{s}"] * block_words
+        assert taken[s] == min(held, 3 * size[s])
+    # Documents lie in the ring where their first slot says, and every pass has one.
+    slot_of = {(r.skey, r.rank): r.slot for r in slots}
+    for r in got:
+        assert r.slots == sorted(r.slots) and set(r.slots) <= set(slot_of.values())
+        assert len(r.slots) == (int(r.taken / r.size + 0.5) if r.size else 0) or abs(r.taken / r.size - len(r.slots)) <= 0.5
+    # The schedule decides: other points, another mix.
+    other = mix(df, block_words=block_words, step=1234567891).documents.collect()
+    assert Counter((r.doc_id, r.taken) for r in other) != Counter((r.doc_id, r.taken) for r in got)
     again = mix(df.repartition(5), block_words=block_words).documents.collect()
-    assert Counter(map(tuple, (r[:6] for r in again))) == Counter(map(tuple, (r[:6] for r in got)))
-    times = Counter(r.doc_id for r in repeated(df, made).collect())
+    assert Counter((*r[:6], *r.slots) for r in again) == Counter((*r[:6], *r.slots) for r in got)
+    clash = df.withColumns({c: F.lit(1) for c in ("times", "drawn_id", "drawn_time", "slots", "whole", "own_id", "rows")})
+    out = repeated(clash, made)
+    assert out.columns == clash.columns
+    times = Counter(r.doc_id for r in out.collect())
     assert max(times.values()) <= 6 and times[501] == 0
+    assert all(times[r.doc_id] == len(r.slots) for r in got if r.doc_id not in (1, 500, 501))
     assert mix(df.filter("false")).documents.count() == 0
 
 
+def test_a_very_long_text_lies_in_many_blocks(spark):
+    rows = [(1, "w " * 300_000, "a"), (2, "x " * 200_000, "b"), (3, "y", "b")]
+    got = {r.doc_id: r for r in mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).documents.collect()}
+    assert abs(got[1].taken - got[1].target) < 300 and abs(got[2].taken + got[3].taken - got[2].target) < 300
+
+
 def test_schedule_is_even(spark):
     rows = [(i, "w " * 50, s) for i in range(300) for s in "ab"]
     df = spark.createDataFrame([(2 * i + (s == "b"), t, s) for i, t, s in rows], "doc_id long, text string, source string")

@@ -1,82 +1,94 @@
 """Quality of documents by co-training two views: the text's content and the page's metadata.
 
-Each view has a classifier of its own. Over some rounds each labels the documents of a
-pool that it is sure of, and the other learns from them. In the end each view's margin is
-calibrated on labelled documents that neither learnt from, and the calibrated views are
-added up, less the prior that both of them contain.
+Each view has a classifier of its own. In each round both score all unlabelled documents, and
+of those that a view is surest of over the whole corpus the other learns some. In the end each
+view's margin is calibrated on a fifth of the labelled rows to learn from, which neither view
+has learnt from, and the calibrated views are added up, less the prior that both contain. Where
+that fifth lacks a class, all of these rows calibrate.
 """
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm import toxicity
-from vellum.llm.linear import Grams, logistic, sigmoid, text_slices
-from vellum.llm.shared import bounded_batches, text_or_empty, tidy
+from vellum.llm.linear import Grams, gram_sets, logistic, sigmoid, text_slices
+from vellum.llm.shared import bounded_batches, text_or_empty, tidy, written
 
 #: Buckets of metadata features.
 META_BITS = 14
+#: Kinds of bytes that a page's shape counts: line feeds, capitals, marks, digits, and those that begin a character.
+KINDS = np.zeros((5, 256), bool)
+KINDS[0, 10] = KINDS[1, 65:91] = KINDS[3, 48:58] = True
+KINDS[2, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+KINDS[4] = (np.arange(256) & 0xC0) != 0x80
 
 
 @dataclass(frozen=True)
 class CoFit:
-    """How to fit. The bounds are of rows to learn from, never of rows to score."""
+    """How to fit. The bounds are of rows to learn from, never of rows to score or to choose among."""
 
     rows_a_class: int = 1500
-    pool: int = 3000
-    rounds: int = 3
+    rounds: int = 2
     taught_a_class: int = 150
     sure: float = 0.95
     text: toxicity.Fit = field(default_factory=lambda: toxicity.Fit(sizes=(1, 2, 3), bits=18))
 
 
-def metadata(columns: list[str], body: Column) -> Column:
-    """Metadata as words: given columns, their pair, and the shape of the page."""
-    log = lambda x: F.floor(F.log2(x + 1)).cast("string")
-    share = lambda x: F.floor(20 * x / F.greatest(F.length(body), F.lit(1))).cast("string")
-    lines = F.length(body) - F.length(F.replace(body, F.lit("\n"), F.lit(""))) + 1
-    given = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("-"))) for c in columns]
+def shapes(texts: pa.Array) -> np.ndarray:
+    """One row a text: line feeds, capitals, marks, digits and code points."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    raw = texts.buffers()[2]
+    data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw else np.zeros(0, np.uint8)
+    upto = [np.concatenate(([0], np.cumsum(k[data], dtype=np.int64))) for k in KINDS]
+    at = offsets - offsets[0]
+    return np.stack([u[at[1:]] - u[at[:-1]] for u in upto], axis=1)
+
+
+def metadata(names: tuple[str, ...], given: list[list[str | None]], texts: pa.Array) -> list[np.ndarray]:
+    """Metadata features of each row: given columns, all of them together, and the shape of the page."""
+    counts = shapes(texts)
+    length = counts[:, 4]
+    lines = counts[:, 0] + 1
+    log = lambda x: np.floor(np.log2(x + 1)).astype(int).tolist()
+    share = lambda x: (20 * x // np.maximum(length, 1)).tolist()
     shape = {
-        "length": log(F.length(body)),
-        "lines": log(lines),
-        "line": log(F.length(body) / lines),
-        "capitals": share(F.regexp_count(body, F.lit("[A-Z]"))),
-        "marks": share(F.regexp_count(body, F.lit(r"[!-/:-@\[-`{-~]"))),
-        "digits": share(F.regexp_count(body, F.lit("[0-9]"))),
-    }
-    pair = [F.concat_ws("&", *given)] if len(given) > 1 else []
-    return F.array(*given, *pair, *[F.concat(F.lit(f"{k}:"), v) for k, v in shape.items()])
-
-
-def _buckets(words: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-    rows = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    columns = np.array([zlib.crc32(x.encode()) >> (32 - META_BITS) for w in words for x in w], np.int64)
-    return rows, columns
+        "length": log(length), "lines": log(lines), "line": log(length / lines), "capitals": share(counts[:, 1]),
+        "marks": share(counts[:, 2]), "digits": share(counts[:, 3]),
+    }
+    out = []
+    for row in range(len(texts)):
+        own = [f"{c}={'-' if v[row] is None else v[row]}" for c, v in zip(names, given, strict=True)]
+        words = own + (["&".join(own)] if len(own) > 1 else []) + [f"{k}:{v[row]}" for k, v in shape.items()]
+        out.append(np.unique([zlib.crc32(w.encode()) >> (32 - META_BITS) for w in words]).astype(np.int32))
+    return out
 
 
 @dataclass(frozen=True)
 class Meta:
-    """A linear model over metadata words."""
+    """A linear model over metadata features."""
 
     weights: np.ndarray
     bias: float
 
-    def margins(self, words: list[list[str]]) -> np.ndarray:
-        rows, columns = _buckets(words)
-        return np.bincount(rows, self.weights[columns], len(words)) + self.bias
+    def margins(self, sets: list[np.ndarray]) -> np.ndarray:
+        rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        columns = np.concatenate([*sets, np.zeros(0, np.int32)])
+        return np.bincount(rows, self.weights[columns], len(sets)) + self.bias
 
 
-def _train_meta(words: list[list[str]], labels: np.ndarray) -> Meta:
-    rows, columns = _buckets(words)
-    ones = np.ones(len(rows))
-    weights, bias = logistic(rows, columns, ones, labels, np.ones(len(labels)), 1 << META_BITS, 1.0, 300)
+def _train_meta(sets: list[np.ndarray], labels: np.ndarray) -> Meta:
+    weights, bias = logistic(sets, np.ones(1 << META_BITS), labels, np.ones(len(labels)), 1.0, 300)
     return Meta(weights.astype(np.float32), bias)
 
 
@@ -89,120 +101,143 @@ class Views:
     scales: tuple[tuple[float, float], tuple[float, float]]
     prior: float
 
-    def scores(self, texts: list[str], words: list[list[str]]) -> np.ndarray:
-        """Three rows: both views together, the text's, the metadata's."""
-        margins = self.text.margins(texts), self.meta.margins(words)
+    def scores(self, texts: list[str], sets: list[np.ndarray]) -> np.ndarray:
+        """Three rows: both calibrated views together, the text's, the metadata's."""
+        margins = self.text.margins(texts), self.meta.margins(sets)
         views = [a * m + b for (a, b), m in zip(self.scales, margins, strict=True)]
         return sigmoid(np.stack([views[0] + views[1] - self.prior, *views]))
 
+    def sureness(self, texts: list[str], sets: list[np.ndarray]) -> np.ndarray:
+        """Two rows: what the text's and the metadata's own classifiers say, before calibration."""
+        return sigmoid(np.stack([self.text.margins(texts), self.meta.margins(sets)]))
+
 
 def _platt(margins: np.ndarray, labels: np.ndarray, weights: np.ndarray, prior: float) -> tuple[float, float]:
     """Slope and offset that make margins log odds. A view that tells nothing gets the prior alone."""
     spread = float(np.std(margins)) or 1.0
-    at = np.arange(len(labels))
-    w, b = logistic(at, np.zeros(len(at), np.int64), margins / spread, labels, weights, 1, 1.0, 500)
-    return (max(float(w[0]) / spread, 0.0), b) if w[0] > 0 else (0.0, prior)
+    x, w, b = margins / spread, 0.0, 0.0
+    for _ in range(100):  # Newton's steps of a penalised logistic regression in two unknowns
+        p = sigmoid(w * x + b)
+        g, h = weights * (p - labels), weights * p * (1 - p) + 1e-9
+        hessian = np.array([[(h * x * x).sum() + 1.0, (h * x).sum()], [(h * x).sum(), h.sum()]])
+        step = np.linalg.solve(hessian, np.array([(g * x).sum() + w, g.sum()]))
+        w, b = w - float(np.clip(step[0], -2, 2)), b - float(np.clip(step[1], -2, 2))
+        if np.abs(step).max() < 1e-8:
+            break
+    return (w / spread, b) if w > 0 else (0.0, prior)
 
 
-def co_train(
-    texts: list[str], words: list[list[str]], labels: np.ndarray, pool_texts: list[str], pool_words: list[list[str]],
-    share: float, fit: CoFit = CoFit(),
-) -> Views:
-    """Views from labelled rows and a pool without labels. ``share``: of label 1 among all labelled rows."""
-    prior = float(np.log((share + 1e-4) / (1 - share + 1e-4)))
-    if not len(labels) or labels.min() == labels.max():
-        prior = float(np.log((labels.sum() + 0.5) / (len(labels) - labels.sum() + 0.5))) if len(labels) else 0.0
+def views(
+    texts: list[np.ndarray], metas: list[np.ndarray], labels: np.ndarray, taught: list[str | None], share: float, fit: CoFit
+) -> Views:
+    """Both views from rows to learn from. ``taught``: the view that learns a pseudo-label; None for labelled rows.
+
+    ``share`` is that of label 1 among all labelled rows.
+    """
+    own = np.array([t is None for t in taught], bool)
+    y = labels[own]
+    if not len(y) or y.min() == y.max():
+        prior = float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))) if len(y) else 0.0
         none = np.zeros(1 << META_BITS, np.float32)
         text = Grams(fit.text.sizes, fit.text.bits, np.zeros(1 << fit.text.bits, np.float32), prior)
         return Views(text, Meta(none, prior), ((0.0, prior), (0.0, prior)), prior)
-    kept = np.arange(len(labels)) % 5 == 0
-    if min(labels[kept].sum(), (1 - labels[kept]).sum(), labels[~kept].sum(), (1 - labels[~kept]).sum()) < 1:
-        kept = np.zeros(len(labels), bool)
-    learn = np.flatnonzero(~kept)
-    judged = np.flatnonzero(kept) if kept.any() else learn
-    of = {v: ([texts[i] for i in learn], [words[i] for i in learn], list(labels[learn])) for v in ("text", "meta")}
-    left = np.arange(len(pool_texts))
-    for turn in range(fit.rounds + 1):
-        text = toxicity.train(of["text"][0], np.array(of["text"][2]), fit.text)
-        meta = _train_meta(of["meta"][1], np.array(of["meta"][2]))
-        if turn == fit.rounds or not len(left):
-            break
-        sure = {
-            "meta": sigmoid(text.margins([pool_texts[i] for i in left])),  # the text teaches the metadata
-            "text": sigmoid(meta.margins([pool_words[i] for i in left])),
-        }
-        used = np.zeros(len(left), bool)
-        for taught, p in sure.items():
-            for label, confidence in ((1, p), (0, 1 - p)):
-                best = np.argsort(-confidence, kind="stable")[: fit.taught_a_class]
-                for k in best[confidence[best] >= fit.sure]:
-                    for values, value in zip(of[taught], (pool_texts[left[k]], pool_words[left[k]], float(label)), strict=True):
-                        values.append(value)
-                    used[k] = True
-        left = left[~used]
-    y = labels[judged]
+    prior = float(np.log((share + 1e-4) / (1 - share + 1e-4)))
+    at = np.flatnonzero(own)
+    kept = at[np.arange(len(at)) % 5 == 0]
+    learnt = np.setdiff1d(at, kept)
+    if min(len(np.unique(labels[x])) if len(x) else 0 for x in (kept, learnt)) < 2:
+        kept, learnt = at, at
+    model = {}
+    for view in ("text", "meta"):
+        rows = [*learnt, *[k for k, t in enumerate(taught) if t == view]]
+        model[view] = [(texts if view == "text" else metas)[k] for k in rows], labels[rows]
+    text, meta = toxicity.train(*model["text"], fit.text), _train_meta(*model["meta"])
+    y = labels[kept]
     # Classes were drawn alike; weights restore their shares.
-    weights = np.where(y > 0, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
-    margins = text.margins([texts[i] for i in judged]), meta.margins([words[i] for i in judged])
-    scales = tuple(_platt(m, y, weights, prior) for m in margins)
-    return Views(text, meta, scales, prior)
+    weights = np.where(y > 0, share / y.mean(), (1 - share) / (1 - y.mean()))
+    columns = [texts[k] for k in kept]
+    margins = np.array([text.weights[c].sum() + text.bias for c in columns]), meta.margins([metas[k] for k in kept])
+    return Views(text, meta, tuple(_platt(m, y, weights, prior) for m in margins), prior)
 
 
-def quality(
-    docs: DataFrame, labels: DataFrame, fit: CoFit = CoFit(), *, columns: tuple[str, ...] = ("source", "lang")
-) -> DataFrame:
-    """doc_id, score (of label 1, good), text_score, meta_score of every row of ``docs``.
+def _fitted(rows: DataFrame, names: tuple[str, ...], share: float, fit: CoFit) -> Views:
+    """The views from a bounded number of rows (doc_id, body, names, label, taught), fitted in one task."""
 
-    Labels (doc_id, quality) of the held-out fifth are never learnt from. Null and empty
-    texts have metadata of their own shape and the text view's constant. Null metadata is a
-    value like any other. Repeated rows and null ids are rows like any other. Further
-    columns aren't read; an empty table gives no rows. Without labels of both classes all
-    rows score the same. What is broadcast has a fixed number of weights.
-    """
-    body = text_or_empty(F.col("text"))
-    viewed = docs.select("doc_id", body.alias("body"), metadata(list(columns), body).alias("words"))
-    model = _fitted(docs, viewed, labels, fit)
-    bounded_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            text = [s for some in text_slices(batch.column(1)) for s in gram_sets(some, fit.text.sizes, fit.text.bits)]
+            meta = metadata(names, [batch.column(2 + k).to_pylist() for k in range(len(names))], batch.column(1))
+            ids, labels, taught = (batch.column(k).to_pylist() for k in (0, -2, -1))
+            held += zip([zlib.crc32(str(i).encode()) for i in ids], map(str, ids), text, meta, labels, taught, strict=True)
+        held.sort(key=lambda x: (*x[:2], x[5] or ""))
+        labels = np.array([x[4] for x in held], float)
+        model = views([x[2] for x in held], [x[3] for x in held], labels, [x[5] for x in held], share, fit)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    one = rows.repartition(1).mapInArrow(tidy(run), "model binary").first()
+    return views([], [], np.zeros(0), [], share, fit) if one is None else pickle.loads(one["model"])
+
+
+def _scored(viewed: DataFrame, names: tuple[str, ...], model: Views, function: str, columns: tuple[str, ...]) -> DataFrame:
+    """doc_id and the rows of a function of the model, over whole texts."""
+    shared = viewed.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, at, parts = batch.column(2).to_pylist(), 0, []
+            given, at, parts = [batch.column(2 + k).to_pylist() for k in range(len(names))], 0, []
             for some in text_slices(batch.column(1)):
-                parts.append(shared.value.scores(some, words[at : at + len(some)]))
+                own = metadata(names, [g[at : at + len(some)] for g in given], batch.column(1).slice(at, len(some)))
+                parts.append(getattr(shared.value, function)(some, own))
                 at += len(some)
-            values = np.concatenate(parts, axis=1) if parts else np.zeros((3, 0))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(v, pa.float64()) for v in values]],
-                ["doc_id", "score", "text_score", "meta_score"],
-            )
+            values = np.concatenate(parts, axis=1) if parts else np.zeros((len(columns), 0))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(v, pa.float64()) for v in values]], ["doc_id", *columns])
 
     kind = viewed.schema["doc_id"].dataType.simpleString()
-    return viewed.mapInArrow(tidy(run), f"doc_id {kind}, score double, text_score double, meta_score double")
+    return viewed.mapInArrow(tidy(run), ", ".join([f"doc_id {kind}", *[f"{c} double" for c in columns]]))
 
 
-def _fitted(docs: DataFrame, viewed: DataFrame, labels: DataFrame, fit: CoFit) -> Views:
-    known = (
-        labels.select("doc_id", F.col("quality").cast("int").alias("label"))
-        .filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~toxicity.held_out(F.col("doc_id")))
-        .groupBy("doc_id")
-        .agg(F.max("label").alias("label"))
-    )
+def quality(
+    docs: DataFrame, labels: DataFrame, fit: CoFit = CoFit(), *, columns: tuple[str, ...] = ("source", "lang"),
+    id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality",
+) -> DataFrame:
+    """doc_id, score (of label 1, good), text_score, meta_score of every row of ``docs``.
+
+    Labels of the held-out fifth are never learnt from; labels that contradict each other count
+    as 1, and ids of ``labels`` are never pseudo-labelled. All other documents are scored in each
+    round, and the surest of them all are taught. Null and empty texts have metadata of their
+    own shape and the text view's constant. Null metadata is a value like any other. Very long
+    texts are taken in pieces. Repeated rows and null ids are rows like any other, but of those
+    that share an id the smallest text teaches. Further columns aren't read, whatever their
+    names; an empty table gives no rows. Without labels of both classes all rows score the same.
+    What is broadcast has a fixed number of weights.
+    """
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    given = [F.col(f"`{c}`").cast("string").alias(f"given_{k}") for k, c in enumerate(columns)]
+    viewed = docs.select(F.col(f"`{id_column}`").alias("doc_id"), text_or_empty(F.col(f"`{text_column}`")).alias("body"), *given)
+    known = toxicity.known_labels(labels, label_column, id_column)
     share = known.agg(F.avg("label")).first()[0]
-    order = F.md5(F.concat(F.lit("quality"), F.col("doc_id").cast("string")))
-    chosen = [known.filter(F.col("label") == k).orderBy(order).limit(fit.rows_a_class) for k in (0, 1)]
-    ids = [(r["doc_id"], r["label"]) for c in chosen for r in c.collect()]  # bounded by rows_a_class
-    others = docs.select("doc_id").dropna().distinct().join(labels.select("doc_id"), "doc_id", "left_anti")
-    ids += [(r["doc_id"], -1) for r in others.orderBy(order).limit(fit.pool).collect()]  # bounded by pool
-    if not ids:
-        return co_train([], [], np.zeros(0), [], [], 0.5, fit)
-    wanted = F.broadcast(docs.sparkSession.createDataFrame(ids, known.schema))
-    found = viewed.filter(F.length("body") <= fit.text.most_characters).join(wanted, "doc_id")
-    found = found.groupBy("doc_id", "label").agg(F.min(F.struct("body", "words")).alias("row"))
-    rows = sorted((r["doc_id"], r["label"], r["row"]["body"], r["row"]["words"]) for r in found.collect())
-    rows.sort(key=lambda r: zlib.crc32(str(r[0]).encode()))
-    marked, pool = [r for r in rows if r[1] >= 0], [r for r in rows if r[1] < 0]
-    return co_train(
-        [r[2] for r in marked], [r[3] for r in marked], np.array([r[1] for r in marked], float),
-        [r[2] for r in pool], [r[3] for r in pool], 0.5 if share is None else float(share), fit,
-    )
+    share = 0.5 if share is None else float(share)
+    kinds = f"doc_id {known.schema['doc_id'].dataType.simpleString()}, label int, taught string"
+    wanted = [(i, label, None) for i, label in toxicity.chosen(known, "quality", fit.rows_a_class)]
+    named = labels.select(F.col(f"`{id_column}`").alias("doc_id"))
+    model, classes = None, len({label for _, label, _ in wanted})
+    for turn in range(fit.rounds + 1 if classes == 2 else 1):
+        ids = F.broadcast(spark.createDataFrame(wanted, kinds))  # bounded by rows_a_class and taught_a_class
+        rows = viewed.join(ids, "doc_id").groupBy("doc_id", "label", "taught").agg(F.min(F.struct("body", *[f"given_{k}" for k in range(len(columns))])).alias("v"))
+        model = _fitted(rows.select("doc_id", "v.*", "label", "taught"), columns, share, fit)
+        if turn == fit.rounds or classes < 2:
+            break
+        sure = _scored(viewed, columns, model, "sureness", ("text", "meta"))
+        taught = spark.createDataFrame([(i,) for i, *_ in wanted], kinds.split(",")[0])
+        # Only ids and numbers are joined: texts stay where they are.
+        sure = sure.dropna().join(named, "doc_id", "left_anti").join(F.broadcast(taught), "doc_id", "left_anti")
+        sure = written(sure.filter(F.greatest("text", "meta", 1 - F.col("text"), 1 - F.col("meta")) >= fit.sure), "sure")
+        for teacher, view in (("text", "meta"), ("meta", "text")):
+            for label in (1, 0):
+                certain = F.col(teacher) if label else 1 - F.col(teacher)
+                best = sure.filter(certain >= fit.sure).groupBy("doc_id").agg(F.max(certain).alias("certain"))
+                best = best.orderBy(F.desc("certain"), "doc_id").limit(fit.taught_a_class)
+                wanted += [(r["doc_id"], label, view) for r in best.collect()]  # bounded by taught_a_class
+    return _scored(viewed, columns, model, "scores", ("score", "text_score", "meta_score"))

@@ -35,7 +35,7 @@ from vellum.llm.rolling import MULTIPLIER, OTHER, mix, prefix_sums, substring_ha
 from vellum.llm.shared import Sieve, hot_keys, hot_of, salted, slices, spread, tidy, with_own_ids, written
 
 #: Sets of a tile that are compared in one task, and their shingles.
-TILE, WEIGHT = 2048, 1 << 20
+TILE, WEIGHT = 512, 1 << 18
 #: Keys that are sorted together, those that a task holds, those of a packed array, and a key's bits in its bucket.
 BUCKET, HELD, PACKED, KEY_BITS = 1 << 20, 1 << 21, 4096, 40
 

@@ -199,7 +199,7 @@ def _tiles(docs: DataFrame, near: Near) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in text_slices(batch.column(0)):
+            for texts in text_slices(batch.column(0), 2_000_000):
                 keys, members = tile_keys(_lines(texts), near)
                 for a in range(0, len(keys), 500_000):
                     some = slice(a, a + 500_000)
@@ -215,7 +215,7 @@ def _facts(docs: DataFrame, needed: DataFrame, near: Near) -> DataFrame:
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in text_slices(batch.column(0)):
+            for texts in text_slices(batch.column(0), 2_000_000):
                 lines = [x for x in _lines(texts) if len(x) >= near.shortest()]
                 if lines:
                     yield pa.RecordBatch.from_arrays(

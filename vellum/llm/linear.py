@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,9 +37,15 @@ def grams(points: np.ndarray, bounds: np.ndarray, sizes: tuple[int, ...], bits:
             yield (mixed >> np.uint64(64 - bits)).astype(np.int64), left[: len(code)] >= n
 
 
+#: Characters whose n-grams are taken together; a longer text is taken in pieces.
+PIECE = 400_000
+
+
 def present(texts: list[str | None], sizes: tuple[int, ...], bits: int, used: np.ndarray | None = None):
     """Pairs (text, bucket), each once, of the buckets in ``used``."""
     points, bounds = characters(texts)
+    if len(points) > 2 * PIECE and len(texts) == 1:
+        return _present_by_piece(points, sizes, bits, used)
     text_of = np.repeat(np.arange(len(texts)), np.diff(bounds))
     keys = []
     for buckets, inside in grams(points, bounds, sizes, bits):
@@ -50,35 +57,70 @@ def present(texts: list[str | None], sizes: tuple[int, ...], bits: int, used: np
     return keys >> bits, keys & ((1 << bits) - 1)
 
 
+def _present_by_piece(points: np.ndarray, sizes: tuple[int, ...], bits: int, used: np.ndarray | None):
+    """present() of one very long text: its pieces overlap so that each n-gram lies in one."""
+    marks = np.zeros(1 << bits, bool)
+    for a in range(0, len(points), PIECE):
+        some = points[a : a + PIECE + max(sizes) - 1]
+        for buckets, inside in grams(some, np.array([0, len(some)]), sizes, bits):
+            marks[buckets[inside]] = True
+    if used is not None:
+        marks &= used
+    buckets = np.flatnonzero(marks)
+    return np.zeros(len(buckets), np.int64), buckets
+
+
+def gram_sets(texts: list[str | None], sizes: tuple[int, ...], bits: int) -> list[np.ndarray]:
+    """The buckets of each text's n-grams, each once, as 32-bit numbers."""
+    out = []
+    for some in _some(texts, PIECE):
+        rows, buckets = present(some, sizes, bits)
+        out += np.split(buckets.astype(np.int32), np.searchsorted(rows, np.arange(1, len(some))))
+    return out
+
+
+def _some(texts: Iterable[str | None], most: int) -> Iterator[list[str | None]]:
+    """Lists of texts of about ``most`` characters; a longer text is a list of its own."""
+    out, held = [], 0
+    for text in texts:
+        if out and held + len(text or "") > most:
+            yield out
+            out, held = [], 0
+        out.append(text)
+        held += len(text or "")
+    if out:
+        yield out
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
 def logistic(
-    rows: np.ndarray, columns: np.ndarray, values: np.ndarray, labels: np.ndarray, weights: np.ndarray, width: int,
-    penalty: float = 1.0, steps: int = 1000, enough: float = 2e-3, clear: float = 0.05,
+    sets: list[np.ndarray], scale: np.ndarray, labels: np.ndarray, weights: np.ndarray,
+    penalty: float = 1.0, steps: int = 1000, enough: float = 1e-3,
 ) -> tuple[np.ndarray, float]:
-    """L2-regularised logistic regression over sparse rows, by accelerated gradient steps.
+    """L2-regularised logistic regression by accelerated gradient steps.
 
-    It ends after ``steps``, or earlier once the mean loss is below ``clear``, or falls by
-    less than ``enough`` of itself over 50 steps.
+    ``sets`` holds the columns of each row, ``scale`` the value of each column wherever it is
+    set. Steps end after ``steps``, or when 50 of them lessen the loss by less than ``enough``
+    of itself: at the optimum but for what a score's second decimal shows.
     """
-    n = len(labels)
-    by = np.argsort(rows, kind="stable")
-    rows, columns, values = rows[by], columns[by], values[by]
-    filled = np.flatnonzero(np.diff(rows, prepend=-1))
-    present_rows = rows[filled]
+    n, sizes = len(labels), np.array([len(s) for s in sets], np.int64)
+    columns = np.concatenate([*sets, np.zeros(0, np.int32)]).astype(np.int64)
+    filled, row = np.flatnonzero(sizes), np.repeat(np.arange(n), sizes)
+    starts = (np.cumsum(sizes) - sizes)[filled]
     total = max(float(weights.sum()), 1.0)
-    squared = np.bincount(rows, values**2, n).max(initial=1.0) + 1.0
+    squared = np.bincount(row, (scale**2)[columns], n).max(initial=1.0) + 1.0
     rate = 1.0 / (0.25 * squared + penalty / total)
-    w, bias = np.zeros(width), 0.0
+    w, bias = np.zeros(len(scale)), 0.0
     v, vb, momentum, before = w.copy(), bias, 1.0, np.inf
     for step in range(steps):
         z = np.full(n, vb)
         if len(filled):
-            z[present_rows] += np.add.reduceat(values * v[columns], filled)
+            z[filled] += np.add.reduceat((v * scale)[columns], starts)
         error = weights * (sigmoid(z) - labels) / total
-        new = v - rate * (np.bincount(columns, values * error[rows], width) + penalty / total * v)
+        new = v - rate * (scale * np.bincount(columns, error[row], len(scale)) + penalty / total * v)
         new_bias = vb - rate * error.sum()
         following = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         push = (momentum - 1) / following
@@ -86,7 +128,7 @@ def logistic(
         w, bias, momentum = new, new_bias, following
         if step % 50 == 49:
             loss = float((weights * (np.logaddexp(0, z) - labels * z)).sum() / total + penalty / total / 2 * (w @ w))
-            if loss < clear or before - loss < enough * loss:
+            if before - loss < enough * loss:
                 break
             before = loss
     return w, float(bias)
@@ -106,14 +148,6 @@ class Grams:
         return np.bincount(rows, self.weights[buckets], len(texts)) + self.bias
 
 
-def text_slices(column: pa.Array, most: int = 2_000_000):
-    """Lists of texts of about ``most`` bytes; a longer text is a list of its own."""
-    out, held = [], 0
-    for text in column.to_pylist():
-        out.append(text)
-        held += len(text or "")
-        if held >= most:
-            yield out
-            out, held = [], 0
-    if out:
-        yield out
+def text_slices(column: pa.Array, most: int = PIECE) -> Iterator[list[str | None]]:
+    """Lists of texts of about ``most`` characters; a longer text is a list of its own."""
+    return _some((x.as_py() for x in column), most)

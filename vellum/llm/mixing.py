@@ -1,31 +1,36 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
-Points of the golden-ratio sequence, mapped through the cumulative target weights, tell
-which source each slot of the mix draws from. Slots are ranked per source, and the k-th
-slot of a source takes the k-th block of its shuffled documents, all blocks holding the
-same number of words; after the last block the source starts over. So the mix is near
-its weights at every point of the schedule, not only in total.
+Each slot of the mix draws from one source: the point of the golden-ratio sequence at the slot,
+mapped through the cumulative targets, tells which. Slots are ranked per source, and the k-th
+slot of a source takes the k-th block of its shuffled documents, all blocks of all sources
+holding the same number of words; a source's documents follow each other in a ring, so after
+the last one comes the first again. The slots that a source draws decide what it gives, and
+where in the mix: so the mix is near its weights at every point of the schedule.
 
 Nothing here gathers a source in one task: documents are placed in their source's stream
-by sums over hash ranges, slots are ranked by sums over ranges of slots.
+by sums over hash ranges, slots are ranked by sums over runs of slots. Sources themselves,
+one row each, are numbered in one task.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vellum.llm.shared import WORD, text_or_empty, written
 
-#: The golden ratio's fraction, and the weights that repeat over the sources.
-GOLDEN = 0.6180339887498949
+#: The golden ratio's fraction in units of 2 ** -32, and the weights that repeat over the sources.
+GOLDEN = 2654435769
 WEIGHTS = (1, 2, 3)
 #: Cells by which points find their source, and slots ranked together.
 CELLS = 4096
 SLOTS = 65536
+#: Documents of a source that are put in order together, about.
+RANGE = 4096
 
 
 @dataclass(frozen=True)
@@ -45,19 +50,33 @@ def mix(
     source_column: str = "source",
     weights: tuple[int, ...] = WEIGHTS,
     most_passes: int = 3,
-    block_words: int = 4096,
+    block_words: int = 64,
+    step: int = GOLDEN,
 ) -> Mix:
     """Mix ``df`` to ``weights``, which repeat over the sources in code-point order, null last.
 
-    documents: doc_id, source, size, source_size, target, taken. A target stops at
-    ``most_passes`` times its source's size; the excess goes to the others by weight.
-    Null and empty texts have size 0 and nothing is taken. Rows that repeat an id are
-    documents of their own. An empty table gives no rows. Further columns aren't read.
-    The same rows give the same mix, whatever their partitions.
+    documents: doc_id, source, size, source_size, target, taken, slots, row. A target stops at
+    ``most_passes`` times its source's size; the excess goes to the others by weight. ``taken``
+    counts the words that the source's slots take of the document, repeats counted; a source
+    takes a block of ``block_words`` a slot it draws, so it ends within a few blocks of its
+    target, and at ``most_passes`` times its size at most. ``slots`` holds the slot at which each
+    pass begins of which the mix takes half or more.
+    sources: skey, number, weight, source_size, target, quota, drawn, words. schedule: slot, skey,
+    rank of each slot whose block is taken. ``step``, odd, moves the points from slot to slot.
+
+    Null and empty texts have size 0 and nothing is taken. Very long texts lie in many blocks.
+    Rows that repeat an id are documents of their own. Ties in the shuffle go by size; rows that
+    are alike in id and size can change places. An empty table gives no rows. Further columns
+    aren't read, whatever their names.
     """
     sizes = _sizes(df, id_column, text_column, source_column)
-    ranges = sizes.groupBy("skey", "range").agg(F.sum("size").alias("words"))
-    sources = written(_targets(ranges, weights, most_passes, block_words), "sources")
+    ranges = written(sizes.groupBy("skey", "range").agg(F.sum("size").alias("words")), "ranges")
+    targets = written(_targets(ranges, weights, most_passes), "targets")
+    drawn = written(_drawn(df.sparkSession, targets, block_words, step), "slots")
+    counts = drawn.groupBy("skey").agg(F.count("*").alias("drawn"))
+    sources = targets.join(counts, "skey", "left").withColumn("drawn", F.coalesce("drawn", F.lit(0)))
+    words = F.least(F.col("drawn") * block_words, F.col("source_size") * most_passes)
+    sources = written(sources.withColumn("words", words).drop("low", "high"), "sources")
     before = W.partitionBy("skey").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
     offsets = ranges.withColumn("offset", F.coalesce(F.sum("words").over(before), F.lit(0)))
     within = W.partitionBy("skey", "range").orderBy("order", "size", "row").rowsBetween(W.unboundedPreceding, -1)
@@ -65,29 +84,36 @@ def mix(
         sizes.withColumn("start", F.coalesce(F.sum("size").over(within), F.lit(0)))
         .join(offsets.select("skey", "range", "offset"), ["skey", "range"])
         .withColumn("start", F.col("start") + F.col("offset"))
+        .join(sources.select("skey", "source_size", "target", "words"), "skey")
+        .drop("order", "range", "offset")
     )
-    schedule = _schedule(df.sparkSession, sources, block_words)
-    return Mix(_taken(placed, sources, schedule, block_words), sources, schedule)
+    schedule = drawn.join(sources.select("skey", "words"), "skey").filter(F.col("rank") * block_words < F.col("words"))
+    schedule = schedule.drop("words")
+    return Mix(_taken(written(placed, "placed"), schedule, most_passes, block_words), sources, schedule)
 
 
 def _sizes(df: DataFrame, id_column: str, text_column: str, source_column: str) -> DataFrame:
     source = F.col(f"`{source_column}`").cast("string")
-    order = F.md5(F.concat(F.lit("mix-"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     sizes = df.select(
         F.col(f"`{id_column}`").alias("doc_id"),
         source.alias("source"),
         F.when(source.isNull(), "n").otherwise(F.concat(F.lit("s"), source)).alias("skey"),
         F.regexp_count(text_or_empty(F.col(f"`{text_column}`")), F.lit(WORD)).cast("long").alias("size"),
-    ).withColumn("order", order)
-    # Rows that are alike in these columns can change places: the result is the same.
-    return written(
-        sizes.withColumn("range", F.substring("order", 1, 3)).withColumn("row", F.monotonically_increasing_id()), "sizes"
     )
+    order = F.md5(F.concat(F.lit("mix-"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    sizes = written(sizes.withColumn("order", order).withColumn("row", F.monotonically_increasing_id()), "sizes")
+    # As many ranges as bound the documents of one, whatever the table's size.
+    digits = max(1, math.ceil(math.log(max(sizes.count(), 2) / RANGE, 16)))
+    return sizes.withColumn("range", F.substring("order", 1, digits))
+
 
+def _targets(ranges: DataFrame, weights: tuple[int, ...], most_passes: int) -> DataFrame:
+    """Targets by filling up, over one row a source, in the order in which they reach their limits.
 
-def _targets(ranges: DataFrame, weights: tuple[int, ...], most_passes: int, block_words: int) -> DataFrame:
-    """Targets by filling up, over one row a source, in the order in which they reach their limits."""
+    low and high bound the points that draw from the source, in units of 2 ** -32.
+    """
     exact = lambda c: c.cast("decimal(38,0)")
+    whole = W.orderBy(F.lit(1)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     number = F.row_number().over(W.orderBy(F.col("skey") == "n", "skey")) - 1
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("number") % len(weights) + 1).cast("int"))
     sources = (
@@ -99,54 +125,44 @@ def _targets(ranges: DataFrame, weights: tuple[int, ...], most_passes: int, bloc
     )
     filling = W.orderBy(F.col("most") / F.col("weight"), "number")
     sources = (
-        sources.withColumn("total", F.sum("source_size").over(W.orderBy(F.lit(1)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
+        sources.withColumn("total", F.sum("source_size").over(whole))
         .withColumn("full", F.coalesce(F.sum("most").over(filling.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
         .withColumn("share", F.sum("weight").over(filling.rowsBetween(0, W.unboundedFollowing)))
         .withColumn("left", F.col("total") - F.col("full"))
     )
     below = exact(F.col("left")) * exact(F.col("weight")) <= exact(F.col("most")) * exact(F.col("share"))
     sources = sources.withColumn("at", F.row_number().over(filling)).withColumn("below", below)
-    level = F.min(F.when(F.col("below"), F.struct("at", "left", "share"))).over(
-        W.orderBy(F.lit(1)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    )
+    level = F.min(F.when(F.col("below"), F.struct("at", "left", "share"))).over(whole)
     even = (F.col("weight") * F.col("level.left")).cast("double") / F.col("level.share")
     target = F.when(F.col("at") < F.col("level.at"), F.col("most").cast("double")).otherwise(even)
-    quota = F.least(F.floor(F.col("target") + 0.5), F.col("most"))
-    upto = W.orderBy("number").rowsBetween(W.unboundedPreceding, 0)
-    size, blocks = F.col("source_size"), F.ceil(F.col("source_size") / block_words)
-    slots = F.when(size == 0, 0).otherwise(
-        F.floor(F.col("quota") / size) * blocks + F.ceil((F.col("quota") % size) / block_words)
-    )
+    upto = F.sum("quota").over(W.orderBy("number").rowsBetween(W.unboundedPreceding, 0))
+    point = lambda words: F.floor(exact(words) * F.lit(1 << 32) / exact(F.col("quotas"))).cast("long")
     return (
         sources.withColumn("level", level)
         .withColumn("target", target)
-        .withColumn("quota", quota.cast("long"))
-        .withColumn("blocks", blocks.cast("long"))
-        .withColumn("slots", slots.cast("long"))
-        .withColumn("upto", F.sum("slots").over(upto))
-        .withColumn("slots_total", F.sum("slots").over(W.orderBy(F.lit(1)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
-        .select("skey", "number", "weight", "source_size", "target", "quota", "blocks", "slots", "upto", "slots_total")
+        .withColumn("quota", F.least(F.floor(F.col("target") + 0.5), F.col("most")).cast("long"))
+        .withColumn("upto", upto)
+        .withColumn("quotas", F.sum("quota").over(whole))
+        .withColumn("low", F.when(F.col("quotas") > 0, point(F.col("upto") - F.col("quota"))))
+        .withColumn("high", F.when(F.col("quotas") > 0, point(F.col("upto"))))
+        .select("skey", "number", "weight", "source_size", "target", "quota", "low", "high")
     )
 
 
-def _schedule(spark: SparkSession, sources: DataFrame, block_words: int) -> DataFrame:
-    """slot, skey, rank, epoch, block, words; a source's slots beyond its quota are left out.
+def points(slot: Column, step: int) -> Column:
+    """slot * step modulo 2 ** 32, without a product that a long can't hold."""
+    low, high = slot % 65536, F.floor(slot / 65536) % 65536
+    return (low * step + (high * step) % 65536 * 65536) % (1 << 32)
 
-    Low discrepancy bounds by how few slots a source can fall short; it gets those at the
-    schedule's end.
-    """
-    total = sources.agg(F.max("slots_total")).first()[0] or 0
-    share = F.col("slots_total").cast("double")
-    spans = sources.filter("slots > 0").select(
-        "skey", "slots", "quota", "source_size", "blocks",
-        ((F.col("upto") - F.col("slots")) / share).alias("low"),
-        (F.col("upto") / share).alias("high"),
-    )
-    last = F.least(F.floor(F.col("high") * CELLS), F.lit(CELLS - 1))
-    cells = spans.withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") * CELLS), last)))
-    point = F.col("slot") * F.lit(GOLDEN)
-    slots = spark.range(total).withColumnRenamed("id", "slot").withColumn("point", point - F.floor(point))
-    slots = slots.withColumn("cell", F.floor(F.col("point") * CELLS)).join(cells, "cell")
+
+def _drawn(spark: SparkSession, targets: DataFrame, block_words: int, step: int) -> DataFrame:
+    """slot, skey, rank: the source that each slot draws from, and how many slots did so before."""
+    total = math.ceil((targets.agg(F.sum("quota")).first()[0] or 0) / block_words)
+    width = (1 << 32) // CELLS
+    spans = targets.filter("low < high").select("skey", "low", "high")
+    cells = spans.withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width))))
+    slots = spark.range(total).withColumnRenamed("id", "slot").withColumn("point", points(F.col("slot"), step))
+    slots = slots.withColumn("cell", F.floor(F.col("point") / width)).join(cells, "cell")
     drawn = slots.filter((F.col("point") >= F.col("low")) & (F.col("point") < F.col("high"))).select(
         "slot", F.floor(F.col("slot") / SLOTS).alias("run"), "skey"
     )
@@ -155,58 +171,42 @@ def _schedule(spark: SparkSession, sources: DataFrame, block_words: int) -> Data
     runs = runs.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
     rank = F.row_number().over(W.partitionBy("skey", "run").orderBy("slot")) - 1
     ranked = drawn.withColumn("rank", rank).join(runs, ["skey", "run"])
-    ranked = ranked.select("slot", "skey", (F.col("rank") + F.col("before")).alias("rank"))
-    got = drawn.groupBy("skey").agg(F.count("*").alias("got"))
-    short = spans.join(got, "skey", "left").withColumn("got", F.coalesce("got", F.lit(0))).filter("got < slots")
-    late = short.select(
-        (F.lit(total) + F.col("got")).alias("slot"), "skey", F.explode(F.sequence("got", F.col("slots") - 1)).alias("rank")
-    )
-    facts = spans.select("skey", "slots", "quota", "source_size", "blocks")
-    full = F.least(F.lit(block_words), F.col("source_size") - F.col("block") * block_words)
-    left = F.col("quota") - F.col("epoch") * F.col("source_size") - F.col("block") * block_words
-    return (
-        ranked.unionByName(late)
-        .join(facts, "skey")
-        .filter("rank < slots")
-        .withColumn("epoch", F.floor(F.col("rank") / F.col("blocks")))
-        .withColumn("block", F.col("rank") % F.col("blocks"))
-        .withColumn("words", F.least(full, left))
-        .withColumn("whole", F.col("words") == full)
-        .select("slot", "skey", "rank", "epoch", "block", "words", "whole")
-    )
-
-
-def _taken(placed: DataFrame, sources: DataFrame, schedule: DataFrame, block_words: int) -> DataFrame:
-    """Words of each document within the blocks that its source's slots take."""
-    draws = schedule.groupBy("skey", "block").agg(
-        F.sum(F.col("whole").cast("long")).alias("passes"),
-        F.max(F.when(~F.col("whole"), F.col("words"))).alias("part"),
-    )
-    end = F.col("start") + F.col("size")
-    first, last = F.floor(F.col("start") / block_words), F.floor((end - 1) / block_words)
-    pieces = placed.withColumn("block", F.explode_outer(F.when(F.col("size") > 0, F.sequence(first, last))))
-    block_at = F.col("block") * block_words
-    a, b = F.greatest("start", block_at), F.least(end, block_at + block_words)
-    part = F.greatest(F.lit(0), F.least(b, block_at + F.coalesce("part", F.lit(0))) - a)
-    drawn = pieces.join(draws, ["skey", "block"], "left").withColumn(
-        "words", F.coalesce("passes", F.lit(0)) * (b - a) + part
-    )
-    taken = drawn.groupBy("row", "doc_id", "source", "skey", "size").agg(
-        F.coalesce(F.sum("words"), F.lit(0)).alias("taken")
-    )
-    return taken.join(sources.select("skey", "source_size", "target"), "skey").select(
-        "doc_id", "source", "size", "source_size", "target", "taken", "row"
+    return ranked.select("slot", "skey", (F.col("rank") + F.col("before")).alias("rank"))
+
+
+def _taken(placed: DataFrame, schedule: DataFrame, most_passes: int, block_words: int) -> DataFrame:
+    """Words of each document among the first ``words`` of its source's ring, and the slots of its passes."""
+    position = F.col("start") + F.col("pass") * F.col("source_size")
+    passes = (
+        placed.filter("size > 0 AND start < words")
+        .withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(most_passes - 1))))
+        .withColumn("words_taken", F.least(F.col("size"), F.col("words") - position))
+        .filter("words_taken > 0")
+        .withColumn("rank", F.floor(position / block_words))
     )
+    met = passes.join(schedule, ["skey", "rank"])
+    half = F.when(F.col("words_taken") * 2 >= F.col("size"), F.col("slot"))
+    taken = met.groupBy("row").agg(F.sum("words_taken").alias("taken"), F.array_sort(F.collect_list(half)).alias("slots"))
+    none = F.array().cast("array<bigint>")
+    return placed.join(taken, "row", "left").select(
+        "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"),
+        F.coalesce("slots", none).alias("slots"), "row",
+    )
 
 
 def repeated(df: DataFrame, mixed: Mix, *, id_column: str = "doc_id") -> DataFrame:
-    """The rows of ``df`` as often as the mix takes them: its taken words over its size, rounded.
+    """The rows of ``df`` once for each slot at which the mix begins to take them, each partition in the slots' order.
 
-    Documents without words aren't drawn. Rows that share an id are drawn alike.
+    Ids are dealt to partitions by a hash, so each partition follows the schedule as a sample of
+    the whole does. Documents without words aren't drawn. Rows that share an id are drawn alike,
+    at the slots of all of them. All columns come along, whatever their names.
     """
-    drawn = mixed.documents.groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
-    times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    drawn = drawn.filter("size > 0").select(F.col("doc_id").alias("drawn_id"), times.alias("times")).filter("times > 0")
-    joined = df.join(drawn, F.col(f"`{id_column}`").eqNullSafe(F.col("drawn_id")))
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    return joined.select(*columns, F.explode(F.sequence(F.lit(1), "times")).alias("drawn_time")).select(*columns)
+    drawn = mixed.documents.filter("size > 0").groupBy("doc_id").agg(
+        F.array_sort(F.flatten(F.collect_list("slots"))).alias("all"), F.count("*").alias("rows")
+    )
+    # The slots of an id's rows are shared out among them: each row comes as often as it is drawn on average.
+    share = F.transform(F.sequence(F.lit(1), F.floor(F.size("all") / F.col("rows") + 0.5)), lambda k: F.element_at("all", k.cast("int")))
+    drawn = drawn.select(F.col("doc_id").alias("drawn_id"), F.when(F.size("all") * 2 >= F.col("rows"), share).alias("slots"))
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole"), F.col(f"`{id_column}`").alias("own_id"))
+    joined = rows.join(drawn, F.col("own_id").eqNullSafe(F.col("drawn_id")))
+    return joined.select("whole", F.explode("slots").alias("slot")).sortWithinPartitions("slot").select("whole.*")

@@ -47,10 +47,18 @@ level AS (SELECT free, share, seat FROM filled WHERE free::HUGEINT * w <= most::
 targets AS (SELECT f.source, f.source_size, CASE WHEN f.seat < l.seat THEN most::DOUBLE ELSE (w * l.free)::DOUBLE / l.share::DOUBLE END AS target, most
   FROM filled f, level l),
 quotas AS (SELECT *, least(floor(target + 0.5)::BIGINT, most) AS quota FROM targets),
+shares AS (
+  SELECT *, ((sum(quota) OVER (ORDER BY source NULLS LAST) - quota)::HUGEINT * 4294967296 // sum(quota) OVER ())::BIGINT AS low,
+    (sum(quota) OVER (ORDER BY source NULLS LAST)::HUGEINT * 4294967296 // sum(quota) OVER ())::BIGINT AS high FROM quotas),
+slots AS (
+  SELECT slot, ((slot % 65536) * 2654435769 + ((slot // 65536) % 65536 * 2654435769) % 65536 * 65536) % 4294967296 AS point
+  FROM (SELECT unnest(range(ceil(sum(quota) / 64.0)::BIGINT)) AS slot FROM quotas)),
+drawn AS (SELECT s.source, count(*) AS n FROM slots p JOIN shares s ON p.point >= s.low AND p.point < s.high GROUP BY s.source),
+ends AS (SELECT q.*, least(coalesce(d.n, 0) * 64, most) AS words FROM quotas q LEFT JOIN drawn d ON q.source IS NOT DISTINCT FROM d.source),
 placed AS (SELECT doc_id, source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY o, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS a FROM docs)
 SELECT p.doc_id, p.size, q.source_size, q.target,
-  (CASE WHEN q.source_size = 0 THEN 0 ELSE (q.quota // q.source_size) * p.size + greatest(0, least(p.a + p.size, q.quota % q.source_size) - p.a) END)::BIGINT AS taken
-FROM placed p JOIN quotas q ON p.source IS NOT DISTINCT FROM q.source
+  (CASE WHEN q.source_size = 0 THEN 0 ELSE (q.words // q.source_size) * p.size + greatest(0, least(p.a + p.size, q.words % q.source_size) - p.a) END)::BIGINT AS taken
+FROM placed p JOIN ends q ON p.source IS NOT DISTINCT FROM q.source
 """,
     "op8_exact_dedup": r"""
 WITH docs AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents)

@@ -62,7 +62,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vellum.llm.mixing import mix
 
-    mixed = mix(_table(spark, sf_dir, "documents"), weights=(1, 2, 3), most_passes=3, block_words=4096)
+    mixed = mix(_table(spark, sf_dir, "documents"), weights=(1, 2, 3), most_passes=3, block_words=64)
     return mixed.documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
