@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 
 from vellum.llm.components import components
-from vellum.llm.jaccard import Alike, JaccardJoin, keys, packed, shingle_sets, unpacked, without_near_copies
+from vellum.llm.jaccard import Alike, JaccardJoin, keys, shingle_sets, without_near_copies
+from vellum.llm.tiles import packed, unpacked
 
 pa = pytest.importorskip("pyarrow")
 

@@ -15,10 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.shared import text_or_empty, without_spaces, written
+from vellum.llm.shared import Sieve, hot_of, salted, spread, text_or_empty, without_spaces, written
 
-#: Salts of joins whose hot keys aren't known yet.
-SALTS = 16
 #: About as many copies go to one salt.
 COPIES_A_SALT = 256
 
@@ -39,8 +37,9 @@ def exact_dedup(
     Of equal texts the row with the most code points in the original text stays, then
     the one with the smallest id. Null texts count as empty; all empty texts are equal.
     A null id is larger than any other. Rows that repeat an id and a text are copies of
-    each other, and one of them is kept. Further columns aren't read; an empty table
-    gives no rows. Texts of one digest that differ stay apart.
+    each other, and one of them is kept. Very long texts are compared whole. Further columns
+    aren't read, whatever their names; an empty table gives no rows. Texts of one digest that
+    differ stay apart.
     """
     prepared = _prepared(df, id_column, text_column)
     plain, suspects = _suspects(prepared, digest)
@@ -64,9 +63,9 @@ def deduplicated(
     """The rows of ``df`` that exact_dedup keeps, with all their columns."""
     prepared = _prepared(df, id_column, text_column, whole=True)
     at = _suspect_ids(_digests(prepared, digest))
-    on = prepared["doc_id"].eqNullSafe(at["suspect_id"])
-    singles = prepared.join(at, on, "left_anti").select("whole.*")
-    suspects = _fetched(prepared, at, digest)
+    sieve = Sieve(at)
+    singles = sieve.others(prepared, "doc_id").select("whole.*")
+    suspects = _fetched(prepared, at, sieve, digest)
     kept = suspects.join(_members(suspects).filter("kept").select("row"), "row", "left_semi")
     return singles.unionByName(kept.select("whole.*"))
 
@@ -86,19 +85,19 @@ def _digests(prepared: DataFrame, digest: Callable[[Column], Column]) -> DataFra
 
 def _suspect_ids(digests: DataFrame) -> DataFrame:
     """Ids of rows whose digest occurs more than once, with the number of its rows."""
-    repeated = digests.groupBy("digest").agg(F.count("*").alias("rows")).filter("rows > 1")
-    repeated = repeated.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = digests.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-    found = salted.join(repeated, ["digest", "salt"]).groupBy("doc_id").agg(F.max("rows").alias("rows"))
+    counts = written(digests.groupBy("digest").agg(F.count("*").alias("rows")).filter("rows > 1"), "repeated")
+    hot = hot_of(counts, "digest", digests.count())
+    found = salted(digests.select("digest", "doc_id"), hot, "digest", "doc_id").join(spread(counts, hot, "digest"), ["digest", "__salt"])
+    found = found.groupBy("doc_id").agg(F.max("rows").alias("rows"))
     return written(found.withColumnRenamed("doc_id", "suspect_id"), "suspects")
 
 
-def _fetched(prepared: DataFrame, at: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
-    """The suspects' texts; ``row`` tells rows with the same id apart."""
-    on = prepared["doc_id"].eqNullSafe(at["suspect_id"])
+def _fetched(prepared: DataFrame, at: DataFrame, sieve: Sieve, digest: Callable[[Column], Column]) -> DataFrame:
+    """The suspects' texts; ``row`` tells rows with the same id apart. Only texts that may have copies are moved."""
     kept = [c for c in ("whole",) if c in prepared.columns]
     norm = without_spaces(F.col("body"))
-    found = prepared.join(at, on).select(
+    some = sieve.held(prepared, "doc_id")
+    found = some.join(at, some["doc_id"].eqNullSafe(at["suspect_id"])).select(
         "doc_id",
         F.monotonically_increasing_id().alias("row"),
         F.length("body").alias("points"),
@@ -114,21 +113,21 @@ def _suspects(prepared: DataFrame, digest: Callable[[Column], Column]) -> tuple[
     digests = _digests(prepared, digest)
     at = _suspect_ids(digests)
     plain = digests.join(at, digests["doc_id"].eqNullSafe(at["suspect_id"]), "left_anti")
-    return plain, _fetched(prepared, at, digest)
+    return plain, _fetched(prepared, at, Sieve(at), digest)
 
 
 def _members(suspects: DataFrame) -> DataFrame:
     """Each suspect with the row of its group that stays; equal content alone makes a group."""
-    salted = suspects.withColumn("salt", F.pmod(F.xxhash64("row"), F.col("salts")).cast("int"))
+    dealt = suspects.withColumn("salt", F.pmod(F.xxhash64("row"), F.col("salts")).cast("int"))
     place = F.struct((-F.col("points")).alias("points"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
-    merged = salted.groupBy("digest", "norm", "salt").agg(
+    merged = dealt.groupBy("digest", "norm", "salt").agg(
         F.min(place).alias("best"), F.count("*").alias("n"), F.max("salts").alias("salts")
     )
     winners = merged.groupBy("digest", "norm").agg(
         F.min("best").alias("best"), F.sum("n").alias("group_size"), F.max("salts").alias("salts")
     )
     winners = winners.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
-    return salted.join(winners, ["digest", "norm", "salt"]).select(
+    return dealt.join(winners, ["digest", "norm", "salt"]).select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
         "group_size",

@@ -26,18 +26,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm.components import components
 from vellum.llm.rolling import MULTIPLIER, OTHER, mix, prefix_sums, substring_hashes
 from vellum.llm.shared import Sieve, hot_keys, hot_of, salted, slices, spread, tidy, with_own_ids, written
+from vellum.llm.tiles import Combiner, tiles
 
 #: Sets of a tile that are compared in one task, and their shingles.
 TILE, WEIGHT = 512, 1 << 18
-#: Keys that are sorted together, those that a task holds, those of a packed array, and a key's bits in its bucket.
-BUCKET, HELD, PACKED, KEY_BITS = 1 << 20, 1 << 21, 4096, 40
 
 
 @dataclass(frozen=True)
@@ -238,57 +236,6 @@ def keys(one: np.ndarray, alike: Alike) -> np.ndarray:
     return np.concatenate(out)
 
 
-def packed(*columns: np.ndarray) -> bytes:
-    """Columns of whole numbers as bytes: each less its least, the bytes of a place together, as few as are needed."""
-    out = [len(columns[0]).to_bytes(4, "little")]
-    for column in columns:
-        low = int(column.min())
-        rest = (column.astype(np.int64) - low).view(np.uint64)
-        width = (int(rest.max()).bit_length() + 7) // 8
-        planes = np.ascontiguousarray(rest.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
-        out += [low.to_bytes(8, "little", signed=True), width.to_bytes(1, "little"), planes.tobytes()]
-    return b"".join(out)
-
-
-def unpacked(data: bytes, columns: int) -> list[np.ndarray]:
-    rows, at, out = int.from_bytes(data[:4], "little"), 4, []
-    for _ in range(columns):
-        low, width = int.from_bytes(data[at : at + 8], "little", signed=True), data[at + 8]
-        at += 9
-        wide = np.zeros((rows, 8), np.uint8)
-        wide[:, :width] = np.frombuffer(data, np.uint8, rows * width, at).reshape(width, rows).T
-        out.append(wide.view("<u8").ravel().astype(np.int64) + low)
-        at += rows * width
-    return out
-
-
-def _groups(values: np.ndarray) -> np.ndarray:
-    """Where runs of equal values begin."""
-    return np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.zeros(0, np.int64)
-
-
-def _combined(code: np.ndarray, ids: np.ndarray, buckets: int, task: int) -> Iterator[tuple[int, int, bytes]]:
-    """Rows (bucket, first key, packed entries): of each key the smallest id, and whether it has more members.
-
-    Those other members go by themselves, under a negative number, past the buckets.
-    """
-    order = np.lexsort((ids, code))
-    code, ids = code[order], ids[order]
-    first = _groups(code)
-    sizes = np.diff(np.append(first, len(code)))
-    hub = np.repeat(ids[first], sizes)
-    other = np.flatnonzero(ids != hub)
-    for a in range(0, len(other), PACKED):
-        some = other[a : a + PACKED]
-        yield -1 - task, int(code[some[0]]), packed(np.diff(code[some], prepend=code[some[0]]), ids[some], hub[some])
-    code, ids, more = code[first], ids[first], (sizes > 1).astype(np.int64)
-    ends = np.searchsorted(code >> KEY_BITS, np.arange(buckets + 1))
-    for bucket in np.flatnonzero(np.diff(ends)).tolist():
-        for a in range(int(ends[bucket]), int(ends[bucket + 1]), PACKED):
-            some = slice(a, min(a + PACKED, int(ends[bucket + 1])))
-            yield bucket, int(code[a]), packed(np.diff(code[some], prepend=code[a]) << 1 | more[some], ids[some])
-
-
 def _sets(df: DataFrame, alike: Alike) -> DataFrame:
     """Per row: size, digest and bitmap of its set."""
 
@@ -311,69 +258,15 @@ def _sets(df: DataFrame, alike: Alike) -> DataFrame:
 
 def _tiles(df: DataFrame, alike: Alike, shingles: int) -> DataFrame:
     """key, id, hub of all members of tiles with two or more. ``shingles``: about how many there are in all."""
-    buckets = max(1, -(-shingles // (2 * BUCKET)))
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, held, size = TaskContext.get().partitionId(), [], 0
-
-        def out() -> Iterator[pa.RecordBatch]:
-            found, ids = (np.concatenate(x) for x in zip(*held))
-            bucket = (found >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-            code = (bucket << np.uint64(KEY_BITS) | found & np.uint64((1 << KEY_BITS) - 1)).astype(np.int64)
-            rows = list(_combined(code, ids, buckets, task))
-            for a in range(0, len(rows), 256):
-                some = list(zip(*rows[a : a + 256], strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some[0], pa.int32()), pa.array(some[1], pa.int64()), pa.array(some[2], pa.binary())],
-                    ["bucket", "base", "entries"],
-                )
 
+    def keyed(batches: Iterator[pa.RecordBatch], combined: Combiner) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some in slices(batch, 1, 1_000_000):
                 for (one, _), doc in zip(shingle_sets(some.column(1), alike.words), some.column(0).to_pylist(), strict=True):
                     if len(one):
-                        held.append((found := keys(one, alike), np.full(len(found), doc, np.int64)))
-                        size += len(found)
-                if size >= HELD:
-                    yield from out()
-                    held, size = [], 0
-        if held:
-            yield from out()
-
-    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(code: np.ndarray, ids: np.ndarray, hub: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for a in range(0, len(code), 100_000):
-                some = [pa.array(x[a : a + 100_000]) for x in (code, ids, hub)]
-                yield pa.RecordBatch.from_arrays(some, ["key", "id", "hub"])
-
-        def together() -> Iterator[pa.RecordBatch]:
-            flagged, ids = (np.concatenate(x) for x in zip(*held))
-            order = np.lexsort((ids, flagged >> 1))
-            code, more, ids = flagged[order] >> 1, flagged[order] & 1, ids[order]
-            first = _groups(code)
-            sizes = np.diff(np.append(first, len(code)))
-            kept = np.repeat((sizes > 1) | np.logical_or.reduceat(more > 0, first), sizes)
-            yield from rows(code[kept], ids[kept], np.repeat(ids[first], sizes)[kept])
-
-        held, last = [], None
-        for batch in batches:
-            for bucket, base, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if bucket < 0:
-                    steps, ids, hub = unpacked(data, 3)
-                    yield from rows(base + np.cumsum(steps), ids, hub)
-                    continue
-                if held and bucket != last:
-                    yield from together()
-                    held = []
-                steps, ids = unpacked(data, 2)
-                held.append(((base + np.cumsum(steps >> 1)) << 1 | steps & 1, ids))
-                last = bucket
-        if held:
-            yield from together()
-
-    dealt = df.mapInArrow(tidy(keyed), "bucket int, base long, entries binary")
-    dealt = dealt.repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(tidy(met), "key long, id long, hub long")
+                        yield from combined.add(found := keys(one, alike), np.full(len(found), doc, np.int64))
+
+    return tiles(df, keyed, shingles // 2)
 
 
 def _arrays(df: DataFrame, alike: Alike) -> DataFrame:
@@ -434,17 +327,17 @@ def _blocks(rows: DataFrame) -> DataFrame:
     """
     weight = F.sum(F.greatest("n", F.lit(WEIGHT // TILE)))
     groups = rows.groupBy("key", "component_id").agg(weight.alias("weight"), F.count("*").alias("rows"))
-    tiles = groups.groupBy("key").agg(
+    found = groups.groupBy("key").agg(
         F.max(F.struct("weight", "component_id")).alias("main"), F.sum("weight").alias("weight"), F.sum("rows").alias("rows")
     )
     parts = lambda x: F.ceil(x / WEIGHT).cast("int")
-    tiles = tiles.filter("main.weight < weight AND rows > 2").select(
+    found = found.filter("main.weight < weight AND rows > 2").select(
         "key", F.col("main.component_id").alias("main"), parts(F.col("main.weight")).alias("mains"),
         parts(F.col("weight") - F.col("main.weight")).alias("others"), "rows",
     )
-    tiles = written(tiles, "unsettled")
-    hot = hot_of(tiles, "key", rows.count())
-    dealt = salted(rows, hot, "key", "id").join(spread(tiles.drop("rows"), hot, "key"), ["key", "__salt"])
+    found = written(found, "unsettled")
+    hot = hot_of(found, "key", rows.count())
+    dealt = salted(rows, hot, "key", "id").join(spread(found.drop("rows"), hot, "key"), ["key", "__salt"])
     in_main, others = F.col("component_id") == F.col("main"), F.col("others")
     # Parts of the others come first, those of the largest group after them.
     own = F.pmod(F.xxhash64("id"), F.when(in_main, F.col("mains")).otherwise(others)).cast("int")

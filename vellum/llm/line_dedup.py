@@ -16,16 +16,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vellum.llm.components import components
 from vellum.llm.linear import text_slices
 from vellum.llm.rolling import mix, prefix_sums, substring_hashes
-from vellum.llm.shared import SPACES, tidy, with_own_ids, written
+from vellum.llm.shared import SPACES, hot_of, salted, spread, tidy, with_own_ids, written
+from vellum.llm.tiles import Combiner, tiles
 
-#: Lines of one tile that are compared in one task, and salts of joins with hot lines.
-TILE, SALTS = 1024, 16
+#: Lines of one tile that are compared in one task.
+TILE = 512
 #: Classes of characters that are counted.
 COUNTS = 16
 STRIP = "".join(SPACES)
@@ -194,20 +194,18 @@ def _lines(texts: list[str | None]) -> list[str]:
     return list(dict.fromkeys(x for t in texts for line in (t or "").split("\n") if (x := line.strip(STRIP))))
 
 
-def _tiles(docs: DataFrame, near: Near) -> DataFrame:
-    """key, member of all segments and probes of all lines."""
+def _tiles(docs: DataFrame, near: Near, characters: int) -> DataFrame:
+    """key, id, hub of the segments and probes of all lines that two lines or more have."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keyed(batches: Iterator[pa.RecordBatch], combined: Combiner) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in text_slices(batch.column(0), 2_000_000):
                 keys, members = tile_keys(_lines(texts), near)
                 for a in range(0, len(keys), 500_000):
-                    some = slice(a, a + 500_000)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[some].view(np.int64)), pa.array(members[some].view(np.int64))], ["key", "member"]
-                    )
+                    yield from combined.add(keys[a : a + 500_000], members[a : a + 500_000].view(np.int64))
 
-    return docs.select("body").mapInArrow(tidy(run), "key long, member long")
+    # Some dozen segments and probes a line of some dozen characters: about a key a character.
+    return tiles(docs.select("body"), keyed, characters // 2, flags=1)
 
 
 def _facts(docs: DataFrame, needed: DataFrame, near: Near) -> DataFrame:
@@ -239,11 +237,10 @@ def _facts(docs: DataFrame, needed: DataFrame, near: Near) -> DataFrame:
 
 
 def _candidates(rows: DataFrame, near: Near) -> DataFrame:
-    """Pairs (a, b) of lines of one tile that lengths and counts of characters let be near."""
-    sized = rows.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts"))
+    """Pairs (a, b) of lines of one tile that lengths and counts of characters let be near; ``parts`` is the tile's."""
     part = F.pmod(F.xxhash64("line_id"), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    dealt = rows.join(sized, "key").withColumn("part", part).withColumn("other", other)
+    dealt = rows.withColumn("part", part).withColumn("other", other)
     dealt = dealt.select(
         "key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
         "part", "line_id", F.col("member").bitwiseAND(1).alias("offers"), "length", "counts",
@@ -300,17 +297,17 @@ def _candidates(rows: DataFrame, near: Near) -> DataFrame:
 
 def line_links(docs: DataFrame, near: Near) -> DataFrame:
     """Pairs (a, b) of ids of different lines of ``docs`` (doc, body) within the edits."""
-    tile = W.partitionBy("key")
+    characters = docs.agg(F.sum(F.length("body"))).first()[0] or 0
+    met = written(_tiles(docs, near, characters).select("key", F.col("id").alias("member")).distinct(), "members")
+    # Lines that only look for others meet nobody without one that offers its segment.
     name = F.col("member").bitwiseAND(-2)
-    shared = (
-        _tiles(docs, near)
-        .withColumn("low", F.min(name).over(tile))
-        .withColumn("high", F.max(name).over(tile))
-        .withColumn("offered", F.max(F.col("member").bitwiseAND(1)).over(tile))
-        .filter("low < high AND offered = 1")
-        .select("key", "member", name.alias("name"))
+    kinds = met.groupBy("key").agg(
+        F.min(name).alias("low"), F.max(name).alias("high"), F.max(F.col("member").bitwiseAND(1)).alias("offered"), F.count("*").alias("rows")
     )
-    shared = written(shared.distinct(), "segments")
+    kinds = written(kinds.filter("low < high AND offered = 1").select("key", "rows"), "kinds")
+    hot = hot_of(kinds, "key", met.count())
+    shared = salted(met, hot, "key", "member").join(spread(kinds, hot, "key"), ["key", "__salt"])
+    shared = written(shared.select("key", "member", name.alias("name"), F.ceil(F.col("rows") / TILE).cast("int").alias("parts")), "segments")
     facts = written(_facts(docs, shared.select("name").distinct(), near), "lines")
     rows = shared.join(facts.select("name", "line_id", "length", "counts"), "name")
     pairs = written(_candidates(rows, near), "pairs")
@@ -341,9 +338,9 @@ def line_dedup(
     lines. line_no counts all lines of the text from 0. line_id names the line's content,
     component_id the smallest content that links reach. n_links counts different lines
     within the edits, n_copies all lines of equal content. Of a component the first line
-    by document and number is kept. Null and empty texts have no lines. Rows that repeat
-    an id, or have none, are documents of their own, null last. Further columns aren't
-    read; an empty table gives no rows.
+    by document and number is kept. Null and empty texts have no lines; very long texts and
+    lines are taken whole. Rows that repeat an id, or have none, are documents of their own,
+    null last. Further columns aren't read, whatever their names; an empty table gives no rows.
     """
     docs, own = with_own_ids(df, id_column, text_column)
     lines = docs.select("doc", F.posexplode(F.split("body", "\n")).alias("line_no", "line"))
@@ -358,9 +355,9 @@ def line_dedup(
     firsts = written(firsts.withColumn("component_id", F.coalesce("component_id", "line_id")), "firsts")
     best = firsts.groupBy("component_id").agg(F.min("first").alias("first"))
     known = firsts.drop("first").join(best, "component_id")
-    known = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = lines.withColumn("salt", F.pmod(F.xxhash64("doc", "line_no"), F.lit(SALTS)).cast("int"))
-    found = salted.join(known, ["line_id", "salt"], "left")
+    hot = hot_of(firsts.select("line_id", F.col("n_copies").alias("rows")), "line_id", lines.count())
+    lines = lines.withColumn("place", F.struct("doc", "line_no"))
+    found = salted(lines, hot, "line_id", "place").join(spread(known, hot, "line_id"), ["line_id", "__salt"], "left")
     if own is None:
         found = found.withColumn("name", F.col("doc"))
     else:

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from vellum.llm.shared import bounded_batches, slices, text_or_empty, tidy
+from vellum.llm.shared import bounded_batches, give_back, slices, text_or_empty, tidy
 
 PACKED = (
     "start long, length long, ids binary, doc_tokens long, loss_tokens long, "
@@ -220,14 +220,13 @@ class PieceTokenizer:
     BETWEEN = b"\x01"
 
     def __init__(self, path: str, kept: int = 300_000):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.full, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.full = Tokenizer.from_file(path)
+        self.plain = Tokenizer(self.full.model)  # the same vocabulary in memory
         special = [t.content for t in self.full.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)) or "(?!)")
         # Plain pieces are normal already, and one word each.
-        self.plain.encode_special_tokens = True
-        self.plain.normalizer = normalizers.Sequence([])
         words = pre_tokenizers.Split(" ", "removed")
         self.plain.pre_tokenizer = pre_tokenizers.Sequence(
             [words, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
@@ -446,7 +445,7 @@ def _packer(tokenizer_path: str, limits: Limits, end_id: int, block_tokens: int,
         sequence = TaskContext.get().partitionId() << 36
         block = Examples([], [], [], [])
         for batch in batches:
-            for some in slices(batch, 1, 3_000_000) if batch.num_columns == 2 else _rows(batch, 64):
+            for some in slices(batch, 1, 1_500_000) if batch.num_columns == 2 else _rows(batch, 64):
                 spans = None
                 if batch.num_columns == 2:
                     ids, bounds = tokenizer.encode(some.column(1))
@@ -458,6 +457,7 @@ def _packer(tokenizer_path: str, limits: Limits, end_id: int, block_tokens: int,
                     out, sequence = flush(block, sequence)
                     block = Examples([], [], [], [])
                     yield out
+                    give_back()
         if block.tokens:
             yield flush(block, sequence)[0]
 

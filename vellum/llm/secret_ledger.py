@@ -14,11 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vellum.llm.shared import table_path, text_or_empty, written
-
-#: Salts of the join that brings findings to paths: copies of a blob may be a third of all rows.
-SALTS = 16
-
+from vellum.llm.shared import hot_of, salted, spread, table_path, text_or_empty, written
 
 @dataclass(frozen=True)
 class Rule:
@@ -60,21 +56,31 @@ ADDED = (
 
 
 class BlobLedger:
-    """A Parquet table of scans: blob_id, rules, spans. Each run appends its own."""
+    """A Parquet table of scans: blob_id, rules, spans, each run in a folder of its own.
+
+    A run's folder is named by what it scans, so a run that is repeated after it failed writes
+    the same folder again; folders that weren't finished aren't read.
+    """
 
     SCHEMA = "blob_id string, rules array<string>, spans array<struct<start:bigint,place:int,kind:string,end:bigint,rule:string>>"
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark, self.path = spark, path or table_path(spark, "ledger")
 
-    def _exists(self) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_SUCCESS")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+    def _finished(self) -> list[str]:
+        """The folders of finished runs: one a run, whatever their size."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(path):
+            return []
+        folders = [status.getPath() for status in files.listStatus(path)]
+        return sorted(f.toString() for f in folders if files.exists(f.suffix("/_SUCCESS")))
 
     def rows(self) -> DataFrame:
-        if not self._exists():
+        folders = self._finished()
+        if not folders:
             return self.spark.createDataFrame([], self.SCHEMA)
-        return self.spark.read.schema(self.SCHEMA).parquet(self.path)
+        return self.spark.read.schema(self.SCHEMA).parquet(*folders)
 
     def known(self) -> DataFrame:
         """One row a blob: all rule versions it was scanned with, all spans found."""
@@ -83,8 +89,8 @@ class BlobLedger:
             F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"),
         )
 
-    def append(self, scans: DataFrame) -> None:
-        scans.write.mode("append").parquet(self.path)
+    def append(self, scans: DataFrame, run: str) -> None:
+        scans.write.mode("overwrite").parquet(f"{self.path}/run-{run}")
 
 
 def scan_versions(
@@ -98,33 +104,40 @@ def scan_versions(
     """One row for each row of ``versions``: path, blob_id, spans; the ledger gets the new scans.
 
     spans holds (start, place of the rule, kind, end, rule version) by start, in code
-    points, the end exclusive. Null texts count as empty. Null and repeated paths are
-    rows like any other; an empty table gives no rows. Further columns aren't read. Only
-    spans of the given rule versions are returned, whatever else the ledger holds.
+    points, the end exclusive. Null texts count as empty, very long ones are scanned whole.
+    Null and repeated paths are rows like any other; an empty table gives no rows. Further
+    columns aren't read, whatever their names. Only spans of the given rule versions are
+    returned, whatever else the ledger holds. A new ledger holds nothing: then each distinct
+    text is scanned once.
     """
     current = F.array(*[F.lit(r.key) for r in rules])
     addressed = versions.select(
         F.col(f"`{path_column}`").alias("path"), text_or_empty(F.col(f"`{text_column}`")).alias("body")
     ).withColumn("blob_id", F.sha2("body", 256))
     paths = written(addressed.select("path", "blob_id"), "paths")
-    blobs = paths.groupBy("blob_id").agg(F.min("path").alias("chosen"))
+    blobs = written(paths.groupBy("blob_id").agg(F.min("path").alias("chosen"), F.count("*").alias("rows")), "blobs")
     known = ledger.known().select("blob_id", F.col("rules").alias("had"))
     unseen = (
-        blobs.join(known, "blob_id", "left")
+        blobs.drop("rows").join(known, "blob_id", "left")
         .withColumn("missing", F.array_except(current, F.coalesce("had", F.array().cast("array<string>"))))
         .filter(F.size("missing") > 0)
         .select(F.col("blob_id").alias("unseen_id"), "chosen", "missing")
     )
-    # The blob's own id in the key keeps rows with a null or repeated path apart.
-    on = addressed["path"].eqNullSafe(unseen["chosen"]) & (addressed["blob_id"] == unseen["unseen_id"])
-    ledger.append(_scanned(addressed.join(unseen, on).select("blob_id", "body", "missing"), rules))
+    unseen = written(unseen, "unseen")
+    pairs = F.sum(F.xxhash64("unseen_id", "missing").cast("decimal(38,0)"))
+    scanned, mark = unseen.agg(F.count("*"), F.coalesce(pairs, F.lit(0)).cast("string")).first()
+    if scanned:
+        # The blob's own id in the key keeps rows with a null or repeated path apart.
+        on = addressed["path"].eqNullSafe(unseen["chosen"]) & (addressed["blob_id"] == unseen["unseen_id"])
+        ledger.append(_scanned(addressed.join(unseen, on).select("blob_id", "body", "missing"), rules), f"{scanned}-{mark}")
     found = ledger.known().select(
         "blob_id", F.array_sort(F.filter("spans", lambda s: F.array_contains(current, s["rule"]))).alias("spans")
     )
-    found = found.filter(F.size("spans") > 0).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = paths.withColumn("salt", F.pmod(F.xxhash64("path"), F.lit(SALTS)).cast("int"))
+    found = found.filter(F.size("spans") > 0)
+    # Copies of a blob may be a third of all rows.
+    hot = hot_of(blobs, "blob_id", paths.count())
     none = F.array().cast(found.schema["spans"].dataType)
-    return salted.join(found, ["blob_id", "salt"], "left").select(
+    return salted(paths, hot, "blob_id", "path").join(spread(found, hot, "blob_id"), ["blob_id", "__salt"], "left").select(
         "path", "blob_id", F.coalesce("spans", none).alias("spans")
     )
 
