@@ -48,7 +48,7 @@ def corpus(seed):
 
 @pytest.mark.parametrize("seed,hot", [(1, 4096), (2, 2)])
 def test_removes_what_brute_force_removes(spark, monkeypatch, seed, hot):
-    monkeypatch.setattr(module, "HOT", hot)
+    monkeypatch.setattr(module, "MOST", hot)
     docs = corpus(seed)
     df = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id long, text string, body string")
     rows = suffix_dedup(df).collect()
@@ -63,6 +63,48 @@ def test_shared_cores_without_a_repeat(spark):
     assert not any(r.n_removed for r in rows)
 
 
+@pytest.mark.parametrize("most,length", [(3, 100), (3, 50), (4096, 400)])
+def test_a_line_that_many_texts_share(spark, monkeypatch, most, length):
+    monkeypatch.setattr(module, "MOST", most)
+    rng = random.Random(length)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(length - 8))
+    around = ["".join(rng.choice("xy") for _ in range(40)) for _ in range(3)]
+    docs = []
+    for i in range(40):
+        before, after = rng.choice(around)[-rng.randrange(1, 40) :], rng.choice(around)[: rng.randrange(40)]
+        docs.append((i, f"{i * 7919}{before}{line}{after}{i * 104729}" * rng.choice([1, 1, 3])))
+    rows = suffix_dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), length=length).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in rows} == brute(docs, length)
+
+
+def test_parts_of_a_long_text_hold_each_window_once(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(module, "CHUNK", 700)
+    texts = [b"x" * 2000, None, b"", b"abc", bytes(range(256)) * 5]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(texts, pa.binary())], ["doc", "body"])
+    starts = {k: [] for k in range(5)}
+    for rows, data, bounds, begins in module._chunks(batch, 100):
+        assert len(data) == bounds[-1]
+        for row, begin, size in zip(rows, begins, np.diff(bounds, prepend=0).tolist()):
+            starts[row] += range(begin, begin + size - 99)
+    assert {k: sorted(v) for k, v in starts.items()} == {k: list(range(len(t or b"") - 99)) for k, t in enumerate(texts)}
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(7)
+    long = "".join(rng.choice("abcdefghij ") for _ in range(60_000))
+    docs = [(1, long), (2, long[1000:21_000] + "!" + long[30_000:31_000]), (3, "k" + long[59_000:]), (4, "z" * 20_000)]
+    rows = suffix_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in rows} == brute(docs, 100)
+
+
+def test_lengths_that_are_not_supported(spark):
+    for length in (20, 49, 10_001):
+        with pytest.raises(ValueError):
+            suffix_dedup(spark.createDataFrame([(1, "x")], "doc_id long, text string"), length=length)
+
+
 def test_null_and_repeated_ids(spark):
     texts = [(1, "q" * 150), (None, "q" * 120), (1, "q" * 150), (2, None), (None, "")]
     rows = suffix_dedup(spark.createDataFrame(texts, "doc_id long, text string")).collect()

@@ -6,36 +6,40 @@ so equal windows have equal anchors and meet under the anchor's hash. Runs of wi
 one anchor are fragments. Only three kinds of fragments matter:
 
 * alone under their anchor: nothing is repeated;
-* equal to an earlier fragment: all their windows are repeated;
+* equal to an earlier fragment: all their windows are repeated, since the repeated interval is
+  longer than a fragment;
 * others that share an anchor: they are cut into slices by blocks aligned with the anchor,
   and slices whose core occurs again go to tasks that merge Burrows-Wheeler transforms and
   read repeated windows off the intervals.
 
-A slice that very many texts share with different surroundings would make a large task;
-its windows are compared as rows by their 128-bit hashes instead.
+A core that very many texts share with different surroundings would make a large task. Its
+slices are halved, so that their cores take in bytes of the surroundings, and meet again under
+those, until no core is shared by more than a task takes. All of them end in a transform, or
+alone.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm.bwt import merged
-from vellum.llm.rolling import mix, powers, prefix_sums, substring_hashes
-from vellum.llm.shared import tidy, with_own_ids, written
+from vellum.llm.rolling import OTHER, mix, powers, prefix_sums, substring_hashes
+from vellum.llm.shared import Sieve, hot_of, salted, spread, tidy, with_own_ids, written
+from vellum.llm.tiles import Combiner, tiles
 
 #: A k-gram's bytes; aligned blocks and how many of them every window holds.
 GRAM, BLOCK = 24, 25
 #: Bytes of a text that are taken at once, and of slices that are transformed together.
 CHUNK, BATCH = 1_500_000, 65_536
-#: Slices under one key beyond which their windows are compared as rows.
-HOT = 4096
+#: Different slices under one core that a transform takes.
+MOST = 4096
+#: The bits of a fragment's place that hold its anchor's distance and its windows, half each.
+SHAPE = 32
 
 
 def _sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
@@ -50,10 +54,10 @@ def _sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def fragments(data: np.ndarray, bounds: np.ndarray, length: int):
-    """Of texts that lie one after the other: anchor hash, content hash, start, windows, anchor's distance."""
+    """Of texts that lie one after the other: anchor hash, content hashes (64 and 31 bits), start, windows, anchor's distance."""
     none = np.zeros(0, np.int64)
     if len(data) < length:
-        return none.view(np.uint64), none.view(np.uint64), none, none, none
+        return none.view(np.uint64), none.view(np.uint64), none, none, none, none
     sums = prefix_sums(data)
     at = np.arange(len(data) - GRAM + 1)
     # The same as substring_hashes() up to the length, which is the same for all.
@@ -69,8 +73,10 @@ def fragments(data: np.ndarray, bounds: np.ndarray, length: int):
     count = np.diff(np.append(first, len(anchor)))
     first, count = first[inside[first]], count[inside[first]]
     place = anchor[first]
-    content = mix(substring_hashes(sums, first, first + count + length - 1) + (place - first).astype(np.uint64))
-    return hashes[place], content, first, count, place - first
+    ends = first + count + length - 1
+    content = mix(substring_hashes(sums, first, ends) + (place - first).astype(np.uint64))
+    check = (substring_hashes(prefix_sums(data, OTHER), first, ends) >> np.uint64(33)).astype(np.int64)
+    return hashes[place], content, check, first, count, place - first
 
 
 def _chunks(batch: pa.RecordBatch, length: int):
@@ -97,55 +103,66 @@ def _chunks(batch: pa.RecordBatch, length: int):
 
 
 def _fragments(docs: DataFrame, length: int) -> DataFrame:
-    """anchor, content, doc, place (start, anchor's distance, windows) of all fragments."""
+    """key, content, check, doc, place (start, anchor's distance, windows) of fragments that share their anchor's hash."""
+    half = SHAPE // 2
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keyed(batches: Iterator[pa.RecordBatch], combined: Combiner) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            doc = batch.column(0).to_numpy()
             for rows, data, bounds, begins in _chunks(batch, length):
-                anchor, content, start, count, far = fragments(data, bounds, length)
+                anchor, content, check, start, count, far = fragments(data, bounds, length)
                 text = np.searchsorted(bounds, start, side="right")
                 inner = start - np.concatenate(([0], bounds))[text] + np.array(begins, np.int64)[text]
-                doc = batch.column(0).take(pa.array(np.array(rows, np.int64)[text]))
-                place = (inner << 16) | (far << 8) | count
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), doc, pa.array(place)],
-                    ["key", "content", "doc", "place"],
-                )
+                place = inner << SHAPE | far << half | count
+                yield from combined.add(anchor, content.view(np.int64), check, doc[np.array(rows, np.int64)[text]], place)
+
+    total = docs.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    # A fragment has about half as many windows as a window has k-grams.
+    return tiles(docs, keyed, 2 * total // (length - GRAM + 1), columns=("content", "check", "doc", "place"), hub=False)
+
 
-    return docs.mapInArrow(tidy(run), f"key long, content long, doc {_kind(docs)}, place long")
+def _firsts(rows: DataFrame, by: list, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of rows (key, doc, place, …): the earliest of each content, the others, and how many contents each key has.
+
+    The first and the third are written; ``by`` tells contents of a key apart. Nothing gathers a
+    key's rows in one task: contents are combined where they lie, then counted.
+    """
+    first = F.min(F.struct("doc", "place")).alias("first")
+    firsts = written(rows.groupBy("key", *by).agg(first).select("key", *[c for c in by if isinstance(c, str)], "first.*"), name)
+    again = rows.select("key", "doc", "place", *[c for c in ("windows",) if c in rows.columns])
+    again = again.join(firsts.select("key", "doc", "place"), ["key", "doc", "place"], "left_anti")
+    kinds = firsts.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1")
+    return firsts, again, written(kinds, f"{name}-keys")
 
 
-def _kind(docs: DataFrame) -> str:
-    return docs.schema["doc"].dataType.simpleString()
+def _shared(firsts: DataFrame, kinds: DataFrame) -> DataFrame:
+    """``firsts`` of keys with several contents, and how many; hot keys are dealt among salts."""
+    hot = hot_of(kinds, "key", firsts.count())
+    met = salted(firsts, hot, "key", "place").join(spread(kinds, hot, "key"), ["key", "__salt"])
+    return met.drop("__salt")
 
 
-def _sorted_out(rows: DataFrame, name: str) -> DataFrame:
-    """Rows (key, content, doc, place, …) with company under their key, and whether an earlier one has the same content."""
-    group = W.partitionBy("key").orderBy("content", "doc", "place")
-    whole = W.partitionBy("key")
-    marked = (
-        rows.withColumn("again", F.coalesce(F.lag("content").over(group) == F.col("content"), F.lit(False)))
-        .withColumn("alone", F.lag("key").over(group).isNull() & F.lead("key").over(group).isNull())
-        .filter("not alone")
-        .drop("alone")
-        .withColumn("others", F.sum(F.when(F.col("again"), 0).otherwise(1)).over(whole) - 1)
-    )
-    return written(marked.filter("again or others > 0"), name)
+#: What a slice is beside its text's number, its start and its windows: bytes, and where its windows lie around the block.
+_SLICE = ["body", "lead", "low", "high"]
 
 
 def _slices(docs: DataFrame, open_fragments: DataFrame, length: int) -> DataFrame:
-    """Open fragments cut into slices, with their bytes."""
-    by_text = open_fragments.groupBy("doc").agg(F.collect_list("place").alias("places"))
-    core = length - BLOCK
+    """Open fragments (doc, place) cut into slices: key, doc, place (the start), windows and _SLICE.
+
+    A slice's windows begin from ``lead`` bytes before an aligned block on, and all of its key's
+    from ``high`` to ``low`` bytes before it. Equal windows begin equally far before their block.
+    """
+    by_text = written(open_fragments.groupBy("doc").agg(F.collect_list("place").alias("places")), "places")
+    core, half = length - BLOCK, SHAPE // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "content", "doc", "place", "windows", "body"]
+        names = ["key", "doc", "place", "windows", *_SLICE]
         for batch in batches:
             for row in range(batch.num_rows):
                 raw = batch.column(1)[row].as_buffer()
                 data = np.frombuffer(raw, np.uint8)
                 place = np.sort(batch.column(2)[row].values.to_numpy(zero_copy_only=False))
-                start, far, count = place >> 16, (place >> 8) & 255, place & 255
+                start, far, count = place >> SHAPE, (place >> half) & ((1 << half) - 1), place & ((1 << half) - 1)
                 top, low = far // BLOCK, (far - count + 1) // BLOCK
                 n = top - low + 1
                 of = np.repeat(np.arange(len(n)), n)
@@ -161,26 +178,52 @@ def _slices(docs: DataFrame, open_fragments: DataFrame, length: int) -> DataFram
                     sums = prefix_sums(data[base : int(max(e.max(), (g + GRAM).max()))])
                     key = mix(substring_hashes(sums, g - base, g - base + GRAM) + step[some].astype(np.uint64))
                     key = mix(key ^ substring_hashes(sums, c - base, c - base + core))
-                    content = mix(substring_hashes(sums, f - base, e - base) + (c - f).astype(np.uint64))
-                    bodies = [data[x:y].tobytes() for x, y in zip(f.tolist(), e.tolist(), strict=True)]
+                    # One copy of the texts' bytes for all bodies.
+                    sizes = e - f
+                    bounds = np.concatenate(([0], np.cumsum(sizes)))
+                    bodies = data[np.repeat(f - bounds[:-1], sizes) + np.arange(int(bounds[-1]))]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(key.view(np.int64)),
-                            pa.array(content.view(np.int64)),
                             batch.column(0).take(pa.array(np.full(len(f), row))),
                             pa.array(f),
-                            pa.array((e - f - length + 1)),
-                            pa.array(bodies, pa.binary()),
+                            pa.array(sizes - length + 1),
+                            pa.BinaryArray.from_buffers(
+                                pa.binary(), len(f), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(bodies)]
+                            ),
+                            pa.array((c - f).astype(np.int32)),
+                            pa.array(np.zeros(len(f), np.int32)),
+                            pa.array(np.full(len(f), BLOCK - 1, np.int32)),
                         ],
                         names,
                     )
 
-    joined = docs.join(by_text, "doc").select("doc", "body", "places")
-    return joined.mapInArrow(tidy(run), f"key long, content long, doc {_kind(docs)}, place long, windows long, body binary"
-    )
+    some = Sieve(by_text.select("doc")).perhaps(docs, "doc")
+    joined = some.join(by_text, "doc").select("doc", "body", "places")
+    return joined.mapInArrow(tidy(run), "key long, doc long, place long, windows long, body binary, lead int, low int, high int")
+
+
+def _halves(slices: DataFrame, length: int) -> DataFrame:
+    """Slices cut in two by where their windows begin, each part under the bytes that all windows there hold."""
+    middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
+    windows = F.octet_length("body") - (length - 1)
+
+    def part(low: Column, high: Column) -> Column:
+        far, near = F.least("lead", high), F.greatest(F.col("lead") - windows + 1, low)
+        skipped, count = F.col("lead") - far, far - near + 1
+        body = F.substring("body", skipped + 1, count + (length - 1))
+        # From the last window's begin to the first one's end, whatever part of them a slice has.
+        core = F.substring(body, far - low + 1, F.lit(length) - (high - low))
+        return F.struct(
+            F.xxhash64("key", low, core).alias("key"), (F.col("place") + skipped).alias("place"), count.cast("long").alias("windows"),
+            body.alias("body"), far.alias("lead"), low.alias("low"), high.alias("high"),
+        )
 
+    cut = slices.select("doc", F.explode(F.array(part(middle + 1, F.col("high")), part(F.col("low"), middle))).alias("x"))
+    return cut.select("x.key", "doc", "x.place", "x.windows", *[f"x.{c}" for c in _SLICE]).filter("windows > 0")
 
-def _covers_by_transform(slices: DataFrame, kind: str, length: int) -> DataFrame:
+
+def _covers_by_transform(slices: DataFrame, length: int) -> DataFrame:
     """doc, start, end of windows that occur earlier, from merged transforms of bounded batches."""
     dealt = slices.repartition("key").sortWithinPartitions("key")
 
@@ -230,44 +273,32 @@ def _covers_by_transform(slices: DataFrame, kind: str, length: int) -> DataFrame
         if size:
             yield out()
 
-    return dealt.select("key", "doc", "place", "body").mapInArrow(tidy(run), f"doc {kind}, start long, end long")
-
-
-def _covers_by_rows(slices: DataFrame, kind: str, length: int) -> DataFrame:
-    """The same for slices under hot keys: each window a row, compared by 128 bits of its hash."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            window, doc, start = [], [], []
-            for row, (place, body) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                for k in range(len(body) - length + 1):
-                    window.append(hashlib.blake2b(body[k : k + length], digest_size=16).digest())
-                    doc.append(row)
-                    start.append(place + k)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(window, pa.binary()), batch.column(1).take(pa.array(doc, pa.int64())), pa.array(start, pa.int64())],
-                ["window", "doc", "start"],
-            )
-
-    windows = slices.select("key", "doc", "place", "body").mapInArrow(tidy(run), f"window binary, doc {kind}, start long")
-    first = windows.groupBy("window").agg(F.min(F.struct("doc", "start")).alias("first"))
-    later = windows.join(first, "window").filter(~F.struct("doc", "start").eqNullSafe(F.col("first")))
-    return later.select("doc", "start", (F.col("start") + length).alias("end"))
+    return dealt.select("key", "doc", "place", "body").mapInArrow(tidy(run), "doc long, start long, end long")
 
 
 def removed_spans(docs: DataFrame, length: int = 100) -> DataFrame:
-    """doc, start, end (bytes) of strings that also start earlier; spans may overlap."""
-    kind = _kind(docs)
-    found = _sorted_out(_fragments(docs, length), "fragments")
-    start, windows = F.shiftright("place", 16), F.col("place").bitwiseAND(255)
-    equal = found.filter("again").select("doc", start.alias("start"), (start + windows + (length - 1)).alias("end"))
-    cut = _sorted_out(_slices(docs, found.filter("not again and others > 0"), length), "slices")
-    same = cut.filter("again").select(
-        "doc", F.col("place").alias("start"), (F.col("place") + F.col("windows") + (length - 1)).alias("end")
-    )
-    few = _covers_by_transform(cut.filter(f"not again and others > 0 and others < {HOT}"), kind, length)
-    many = _covers_by_rows(cut.filter(f"not again and others >= {HOT}"), kind, length)
-    return equal.unionByName(same).unionByName(few).unionByName(many)
+    """doc, start, end (bytes), by (how it was found) of strings that also start earlier; spans may overlap."""
+    found = written(_fragments(docs, length), "fragments")
+    shape = F.col("place").bitwiseAND((1 << SHAPE) - 1)
+    firsts, again, kinds = _firsts(found, ["content", "check", shape], "first-fragments")
+    start, windows = F.shiftright("place", SHAPE), F.col("place").bitwiseAND((1 << SHAPE // 2) - 1)
+    spans = again.select("doc", start.alias("start"), (start + windows + (length - 1)).alias("end"), F.lit("fragment").alias("by"))
+    rows = written(_slices(docs, _shared(firsts, kinds).select("doc", "place"), length), "slices")
+    few = None
+    while True:
+        # Bodies themselves are compared, not hashes of them.
+        firsts, again, kinds = _firsts(rows, _SLICE, "first-slices")
+        end = F.col("place") + F.col("windows") + (length - 1)
+        spans = spans.unionByName(again.select("doc", F.col("place").alias("start"), end.alias("end"), F.lit("slice").alias("by")))
+        met = written(_shared(firsts, kinds), "met-slices")
+        some = met.filter(F.col("rows") <= MOST).select("key", "doc", "place", "body")
+        few = some if few is None else few.unionByName(some)
+        many = met.filter(F.col("rows") > MOST)
+        if not many.limit(1).count():
+            break
+        rows = written(_halves(many, length), "halves")
+    read = _covers_by_transform(few, length).withColumn("by", F.lit("interval"))
+    return spans.unionByName(read)
 
 
 def suffix_dedup(
@@ -279,12 +310,15 @@ def suffix_dedup(
     whatever else is removed; strings never cross texts. Earlier is: in a text with a
     smaller id, or at an earlier start in the same text. Rows with a null id come last;
     rows that repeat an id come in the order of their texts. Texts shorter than ``length``
-    lose nothing. Further columns aren't read; an empty table gives no rows.
+    lose nothing; very long ones are taken in parts that overlap. Further columns aren't read,
+    whatever their names; an empty table gives no rows. ``length`` may be from 50 to 10,000.
     """
+    if not 2 * BLOCK <= length <= 10_000:
+        raise ValueError(f"length must be from {2 * BLOCK} to 10000")
     docs, names = with_own_ids(df, id_column, text_column)
     docs = docs.withColumn("body", F.col("body").cast("binary"))
     spans = written(removed_spans(docs, length), "spans")
-    by_text = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    by_text = written(spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans-of-texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -316,8 +350,12 @@ def suffix_dedup(
                 [batch.column(0), pa.array(kept, pa.binary()), *counts], ["doc_id", "kept", "n_bytes", "n_removed", "n_spans"]
             )
 
-    joined = docs.join(by_text, "doc", "left").select("doc", "body", "spans")
-    done = joined.mapInArrow(tidy(run), f"doc_id {_kind(docs)}, kept binary, n_bytes long, n_removed long, n_spans long")
+    # Texts that lose nothing stay where they are.
+    sieve = Sieve(by_text.select("doc"))
+    none = F.array().cast(by_text.schema["spans"].dataType)
+    cut = sieve.held(docs, "doc").join(by_text, "doc").select("doc", "body", "spans")
+    joined = cut.unionByName(sieve.others(docs, "doc").withColumn("spans", none))
+    done = joined.mapInArrow(tidy(run), "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
     if names is None:
         return done
     named = done.join(names, F.col("doc_id") == F.col("doc"))

@@ -52,18 +52,19 @@ def _groups(values: np.ndarray) -> np.ndarray:
 class Combiner:
     """A task's keys and members, combined whenever it holds HELD of them.
 
-    The lowest ``flags`` bits of a member say something about it: of members that differ only
-    there the one with the larger bits stays.
+    A member is a whole number, or several columns of them. The lowest ``flags`` bits of a single
+    number say something about it: of members that differ only there the one with the larger bits
+    stays.
     """
 
-    def __init__(self, buckets: int, flags: int):
-        self.buckets, self.flags, self.task = buckets, flags, TaskContext.get().partitionId()
-        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+    def __init__(self, buckets: int, flags: int, hub: bool):
+        self.buckets, self.flags, self.hub, self.task = buckets, flags, hub, TaskContext.get().partitionId()
+        self.held: list[tuple[np.ndarray, ...]] = []
         self.size = 0
 
-    def add(self, keys: np.ndarray, members: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def add(self, keys: np.ndarray, *members: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Keys are 64-bit hashes, members whole numbers."""
-        self.held.append((keys, members))
+        self.held.append((keys, *members))
         self.size += len(keys)
         if self.size >= HELD:
             yield from self.end()
@@ -71,7 +72,7 @@ class Combiner:
     def end(self) -> Iterator[pa.RecordBatch]:
         if not self.size:
             return
-        keys, members = (np.concatenate(x) for x in zip(*self.held))
+        keys, *members = (np.concatenate(x) for x in zip(*self.held))
         self.held, self.size = [], 0
         bucket = (keys >> np.uint64(32)) * np.uint64(self.buckets) >> np.uint64(32)
         code = (bucket << np.uint64(KEY_BITS) | keys & np.uint64((1 << KEY_BITS) - 1)).astype(np.int64)
@@ -83,22 +84,26 @@ class Combiner:
                 ["bucket", "base", "entries"],
             )
 
-    def _rows(self, code: np.ndarray, members: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    def _rows(self, code: np.ndarray, members: list[np.ndarray]) -> Iterator[tuple[int, int, bytes]]:
         """bucket, first key, packed entries. Members beside the smallest have a negative number, past the buckets."""
         first = _groups(code)
         sizes = np.diff(np.append(first, len(code)))
-        hub = np.repeat(members[first], sizes)
-        other = np.flatnonzero(members != hub)
+        later = np.ones(len(code), bool)
+        later[first] = False
+        other = np.flatnonzero(later)
+        gone = [*members, np.repeat(members[0][first], sizes)] if self.hub else members
         for a in range(0, len(other), PACKED):
             some = other[a : a + PACKED]
             steps = np.diff(code[some], prepend=code[some[0]])
-            yield -1 - self.task, int(code[some[0]]), packed(steps, members[some], hub[some])
-        code, members, more = code[first], members[first], (sizes > 1).astype(np.int64)
+            # Any place will do, another one for each array: a group may lie in few tasks.
+            yield -1 - (self.task * 10_007 + a // PACKED) % 1_000_003, int(code[some[0]]), packed(steps, *[m[some] for m in gone])
+        code, members, more = code[first], [m[first] for m in members], (sizes > 1).astype(np.int64)
         ends = np.searchsorted(code >> KEY_BITS, np.arange(self.buckets + 1))
         for bucket in np.flatnonzero(np.diff(ends)).tolist():
             for a in range(int(ends[bucket]), int(ends[bucket + 1]), PACKED):
                 some = slice(a, min(a + PACKED, int(ends[bucket + 1])))
-                yield bucket, int(code[a]), packed(np.diff(code[some], prepend=code[a]) << 1 | more[some], members[some])
+                steps = np.diff(code[some], prepend=code[a]) << 1 | more[some]
+                yield bucket, int(code[a]), packed(steps, *[m[some] for m in members])
 
 
 def _groups(values: np.ndarray) -> np.ndarray:
@@ -106,62 +111,67 @@ def _groups(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.zeros(0, np.int64)
 
 
-def _sorted(code: np.ndarray, members: np.ndarray, flags: int) -> tuple[np.ndarray, np.ndarray]:
+def _sorted(code: np.ndarray, members: list[np.ndarray], flags: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Keys and members in order, each member once."""
-    order = np.lexsort((members, code))
-    code, members = code[order], members[order]
+    order = np.lexsort((*members[::-1], code))
+    code, members = code[order], [m[order] for m in members]
     last = np.ones(len(code), bool)
-    last[:-1] = (code[1:] != code[:-1]) | (members[1:] >> flags != members[:-1] >> flags)
-    return code[last], members[last]
+    last[:-1] = code[1:] != code[:-1]
+    for m in members:
+        last[:-1] |= m[1:] >> flags != m[:-1] >> flags
+    return code[last], [m[last] for m in members]
 
 
 def tiles(
-    df: DataFrame, keyed: Callable[[Iterator[pa.RecordBatch], Combiner], Iterator[pa.RecordBatch]], keys: int, flags: int = 0
+    df: DataFrame, keyed: Callable[[Iterator[pa.RecordBatch], Combiner], Iterator[pa.RecordBatch]], keys: int, *,
+    flags: int = 0, columns: tuple[str, ...] = ("id",), hub: bool = True,
 ) -> DataFrame:
-    """key, id, hub of all members of keys with two or more, of a task or of all; hub is the smallest there.
+    """key, ``columns`` of all members of keys with two or more, of a task or of all; all are longs.
 
     ``keyed`` adds the keys of its batches to the combiner. ``keys``: about how many there are in
-    all. The smallest member of a task comes with the smallest of all, the others with that of
-    their task; a member that several tasks have may come several times.
+    all. With ``hub`` there is the smallest member besides: the smallest one of a task comes with
+    the smallest of all, the others with that of their task. A member that several tasks have may
+    come several times.
     """
     bounded_batches(df.sparkSession)
-    buckets = max(1, -(-keys // BUCKET))
+    buckets, names = max(1, -(-keys // BUCKET)), ["key", *columns, *(["hub"] if hub else [])]
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        combined = Combiner(buckets, flags)
+        combined = Combiner(buckets, flags, hub)
         yield from keyed(batches, combined)
         yield from combined.end()
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(*columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for a in range(0, len(columns[0]), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[a : a + 100_000]) for x in columns], ["key", "id", "hub"])
+        def rows(*values: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for a in range(0, len(values[0]), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[a : a + 100_000]) for x in values], names)
 
         def together() -> Iterator[pa.RecordBatch]:
-            flagged, ids = (np.concatenate(x) for x in zip(*held))
+            flagged, *members = (np.concatenate(x) for x in zip(*held))
             more = np.unique(flagged[flagged & 1 > 0] >> 1)
-            code, ids = _sorted(flagged >> 1, ids, flags)
+            code, members = _sorted(flagged >> 1, members, flags)
             first = _groups(code)
             sizes = np.diff(np.append(first, len(code)))
             kept = np.repeat((sizes > 1) | np.isin(code[first], more), sizes)
-            yield from rows(code[kept], ids[kept], np.repeat(ids[first], sizes)[kept])
+            smallest = [np.repeat(members[0][first], sizes)] if hub else []
+            yield from rows(*[x[kept] for x in (code, *members, *smallest)])
 
         held, last = [], None
         for batch in batches:
             for bucket, base, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if bucket < 0:
-                    steps, ids, hub = unpacked(data, 3)
-                    yield from rows(base + np.cumsum(steps), ids, hub)
+                    steps, *members = unpacked(data, len(names))
+                    yield from rows(base + np.cumsum(steps), *members)
                     continue
                 if held and bucket != last:
                     yield from together()
                     held = []
-                steps, ids = unpacked(data, 2)
-                held.append(((base + np.cumsum(steps >> 1)) << 1 | steps & 1, ids))
+                steps, *members = unpacked(data, 1 + len(columns))
+                held.append(((base + np.cumsum(steps >> 1)) << 1 | steps & 1, *members))
                 last = bucket
         if held:
             yield from together()
 
     dealt = df.mapInArrow(tidy(sent), "bucket int, base long, entries binary")
     dealt = dealt.repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(tidy(met), "key long, id long, hub long")
+    return dealt.mapInArrow(tidy(met), ", ".join(f"{n} long" for n in names))
