@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from vellum.llm.components import components
 from vellum.llm.linear import text_slices
 from vellum.llm.rolling import mix, prefix_sums, substring_hashes
-from vellum.llm.shared import SPACES, hot_of, salted, spread, tidy, with_own_ids, written
+from vellum.llm.shared import SPACES, Sieve, hot_of, salted, spread, tidy, with_own_ids, written
 from vellum.llm.tiles import Combiner, tiles
 
 #: Lines of one tile that are compared in one task.
@@ -231,7 +231,8 @@ def _facts(docs: DataFrame, needed: DataFrame, near: Near) -> DataFrame:
             counts = pa.array([c.tobytes() for c in counts], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lengths), counts], ["name", "line", "length", "counts"])
 
-    found = docs.select("body").mapInArrow(tidy(named), "name long, line string").join(needed, "name", "left_semi").distinct()
+    # Lines that meet no other aren't shuffled.
+    found = Sieve(written(needed, "names")).held(docs.select("body").mapInArrow(tidy(named), "name long, line string"), "name").distinct()
     facts = found.mapInArrow(tidy(counted), "name long, line string, length long, counts binary")
     return facts.withColumn("line_id", F.unhex(F.md5("line")))
 
