@@ -219,7 +219,7 @@ class PieceTokenizer:
     #: Stands between pieces that are encoded together.
     BETWEEN = b"\x01"
 
-    def __init__(self, path: str, kept: int = 300_000):
+    def __init__(self, path: str, kept: int = 200_000):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.full = Tokenizer.from_file(path)

@@ -36,7 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 #: Rows and bytes of an Arrow batch: documents are long, and a batch lies in memory on both sides.
-BATCH_ROWS, BATCH_BYTES = 1024, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1024, 4 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -167,6 +167,10 @@ class Sieve:
         found = marked.join(F.broadcast(self.bits), "__sieve_bucket", "left").withColumn("__sieve_byte", byte)
         return found.withColumn("__sieve_may", F.coalesce(bit, F.lit(False)))
 
+    def perhaps(self, df: DataFrame, id_column: str) -> DataFrame:
+        """The rows of ``df`` whose id the table may hold: to be joined with it."""
+        return self._own(self._marked(df, id_column).filter("__sieve_may"), df)
+
     def held(self, df: DataFrame, id_column: str) -> DataFrame:
         """The rows of ``df`` whose id the table holds; null ids match null ids."""
         some = self._marked(df, id_column).filter("__sieve_may")
