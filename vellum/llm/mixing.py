@@ -30,7 +30,7 @@ WEIGHTS = (1, 2, 3)
 CELLS = 4096
 SLOTS = 65536
 #: Documents of a source that are put in order together, about.
-RANGE = 4096
+RANGE = 512
 
 
 @dataclass(frozen=True)
