@@ -19,27 +19,52 @@ from vellum.llm.toxicity import without_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go.
+
+    Null and empty texts get the model's constant and stay, as all do without labels of both
+    classes. Very long texts are judged whole, in pieces. Repeated rows and null ids are judged
+    like any other; of labels that contradict each other 1 counts. An empty table stays empty;
+    further columns come along, whatever their names.
+    """
     return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays."""
+    """One document of each group of equal texts stays: the longest, then the one with the smallest id, null last.
+
+    Null texts are empty, and all empty texts are equal: one of them stays. Very long texts are
+    compared whole. Of rows alike in id and text one stays. An empty table stays empty; further
+    columns come along, whatever their names.
+    """
     return deduplicated(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts alike by shingles of five words stays."""
+    """One document of each group of texts alike by shingles of five words stays: the one with the smallest id.
+
+    Null and empty texts are like nothing and stay. Very long texts are compared whole. Rows that
+    share an id go together; null ids come last. An empty table stays empty; further columns come
+    along, whatever their names.
+    """
     return without_near_copies(docs, Alike(words=5, percent=80))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents come as often as their source's target takes them, up to three times."""
+    """Documents come once for each slot of the mix that begins to take them, up to three times, in the slots' order.
+
+    Documents without words aren't drawn; a null source is one of its own, the last. Very long
+    texts lie in many blocks. Rows that share an id are drawn alike. An empty table stays empty;
+    further columns come along, whatever their names.
+    """
     return repeated(docs, mix(docs, weights=(1, 2, 3), most_passes=3))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of 2048 tokens: one row a piece of a document, with its ids."""
+    """Sequences of 2048 tokens: one row a piece of a document, with its ids.
+
+    Null and empty texts are the end id alone, very long ones are cut. Repeated rows and null ids
+    are packed like any other. An empty table gives no rows; further columns aren't read.
+    """
     import public_tokenizers
 
     return pack_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), limits=Limits(2048, 256, 2048))

@@ -244,6 +244,81 @@ def test_lost_letters_come_back(spark):
 
 
 def test_tokens_as_markdown(spark):
-    rows = [("Podľa", "text", None), ("§ 5", "reference", "#paragraf-5"), ("1", "footnote", None), (")", "text", None), ("Zobraziť", "text", None), ("(", "text", None), ("daň", "text", None), (".", "text", None)]
-    tokens = F.array(*[F.struct(F.lit(t).alias("text"), F.lit(k).alias("kind"), F.lit(x).cast("string").alias("link")) for t, k, x in rows])
-    assert one(spark, render.content(tokens)) == "Podľa [§ 5](#paragraf-5)<sup>1</sup>) (daň."
+    rows = [
+        ("(2)", None, "text"), ("Podľa", None, "text"), ("§ 5", "#paragraf-5", "text"), ("1", "#poznamky.poznamka-1", "text"),
+        ("plus", None, "text"), ("button-close", None, "text"), ("Tabuľka 1", None, "caption"), ("a)", None, "text"), ("daň", None, "text"),
+        ("x", None, "text"), (", ktorá", None, "text"), ("1.", None, "text"), ("Zobraziť", None, "text"), ("(17)", None, "text"),
+    ]
+    tokens = F.array(*[F.struct(F.lit(t).alias("text"), F.lit(x).cast("string").alias("link"), F.lit(k).alias("label")) for t, x, k in rows])
+    want = "### (2)\n\nPodľa [§ 5](#paragraf-5)<sup>1</sup>)\n**a)** daň, ktorá 1. Zobraziť(17)"
+    assert one(spark, render.content(tokens)) == want
+
+
+def test_codes_are_those_of_the_page(spark):
+    from vellum.functions import text
+
+    few = {138: "Š", 140: "Ś", 141: "Ť", 142: "Ž", 150: "–", 154: "š", 156: "ś", 157: "ť", 158: "ž", 159: "ź", 165: "Ą", 169: "©",
+           175: "Ż", 179: "ł", 185: "ą", 188: "Ľ", 189: "˝", 190: "ľ", 191: "ż"}
+    upper = "ŔÁÂĂÄĹĆÇČÉĘËĚÍÎĎĐŃŇÓÔŐÖ×ŘŮÚŰÜÝŢßŕáâăäĺćçčéęëěíîďđńňóôőö÷řůúűüýţ˙"
+    want = {n: few.get(n, upper[n - 192] if n >= 192 else chr(n)) for n in range(138, 256)}
+    coded = "".join(f"/c{n}" for n in want)
+    assert one(spark, text.decoded(F.lit(coded))) == "".join(want.values())
+    assert one(spark, text.decoded(F.lit("/c248/c216/c236 /c99999999999 /c55296 /c1114112 /c128512"))) == "řŘě /c99999999999 /c55296 /c1114112 😀"
+
+
+def test_tables_about_the_law(spark):
+    from vellum.operators.tables import is_metadata, title
+
+    def judged(cells, parent=None):
+        return one(spark, is_metadata(F.array(*map(F.lit, cells)).cast("array<string>"), None if parent is None else F.lit(parent)))
+
+    assert judged(["366/1999 Z. z."]) and judged(["x", "PREDPIS MENÍ 3/2000"]) and judged(["História"])
+    assert not judged(["História práva"]) and not judged(["Odpisy podľa predpisu"]) and not judged(["História", "Ročný odpis"])
+    assert judged(["x"], 49) and not judged(["x"], 50) and not judged([], 3) and not judged(["", " "], 3)
+    assert not judged([*"abcdefghij", "História"])
+    names = (["", "Popis"], "x"), ([], "Položka č. 3"), ([], "x")
+    got = [one(spark, title(F.array(*map(F.lit, c)).cast("array<string>"), F.lit(f), F.lit(1))) for c, f in names]
+    assert got == ["Popis", "Tabuľka 2", None]
+
+
+def test_sections_that_stand_alone(spark):
+    from vellum.functions import markers
+
+    texts = {"§ 27": "27", " § 27a ": "27a", "§ 27 Rovnomerné odpisovanie": "27", "§ 26 ods. 1": None, "podľa § 27": None,
+             "§ 26 ods. 1 takto:": None, "§ 27 rovnomerné": None, "§ 27A": None, "§27": None, "§ 5 Ôsma": "5", "§ 5 ĹX": None}
+    assert {t: one(spark, markers.pure_section(F.lit(t))) for t in texts} == texts
+
+
+def test_letters_that_text_names(spark):
+    from vellum.functions import markers
+
+    def named(letter, link, before, linked=()):
+        held = F.array(*map(F.lit, linked)).cast("array<string>")
+        return one(spark, markers.is_reference(F.lit(letter), F.lit(link).cast("string"), F.lit(before), held))
+
+    assert named("f", "#paragraf-3.odsek-1.pismeno-f", "") and not named("f", "#paragraf-3.odsek-1.pismeno-g", "")
+    assert not named("f", "#paragraf-3", "text")
+    for end in ("v písmene", "písm.", "pismeno", "písmena", "písm", "PÍSM.\n"):
+        assert named("f", None, f"podľa {end}")
+    assert not named("f", None, "písmene")  # only "v písmene" ends a text
+    assert named("f", None, "podľa písm. f) a") and named("f", None, "písm f)") and not named("f", None, "podľa písm. g) a")
+    assert named("f", None, "", ["podľa písmene"]) and not named("f", None, "", ["podľa zákona"])
+
+
+def test_lines_of_introductions(spark):
+    said = "Úvod\nb) druhá\nVeľké\n3.\npokračuje\n4b. štvrtá\n\nrozumie sa týmto\nmalé\nVeľké\nďalej"
+    want = "Úvod\n\tb) druhá\n\t   Veľké\n\t\t3.\n\t\t   pokračuje\n\t\t4b. štvrtá\n\nrozumie sa týmto\n\t   malé\nVeľké\n\t   ďalej"
+    assert one(spark, render.embedded_letters(F.lit(said))) == want
+    assert one(spark, render.indented(F.lit("a\n\n b"), 2)) == "\t\ta\n\n\t\t b"
+    assert one(spark, render.marked_text(F.lit("a)"), F.lit("x \n\n y"), 2)) == "\t\ta) x\n\n\t\t   y"
+    assert one(spark, render.marked_text(F.lit("a)"), F.lit(""), 1)) == "\ta)"
+    assert one(spark, render.picture(F.lit(None).cast("string"))) == "\n![Image]\n\n"
+
+
+def test_types_and_directions(spark):
+    from vellum.functions import checks, text
+
+    known = [one(spark, checks.is_known_mimetype(F.lit(t))) for t in ("application/pdf", "text/asciidoc", "audio/mp3", "image/gif", "x/y")]
+    assert known == [True, True, True, True, False]
+    assert one(spark, text.tagged_html("p", F.lit("אב<"))) == '<p dir="rtl">אב&lt;</p>'
+    assert one(spark, text.rounded(F.lit(2.5), 0)) == 2.0 and one(spark, text.rounded(F.lit(2.55), None)) == 2.55

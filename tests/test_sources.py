@@ -42,7 +42,10 @@ def test_documents_from_json(spark, tmp_path):
 
 def test_documents_from_yaml(spark, tmp_path):
     (tmp_path / "a.yaml").write_text(json.dumps(DOCUMENT))
-    assert documents.items(documents.read_yaml(spark, str(tmp_path))).count() == 5
+    (tmp_path / "b.yaml").write_text("a: [1, {")
+    read = documents.checked(documents.read_yaml(spark, str(tmp_path)))
+    assert documents.items(read).count() == 5
+    assert sorted(str(r.problem) for r in read.collect()) == ["None", "unreadable"]
 
 
 def test_table_tokens_with_spans(spark):
@@ -84,6 +87,7 @@ def test_manifest(spark, tmp_path):
     (tmp_path / "manifest.yaml").write_text(
         "law_id: 1/2003\nannexes:\n  - {number: '1', title: A, type: external_pdf, filename: a.pdf, unknown: 1}\n  - {number: '2', local_path: /b.pdf, some_path: c.json}\n"
     )
+    (tmp_path / "other.yaml").write_text("law_id: [")
     rows = manifest.annexes(manifest.read(spark, str(tmp_path))).orderBy("ord").collect()
     assert [(r.number, r.kind) for r in rows] == [("1", "external_pdf"), ("2", "inline")]
     assert rows[0].file.endswith("/a.pdf") and rows[1].file == "/b.pdf"
@@ -133,6 +137,32 @@ def test_new_files_are_processed_once(spark, tmp_path):
     assert run() == [(1, "A"), (2, "B"), (3, "D")]
 
 
+def test_failures_and_repeated_batches(spark, tmp_path):
+    import shutil
+
+    source, target, at = (str(tmp_path / x) for x in ("in", "out", "at"))
+    schema, seen = "k long, v string", []
+    spark.createDataFrame([(1, "a"), (2, None)], schema).write.mode("append").parquet(source)
+
+    def work(rows):
+        seen.append(sorted(r.k for r in rows.collect()))
+        return rows.selectExpr("k", "upper(v) AS v", "CASE WHEN v IS NULL THEN 'no text' END AS problem")
+
+    def run():
+        incremental.process_new(spark, source, schema, work, target, at, "k").awaitTermination()
+        return sorted((r.k, r.v) for r in spark.read.parquet(target).collect())
+
+    assert run() == [(1, "A")]
+    assert tuple(incremental.summary(spark, target, "k").first()) == (1, 1)
+    # The batch's end was not noted: it is done again, in place.
+    shutil.rmtree(tmp_path / "at" / "commits")
+    assert run() == [(1, "A")]
+    spark.createDataFrame([(1, "x"), (2, "b")], schema).write.mode("append").parquet(source)
+    assert run() == [(1, "A"), (2, "B")]
+    assert seen == [[1, 2], [1, 2], [2]]
+    assert tuple(incremental.summary(spark, target, "k").first()) == (2, 0)
+
+
 def test_windows_of_a_stream(spark, tmp_path):
     source = str(tmp_path / "events")
     spark.sql("SELECT timestamp'2024-01-01 00:00:10' AS ts, 'a' AS kind UNION ALL SELECT timestamp'2024-01-01 00:06:00', 'a'").write.parquet(source)

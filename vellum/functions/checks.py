@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import mimetypes
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Types of files that documents come from.
-MIMETYPES = ("application/pdf", "text/html", "text/markdown", "text/plain", "application/json", "image/png", "image/jpeg",
-             "application/vnd.openxmlformats-officedocument.wordprocessingml.document")
+#: Types of files beside those that Python has registered.
+MORE_TYPES = (
+    "application/vnd.openxmlformats-officedocument.wordprocessingml.document",
+    "application/vnd.openxmlformats-officedocument.wordprocessingml.template",
+    "application/vnd.openxmlformats-officedocument.presentationml.template",
+    "application/vnd.openxmlformats-officedocument.presentationml.slideshow",
+    "application/vnd.openxmlformats-officedocument.presentationml.presentation",
+    "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet",
+    "text/asciidoc", "text/markdown", "text/csv", "audio/x-wav", "audio/wav", "audio/mp3",
+)
+MIMETYPES = tuple(sorted({*mimetypes.types_map.values(), *MORE_TYPES}))
 
 
 def is_named(name: Column, kind: Column, value: Column) -> Column:

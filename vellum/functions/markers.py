@@ -37,6 +37,24 @@ def paragraph(text: Column, link: Column | None = None) -> Column:
     return own if link is None else F.coalesce(extract(link, r"^#paragraf-([^.]+)"), own)
 
 
+#: The capitals that a section's title begins with.
+CAPITALS = "A-ZÁÄČĎÉÍĽŇÓÔŔŠŤÚÝŽ"
+
+
+def pure_section(text: Column) -> Column:
+    """The number of "§ N" or "§ N Title" alone; texts that name a section, or an odsek of it, have none."""
+    bare = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    own = F.coalesce(
+        extract(bare, r"(?U)^§\s+(\d+[a-z]?)$"), extract(bare, rf"(?U)^§\s+(\d+[a-z]?)\s+[{CAPITALS}].*$")
+    )
+    return F.when(bare.startswith("§") & ~F.lower(bare).contains("ods."), own)
+
+
+def pure_odsek(text: Column) -> Column:
+    """The number of "(N)" alone."""
+    return extract(F.regexp_replace(text, r"(?U)^\s+|\s+$", ""), r"(?U)^\((\d+)\)$")
+
+
 def odsek(text: Column, link: Column | None = None) -> Column:
     own = F.when(text.startswith("("), extract(text, r"^\(\s*(\d+)\s*\)"))
     return own if link is None else F.coalesce(extract(link, r"odsek-(\d+)"), own)
@@ -88,10 +106,25 @@ def remainder(text: Column) -> Column:
     return F.nullif(F.regexp_replace(text, r"(?i)^(?:\(\s*\d+\s*\)|\p{L}+\s*\)|\d+\s*\.(?=\s|$))\s*", ""), F.lit(""))
 
 
-def is_reference(letter: Column, link: Column, before: Column) -> Column:
-    """Whether "x)" is named in running text, not a marker: linked, or after "písm." or "písmene"."""
-    word = r"(?iu)(?:písm\.|písmene|písmena|písmeno)\s*"
-    open_end = before.rlike(word + "$")
-    same = F.lower(F.regexp_extract(before, word + r"(\p{L}+)\)\s*$", 1)) == letter
-    named = F.when(letter.isNotNull() & F.lower(before).contains("písm"), open_end | same)
-    return link.isNotNull() | F.coalesce(named, F.lit(False))
+#: Words that name a letter; each stands before it as a word, or ends the text before it.
+NAMES = r"písmene|písm\.|pismeno|písmena|písm"
+
+
+def is_reference(letter: Column, link: Column, before: Column, linked_before: Column | None = None) -> Column:
+    """Whether "x)" is named in running text and no marker.
+
+    So it is where its own link names the same letter; where a text just before that links to a
+    letter or a section (``linked_before``) ends in a word that names letters; where ``before``
+    ends in such a word, or names this letter.
+    """
+    target = extract(F.when(F.lower(link).contains("pismeno"), link), r"(?i)pismeno[_-]?([a-z]+)")
+    said = F.trim(F.replace(before, F.lit("\n"), F.lit(" ")))
+    named = F.transform(F.regexp_extract_all(said, F.lit(rf"(?iuU)(?:{NAMES})\s+(\p{{L}}+)\)"), F.lit(1)), lambda x: F.lower(x))
+    ends = said.rlike(r"(?iuU)(?:v\s+písmene|písm\.|pismeno|písmena|písm)\s*$")
+    tests = [F.lower(target) == F.lower(letter), F.array_contains(named, F.lower(letter)), ends]
+    if linked_before is not None:
+        tests.append(F.exists(linked_before, lambda t: F.replace(t, F.lit("\n"), F.lit(" ")).rlike(rf"(?iuU)(?:{NAMES})\s*$")))
+    any_of = F.lit(False)
+    for test in tests:
+        any_of = any_of | F.coalesce(test, F.lit(False))
+    return any_of

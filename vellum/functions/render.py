@@ -76,30 +76,95 @@ def styled(text: Column, bold: Column, italic: Column, link: Column) -> Column:
     return F.when(link.isNotNull(), F.concat(F.lit("["), text, F.lit("]("), link, F.lit(")"))).otherwise(text)
 
 
-#: Words of page controls that are no text.
-CONTROLS = ("Zobraziť", "Skryť", "Otvoriť", "Zavrieť", "Kopírovať")
+#: Names of page controls that are no text, and marks that no space stands before.
+CONTROLS = ("plus", "button-close", "button-search", "button-download", "button-print", "button-history", "button-content")
+TIGHT = (".", ",", ";", ":", "!", "?", ")", "]", "}", "(", "[", "{")
 
 
 def content(tokens: Column) -> Column:
-    """Tokens (text, kind, link) as Markdown: references as links, footnotes raised, page controls dropped.
+    """Tokens (text, link, label) of a unit as Markdown.
 
-    Marks that close a clause come without a space, as do raised numbers.
+    "(1)" to "(16)" become headings, "a)" to "j)" are bold on lines of their own, "1." to "5."
+    indented; links to sections are links, those to notes are raised. Captions, page controls
+    and single characters of running text are dropped.
     """
-    shown = F.transform(
-        F.filter(tokens, lambda t: (F.trim(t["text"]) != "") & ~F.trim(t["text"]).isin(*CONTROLS)),
+    odsek, letter, item = ([f"({k})" for k in range(1, 17)], [f"{c})" for c in "abcdefghij"], [f"{k}." for k in range(1, 6)])
+    bare = F.transform(
+        tokens,
         lambda t: F.struct(
-            F.when(t["kind"] == "footnote", F.concat(F.lit("<sup>"), F.trim(t["text"]), F.lit("</sup>")))
-            .when((t["kind"] == "reference") & t["link"].isNotNull(), F.concat(F.lit("["), F.trim(t["text"]), F.lit("]("), t["link"], F.lit(")")))
-            .otherwise(F.trim(t["text"]))
-            .alias("text"),
-            ((t["kind"] == "footnote") | F.trim(t["text"]).rlike(r"^[,.;:)\]]")).alias("tight"),
+            F.regexp_replace(t["text"], r"(?U)^\s+|\s+$", "").alias("text"), F.coalesce(t["link"], F.lit("")).alias("link"),
+            F.coalesce(t["label"], F.lit("")).alias("label"),
         ),
     )
-    folded = F.aggregate(
-        shown,
-        F.lit(""),
-        lambda text, t: F.when((text == "") | t["tight"] | text.rlike(r"[(\[]$"), F.concat(text, t["text"])).otherwise(
-            F.concat(text, F.lit(" "), t["text"])
-        ),
-    )
-    return F.regexp_replace(F.regexp_replace(folded, r"[ \t]+", " "), r"\n{3,}", "\n\n")
+    shown = F.filter(bare, lambda t: (t["text"] != "") & ~t["text"].isin(*CONTROLS) & (t["label"] != "caption"))
+
+    def said(text: Column, t: Column) -> Column:
+        own = t["text"]
+        space = F.when((text != "") & ~text.rlike(r"[ \n]$") & ~F.left(own, F.lit(1)).isin(*TIGHT), " ").otherwise("")
+        section = t["link"].contains("paragraf-") & ~t["link"].contains("poznamky")
+        return F.concat(
+            text,
+            F.when(own.isin(*odsek), F.concat(F.lit("\n\n### "), own, F.lit("\n\n")))
+            .when(own.isin(*letter), F.concat(F.lit("\n**"), own, F.lit("** ")))
+            .when(own.isin(*item), F.concat(F.lit("    "), own, F.lit(" ")))
+            .when(section, F.concat(F.lit(" ["), own, F.lit("]("), t["link"], F.lit(")")))
+            .when(t["link"].contains("poznamky.poznamka"), F.concat(F.lit("<sup>"), own, F.lit("</sup>)")))
+            .when(F.length(own) > 1, F.concat(space, own))
+            .otherwise(""),
+        )
+
+    folded = F.aggregate(shown, F.lit(""), said)
+    for pattern, by in ((r" +", " "), (r" \n", "\n"), (r"\n{3,}", "\n\n"), (r"(?U)^\s+|\s+$", "")):
+        folded = F.regexp_replace(folded, pattern, by)
+    return folded
+
+
+def indented(text: Column, level: int) -> Column:
+    """Lines that hold anything after ``level`` tabs."""
+    return F.regexp_replace(text, r"(?m)^(?=.*\S)", "\t" * level)
+
+
+def marked_text(marker: Column, text: Column, level: int) -> Column:
+    """A marker and its text after ``level`` tabs; further lines begin where the text does, empty ones stay empty."""
+    tabs = F.lit("\t" * level)
+    lines = F.transform(F.split(text, "\n", -1), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", ""))
+    beside = F.concat(tabs, F.repeat(F.lit(" "), F.length(marker) + 1))
+    later = F.transform(F.slice(lines, F.lit(2), F.size(lines)), lambda x: F.when(x == "", "").otherwise(F.concat(beside, x)))
+    whole = F.array_join(F.concat(F.array(F.concat(tabs, marker, F.lit(" "), F.element_at(lines, 1))), later), "\n")
+    return F.when(F.coalesce(text, F.lit("")) == "", F.concat(tabs, marker)).otherwise(whole)
+
+
+def embedded_letters(text: Column) -> Column:
+    """An introduction that holds letters and numbers of its own, line by line: letters after a tab, numbers after two.
+
+    What continues a letter or a number is aligned with its text. After "sa rozumie" terms are
+    defined: lines in small letters, and all after the first other line, continue a term.
+    """
+    letter, alone, number = r"^([a-z])\)\s*(.*)$", r"(?U)^(\d+[a-z]?)\.\s*$", r"(?U)^(\d+[a-z]?)\.\s+(.+)$"
+    state = lambda lines, depth, terms: F.struct(lines.alias("lines"), depth.alias("depth"), terms.alias("terms"))
+
+    def step(s: Column, line: Column) -> Column:
+        part = lambda pattern, k: F.regexp_extract(line, pattern, k)
+        add = lambda x: F.concat(s["lines"], F.array(x))
+        two, none, yes = F.lit(2), F.lit(0), F.lit(True)
+        first = F.left(line, F.lit(1))
+        capital = (F.upper(first) == first) & (F.lower(first) != first)
+        return (
+            F.when(line == "", state(add(F.lit("")), s["depth"], s["terms"]))
+            .when(line.rlike(letter), state(add(F.concat(F.lit("\t"), part(letter, 1), F.lit(") "), part(letter, 2))), F.lit(1), yes))
+            .when(line.rlike(alone), state(add(F.concat(F.lit("\t\t"), part(alone, 1), F.lit("."))), two, s["terms"]))
+            .when(line.rlike(number), state(add(F.concat(F.lit("\t\t"), part(number, 1), F.lit(". "), part(number, 2))), two, s["terms"]))
+            .when(line.contains("sa rozumie") | line.contains("rozumie sa"), state(add(line), none, yes))
+            .when(s["depth"] == 2, state(add(F.concat(F.lit("\t\t   "), line)), two, s["terms"]))
+            .when((s["depth"] == 1) | (s["terms"] & ~capital), state(add(F.concat(F.lit("\t   "), line)), s["depth"], s["terms"]))
+            .otherwise(state(add(line), F.when(s["terms"], 1).otherwise(s["depth"]), s["terms"]))
+        )
+
+    lines = F.transform(F.split(text, "\n", -1), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", ""))
+    start = state(F.array().cast("array<string>"), F.lit(0), F.lit(False))
+    return F.when(text == "", "").otherwise(F.array_join(F.aggregate(lines, start, step)["lines"], "\n"))
+
+
+def picture(caption: Column) -> Column:
+    """A picture's place in Markdown: its caption, or a word for it."""
+    return F.concat(F.lit("\n!["), F.coalesce(F.nullif(caption, F.lit("")), F.lit("Image")), F.lit("]\n\n"))

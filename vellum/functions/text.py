@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 #: Letters with marks of the closed set that statutes use, and their plain ones.
 MARKED = "áäâàãčçďéěëêèíîïĺľňñóôöőõŕřšťúůüűùûýÿž"
 PLAIN = "aaaaaccdeeeeeiiillnnooooorrstuuuuuuyyz"
-#: Codes of the code page for Central Europe that differ from the code point.
-CODES = {138: "Š", 141: "Ť", 142: "Ž", 154: "š", 157: "ť", 158: "ž", 188: "Ľ", 190: "ľ", 200: "Č", 207: "Ď", 210: "Ň",
-         232: "č", 239: "ď", 242: "ň", 224: "ŕ", 229: "ĺ", 197: "Ĺ", 192: "Ŕ"}
+#: The codes that are bytes of the code page for Central Europe, 1250; all others are code points.
+CENTRAL = (138, 140, 141, 142, 150, 154, 156, 157, 158, 159, 165, 169, 175, 179, 185, *range(188, 256))
 
 
 def fold(text: Column) -> Column:
@@ -36,14 +35,19 @@ def find_all(text: Column, pattern: str, group: int = 0) -> Column:
 
 
 def decoded(text: Column) -> Column:
-    """``/cN`` as the character of code N: the code page's where it differs, else the code point's."""
-    table = F.create_map(*[F.lit(x) for pair in CODES.items() for x in pair])
-    letter = lambda n: F.coalesce(
-        F.element_at(table, n), F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    """``/cN`` as the character of code N: by the code page for CENTRAL, else the code point's.
+
+    Numbers that are no code point stay as they are.
+    """
+    table = F.create_map(*[F.lit(x) for n in CENTRAL for x in (n, bytes([n]).decode("cp1250"))])
+    point = lambda n: F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    valid = lambda n: n.between(0, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+    letter = lambda c, n: F.coalesce(
+        F.element_at(table, n), F.when(valid(n), point(n)), F.concat(F.lit("/c"), c)
     )
     codes = F.regexp_extract_all(text, F.lit(r"/c(\d+)"), F.lit(1))
     parts = F.split(text, r"/c\d+", -1)
-    tail = F.transform(codes, lambda c, i: F.concat(letter(c.cast("int")), F.element_at(parts, i + 2)))
+    tail = F.transform(codes, lambda c, i: F.concat(letter(c, c.try_cast("int")), F.element_at(parts, i + 2)))
     return F.concat(F.element_at(parts, 1), F.array_join(tail, ""))
 
 
@@ -109,3 +113,26 @@ def line_number(text: Column, offset: Column) -> Column:
 
 def sanitised(name: Column) -> Column:
     return F.translate(name, "/ ", "__")
+
+
+def rounded(value: Column, digits: int | None) -> Column:
+    """Halves to the even neighbour; without ``digits`` as it is."""
+    return value if digits is None else F.bround(value, digits)
+
+
+def tagged_html(tag: str, text: Column, attributes: dict[str, Column] | None = None) -> Column:
+    """An HTML element with its text escaped and, for text from right to left, its direction."""
+    given = [F.concat(F.lit(f' {k}="'), v, F.lit('"')) for k, v in (attributes or {}).items()]
+    way = F.when(direction(text) == "rtl", ' dir="rtl"').otherwise("")
+    return F.concat(F.lit(f"<{tag}"), *given, way, F.lit(">"), html_escaped(text), F.lit(f"</{tag}>"))
+
+
+def relative_path(source: Column, target: Column) -> Column:
+    """The way from one absolute path to another: up to where they part, then down; null for other paths."""
+    parts = lambda path: F.filter(F.split(path, "/"), lambda p: (p != "") & (p != "."))
+    a, b = parts(source), parts(target)
+    apart = F.filter(F.sequence(F.lit(0), F.least(F.size(a), F.size(b))), lambda k: ~F.coalesce(F.get(a, k) == F.get(b, k), F.lit(False)))
+    n = F.element_at(apart, 1)
+    up, down = F.array_repeat(F.lit(".."), F.size(a) - n), F.slice(b, n + 1, F.size(b))
+    way = F.array_join(F.concat(up, down), "/")
+    return F.when(source.startswith("/") & target.startswith("/"), F.when(way == "", ".").otherwise(way))

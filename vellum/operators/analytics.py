@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -80,3 +80,35 @@ def run_times(runs: DataFrame, by: str, seconds: str) -> DataFrame:
 def same_rows(a: DataFrame, b: DataFrame) -> Column | bool:
     """Whether both hold the same rows, as often."""
     return a.exceptAll(b).limit(1).count() == 0 and b.exceptAll(a).limit(1).count() == 0
+
+
+def post_processed(items: DataFrame, patterns: dict[str, str]) -> DataFrame:
+    """doc_id, paragraphs and parts (all different ones, sorted), and the first position of each search pattern.
+
+    One aggregation serves them all; each pattern is looked for in all of a document.
+    """
+    from vellum.functions import markers as m
+
+    text = m.normalised(F.col("text"))
+    hits = [F.min(F.when(F.col("text").contains(sought), F.col("pos"))).alias(name) for name, sought in patterns.items()]
+    every = lambda c: F.sort_array(F.collect_set(c))
+    return items.groupBy("doc_id").agg(every(m.paragraph(text)).alias("paragraphs"), every(m.part(text)).alias("parts"), *hits)
+
+
+def unique_spans(spans: DataFrame, by: str) -> DataFrame:
+    """Spans (by, seq, node), each node where it comes first."""
+    return spans.groupBy(by, "node").agg(F.min("seq").alias("seq"))
+
+
+def aliased(rows: DataFrame, names: dict[str, str]) -> DataFrame:
+    """``rows`` under their outer names; other columns keep theirs."""
+    return rows.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in rows.columns])
+
+
+def observed(rows: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, Observation]:
+    """``rows``, and an observation that has their number and ``measures`` when an action on them has ended.
+
+    Progress and timings of stages are in Spark's event log.
+    """
+    observation = Observation(name)
+    return rows.observe(observation, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in measures.items()]), observation

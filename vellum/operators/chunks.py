@@ -7,7 +7,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 CHUNK_LEVELS = ("pismeno", "odsek", "paragraph", "part")
-_INDENT = {"part": 0, "paragraph": 0, "odsek": 0, "pismeno": 1, "subitem": 2}
 
 
 def unit_chunks(all_units: DataFrame, level: str, emit_leaf: bool = False) -> DataFrame:
@@ -104,3 +103,32 @@ def page_chunks(items: DataFrame, separator: str = "\n\n") -> DataFrame:
 def contextualised(chunks: DataFrame, separator: str = "\n") -> DataFrame:
     """The text to embed: headings, then the chunk."""
     return chunks.withColumn("context", F.concat_ws(separator, F.nullif(F.col("path"), F.lit("")), F.col("text")))
+
+
+def identified(all_units: DataFrame, level: str, identifier: str) -> DataFrame:
+    """The chunks of ``level`` that ``identifier`` names ("5", "5.1", "5.1.a"), with what they refer to.
+
+    doc_id, chunk_id, content, references (type, target, position) and footnotes (number, text):
+    of several marks of one footnote one.
+    """
+    from vellum.functions import refs
+
+    name = {"paragraph": "paragraf"}.get(level, level)
+    wanted = unit_chunks(all_units, level, emit_leaf=True).filter(F.col("chunk_id") == f"{name}-{identifier}")
+    found = wanted.select("doc_id", "chunk_id", "content", refs.references(F.col("content")).alias("references"))
+    marks = F.transform(refs.footnote_marks(F.col("content")), lambda m: F.regexp_extract(m["marker"], r"(\d+)", 1))
+    numbers = found.select("doc_id", "chunk_id", F.explode(F.array_distinct(F.filter(marks, lambda m: m != ""))).alias("number"))
+    notes = all_units.filter("level = 'footnote'").select(
+        "doc_id", F.regexp_replace("unit_id", "^footnote-", "").alias("number"), F.col("text").alias("note")
+    )
+    said = numbers.join(notes, ["doc_id", "number"]).groupBy("doc_id", "chunk_id").agg(
+        F.sort_array(F.collect_list(F.struct("number", F.col("note").alias("text")))).alias("footnotes")
+    )
+    none = F.array().cast(said.schema["footnotes"].dataType)
+    return found.join(said, ["doc_id", "chunk_id"], "left").withColumn("footnotes", F.coalesce("footnotes", none))
+
+
+def generated(chunks: DataFrame, column: str = "text") -> DataFrame:
+    """Chunks that say something: neither empty nor of an unknown element."""
+    said = F.regexp_replace(F.col(column), r"(?U)^\s+|\s+$", "")
+    return chunks.filter(F.coalesce((said != "") & (said != "<unknown>"), F.lit(False)))

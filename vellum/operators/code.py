@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 
 CHUNK = "seq long, type string, name string, docstring string, start_line int, end_line int, sha256 string, text string"
 #: Words of comments that are licences, not code.
-LICENCE = ("copyright", "license", "licence", "all rights reserved", "spdx")
+LICENCE = ("copyright", "license", "licensed under", "all rights reserved")
 
 
 def _imports(tree: ast.Module, lines: list[str]) -> list[tuple[set[str], str]]:

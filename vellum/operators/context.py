@@ -19,6 +19,24 @@ def asof_context(items: DataFrame) -> DataFrame:
     )
 
 
+def table_context(nodes: DataFrame) -> DataFrame:
+    """doc_id, pos, section, subsection of each table: the last "§ N" before it and the last "(N)" after that.
+
+    nodes: doc_id, pos in reading order, kind, text, in_group. Only markers that stand alone, with
+    a title at most, count, and none within groups: those are references in running text.
+    """
+    order = W.partitionBy("doc_id").orderBy("pos").rowsBetween(W.unboundedPreceding, W.currentRow)
+    outside = (F.col("kind") == "text") & ~F.col("in_group")
+    # Few texts are markers: the patterns run where the first character allows it.
+    section = F.when(outside & F.ltrim("text").startswith("§"), m.pure_section(F.col("text")))
+    odsek = F.when(outside & F.ltrim("text").startswith("("), m.pure_odsek(F.col("text")))
+    rows = nodes.withColumn("s", section).withColumn("n", odsek)
+    last = lambda c: F.last(F.when(F.col(c).isNotNull(), F.struct("pos", F.col(c).alias("no"))), ignorenulls=True).over(order)
+    rows = rows.select("doc_id", "pos", "kind", last("s").alias("s"), last("n").alias("n")).filter("kind = 'table'")
+    within = F.col("n.pos") > F.coalesce(F.col("s.pos"), F.lit(-1))
+    return rows.select("doc_id", "pos", F.col("s.no").alias("section"), F.when(within, F.col("n.no")).alias("subsection"))
+
+
 def last_before(rows: DataFrame, by: str, order: list[str], when, value: str, name: str) -> DataFrame:
     """``rows`` with the value of the last row that meets ``when``, itself included."""
     window = W.partitionBy(by).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -47,20 +65,25 @@ def resolved_one_level(all_units: DataFrame) -> DataFrame:
     """References to paragraphs with the target's text and what that refers to in its turn.
 
     A paragraph's reference to itself is left out; the target's own are distinct, by position.
-    Targets that are missing stay, with nulls.
+    Targets that are missing stay, with nulls. Units are made once: each brings its distinct
+    references along, and paragraphs meet the references as one small table.
     """
-    found = references(all_units).filter("type = 'paragraph'")
-    targets = all_units.filter("level = 'paragraph'").select(
+    named = F.array_distinct(
+        F.transform(F.filter(refs.references(F.col("text")), lambda r: r["type"] == "paragraph"), lambda r: r["target"])
+    )
+    own = F.filter(named, lambda t: F.concat(F.lit("paragraf-"), t) != F.col("unit_id"))
+    asked = F.when(F.col("text").contains("§"), own)
+    rows = all_units.select("doc_id", "unit_id", "level", "text", asked.alias("targets"))
+    # One exchange by document and paragraph brings references and targets together.
+    sought = rows.filter(F.size("targets") > 0).select("doc_id", "unit_id", F.explode("targets").alias("target"))
+    held = rows.filter("level = 'paragraph'").select(
         "doc_id", F.regexp_replace("unit_id", "^paragraf-", "").alias("target"), F.col("unit_id").alias("target_id"),
         F.col("text").alias("target_text"),
+        F.when(F.size("targets") > 0, F.array_join(F.array_sort("targets"), ",")).alias("target_refers_to"),
     )
-    nested = (
-        found.filter(F.concat(F.lit("paragraf-"), "target") != F.col("unit_id"))
-        .groupBy("doc_id", F.col("unit_id").alias("target_id"))
-        .agg(F.array_join(F.array_sort(F.collect_set("target")), ",").alias("target_refers_to"))
+    return sought.join(held, ["doc_id", "target"], "left").select(
+        "doc_id", "unit_id", "target", "target_id", "target_text", "target_refers_to"
     )
-    own = found.filter(F.concat(F.lit("paragraf-"), "target") != F.col("unit_id")).select("doc_id", "unit_id", "target").distinct()
-    return own.join(targets, ["doc_id", "target"], "left").join(nested, ["doc_id", "target_id"], "left")
 
 
 def resolved_footnotes(all_units: DataFrame) -> DataFrame:

@@ -50,16 +50,20 @@ def zones(items: DataFrame) -> DataFrame:
 def marked(items: DataFrame, guard: bool = True) -> DataFrame:
     """zones() with the marker's ``level`` and ``marker`` (null level: content).
 
-    Part goes before paragraph, pismeno, odsek and subitem. A linked element is content:
-    it refers to a unit. ``guard``: a letter that running text before it names isn't a marker.
+    Part goes before paragraph, pismeno, odsek and subitem. A linked "§ N" or "(N)" is content:
+    it refers to a unit. ``guard``: a letter that its link or running text before it names isn't
+    a marker.
     """
     rows = zones(items)
     text, link = F.col("text"), F.col("hyperlink")
-    before = F.array_join(F.collect_list("text").over(_order().rowsBetween(-3, -1)), " ")
+    near = _order().rowsBetween(-3, -1)
+    before = F.array_join(F.collect_list("text").over(near), " ")
+    to_unit = F.lower(link).contains("pismeno") | F.lower(link).contains("paragraf")
+    linked = F.collect_list(F.when(to_unit, text)).over(near)
     free, main = link.isNull(), F.col("zone") == "main"
     # Each marker is a column of its own, so its pattern runs once an element.
     rows = (
-        rows.withColumn("_before", before if guard else F.lit(""))
+        rows.withColumns({"_before": before, "_linked": linked} if guard else {})
         .withColumn("_part", F.when(main, m.part(text)))
         .withColumn("_paragraph", F.when(main & free, m.paragraph(text)))
         .withColumn("_letter", F.when(main, m.pismeno(text)))
@@ -68,7 +72,7 @@ def marked(items: DataFrame, guard: bool = True) -> DataFrame:
         .withColumn("_footnote", F.when(F.col("zone") == "notes", m.footnote(text, link)))
     )
     if guard:
-        reference = m.is_reference(F.col("_letter"), link, F.col("_before"))
+        reference = m.is_reference(F.col("_letter"), link, F.col("_before"), F.col("_linked"))
         rows = rows.withColumn("_letter", F.when(~reference, F.col("_letter")))
     order = {
         "footnote": "_footnote", "annex": "annex", "part": "_part", "paragraph": "_paragraph", "pismeno": "_letter",
@@ -79,7 +83,7 @@ def marked(items: DataFrame, guard: bool = True) -> DataFrame:
     level = F.coalesce(*[F.when(value(c).isNotNull(), F.lit(k)) for k, c in order.items()])
     marker = F.coalesce(*[value(c) for c in order.values()])
     own = [c for c in order.values() if c.startswith("_")]
-    return rows.withColumn("level", level).withColumn("marker", marker).drop("_before", *own)
+    return rows.withColumn("level", level).withColumn("marker", marker).drop("_before", "_linked", *own)
 
 
 LEVELS = ("part", "paragraph", "odsek", "pismeno", "subitem")

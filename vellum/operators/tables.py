@@ -8,9 +8,18 @@ from pyspark.sql import functions as F
 
 from vellum.functions.text import fold, html_escaped
 
-#: Words of table headers that make a table metadata, not law.
-METADATA = ("vyhlásené znenie", "časová verzia", "predpis", "účinnosť od", "účinnosť do", "novela", "dátum", "autor", "zbierka", "história", "verzia")
-LEGAL = ("odpisová skupina", "doba odpisovania", "položka", "sadzba", "príloha")
+#: What a cell of a table about the law itself begins with, and what a cell of a law's table holds.
+METADATA = (
+    r"^História$", r"^Číslo predpisu", r"^Predpis ruší", r"^\d+/\d{4}\s+Z\.\s*z\.", r"^Súvisiace predpisy",
+    r"^Vykonávacie predpisy", r"^Novelizované znenie", r"^Účinnosť od", r"^Dátum účinnosti", r"^Predpis mení",
+    r"^Predpis dopĺňa",
+)
+LEGAL = (
+    r"Odpisová skupina", r"Doba odpisovania", r"Ročný odpis", r"Koeficient", r"Sadzba", r"Príloha č\.",
+    r"Počet vyživovaných", r"Daňový bonus", r"Nezdaniteľná", r"Základ dane",
+)
+#: Tables that hang on one of the first texts of a document tell about it.
+FIRST_TEXTS = 50
 
 
 def densified(cells: DataFrame) -> DataFrame:
@@ -98,26 +107,46 @@ def without_rows(cells: DataFrame, gone: Column) -> DataFrame:
     return kept.withColumn("r1", F.col("r0") + 1)
 
 
-def is_metadata(first_cells: Column) -> Column:
-    """By the first ten cells: words of law go before words of metadata."""
-    cells = F.transform(F.slice(first_cells, 1, 10), lambda c: F.lower(c))
-    has = lambda words: F.exists(cells, lambda c: c.rlike("|".join(words)))
-    return F.when(has(LEGAL), F.lit(False)).otherwise(has(METADATA))
+def is_metadata(first_cells: Column, parent_text: Column | None = None) -> Column:
+    """By the first ten cells: words of law go before words of metadata.
+
+    Where neither tells, a table whose parent is one of the first texts (``parent_text``, its
+    index) is metadata. A table without text isn't.
+    """
+    cells = F.filter(F.transform(F.slice(first_cells, 1, 10), lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+$", "")), lambda c: c != "")
+    has = lambda words: F.exists(cells, lambda c: c.rlike("(?iuU)" + "|".join(words)))
+    early = F.lit(False) if parent_text is None else F.coalesce(parent_text < FIRST_TEXTS, F.lit(False))
+    return F.when(F.coalesce(F.size(cells), F.lit(0)) <= 0, False).when(has(LEGAL), False).otherwise(has(METADATA) | early)
+
+
+def title(captions: Column, first_cell: Column, place: Column) -> Column:
+    """The first caption with text; else "Tabuľka" and its number where the first cell names a group or an item."""
+    caption = F.get(F.filter(captions, lambda c: F.coalesce(c, F.lit("")) != ""), F.lit(0))
+    named = first_cell.contains("Odpisová skupina") | first_cell.contains("Položka")
+    return F.coalesce(caption, F.when(named, F.concat(F.lit("Tabuľka "), (place + 1).cast("string"))))
 
 
 def best_header_match(texts: DataFrame, tables: DataFrame, least: float = 0.5) -> DataFrame:
     """For each text the table whose words hold most of the text's, if ``least`` of them at least.
 
-    texts: text_id, text; tables: table_id, header. Only pairs that share a word meet: an
-    equi-join of words, pre-aggregated, not all pairs. Ties go to the smaller table id.
+    texts: text_id, text; tables: table_id, header. A table that holds so many of a text's words
+    holds one of its rarest ones, more than may lack: only those words are joined, so a word that
+    all headers have brings no pairs unless a text has little else. Ties go to the smaller id.
     """
-    words = lambda rows, key, text: rows.select(
-        key, F.explode(F.array_distinct(F.split(fold(F.col(text)), " "))).alias("word")
-    ).filter("word <> ''")
-    mine = words(texts, "text_id", "text")
-    size = mine.groupBy("text_id").agg(F.count("*").alias("words"))
-    shared = mine.join(words(tables, "table_id", "header"), "word").groupBy("text_id", "table_id").agg(F.count("*").alias("common"))
-    scored = shared.join(size, "text_id").filter(F.col("common") >= least * F.col("words"))
+    said = lambda text: F.filter(F.array_distinct(F.split(fold(F.col(text)), " ")), lambda w: w != "")
+    mine = texts.select("text_id", said("text").alias("mine"))
+    theirs = tables.select("table_id", said("header").alias("theirs"))
+    held = theirs.select("table_id", F.explode("theirs").alias("word"))
+    common = held.groupBy("word").agg(F.count("*").alias("tables"))
+    ranked = mine.select("text_id", F.size("mine").alias("words"), F.explode("mine").alias("word")).join(common, "word", "left")
+    rarest = W.partitionBy("text_id").orderBy(F.coalesce("tables", F.lit(0)), "word")
+    few = F.row_number().over(rarest) <= F.col("words") - F.ceil(F.lit(least) * F.col("words")) + 1
+    asked = ranked.withColumn("few", few).filter("few AND tables > 0").select("text_id", "word")
+    pairs = asked.join(held, "word").select("text_id", "table_id").distinct()
+    met = pairs.join(mine, "text_id").join(theirs, "table_id")
+    scored = met.select(
+        "text_id", "table_id", F.size(F.array_intersect("mine", "theirs")).cast("long").alias("common"), F.size("mine").cast("long").alias("words")
+    ).filter((F.col("common") > 0) & (F.col("common") >= least * F.col("words")))
     best = scored.groupBy("text_id").agg(F.max_by(F.struct("table_id", "common", "words"), F.struct("common", -F.col("table_id"))).alias("b"))
     return best.select("text_id", "b.table_id", "b.common", "b.words")
 

@@ -129,13 +129,22 @@ def latex_render(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", render.latex(F.lit("section_header"), body, F.lit(2)).alias("tex"))
 
 
+#: The upper half of code page 1250, letter by letter, for the SQL.
+_UPPER = "ŔÁÂĂÄĹĆÇČÉĘËĚÍÎĎĐŃŇÓÔŐÖ×ŘŮÚŰÜÝŢßŕáâăäĺćçčéęëěíîďđńňóôőö÷řůúűüýţ˙"
+
+
 @query(
     "code_decode",
-    "SELECT p_partkey, p_brand || chr(350 + (p_partkey % 30)::INTEGER) || CASE p_partkey % 3 WHEN 0 THEN 'ľ' WHEN 1 THEN 'š' ELSE 'a' END || '!' AS decoded FROM part",
+    f"""SELECT p_partkey, p_brand || chr(350 + (p_partkey % 30)::INTEGER) || CASE
+  WHEN code = 140 THEN 'Ś' WHEN code = 150 THEN '–' WHEN code = 154 THEN 'š' WHEN code = 189 THEN '˝' WHEN code = 190 THEN 'ľ'
+  WHEN code >= 192 THEN substring('{_UPPER}', code - 191, 1) ELSE chr(code) END || '/c99999999999!' AS decoded
+FROM (SELECT *, (CASE p_partkey % 9 WHEN 0 THEN 140 WHEN 1 THEN 150 WHEN 2 THEN 154 WHEN 3 THEN 189 WHEN 4 THEN 190 WHEN 5 THEN 97
+  ELSE 192 + p_partkey % 64 END)::INTEGER AS code FROM part)""",
 )
 def code_decode(spark, sf_dir):
-    special = F.when(F.col("p_partkey") % 3 == 0, "190").when(F.col("p_partkey") % 3 == 1, "154").otherwise("97")
-    coded = F.concat("p_brand", F.lit("/c"), (F.col("p_partkey") % 30 + 350).cast("string"), F.lit("/c"), special, F.lit("!"))
+    key = F.col("p_partkey")
+    special = F.coalesce(F.get(F.array(*[F.lit(c) for c in (140, 150, 154, 189, 190, 97)]).cast("array<bigint>"), (key % 9).cast("int")), 192 + key % 64)
+    coded = F.concat("p_brand", F.lit("/c"), (key % 30 + 350).cast("string"), F.lit("/c"), special.cast("string"), F.lit("/c99999999999!"))
     return table(spark, sf_dir, "part").select("p_partkey", text.decoded(coded).alias("decoded"))
 
 
@@ -281,14 +290,71 @@ def unassigned_and_duplicate(spark, sf_dir):
 
 @query(
     "classify_tables",
-    "SELECT p_partkey, p_size % 2 = 0 AND p_partkey % 5 <> 0 AS metadata FROM part",
+    """SELECT p_partkey, p_partkey % 5 <> 0 AND (p_size % 8 IN (0, 1, 2, 4, 5, 6) OR (p_partkey % 3 = 0 AND p_partkey % 100 < 50)) AS metadata FROM part""",
 )
 def classify_tables(spark, sf_dir):
+    said = ("História", "číslo predpisu: 7", " 366/1999 Z. z. ", "Odpisy podľa predpisu", "Účinnosť od 1. 1. 2004",
+            "Predpis ruší 1/2000", "Dátum účinnosti", "Moja História")
+    law = F.when(F.col("p_partkey") % 2 == 0, "Ročný odpis").otherwise("sadzba dane")
     cells = F.array(
-        F.col("p_name"), F.when(F.col("p_size") % 2 == 0, "Predpis a Novela").otherwise("x"),
-        F.when(F.col("p_partkey") % 5 == 0, "Odpisová skupina").otherwise("y"),
+        F.col("p_name"), F.get(F.array(*map(F.lit, said)), (F.col("p_size") % 8).cast("int")),
+        F.when(F.col("p_partkey") % 5 == 0, law).otherwise("y"),
+    )
+    parent = F.when(F.col("p_partkey") % 3 == 0, F.col("p_partkey") % 100)
+    return table(spark, sf_dir, "part").select("p_partkey", tables.is_metadata(cells, parent).alias("metadata"))
+
+
+@query(
+    "table_context",
+    """WITH ln AS (SELECT l_orderkey, l_linenumber, min(l_partkey) AS p FROM lineitem GROUP BY ALL),
+el AS (
+  SELECT o_custkey AS doc_id, o_orderkey * 100 AS pos, 's' AS kind, CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 4 < 2 THEN o_orderkey END AS s, NULL::INTEGER AS n FROM orders
+  UNION ALL SELECT o_custkey, o_orderkey * 100 + l_linenumber * 10, 'n', NULL, CASE WHEN p % 3 <> 0 THEN l_linenumber END FROM ln JOIN orders ON o_orderkey = l_orderkey
+  UNION ALL SELECT o_custkey, o_orderkey * 100 + l_linenumber * 10 + 1, 't', NULL, NULL FROM ln JOIN orders ON o_orderkey = l_orderkey),
+c AS (SELECT *, last_value(s IGNORE NULLS) OVER w AS section, last_value(CASE WHEN s IS NOT NULL THEN pos END IGNORE NULLS) OVER w AS sp,
+    last_value(n IGNORE NULLS) OVER w AS odsek, last_value(CASE WHEN n IS NOT NULL THEN pos END IGNORE NULLS) OVER w AS np
+  FROM el WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT doc_id, pos, section::VARCHAR AS section, CASE WHEN np > coalesce(sp, -1) THEN odsek::VARCHAR END AS subsection FROM c WHERE kind = 't'""",
+)
+def table_context(spark, sf_dir):
+    from vellum.operators.context import table_context as contexts
+
+    orders = table(spark, sf_dir, "orders")
+    number = F.col("o_orderkey").cast("string")
+    forms = F.array(*[F.concat(F.lit(a), number, F.lit(b)) for a, b in (("§ ", ""), (" § ", " Názov"), ("§ ", " ods. 1 takto:"), ("§ ", " názov"))])
+    sections = orders.select(
+        F.col("o_custkey").alias("doc_id"), (F.col("o_orderkey") * 100).alias("pos"), F.lit("text").alias("kind"),
+        F.get(forms, (F.col("o_orderkey") % 4).cast("int")).alias("text"), (F.col("o_orderkey") % 7 == 0).alias("in_group"),
     )
-    return table(spark, sf_dir, "part").select("p_partkey", tables.is_metadata(cells).alias("metadata"))
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("p"))
+    lines = lines.join(orders.select("o_custkey", F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
+    at = F.col("l_orderkey") * 100 + F.col("l_linenumber") * 10
+    odsek = F.struct(
+        at.alias("pos"), F.lit("text").alias("kind"), F.concat(F.lit("("), F.col("l_linenumber").cast("string"), F.lit(")")).alias("text"),
+        (F.col("p") % 3 == 0).alias("in_group"),
+    )
+    held = F.struct((at + 1).alias("pos"), F.lit("table").alias("kind"), F.lit("").alias("text"), F.lit(False).alias("in_group"))
+    nodes = sections.unionByName(lines.select(F.col("o_custkey").alias("doc_id"), F.inline(F.array(odsek, held))))
+    return contexts(nodes)
+
+
+@query(
+    "embedded_letters",
+    """SELECT p_partkey, 'Na účely tohto zákona sa rozumie' || chr(10) || chr(9) || 'a) ' || p_name || chr(10) || chr(9) || '   ' || lower(p_type) || chr(10)
+  || chr(9) || chr(9) || p_size || '. ' || p_brand || chr(10) || chr(9) || chr(9) || '   ' || p_type || chr(10) || chr(10) || chr(9) || chr(9) || '2a.' AS formatted,
+  chr(9) || '(' || p_size || ') ' || p_brand || chr(10) || chr(9) || repeat(' ', length(p_size::VARCHAR) + 3) || p_type || chr(10) || chr(10) AS marked FROM part""",
+)
+def embedded_letters(spark, sf_dir):
+    from vellum.functions import render
+
+    lines = ["Na účely tohto zákona sa rozumie", F.concat(F.lit("a)  "), "p_name"), F.lower("p_type")]
+    lines += [F.concat(F.col("p_size").cast("string"), F.lit(".  "), "p_brand"), F.col("p_type"), "", " 2a. "]
+    joined = F.concat_ws("\n", *[F.lit(x) if isinstance(x, str) else x for x in lines])
+    marker = F.concat(F.lit("("), F.col("p_size").cast("string"), F.lit(")"))
+    body = F.concat(F.lit(" "), "p_brand", F.lit("\n"), "p_type", F.lit(" \n"))
+    return table(spark, sf_dir, "part").select(
+        "p_partkey", render.embedded_letters(joined).alias("formatted"), render.marked_text(marker, body, 1).alias("marked")
+    )
 
 
 @query(

@@ -181,11 +181,12 @@ def section_context(spark, sf_dir):
 
 @query(
     "superior_content",
-    UNITS
+    ORD
     + """
-SELECT u.doc_id, u.unit_id, p.unit_id AS paragraph_id, p.text AS paragraph_text, c_mktsegment AS part_text
-FROM units u JOIN units p ON p.doc_id = u.doc_id AND p.level = 'paragraph' AND p.unit_id = 'paragraf-' || split_part(split_part(u.unit_id, '-', 2), '.', 1)
-JOIN customer ON c_custkey = u.doc_id WHERE u.level IN ('odsek', 'pismeno', 'subitem')""",
+SELECT l.doc_id, unnest(['odsek-' || l.k || '.' || l_linenumber, 'pismeno-' || l.k || '.' || l_linenumber || '.a',
+    'pismeno-' || l.k || '.' || l_linenumber || '.b', 'subitem-' || l.k || '.' || l_linenumber || '.b.1']) AS unit_id,
+  'paragraf-' || l.k AS paragraph_id, o.o_orderpriority || ' podľa § ' || (o.o_orderkey % 5 + 1) AS paragraph_text, c_mktsegment AS part_text
+FROM ln l JOIN ord o ON o.doc_id = l.doc_id AND o.k = l.k JOIN customer ON c_custkey = l.doc_id""",
 )
 def superior_content(spark, sf_dir):
     return context.superior(_units(spark, sf_dir))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -13,11 +15,22 @@ SETTINGS = {
 }
 
 
-def build_session(name: str = "vellum", master: str | None = None, **more: str) -> SparkSession:
-    """``more`` holds further settings, with double underscores for dots."""
+def build_session(name: str = "vellum", master: str | None = None, shared: str | None = None, **more: str) -> SparkSession:
+    """``shared``: a folder that the driver and all executors see; ``more``: further settings, double underscores for dots.
+
+    Tables between steps lie in the shared folder, so a session on several machines needs one.
+    """
     builder = SparkSession.builder.appName(name)
     if master:
         builder = builder.master(master)
-    for key, value in (SETTINGS | {k.replace("__", "."): v for k, v in more.items()}).items():
+    settings = SETTINGS | {k.replace("__", "."): v for k, v in more.items()}
+    if shared:
+        settings["spark.checkpoint.dir"] = shared
+    for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    own = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not own and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        spark.stop()
+        raise ValueError("name a shared folder: several machines don't see each other's own")
+    return spark

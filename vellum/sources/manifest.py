@@ -12,7 +12,7 @@ from vellum.schemas import MANIFEST
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """One row a manifest: its folder and fields. Keys that aren't known are ignored.
+    """One row a manifest: its folder and fields, null where the file can't be read. Keys that aren't known are ignored.
 
     Whatever converter a manifest names its caches by, a key that ends in _cache, or in _path
     but for local_path, is the cache; the first one that has a value counts.
@@ -25,7 +25,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         import yaml
 
         for batch in batches:
-            texts = [json.dumps(_with_cache(yaml.safe_load(x)), default=str) for x in batch.column(1).to_pylist()]
+            texts = []
+            for x in batch.column(1).to_pylist():
+                try:
+                    texts.append(json.dumps(_with_cache(yaml.safe_load(x)), default=str))
+                except (yaml.YAMLError, ValueError, TypeError):
+                    texts.append(None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["path", "value"])
 
     turned = files.mapInArrow(run, "path string, value string")

@@ -1,4 +1,4 @@
-"""Documents as they arrive: each file once, chunks appended, failures kept apart.
+"""Documents as they arrive: each file once, results and failures kept apart.
 
 The reference works in runs and skips what has been done; a file stream with a checkpoint
 does that here. State kept by key and event windows go beyond parity.
@@ -6,6 +6,7 @@ does that here. State kept by key and event windows go beyond parity.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,24 +16,44 @@ from pyspark.sql.streaming import StreamingQuery
 
 def process_new(
     spark: SparkSession, source: str, schema: str, work: Callable[[DataFrame], DataFrame], target: str, checkpoint: str, key: str,
-    force: bool = False,
+    force: bool = False, failures: str | None = None,
 ) -> StreamingQuery:
-    """Run ``work`` on each new file's rows once and append its rows as Parquet.
+    """Run ``work`` on each new file's rows once and keep its rows as Parquet.
 
-    Keys that the target holds already are skipped unless ``force``. The query ends when
-    all files there now are done; started again, it takes up what came since.
+    Keys that the target holds already don't reach ``work`` unless ``force``. Rows that ``work``
+    returns with a ``problem`` go to ``failures`` (by default beside the target); they aren't
+    held, so their keys are tried again when they come again. Each batch has a folder of its own,
+    by the checkpoint and its number: a batch that is repeated after a failure replaces its own
+    rows. The query ends when all files there now are done; started again, it takes up what came
+    since.
     """
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+    failed = failures or f"{target.rstrip('/')}-failures"
 
     def batch(rows: DataFrame, number: int) -> None:
-        done = work(rows)
         if not force and _exists(spark, target):
-            done = done.join(spark.read.parquet(target).select(key).distinct(), key, "left_anti")
-        done.withColumn("batch", F.lit(number)).write.mode("append").parquet(target)
+            held = spark.read.parquet(target).filter(~((F.col("run") == run) & (F.col("batch") == number)))
+            rows = rows.join(held.select(key).distinct(), key, "left_anti")
+        done = work(rows)
+        done = done if "problem" in done.columns else done.withColumn("problem", F.lit(None).cast("string"))
+        done.persist()
+        place = f"run={run}/batch={number}"
+        done.filter("problem IS NULL").drop("problem").write.mode("overwrite").parquet(f"{target}/{place}")
+        done.filter("problem IS NOT NULL").write.mode("overwrite").parquet(f"{failed}/{place}")
+        done.unpersist()
 
     stream = spark.readStream.schema(schema).parquet(source)
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def summary(spark: SparkSession, target: str, key: str, failures: str | None = None) -> DataFrame:
+    """done, failed: how many keys have results, and how many have failed and have none."""
+    done = spark.read.parquet(target).select(key, F.lit(True).alias("fine"))
+    failed = spark.read.parquet(failures or f"{target.rstrip('/')}-failures").select(key, F.lit(False).alias("fine"))
+    keys = done.unionByName(failed).groupBy(key).agg(F.bool_or("fine").alias("fine"))
+    return keys.agg(F.count_if("fine").alias("done"), F.count_if(~F.col("fine")).alias("failed"))
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
