@@ -106,3 +106,44 @@ def test_run_gives_sequences(spark, tables):
     for r in rows:
         length[r.sequence_id] += r.length
     assert all(n == 2048 or n & (n - 1) == 0 for n in length.values())
+
+
+CLASHES = ("gone_id", "times", "drawn_id", "whole", "own_id", "slots", "digest", "body", "doc", "label", "score", "key", "rows", "__hot")
+
+
+@pytest.fixture(scope="module")
+def odd(spark, tables):
+    from pyspark.sql import functions as F
+
+    base = " ".join(f"word{i}" for i in range(40))
+    rows = [
+        (1, base, "a"), (1, base, "a"), (2, base.replace(" ", "\n"), "b"), (3, base + " more", "a"), (None, base + " other", "a"), (None, None, None),
+        (4, "", "a"), (5, None, "b"), (6, " \t", None), (7, "x " * 60_000, "c"), (7, "seven", "c"), (8, "vile dolt " * 5, "a"), (9, "clean words here", None),
+    ]
+    df = spark.createDataFrame([(i, t, "en", s, 0) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    return df.select("*", *[F.lit(k).alias(c) for k, c in enumerate(CLASHES)]).repartition(3)
+
+
+def test_stages_on_odd_rows_and_clashing_columns(spark, tables, odd):
+    out = {}
+    for name, stage in corpus_pipeline.STAGES:
+        done = stage(spark, odd, tables[0])
+        if name != "packing":
+            assert done.columns == odd.columns
+        out[name] = done.collect()
+    said = lambda name: Counter((r.doc_id, (r.text or "")[:12]) for r in out[name])
+    assert (8, "vile dolt vi") not in said("toxicity") and len(out["toxicity"]) == 12
+    exact = said("exact_dedup")
+    assert sum(exact.values()) == 8 and exact[1, "word0 word1 w"[:12]] + exact[2, "word0\nword1 "[:12]] == 1
+    near = said("near_dedup")
+    assert sum(n for (i, t), n in near.items() if t.startswith("word0")) == 2  # both rows of id 1
+    assert sum(n for (_, t), n in near.items() if not t.strip()) == 4
+    mixed = Counter(r.source for r in out["mixing"] if (r.text or "").strip())
+    assert sum(mixed.values()) == len(out["mixing"]) and max(Counter(r.doc_id for r in out["mixing"] if r.doc_id == 9).values(), default=0) <= 3
+    assert sum(p.length for p in out["packing"] if p.doc_id in (4, 5)) == 2
+
+
+def test_stages_on_an_empty_table(spark, tables, odd):
+    for name, stage in corpus_pipeline.STAGES:
+        done = stage(spark, odd.filter("false"), tables[0])
+        assert done.count() == 0 and (name == "packing" or done.columns == odd.columns)
