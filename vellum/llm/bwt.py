@@ -30,24 +30,28 @@ def suffixes(text: np.ndarray, depth: int) -> np.ndarray:
             return order
 
 
-def shards(texts: list[bytes], shard_bytes: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Of each shard: its characters, each text ended by 0, and the place of each in all texts' bytes."""
+def shards(texts: list[bytes | np.ndarray], shard_bytes: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each shard: its characters, each text ended by 0, and the place of each in all texts.
+
+    Texts are bytes, or characters from 1 on.
+    """
+    ended = np.zeros(1, np.uint16)
+    symbols = lambda t: t if isinstance(t, np.ndarray) else np.frombuffer(t, np.uint8).astype(np.uint16) + 1
     out, some, held, first = [], [], 0, 0
     for k, t in enumerate(texts):
         some.append(t)
         held += len(t) + 1
         if held >= shard_bytes or k == len(texts) - 1:
-            joined = np.frombuffer(b"".join(x + b"\0" for x in some), np.uint8).astype(np.uint16) + 1
-            joined[np.cumsum([len(x) + 1 for x in some]) - 1] = 0
+            joined = np.concatenate([part for x in some for part in (symbols(x), ended)])
             out.append((joined, np.arange(first, first + held)))
             first, some, held = first + held, [], 0
     return out
 
 
-def merged(texts: list[bytes], length: int, shard_bytes: int = 8_192) -> tuple[np.ndarray, np.ndarray]:
+def merged(texts: list[bytes | np.ndarray], length: int, shard_bytes: int = 8_192) -> tuple[np.ndarray, np.ndarray]:
     """Places of all characters in merged order, and the interval of each: equal where ``length`` characters are.
 
-    Places count the texts' bytes with one more after each text.
+    Places count the texts' characters with one more after each text.
     """
     parts = shards(texts, shard_bytes)
     sorted_places, last = [], []

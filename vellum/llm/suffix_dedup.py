@@ -35,7 +35,7 @@ from vellum.llm.tiles import Combiner, tiles
 #: A k-gram's bytes; aligned blocks and how many of them every window holds.
 GRAM, BLOCK = 24, 25
 #: Bytes of a text that are taken at once, and of slices that are transformed together.
-CHUNK, BATCH = 1_500_000, 65_536
+CHUNK, BATCH = 400_000, 200_000
 #: Different slices under one core that a transform takes.
 MOST = 4096
 #: The bits of a fragment's place that hold its anchor's distance and its windows, half each.
@@ -223,57 +223,80 @@ def _halves(slices: DataFrame, length: int) -> DataFrame:
     return cut.select("x.key", "doc", "x.place", "x.windows", *[f"x.{c}" for c in _SLICE]).filter("windows > 0")
 
 
-def _covers_by_transform(slices: DataFrame, length: int) -> DataFrame:
-    """doc, start, end of windows that occur earlier, from merged transforms of bounded batches."""
-    dealt = slices.repartition("key").sortWithinPartitions("key")
+def _around(body: bytes, lead: int, low: int, width: int, length: int) -> tuple[bytes, np.ndarray]:
+    """The bytes that all windows of the slice hold, and the slice as characters with one mark in their place.
+
+    Windows of ``length`` bytes are equal just if those bytes are and their ``width + 1`` characters
+    around the mark: what is the same everywhere needn't be sorted.
+    """
+    first, last = lead - low, lead - low + length - width
+    data = np.frombuffer(body, np.uint8).astype(np.uint16) + 1
+    return body[first:last], np.concatenate((data[:first], MARK, data[last:]))
+
+
+MARK = np.array([257], np.uint16)
+
 
-    def covers(keys: list, docs: list, places: list, bodies: list) -> tuple[list, list, list]:
-        ranks = {d: k for k, d in enumerate(sorted({d for d in docs if d is not None}))}
-        doc = np.array([ranks.get(d, -1) for d in docs])
-        sizes = np.array([len(b) + 1 for b in bodies])
+def repeated_windows(slices: list[tuple[int, int, bytes, int, int, int]], length: int) -> list[tuple[int, int, int]]:
+    """doc, start, end of windows of slices (doc, place, body, lead, low, high) that an earlier slice has, as runs.
+
+    Their transforms are merged, and windows that share an interval and the bytes around their
+    mark are the same; all but the earliest are returned.
+    """
+    out = []
+    for width in sorted({high - low for *_, low, high in slices}):
+        some = [x for x in slices if x[5] - x[4] == width]
+        docs, places = (np.array([x[k] for x in some], np.int64) for k in (0, 1))
+        cores, texts, known = [], [], {}
+        for _, _, body, lead, low, _ in some:
+            core, text = _around(body, lead, low, width, length)
+            cores.append(known.setdefault(core, len(known)))
+            texts.append(text)
+        core = np.array(cores)
+        sizes = np.array([len(t) + 1 for t in texts])
         ends = np.cumsum(sizes)
-        order, interval = merged(bodies, length)
+        order, interval = merged(texts, width + 1)
         item = np.searchsorted(ends, order, side="right")
         offset = order - (ends - sizes)[item]
-        full = offset + length < sizes[item]
+        full = offset + width + 1 < sizes[item]
         item, offset, interval = item[full], offset[full], interval[full]
-        by = np.lexsort((np.array(places)[item] + offset, doc[item], interval))
+        by = np.lexsort((places[item] + offset, docs[item], core[item], interval))
         item, offset, interval = item[by], offset[by], interval[by]
-        again = np.concatenate(([False], interval[1:] == interval[:-1]))
+        again = np.concatenate(([False], (interval[1:] == interval[:-1]) & (core[item[1:]] == core[item[:-1]])))
         item, offset = item[again], offset[again]
         by = np.lexsort((offset, item))
         item, offset = item[by], offset[by]
-        if not len(item):
-            return [], [], []
-        first = np.flatnonzero(np.concatenate(([True], (item[1:] != item[:-1]) | (offset[1:] != offset[:-1] + 1))))
-        last = np.append(first[1:], len(item)) - 1
-        begin = [places[i] + o for i, o in zip(item[first].tolist(), offset[first].tolist(), strict=True)]
-        end = [places[i] + o + length for i, o in zip(item[last].tolist(), offset[last].tolist(), strict=True)]
-        return begin, end, [docs[i] for i in item[first].tolist()]
+        if len(item):
+            first = np.flatnonzero(np.concatenate(([True], (item[1:] != item[:-1]) | (offset[1:] != offset[:-1] + 1))))
+            last = np.append(first[1:], len(item)) - 1
+            begin, end = places[item[first]] + offset[first], places[item[last]] + offset[last] + length
+            out += zip(docs[item[first]].tolist(), begin.tolist(), end.tolist(), strict=True)
+    return out
+
+
+def _covers_by_transform(slices: DataFrame, length: int) -> DataFrame:
+    """doc, start, end of windows that occur earlier, from merged transforms of bounded batches of whole keys."""
+    dealt = slices.repartition("key").sortWithinPartitions("key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[list, list, list, list] = ([], [], [], [])
-        size, doc_type = 0, None
+        held, size, last = [], 0, None
 
         def out() -> pa.RecordBatch:
-            begin, end, docs = covers(*held)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(docs, doc_type), pa.array(begin, pa.int64()), pa.array(end, pa.int64())], ["doc", "start", "end"]
-            )
+            found = list(zip(*repeated_windows(held, length), strict=True)) or [(), (), ()]
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["doc", "start", "end"])
 
         for batch in batches:
-            doc_type = batch.schema.field("doc").type
-            for row in zip(*[batch.column(k).to_pylist() for k in range(4)], strict=True):
-                if size >= BATCH and row[0] != held[0][-1]:
+            for key, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if size >= BATCH and key != last:
                     yield out()
-                    held, size = ([], [], [], []), 0
-                for values, value in zip(held, row, strict=True):
-                    values.append(value)
-                size += len(row[3])
-        if size:
+                    held, size = [], 0
+                held.append(row)
+                size += len(row[2])
+                last = key
+        if held:
             yield out()
 
-    return dealt.select("key", "doc", "place", "body").mapInArrow(tidy(run), "doc long, start long, end long")
+    return dealt.select("key", "doc", "place", *_SLICE).mapInArrow(tidy(run), "doc long, start long, end long")
 
 
 def removed_spans(docs: DataFrame, length: int = 100) -> DataFrame:
@@ -291,7 +314,7 @@ def removed_spans(docs: DataFrame, length: int = 100) -> DataFrame:
         end = F.col("place") + F.col("windows") + (length - 1)
         spans = spans.unionByName(again.select("doc", F.col("place").alias("start"), end.alias("end"), F.lit("slice").alias("by")))
         met = written(_shared(firsts, kinds), "met-slices")
-        some = met.filter(F.col("rows") <= MOST).select("key", "doc", "place", "body")
+        some = met.filter(F.col("rows") <= MOST).select("key", "doc", "place", *_SLICE)
         few = some if few is None else few.unionByName(some)
         many = met.filter(F.col("rows") > MOST)
         if not many.limit(1).count():

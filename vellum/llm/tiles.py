@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 
 from vellum.llm.shared import bounded_batches, tidy
 
-#: Keys that are sorted together, those that a task holds, those of a packed array, and a key's bits in its bucket.
-BUCKET, HELD, PACKED, KEY_BITS = 1 << 19, 1 << 20, 4096, 40
+#: Numbers that are sorted together and that a task holds, keys of a packed array, and a key's bits in its bucket.
+BUCKET, HELD, PACKED, KEY_BITS = 1 << 20, 1 << 21, 4096, 40
 
 
 def packed(*columns: np.ndarray) -> bytes:
@@ -65,7 +65,7 @@ class Combiner:
     def add(self, keys: np.ndarray, *members: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Keys are 64-bit hashes, members whole numbers."""
         self.held.append((keys, *members))
-        self.size += len(keys)
+        self.size += len(keys) * (1 + len(members))
         if self.size >= HELD:
             yield from self.end()
 
@@ -134,7 +134,7 @@ def tiles(
     come several times.
     """
     bounded_batches(df.sparkSession)
-    buckets, names = max(1, -(-keys // BUCKET)), ["key", *columns, *(["hub"] if hub else [])]
+    buckets, names = max(1, -(-keys * (1 + len(columns)) // BUCKET)), ["key", *columns, *(["hub"] if hub else [])]
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         combined = Combiner(buckets, flags, hub)
