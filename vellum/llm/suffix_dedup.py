@@ -114,7 +114,8 @@ def _fragments(docs: DataFrame, length: int) -> DataFrame:
                 text = np.searchsorted(bounds, start, side="right")
                 inner = start - np.concatenate(([0], bounds))[text] + np.array(begins, np.int64)[text]
                 place = inner << SHAPE | far << half | count
-                yield from combined.add(anchor, content.view(np.int64), check, doc[np.array(rows, np.int64)[text]], place)
+                # Anchors are the smallest hashes around: mixed again they are spread evenly.
+                yield from combined.add(mix(anchor), content.view(np.int64), check, doc[np.array(rows, np.int64)[text]], place)
 
     total = docs.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     # A fragment has about half as many windows as a window has k-grams.
