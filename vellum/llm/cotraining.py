@@ -150,7 +150,7 @@ def views(
     model = {}
     for view in ("text", "meta"):
         rows = [*learnt, *[k for k, t in enumerate(taught) if t == view]]
-        model[view] = [(texts if view == "text" else metas)[k] for k in rows], labels[rows]
+        model[view] = [(texts if view == "text" else metas)[k] for k in rows], labels[rows]  # lists of their own
     text, meta = toxicity.train(*model["text"], fit.text), _train_meta(*model["meta"])
     y = labels[kept]
     # Classes were drawn alike; weights restore their shares.

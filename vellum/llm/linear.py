@@ -103,15 +103,17 @@ def logistic(
     """L2-regularised logistic regression by accelerated gradient steps.
 
     ``sets`` holds the columns of each row, ``scale`` the value of each column wherever it is
-    set. Steps end after ``steps``, or when 50 of them lessen the loss by less than ``enough``
+    set; the list is left empty. Steps end after ``steps``, or when 50 of them lessen the loss by less than ``enough``
     of itself: at the optimum but for what a score's second decimal shows.
     """
     n, sizes = len(labels), np.array([len(s) for s in sets], np.int64)
-    columns = np.concatenate([*sets, np.zeros(0, np.int32)]).astype(np.int64)
-    filled, row = np.flatnonzero(sizes), np.repeat(np.arange(n), sizes)
+    columns = np.concatenate([*sets, np.zeros(0, np.int32)])
+    sets.clear()
+    columns = columns.astype(np.int64)
+    filled = np.flatnonzero(sizes)
     starts = (np.cumsum(sizes) - sizes)[filled]
     total = max(float(weights.sum()), 1.0)
-    squared = np.bincount(row, (scale**2)[columns], n).max(initial=1.0) + 1.0
+    squared = np.add.reduceat((scale**2)[columns], starts).max(initial=1.0) + 1.0 if len(filled) else 2.0
     rate = 1.0 / (0.25 * squared + penalty / total)
     w, bias = np.zeros(len(scale)), 0.0
     v, vb, momentum, before = w.copy(), bias, 1.0, np.inf
@@ -120,7 +122,7 @@ def logistic(
         if len(filled):
             z[filled] += np.add.reduceat((v * scale)[columns], starts)
         error = weights * (sigmoid(z) - labels) / total
-        new = v - rate * (scale * np.bincount(columns, error[row], len(scale)) + penalty / total * v)
+        new = v - rate * (scale * np.bincount(columns, np.repeat(error, sizes), len(scale)) + penalty / total * v)
         new_bias = vb - rate * error.sum()
         following = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         push = (momentum - 1) / following

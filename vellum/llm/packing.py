@@ -460,6 +460,7 @@ def _packer(tokenizer_path: str, limits: Limits, end_id: int, block_tokens: int,
                     give_back()
         if block.tokens:
             yield flush(block, sequence)[0]
+        tokenizer.older = {}
 
     return run
 

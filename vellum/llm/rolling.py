@@ -29,6 +29,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
+def forget_powers() -> None:
+    """Powers are made anew when they are needed again."""
+    _POWERS.clear()
+
+
 #: A number for each byte, by which a second, independent hash of the same bytes comes.
 OTHER = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 

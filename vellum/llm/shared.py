@@ -14,6 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vellum.llm.rolling import forget_powers
+
 #: The white space of all word and normalisation contracts here.
 SPACES = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 WORD = r"[^\x20\x09-\x0D]+"
@@ -49,6 +51,7 @@ def bounded_batches(spark: SparkSession) -> None:
 
 def give_back() -> None:
     """Free memory of this process goes back to the machine."""
+    forget_powers()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
@@ -56,10 +59,13 @@ def give_back() -> None:
 
 
 def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """``run``, after which the worker gives free memory back: it stays alive between tasks."""
+    """``run``, which gives free memory back now and then, and at its end: the worker stays alive between tasks."""
 
     def wrapped(batches: Iterator) -> Iterator:
-        yield from run(batches)
+        for k, batch in enumerate(run(batches)):
+            yield batch
+            if k % 16 == 15:
+                give_back()
         give_back()
 
     return wrapped

@@ -59,7 +59,10 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, fit: Fit, id_column:
 
 
 def train(sets: list[np.ndarray], labels: np.ndarray, fit: Fit = Fit()) -> Grams:
-    """The model from texts' gram_sets(); where one class is missing, a constant that leans to the other."""
+    """The model from texts' gram_sets(); where one class is missing, a constant that leans to the other.
+
+    The list is left empty: grams that tell nothing are given up text by text.
+    """
     width = 1 << fit.bits
     if not len(labels) or labels.min() == labels.max():
         odds = (labels.sum() + 0.5) / (len(labels) - labels.sum() + 0.5) if len(labels) else 1e-3
@@ -73,7 +76,12 @@ def train(sets: list[np.ndarray], labels: np.ndarray, fit: Fit = Fit()) -> Grams
     used = np.abs(ratio) >= fit.least_errors * np.sqrt(1 / p + 1 / q)
     number = (np.cumsum(used) - 1).astype(np.int32)
     scale = ratio[used]
-    weights, bias = logistic([number[s[used[s]]] for s in sets], scale, labels, np.ones(len(labels)), fit.penalty)
+    sets.reverse()
+    kept = []
+    while sets:
+        one = sets.pop()
+        kept.append(number[one[used[one]]])
+    weights, bias = logistic(kept, scale, labels, np.ones(len(labels)), fit.penalty)
     table = np.zeros(width, np.float32)
     table[used] = weights * scale
     return Grams(fit.sizes, fit.bits, table, bias)
@@ -88,7 +96,9 @@ def fitted(rows: DataFrame, fit: Fit) -> Grams:
             sets = [s for some in text_slices(batch.column(2)) for s in gram_sets(some, fit.sizes, fit.bits)]
             held += zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), sets, strict=True)
         held.sort(key=lambda x: x[0])
-        model = train([x[2] for x in held], np.array([x[1] for x in held], float), fit)
+        labels, sets = np.array([x[1] for x in held], float), [x[2] for x in held]
+        del held
+        model = train(sets, labels, fit)
         yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()]), pa.array([model.bias])], ["weights", "bias"])
 
     bounded_batches(rows.sparkSession)
