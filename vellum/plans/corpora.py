@@ -342,7 +342,7 @@ def table_context(spark, sf_dir):
     "embedded_letters",
     """SELECT p_partkey, 'Na účely tohto zákona sa rozumie' || chr(10) || chr(9) || 'a) ' || p_name || chr(10) || chr(9) || '   ' || lower(p_type) || chr(10)
   || chr(9) || chr(9) || p_size || '. ' || p_brand || chr(10) || chr(9) || chr(9) || '   ' || p_type || chr(10) || chr(10) || chr(9) || chr(9) || '2a.' AS formatted,
-  chr(9) || '(' || p_size || ') ' || p_brand || chr(10) || chr(9) || repeat(' ', length(p_size::VARCHAR) + 3) || p_type || chr(10) || chr(10) AS marked FROM part""",
+  chr(9) || '(' || p_size || ') ' || p_brand || chr(10) || chr(9) || repeat(' ', length(p_size::VARCHAR) + 3) || p_type || chr(10) AS marked FROM part""",
 )
 def embedded_letters(spark, sf_dir):
     from vellum.functions import render
