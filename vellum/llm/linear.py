@@ -21,20 +21,22 @@ def characters(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return points, bounds
 
 
-def grams(points: np.ndarray, bounds: np.ndarray, sizes: tuple[int, ...], bits: int):
-    """For each n: the buckets of all n-grams, and the positions at which they start.
-
-    No n-gram reaches over a text's end.
-    """
+def grams(points: np.ndarray, bounds: np.ndarray | None, sizes: tuple[int, ...], bits: int):
+    """For each n: the buckets of all n-grams, and which of them don't reach over a text's end (where bounds are given)."""
     wide = points.astype(np.uint64)
-    left = np.repeat(bounds[1:], np.diff(bounds)) - np.arange(len(points))
+    left = None if bounds is None else np.repeat(bounds[1:], np.diff(bounds)) - np.arange(len(points))
     code = np.zeros(len(points), np.uint64)
     for n in range(1, max(sizes) + 1):
         code = code[: len(points) - n + 1] * np.uint64(0x100000001B3) + wide[n - 1 :]
         if n in sizes and len(code):
-            mixed = (code ^ (code >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(n)
-            mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-            yield (mixed >> np.uint64(64 - bits)).astype(np.int64), left[: len(code)] >= n
+            mixed = code >> np.uint64(29)
+            mixed ^= code
+            mixed *= np.uint64(0xBF58476D1CE4E5B9)
+            mixed += np.uint64(n)
+            mixed ^= mixed >> np.uint64(32)
+            mixed *= np.uint64(0x9E3779B97F4A7C15)
+            mixed >>= np.uint64(64 - bits)
+            yield mixed.view(np.int64), None if left is None else left[: len(code)] >= n
 
 
 #: Characters whose n-grams are taken together; a longer text is taken in pieces.
@@ -146,8 +148,26 @@ class Grams:
     bias: float
 
     def margins(self, texts: list[str | None]) -> np.ndarray:
-        rows, buckets = present(texts, self.sizes, self.bits, self.weights != 0)
-        return np.bincount(rows, self.weights[buckets], len(texts)) + self.bias
+        """The sum of the weights of each text's different n-grams, and the bias.
+
+        A text's last n-gram in a bucket is the one that a table of the buckets names when all of
+        them have been written there.
+        """
+        points, bounds = characters(texts)
+        if len(points) > 2 * PIECE and len(texts) == 1:
+            _, buckets = present(texts, self.sizes, self.bits, self.weights != 0)
+            return np.array([self.weights[buckets].sum(dtype=np.float64) + self.bias])
+        sizes, coded = sorted(self.sizes), [b for b, _ in grams(points, None, self.sizes, self.bits)]
+        known, named = self.weights != 0, np.empty(1 << self.bits, np.int32)
+        numbers = np.arange(int(np.diff(bounds).max(initial=0)) * len(sizes), dtype=np.int32)
+        out = np.full(len(texts), self.bias)
+        for k, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+            own = np.concatenate([c[a : b - n + 1] for n, c in zip(sizes, coded, strict=False) if b - a >= n] or [numbers[:0]])
+            own = own[known[own]]
+            at = numbers[: len(own)]
+            named[own] = at
+            out[k] += self.weights[own[named[own] == at]].sum(dtype=np.float64)
+        return out
 
 
 def text_slices(column: pa.Array, most: int = PIECE) -> Iterator[list[str | None]]:
