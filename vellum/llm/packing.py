@@ -460,7 +460,7 @@ def _packer(tokenizer_path: str, limits: Limits, end_id: int, block_tokens: int,
                     give_back()
         if block.tokens:
             yield flush(block, sequence)[0]
-        tokenizer.older = {}
+        tokenizer.pieces, tokenizer.older = {}, {}  # the worker lives on; other work needs the memory
 
     return run
 
@@ -473,7 +473,7 @@ _TOKENIZERS: dict[str, PieceTokenizer] = {}
 
 
 def _tokenizer(path: str) -> PieceTokenizer:
-    """One a Python worker: its pieces serve all the tasks that the worker runs."""
+    """One a Python worker: it serves all the tasks that the worker runs."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
