@@ -1,5 +1,14 @@
 """DuckDB SQL for the queries that SQL can express over whole tables."""
 
+#: CRC-32 of a list of bytes as UBIGINT, bit by bit.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::UBIGINT, {bytes}),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)::BIGINT"""
+
+
+def _crc_of_digits(number: str) -> str:
+    return _CRC32.format(bytes=f"list_transform(string_split({number}::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)")
+
+
 ORACLES = {
     "op3_secret_scans": r"""
 WITH cut AS (
@@ -75,5 +84,46 @@ pairs AS (
   FROM codes q, codes c WHERE q.vec_id % 20 = 0)
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id)::INTEGER AS rank, neighbour_id, distance
 FROM pairs QUALIFY rank <= 10
+""",
+    "op11_cohort_retention": f"""
+WITH once AS (SELECT DISTINCT * FROM clicks WHERE ts IS NOT NULL AND client_id IS NOT NULL),
+marked AS (SELECT *, {_crc_of_digits("click_id")} AS h FROM once),
+seen AS (
+  SELECT client_id, ts, kind, coalesce(floor(100 * value + 0.5)::BIGINT, 0) AS cents,
+    arrived_at + to_days(CASE WHEN h % 3 = 0 THEN (h % 100)::INTEGER ELSE 0 END) < TIMESTAMP '2024-02-15 00:00:00' AS early FROM marked),
+states AS (SELECT 0 AS state, * FROM seen WHERE early UNION ALL SELECT 1, * FROM seen),
+starts AS (SELECT state, client_id, min(ts) AS start, min(ts)::DATE - DATE '1970-01-01' AS cohort FROM states WHERE kind = 'signup' GROUP BY 1, 2),
+moves AS (SELECT client_id, count(DISTINCT cohort) > 1 AS moved, {_crc_of_digits("client_id")} AS mark FROM starts GROUP BY 1),
+named AS (SELECT client_id, min(segment) AS segment FROM clients GROUP BY 1),
+users AS (
+  SELECT state, s.client_id, s.cohort::BIGINT AS cohort, ((epoch_us(ts) - epoch_us(start)) // 86400000000)::BIGINT AS period, sum(cents) AS cents
+  FROM states JOIN starts s USING (state, client_id) WHERE ts >= start GROUP BY ALL)
+SELECT state, coalesce(segment, '') AS segment, cohort, period, count(*) AS users, sum(mark)::BIGINT AS users_crc32,
+  count(*) FILTER (moved) AS moved, sum(cents)::BIGINT AS cents
+FROM users JOIN moves USING (client_id) LEFT JOIN named USING (client_id) GROUP BY ALL
+""",
+    "op13_importance_resampling": rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+goal AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+tokens AS (SELECT row, unnest(words) AS word FROM docs),
+known AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM tokens UNION SELECT word FROM goal)),
+coded AS (SELECT word, {_CRC32.format(bytes="list_transform(range(len(h) // 2), lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::UBIGINT)")} % 10000 AS bucket FROM known),
+source AS (SELECT bucket, count(*) AS s FROM tokens JOIN coded USING (word) GROUP BY 1),
+target AS (SELECT bucket, count(*) AS t FROM goal JOIN coded USING (word) GROUP BY 1),
+gains AS (
+  SELECT s.bucket, floor(1000 * ln(((coalesce(t, 0) + 1) * ((SELECT count(*) FROM tokens) + 10000))::DOUBLE
+    / ((s + 1) * ((SELECT count(*) FROM goal) + 10000))::DOUBLE))::BIGINT AS gain
+  FROM source s LEFT JOIN target t ON s.bucket = t.bucket),
+weights AS (SELECT row, sum(gain)::BIGINT AS weight FROM tokens JOIN coded USING (word) JOIN gains USING (bucket) GROUP BY 1),
+scored AS (
+  SELECT row, doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+    + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || doc_id::VARCHAR)[1:8])::UBIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM docs LEFT JOIN weights USING (row)),
+placed AS (SELECT row, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, 10 * count(*) OVER () // 100 AS most FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= most THEN rank END AS rank FROM scored LEFT JOIN placed USING (row)
 """,
 }

@@ -95,6 +95,38 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_cohort_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vellum.llm.retention import retention_matrix
+
+    # A third of the clicks, by their ids' checksum, arrive late.
+    mark = F.crc32(F.col("click_id").cast("string"))
+    late = F.when(mark % 3 == 0, mark % 100).otherwise(0).cast("int")
+    arrived = F.col("arrived_at") + F.make_dt_interval(days=F.coalesce(late, F.lit(0)))
+    clicks = _table(spark, sf_dir, "clicks")
+    cutoff = F.lit("2024-02-15 00:00:00").cast(clicks.schema["arrived_at"].dataType)
+    return retention_matrix(
+        clicks,
+        _table(spark, sf_dir, "clients"),
+        known=(arrived < cutoff, F.lit(True)),
+        starts=F.col("kind") == "signup",
+        amount=F.floor(100 * F.col("value") + 0.5),
+    )
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vellum.llm.byte_bpe import decode, encode, public_vocabulary
+
+    vocabulary = public_vocabulary()
+    done = decode(encode(_table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vellum.llm.resampling import Draw, resample
+
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), Draw())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op") and name[2].isdigit()}
 
