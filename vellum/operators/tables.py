@@ -65,6 +65,22 @@ def as_html(cells: DataFrame) -> DataFrame:
     return rows.groupBy("table_id").agg(F.concat(F.lit("<table>"), F.array_join(lines, ""), F.lit("</table>")).alias("html"))
 
 
+def html_rows(cells: DataFrame) -> DataFrame:
+    """table_id, rows: the rows of a table's body, headers and sections as th, quotes escaped too."""
+    span = lambda name, n: F.when(n > 1, F.concat(F.lit(f' {name}="'), n.cast("string"), F.lit('"'))).otherwise("")
+    heads = [F.coalesce(c, F.lit(False)) for c in ("column_header", "row_header", "row_section")]
+    tag = F.when(heads[0] | heads[1] | heads[2], "th").otherwise("td")
+    text = html_escaped(F.regexp_replace("text", r"(?U)^\s+|\s+$", ""))
+    text = F.replace(F.replace(text, F.lit('"'), F.lit("&quot;")), F.lit("'"), F.lit("&#x27;"))
+    cell = F.concat(
+        F.lit("<"), tag, span("rowspan", F.col("r1") - F.col("r0")), span("colspan", F.col("c1") - F.col("c0")), F.lit(">"),
+        text, F.lit("</"), tag, F.lit(">"),
+    )
+    ordered = lambda place, x: F.transform(F.sort_array(F.collect_list(F.struct(place, x.alias("x")))), lambda v: v["x"])
+    rows = cells.groupBy("table_id", "r0").agg(F.concat(F.lit("<tr>"), F.array_join(ordered("c0", cell), ""), F.lit("</tr>")).alias("row"))
+    return rows.groupBy("table_id").agg(F.array_join(ordered("r0", F.col("row")), "").alias("rows"))
+
+
 def as_tokens(cells: DataFrame) -> DataFrame:
     """Table tokens: full, empty, header and section cells; lcel, ucel and xcel where a span reaches; nl."""
     spread = cells.withColumn("r", F.explode(F.sequence("r0", F.col("r1") - 1))).withColumn(

@@ -6,27 +6,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vellum.session import written
 
-def paths(edges: DataFrame, most_depth: int = 32) -> DataFrame:
-    """doc_id, node, parent, depth, path: pre-order by ``path``, from roots (null parent) down.
 
-    edges: doc_id, node, parent, ord. Level by level with an equi-join each; it ends where a
-    level is empty. Deeper trees than ``most_depth`` are an error.
+def paths(edges: DataFrame, sums: dict[str, Column] | None = None) -> DataFrame:
+    """doc_id, node, parent, depth, path: pre-order by ``path``, from roots (null parent) down, of any depth.
+
+    edges: doc_id, node, parent, ord. Each name of ``sums`` becomes a column with the sum of its
+    expression over the node's ancestors. Pointer doubling: a node's chain ends at a pointer, to which the
+    pointed node's own chain is joined, so chains double and a tree of depth d takes about log2(d)
+    joins, each of them written once. Nodes below a missing parent or on a circle reach no root and are left out.
     """
-    step = F.lpad(F.col("ord").cast("string"), 8, "0")
-    level = edges.filter("parent IS NULL").select("doc_id", "node", "parent", F.lit(0).alias("depth"), step.alias("path"))
-    found = level
-    for depth in range(1, most_depth + 2):
-        above = level.select("doc_id", F.col("node").alias("parent"), F.col("path").alias("above"))
-        level = edges.join(above, ["doc_id", "parent"]).select(
-            "doc_id", "node", "parent", F.lit(depth).alias("depth"), F.concat("above", F.lit("."), step).alias("path")
-        )
-        if depth > most_depth:
-            raise ValueError(f"a tree is deeper than {most_depth}")
-        if level.limit(1).count() == 0:
+    sums = sums or {}
+    step = F.lpad(F.col("ord").cast("string"), 12, "0")
+    own = [F.coalesce(value.cast("long"), F.lit(0)).alias(f"__own_{name}") for name, value in sums.items()]
+    chains = edges.select("doc_id", "node", "parent", F.col("parent").alias("up"), F.lit(0).alias("depth"), step.alias("path"), *own)
+    # __all_: the sum over the chain, the node itself included.
+    chains = written(chains.withColumns({f"__all_{name}": F.col(f"__own_{name}") for name in sums}), "chains")
+    reach, most = 1, None
+    while open_chains := chains.filter("up IS NOT NULL").count():
+        most = open_chains + 1 if most is None else most
+        if reach > most:
             break
-        found = found.unionByName(level)
-    return found
+        above = chains.select(
+            "doc_id", F.col("node").alias("up"), F.col("up").alias("__up"), F.col("path").alias("__path"),
+            (F.col("depth") + 1).alias("__depth"), *[F.col(f"__all_{name}").alias(f"__above_{name}") for name in sums],
+        )
+        joined = chains.filter("up IS NOT NULL").join(above, ["doc_id", "up"]).select(
+            "doc_id", "node", "parent", F.col("__up").alias("up"), (F.col("depth") + F.col("__depth")).alias("depth"),
+            F.concat("__path", F.lit("."), "path").alias("path"), *[f"__own_{name}" for name in sums],
+            *[(F.col(f"__all_{name}") + F.col(f"__above_{name}")).alias(f"__all_{name}") for name in sums],
+        )
+        chains = written(chains.filter("up IS NULL").unionByName(joined), "chains")
+        reach *= 2
+    found = [(F.col(f"__all_{name}") - F.col(f"__own_{name}")).alias(name) for name in sums]
+    return chains.filter("up IS NULL").select("doc_id", "node", "parent", "depth", "path", *found)
 
 
 def numbered(tree: DataFrame) -> DataFrame:

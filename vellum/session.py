@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -34,3 +36,26 @@ def build_session(name: str = "vellum", master: str | None = None, shared: str |
         spark.stop()
         raise ValueError("name a shared folder: several machines don't see each other's own")
     return spark
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see: ``spark.checkpoint.dir`` of the session.
+
+    Only where that is unset and everything runs on one machine, as in tests, a temporary folder takes its place.
+    """
+    conf = spark.sparkContext.getConf()
+    at = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        at = f"file://{tempfile.mkdtemp(prefix='vellum-')}"
+        spark.conf.set("spark.checkpoint.dir", at)
+    return at.rstrip("/")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet into the shared folder and read again: cuts the lineage and is computed once."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
