@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from vellum.functions import text
-from vellum.operators import analytics, chunks, depths, structure
+from vellum.operators import analytics, chunks, structure
 from vellum.sources import legacy, pages, pictures
 
 
@@ -102,22 +102,6 @@ def test_charts_and_predictions(spark):
     assert named("referenced") == ["art/image_000007_p3.png", "https://x/y.png", "art/image_000000_p1.png"]
 
 
-def test_levels_by_depth(spark):
-    assert depths.ranges([]) == depths.STANDARD == depths.ranges([0, 0])
-    assert depths.ranges([1, 1]) == {"part": (1, 1), "paragraph": (1, 1), "odsek": (1, 1), "pismeno": (1, 1), "subitem": (2, 3)}
-    assert depths.ranges([1, 2, 3])["odsek"] == (3, 3)
-    assert depths.ranges([1, 2, 2, 3, 3, 3, 4, 4, 4, 4, 5]) == {
-        "part": (1, 1), "paragraph": (2, 4), "odsek": (4, 5), "pismeno": (5, 6), "subitem": (6, 7)
-    }
-    assert depths.ranges([1, 1, 1, 5]) == {"part": (1, 1), "paragraph": (2, 3), "odsek": (3, 5), "pismeno": (5, 6), "subitem": (6, 7)}
-    rows = [(1, 0, 1, "PRVÁ ČASŤ"), (1, 1, 2, "§ 1"), (1, 2, 4, "(1)"), (1, 3, 5, "a)"), (1, 4, 6, "1."), (1, 5, 4, "(2)"), (1, 6, 2, "§ 2"),
-            (1, 7, 3, "x"), (1, 8, 3, "y"), (1, 9, 3, "z"), (1, 10, 4, "w"), (1, 11, 4, "v")]
-    nodes = spark.createDataFrame(rows, "doc_id long, pos long, depth int, text string")
-    assert depths.ranges([r[2] for r in rows]) == {"part": (1, 1), "paragraph": (2, 4), "odsek": (4, 5), "pismeno": (5, 7), "subitem": (7, 8)}
-    got = [r.level for r in depths.classified(nodes).orderBy("pos").collect()]
-    assert got == ["part", "paragraph", "odsek", "pismeno", None, "odsek", "paragraph", None, None, None, "odsek", None]
-
-
 def test_named_chunks_and_single_pass(spark):
     texts = ["PRVÁ ČASŤ", "§ 5", "(1)", "daň[3] podľa § 10a[3]", "(2)", "iné", "Tento zákon nadobúda účinnosť", "Poznámky", "3)", "Zákon"]
     rows = [(1, i, "text", "body", t, "#poznamky" if t == "Poznámky" else None) for i, t in enumerate(texts)]

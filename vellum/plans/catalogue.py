@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vellum.plans import corpora, layouts, nested, registry, statutes  # noqa: F401
+from vellum.plans import corpora, depths, layouts, nested, registry, statutes  # noqa: F401
 
 
 def queries() -> dict[str, registry.Query]:
