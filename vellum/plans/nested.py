@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vellum.operators import nested
 from vellum.plans.registry import query
-from vellum.sources import table
+from vellum.sources import markup, table
 
 
 def nation_items(spark, sf_dir):
@@ -119,3 +119,43 @@ def nested_html(spark, sf_dir):
 def nested_tags(spark, sf_dir):
     items, cells = nation_items(spark, sf_dir)
     return nested.document(items, "tags", cells=cells)
+
+
+# Markup as a tree
+
+
+@query(
+    "markup_tree",
+    """WITH p AS (SELECT page_id, url, page_id::VARCHAR AS a, length(html)::VARCHAR AS b, page_id % 4 AS kind FROM pages),
+n AS (
+  SELECT page_id, 0 AS node, NULL AS parent, 'title' AS tag, url AS text, NULL AS marker, true AS placed, kind FROM p
+  UNION ALL SELECT page_id, 1, NULL, 'ordered_list', '', NULL, false, kind FROM p WHERE kind < 2
+  UNION ALL SELECT page_id, 2, 1, 'list_item', a, '1.', false, kind FROM p WHERE kind < 2
+  UNION ALL SELECT page_id, 3, 1, 'list_item', b, '2.', false, kind FROM p WHERE kind < 2
+  UNION ALL SELECT page_id, 4, 3, 'unordered_list', '', NULL, false, kind FROM p WHERE kind = 0
+  UNION ALL SELECT page_id, 5, 4, 'list_item', url, NULL, false, kind FROM p WHERE kind = 0
+  UNION ALL SELECT page_id, 1, NULL, 'picture', '', NULL, true, kind FROM p WHERE kind = 2
+  UNION ALL SELECT page_id, 2, 1, 'caption', a, NULL, false, kind FROM p WHERE kind = 2
+  UNION ALL SELECT page_id, 3, NULL, 'inline', '', NULL, false, kind FROM p WHERE kind = 2
+  UNION ALL SELECT page_id, 4, 3, 'text', b, NULL, false, kind FROM p WHERE kind = 2
+  UNION ALL SELECT page_id, 5, 3, 'code', url, 'SQL', false, kind FROM p WHERE kind = 2
+  UNION ALL SELECT page_id, CASE kind WHEN 1 THEN 4 ELSE 6 END, NULL, 'text', 'end', NULL, false, kind FROM p WHERE kind < 3
+  UNION ALL SELECT page_id, 1, NULL, 'otsl', '', NULL, false, kind FROM p WHERE kind = 3)
+SELECT page_id, node::INTEGER AS node, parent::INTEGER AS parent, tag, text, marker, placed FROM n""",
+)
+def markup_tree(spark, sf_dir):
+    """Pages with lists in lists, with items and closing tags that don't match, and pages that are cut off within a table."""
+    pages = table(spark, sf_dir, "pages")
+    a, b, url, kind = F.col("page_id").cast("string"), F.length("html").cast("string"), F.col("url"), F.col("page_id") % 4
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    body = (
+        F.when(kind == 0, text("<ordered_list><list_item>", a, "</list_item><list_item>", b, "<unordered_list><list_item>", url,
+                               "</list_item></unordered_list></list_item></ordered_list><text>end</text>"))
+        .when(kind == 1, text("</text><ordered_list><list_item>", a, "<list_item>", b, "</ordered_list><text>en<i>d</i></text></title>"))
+        .when(kind == 2, text("<picture><loc_0><loc_0><loc_9><loc_9><caption>", a, "</caption></picture><inline><text>", b,
+                              "</text><code><_SQL_>", url, "</code></inline><text> end </text>"))
+        .otherwise(text("<otsl><fcel>", a, "<fcel>", b, "<nl>"))
+    )
+    made = pages.select("page_id", F.lit(1).alias("page_no"), text("<title><loc_1><loc_2><loc_3><loc_4>", url, "</title>", body).alias("markup"))
+    found = markup.tree(made, "page_id")
+    return found.select("page_id", "node", "parent", "tag", "text", "marker", F.col("box").isNotNull().alias("placed"))

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Root tags, and the grid that locations are on.
 ROOTS = ("title", "text", "list_item", "code", "formula", "caption", "footnote", "page_header", "page_footer", "picture", "otsl",
@@ -78,3 +84,153 @@ def key_values(texts: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFr
     links = every.select(key, F.col("cell_id").alias("source"), F.explode(F.regexp_extract_all("body", F.lit(r"<link_(\d+)>"), F.lit(1))).alias("t"))
     links = links.select(key, "source", F.col("t").cast("int").alias("target"))
     return cells, links.join(cells.select(key, F.col("cell_id").alias("target")), [key, "target"], "left_semi")
+
+
+#: Tags that hold other elements, tags of running text, and labels of charts with what they stand for.
+LISTS = ("ordered_list", "unordered_list")
+HOLDERS = (*LISTS, "list_item", "inline", "picture", "chart", "otsl", "document_index", "key_value_region")
+TEXTS = ("title", "text", "code", "formula", "caption", "footnote", "page_header", "page_footer", "checkbox_selected", "checkbox_unselected")
+CHARTS = {
+    "pie_chart": "pie_chart", "bar_chart": "bar_chart", "stacked_bar_chart": "stacked_bar_chart", "line_chart": "line_chart",
+    "flow_chart": "flow_chart", "scatter_chart": "scatter_chart", "heatmap": "heatmap", "line": "line_chart", "dot_line": "line_chart",
+    "vbar_categorical": "bar_chart", "hbar_categorical": "bar_chart",
+}
+CELLS = ("fcel", "ecel", "ched", "rhed", "srow", "lcel", "ucel", "xcel", "nl")
+_TAG = re.compile(r"<(/?)([^<>/]*)>")
+_HEADING = re.compile(r"section_header_level_([1-6])$")
+_GRAPH = re.compile(r"(key|value)_(\d+)$")
+
+NODE = (
+    "node int, parent int, ord int, tag string, label string, level int, layer string, text string, places array<int>, marker string, "
+    "enumerated boolean, chart string, cell_id int, links array<int>, caption_of int, closed boolean"
+)
+
+
+def parsed(markup: str) -> list[dict]:
+    """The elements of a page's markup, parents before children.
+
+    A stack of open elements, which repairs what doesn't match: a closing tag closes all that was opened
+    after its element, one that nothing waits for is passed over, an item that begins within an item ends
+    that one. What is still open at the end of the page is there, but empty, as nothing says where it ends. In
+    running text other tags are formatting: their text stays.
+    """
+    nodes: list[dict] = []
+    stack: list[dict] = []
+
+    def fits(tag: str) -> bool:
+        top = stack[-1]["tag"] if stack else None
+        if _GRAPH.match(tag):
+            return top == "key_value_region"
+        if tag == "list_item":
+            return top in LISTS
+        if not (tag in HOLDERS or tag in TEXTS or _HEADING.match(tag)):
+            return False
+        if top in LISTS or top == "key_value_region":
+            return False
+        if top == "list_item":
+            return tag in LISTS or tag == "inline"
+        if top in ("picture", "chart", "otsl", "document_index"):
+            return tag == "caption"
+        return top is None or (top == "inline" and tag not in LISTS)
+
+    def opened(tag: str) -> None:
+        up = stack[-1] if stack else None
+        graph = _GRAPH.match(tag)
+        node = {"node": len(nodes), "parent": up and up["node"], "tag": graph[1] if graph else tag, "name": tag, "pieces": [], "places": [],
+                "chart": [], "language": None, "links": [], "cell_id": int(graph[2]) if graph else None, "kids": 0, "closed": False}
+        node["ord"] = sum(n["parent"] == node["parent"] for n in nodes) if up is None else up["kids"]
+        if up is not None:
+            up["kids"] += 1
+        nodes.append(node)
+        stack.append(node)
+
+    def said(text: str) -> None:
+        if stack and text:
+            stack[-1]["pieces"].append(text)
+
+    at = 0
+    for tag in _TAG.finditer(markup):
+        said(markup[at : tag.start()])
+        at, name, top = tag.end(), tag[2], stack[-1]["tag"] if stack else None
+        if tag[1]:
+            if any(n["name"] == name for n in stack):
+                while (done := stack.pop())["name"] != name:
+                    done["closed"] = True
+                done["closed"] = True
+        elif name.startswith("loc_") and name[4:].isdigit():
+            for n in stack:
+                n["places"] += [int(name[4:])] * (len(n["places"]) < 4)
+        elif name.startswith("link_") and name[5:].isdigit():
+            if stack and stack[-1]["cell_id"] is not None:
+                stack[-1]["links"].append(int(name[5:]))
+        elif name in CELLS:
+            said(tag[0] if top in ("otsl", "chart", "document_index") else "")
+        elif name in CHARTS and top == "chart":
+            stack[-1]["chart"].append(name)
+        elif len(name) > 2 and name[0] == name[-1] == "_" and top == "code":
+            stack[-1]["language"] = name[1:-1]
+        else:
+            if name == "list_item" and top == "list_item":
+                stack.pop()["closed"] = True
+            if fits(name):
+                opened(name)
+    return _finished(nodes, {n["node"] for n in stack})
+
+
+def _finished(nodes: list[dict], still_open: set[int]) -> list[dict]:
+    by_node, out, dropped = {n["node"]: n for n in nodes}, [], set()
+    cells, placed = {n["cell_id"] for n in nodes}, {n["node"] for n in nodes if len(n["places"]) == 4}
+    gone = {n["node"] for n in nodes if n["tag"] in ("picture", "chart")} - placed
+    for n in nodes:
+        up = by_node.get(n["parent"])
+        if n["parent"] in dropped or n["parent"] in still_open:
+            dropped.add(n["node"])
+        if n["node"] in dropped | gone:
+            continue
+        heading, tag = _HEADING.match(n["tag"]), n["tag"]
+        ordered = up is not None and up["tag"] == "ordered_list"
+        text = "" if n["node"] in still_open or tag in (*LISTS, "inline") else "".join(n["pieces"]).strip()
+        # The order of CHARTS decides, not the page's.
+        chart = next((CHARTS[c] for c in CHARTS if c in n["chart"]), None)
+        # A caption hangs on a picture only where it has a place of its own.
+        hangs = tag == "caption" and up is not None and up["tag"] != "inline" and n["parent"] not in gone
+        hangs = hangs and (n["node"] in placed or up["tag"] not in ("picture", "chart"))
+        out.append({
+            "node": n["node"], "parent": None if n["parent"] in gone else n["parent"], "ord": n["ord"], "tag": tag, "level": int(heading[1]) if heading else None,
+            "label": "section_header" if heading else {"otsl": "table", "chart": "picture"}.get(tag, tag),
+            "layer": "furniture" if tag in ("page_header", "page_footer") else "body", "text": text,
+            "places": up["places"] if up is not None and up["tag"] == "inline" else n["places"],
+            "marker": f"{n['ord'] + 1}." if tag == "list_item" and ordered else n["language"], "enumerated": tag == "list_item" and ordered,
+            "chart": chart, "cell_id": n["cell_id"], "links": [x for x in n["links"] if x in cells], "closed": n["closed"],
+            "caption_of": n["parent"] if hangs else None,
+        })
+    return out
+
+
+def tree(pages: DataFrame, key: str, width: float = 1.0, height: float = 1.0) -> DataFrame:
+    """key, page_no and the elements of each page as a tree: lists in lists, inline groups, tables, charts, captions, key-value cells.
+
+    See NODE for the columns, but for ``places``, which become ``box`` where there are four. ``text`` of tables and charts is their
+    table tokens, for table_cells(). A picture without a place is left out; its caption stays by itself. Null markup has no
+    elements. Links to cells that aren't there are left out. Pages are read in Arrow batches; a parse holds its page only.
+    """
+    kinds = StructType.fromDDL(NODE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [parsed(text or "") for text in batch.column(2).to_pylist()]
+            of = np.repeat(np.arange(len(found)), [len(f) for f in found])
+            rows = [n for f in found for n in f]
+            columns = [pa.array([n[name] for n in rows], arrow) for name, arrow in zip(names, arrows, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(pa.array(of)) for k in (0, 1)), *columns], [key, "page_no", *names])
+
+    names = kinds.names
+    numbers, flags, lists = ("node", "parent", "ord", "level", "cell_id", "caption_of"), ("enumerated", "closed"), ("places", "links")
+    arrows = [pa.int32() if n in numbers else pa.bool_() if n in flags else pa.list_(pa.int32()) if n in lists else pa.string() for n in names]
+    schema = pages.select(key, "page_no").schema
+    for field in kinds:
+        schema = schema.add(field)
+    rows = pages.select(key, "page_no", "markup").mapInArrow(run, schema)
+    at = lambda k, scale: F.get("places", F.lit(k)) / GRID * scale
+    box = F.struct(at(0, width).alias("l"), at(1, height).alias("t"), at(2, width).alias("r"), at(3, height).alias("b"), F.lit("TOPLEFT").alias("origin"))
+    return rows.withColumn("box", F.when(F.size("places") == 4, box)).drop("places")
