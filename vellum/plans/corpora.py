@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions import geometry as g
 from vellum.functions import refs, render, text
-from vellum.operators import analytics, chunks, context, packing, tables, trees
+from vellum.operators import analytics, budget, chunks, context, packing, tables, trees
 from vellum.plans.registry import query
 from vellum.sources import html, table
 
@@ -547,6 +547,24 @@ def hybrid_pack_totals(spark, sf_dir):
     return made.groupBy("doc_id").agg(F.sum("tokens").alias("words"), (F.max("tokens") <= 64).alias("within"))
 
 
+@query(
+    "token_chunks",
+    r"""SELECT doc_id, md5(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS whole, true AS within, true AS tight FROM documents WHERE regexp_matches(text, '[^\x20\x09-\x0D]')""",
+)
+def token_chunks(spark, sf_dir):
+    """Lines under their document's language and source as headings, by a real tokenizer: nothing lost, nothing above the budget, no chunk too many."""
+    import public_tokenizers
+
+    lines = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("pos", "text"))
+    heading = F.concat_ws("\n", "lang", "source")
+    limit = budget.Budget(128, vocabulary=public_tokenizers.path("word_bpe_49k.json"))
+    made = budget.token_chunks(lines.select("doc_id", "pos", heading.alias("path"), "text"), limit)
+    facts = budget.tightness(made, limit)
+    texts = F.transform(F.sort_array(F.collect_list(F.struct("seq", "text"))), lambda x: x["text"])
+    whole = made.groupBy("doc_id").agg(F.md5(F.regexp_replace(F.array_join(texts, ""), r"[\x20\x09-\x0D]", "")).alias("whole"))
+    return whole.join(facts, "doc_id").select("doc_id", "whole", "within", "tight")
+
+
 # Trees and documents
 
 
