@@ -1,43 +1,64 @@
 """Exact nearest neighbours among binary codes by incremental multi-index hashing.
 
-A code is cut into segments, each with an index of its own. A search looks up, segment by
-segment, all values within a radius of the query's, and verifies the codes that it meets
-by their whole Hamming distance. Codes that no segment has met within radius r differ by
-at least r + 1 in each of m segments; so once the k-th verified distance is below
-m * (r + 1), no unseen code can be as near, and the search ends. Otherwise r grows by one.
-
-An index lies in buckets by the upper bits of the segment's value. A query goes to the
-buckets within the radius, and meets their codes there, in blocks: only its k best of a
-bucket leave it. Equal codes are one entry, so a vector that a third of all rows share is
-looked up once.
+A code is cut into segments, each with an index of its own: a code lies under its value in each
+segment. A search looks up, segment by segment, every value that differs from the query's in
+exactly r bits, and verifies the codes that it meets by their whole Hamming distance. Codes that no
+segment has met within radius r differ by at least r + 1 in each of m segments; so once the
+k-th verified distance is below m * (r + 1), no unseen code can be as near, and the search
+ends. Otherwise r grows by one.
+
+The index is laid out once by (segment, value); each radius sends only probes to it, each to one
+value. Equal codes are one entry, so a vector that a third of all rows share is looked up
+once; a value that very many codes have in a segment is dealt among salts. Lookup and
+verification are joins and bit operations in the JVM.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vellum.llm.shared import tidy, written
+from vellum.llm.shared import hot_of, salted, spread, tidy, written
 
 
-#: Codes of a bucket, on average, and at most in one task.
-BUCKET, PART = 8192, 65_536
+@dataclass(frozen=True)
+class Layout:
+    """``segments`` of ``width`` bits each, as many of them in a 64-bit word as fit whole."""
 
+    segments: int
+    width: int
 
-def sign_codes(vectors: DataFrame, *, id_column: str, vector_column: str, bits: int, segments: int) -> DataFrame:
-    """id and ``code``, the signs of the vector's components, as ``segments`` integers.
+    @property
+    def a_word(self) -> int:
+        return 64 // self.width
 
-    Bit i is set where component i is above 0. Components that lack count as 0, as do
+    @property
+    def words(self) -> int:
+        return -(-self.segments // self.a_word)
+
+    def values(self, code: Column) -> list[Column]:
+        """The value of each segment of a code."""
+        low = F.lit((1 << self.width) - 1) if self.width < 64 else F.lit(-1)
+        word = lambda s: F.get(code, F.lit(s // self.a_word))
+        return [F.shiftrightunsigned(word(s), self.width * (s % self.a_word)).bitwiseAND(low) for s in range(self.segments)]
+
+
+def sign_codes(vectors: DataFrame, layout: Layout, *, id_column: str, vector_column: str) -> DataFrame:
+    """id and ``code``, the signs of the vector's components, as 64-bit words by ``layout``.
+
+    Bit i of the segments in a row is set where component i is above 0. Components that lack count as 0, as do
     nulls and NaN; rows without a vector or without an id have no code.
     """
-    width = math.ceil(bits / segments)
+    segments, width, words, a_word = layout.segments, layout.width, layout.words, layout.a_word
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -46,12 +67,13 @@ def sign_codes(vectors: DataFrame, *, id_column: str, vector_column: str, bits:
             sizes = vector.value_lengths().to_numpy(zero_copy_only=False)
             row = np.repeat(np.arange(len(sizes)), sizes)
             at = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            signs = np.zeros((len(sizes), width * segments), np.int64)
+            signs = np.zeros((len(sizes), width * segments), np.uint64)
             signs[row, at] = flat
-            values = (signs.reshape(-1, width) << np.arange(width)).sum(axis=1)
-            codes = pa.ListArray.from_arrays(
-                pa.array(np.arange(len(sizes) + 1) * segments, pa.int32()), pa.array(values, pa.int64())
-            )
+            values = (signs.reshape(len(sizes), segments, width) << np.arange(width, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
+            code = np.zeros((len(sizes), words), np.uint64)
+            for s in range(segments):
+                code[:, s // a_word] |= values[:, s] << np.uint64(width * (s % a_word))
+            codes = pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1) * words, pa.int32()), pa.array(code.reshape(-1).view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), codes], ["id", "code"])
 
     chosen = vectors.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{vector_column}`").alias("vector")).dropna()
@@ -79,14 +101,16 @@ def top_k(
     """
     facts = vectors.agg(F.count("*").alias("n"), F.max(F.size(F.col(f"`{vector_column}`"))).alias("bits")).first()
     rows, bits = facts["n"], max(facts["bits"] or 1, 1)
-    m = segments or max(1, round(bits / max(4.0, math.log2(max(rows, 2)))))
+    m = segments or max(1, math.ceil(bits / max(4.0, math.log2(max(rows, 2)))))
+    m = max(m, math.ceil(bits / 62))
     width = math.ceil(bits / m)
-    codes = written(sign_codes(vectors, id_column=id_column, vector_column=vector_column, bits=bits, segments=m), "codes")
+    layout = Layout(m, width)
+    codes = written(sign_codes(vectors, layout, id_column=id_column, vector_column=vector_column), "codes")
     # Only the k smallest ids of a code can be among k nearest rows.
     place = F.row_number().over(W.partitionBy("code").orderBy("id"))
     members = codes.withColumn("place", place).filter(F.col("place") <= k)
     members = written(members.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "members")
-    entries = _entries(members, width, m, least_bits := max(0, round(math.log2(max(rows, 1) / BUCKET))))
+    index, hot = indexed(members, layout)
     asked = queries.select(F.col(queries.columns[0]).alias("query_id")).distinct().join(codes, F.col("query_id") == F.col("id"))
     asked = written(asked.select("query_id", F.col("code").alias("q")).distinct(), "asked")
     opened = asked.select("q").distinct().withColumn("bound", F.lit(bits + 1))
@@ -94,7 +118,7 @@ def top_k(
     kind = codes.schema["id"].dataType.simpleString()
     best, finished = None, []
     for radius in range(width + 1 if least else 0):
-        met = _ring(opened, entries, radius, width, min(least_bits, width), k)
+        met = ring(opened, index, hot, layout, radius)
         found = met if best is None else best.join(opened, "q", "left_semi").unionByName(met)
         rank = F.row_number().over(W.partitionBy("q").orderBy("distance", "neighbour_id"))
         best = written(found.withColumn("rank", rank).filter(F.col("rank") <= k), "best")
@@ -107,6 +131,7 @@ def top_k(
         best = best.drop("rank")
         if not opened.limit(1).count():
             break
+    index.unpersist()
     if not finished:
         return codes.sparkSession.createDataFrame([], f"query_id {kind}, rank int, neighbour_id {kind}, distance int")
     near = finished[0]
@@ -115,80 +140,45 @@ def top_k(
     return asked.join(near, "q").select("query_id", "rank", "neighbour_id", "distance")
 
 
-def _entries(members: DataFrame, width: int, m: int, upper: int) -> DataFrame:
-    """segment, bucket, part, code, ids: each code under its value in each segment.
+def indexed(members: DataFrame, layout: Layout) -> tuple[DataFrame, DataFrame]:
+    """key, __salt, segment, code, ids: each code under its value in each segment, laid out once; and the hot keys.
 
-    A bucket beyond PART codes is cut into parts, so a task holds one part's codes.
+    The layout stays on the executors' disks; what a lost one held is read again from ``members``.
     """
-    upper = min(upper, width)
-    spread = members.select("code", "ids", F.posexplode("code").alias("segment", "value"))
-    spread = spread.withColumn("bucket", F.shiftright("value", width - upper)).drop("value")
-    parts = spread.groupBy("segment", "bucket").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("code"), F.col("parts")).cast("int")
-    return written(spread.join(parts, ["segment", "bucket"]).withColumn("part", part), "entries")
-
-
-def _ring(opened: DataFrame, entries: DataFrame, radius: int, width: int, upper: int, k: int) -> DataFrame:
+    places = F.array(*[F.struct(F.lit(s).alias("segment"), v.alias("value")) for s, v in enumerate(layout.values(F.col("code")))])
+    entries = members.select("code", "ids", F.inline(places)).withColumn("key", F.xxhash64("segment", "value"))
+    counts = written(entries.groupBy("key").agg(F.count("*").alias("rows")), "values")
+    hot = written(hot_of(counts, "key", counts.agg(F.sum("rows")).first()[0] or 0), "hot")
+    parts = max(1, int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    laid = salted(entries, hot, "key", "code").select("key", F.col("__salt").alias("salt"), "segment", "code", "ids")
+    return laid.repartition(parts, "key", "salt").persist(StorageLevel.DISK_ONLY), hot
+
+
+def probed(opened: DataFrame, index: DataFrame, hot: DataFrame, layout: Layout, radius: int) -> DataFrame:
+    """q, bound, segment, code, ids: the codes under each value that differs from the query's in ``radius`` bits."""
+    masks = [sum(1 << i for i in chosen) for chosen in combinations(range(layout.width), radius)]
+    places = F.array(*[F.struct(F.lit(s).alias("own"), v.alias("value")) for s, v in enumerate(layout.values(F.col("q")))])
+    probes = opened.select("q", "bound", F.inline(places)).withColumn("mask", F.explode(F.lit(masks).cast("array<long>")))
+    probes = probes.select("q", "bound", "own", F.xxhash64("own", F.col("value").bitwiseXOR(F.col("mask"))).alias("key"))
+    sent = spread(probes, hot, "key").select("q", "bound", "own", "key", F.col("__salt").alias("salt"))
+    return sent.join(index, ["key", "salt"]).filter("own = segment").select("q", "bound", "segment", "code", "ids")
+
+
+def ring(opened: DataFrame, index: DataFrame, hot: DataFrame, layout: Layout, radius: int) -> DataFrame:
     """q, neighbour_id, distance of codes that some segment meets at exactly ``radius`` and none nearer.
 
     The first segment of those reports the code, so it comes once. Beyond a query's bound,
     its k-th distance so far, nothing is reported.
     """
-    masks = [sum(1 << i for i in chosen) for n in range(min(radius, upper) + 1) for chosen in combinations(range(upper), n)]
-    parts = entries.groupBy("segment", "bucket").agg(F.max("parts").alias("parts"))
-    probes = opened.select("q", "bound", F.posexplode("q").alias("segment", "own"))
-    probes = probes.withColumn("mask", F.explode(F.lit(masks).cast("array<long>")))
-    probes = probes.withColumn("bucket", F.shiftright("own", width - upper).bitwiseXOR(F.col("mask")))
-    probes = probes.join(parts, ["segment", "bucket"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    none = F.array().cast(entries.schema["ids"].dataType)
-    sent = probes.select("segment", "bucket", "part", F.lit(1).alias("asks"), F.col("q").alias("code"), "bound", none.alias("ids"))
-    held = entries.select("segment", "bucket", "part", F.lit(0).alias("asks"), "code", F.lit(0).alias("bound"), "ids")
-    place = ["segment", "bucket", "part"]
-    dealt = held.unionByName(sent).repartition(*place).sortWithinPartitions(*place, "asks")
-
-    def search(table: pa.Table) -> pa.RecordBatch:
-        asks, bound = table.column("asks").to_numpy() == 1, table.column("bound").to_numpy()
-        segment = table.column("segment")[0].as_py()
-        code = table.column("code").combine_chunks()
-        values = code.flatten().to_numpy().reshape(len(code), -1).astype(np.uint64)
-        mine, theirs = np.flatnonzero(asks), np.flatnonzero(~asks)
-        first = [x[0] for x in table.column("ids").take(pa.array(theirs)).to_pylist()]
-        order = np.empty(len(theirs), np.int64)
-        order[sorted(range(len(first)), key=first.__getitem__)] = np.arange(len(first))
-        a, b, far = [], [], []
-        for block in np.array_split(mine, max(1, -(-len(mine) * len(theirs) // 4_000_000))):
-            near = np.bitwise_count(values[block, segment][:, None] ^ values[theirs, segment][None, :]) == radius
-            x, y = np.nonzero(near)
-            apart = np.bitwise_count(values[block[x]] ^ values[theirs[y]])
-            distance = apart.sum(axis=1, dtype=np.int64)
-            keep = (apart.min(axis=1) == radius) & (apart.argmin(axis=1) == segment) & (distance <= bound[block[x]])
-            x, y, distance = x[keep], y[keep], distance[keep]
-            best = np.lexsort((order[y], distance, x))
-            x, y, distance = x[best], y[best], distance[best]
-            rank = np.arange(len(x)) - np.searchsorted(x, x, side="left")
-            a.append(block[x[rank < k]])
-            b.append(theirs[y[rank < k]])
-            far.append(distance[rank < k])
-        a, b, far = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (a, b, far))
-        return pa.RecordBatch.from_arrays(
-            [code.take(pa.array(a)), table.column("ids").combine_chunks().take(pa.array(b)), pa.array(far, pa.int32())],
-            ["q", "ids", "distance"],
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[pa.RecordBatch] = []
-        for batch in batches:
-            table = pa.Table.from_batches([*rest, batch])
-            keys = np.stack([table.column(c).to_numpy() for c in place], axis=1)
-            ends = [*(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()]
-            for begin, end in zip([0, *ends], ends, strict=False):
-                one = table.slice(begin, end - begin)
-                if one.column("asks")[-1].as_py():
-                    yield search(one)
-            rest = table.slice(ends[-1] if ends else 0).to_batches()
-        if rest and (one := pa.Table.from_batches(rest)).column("asks")[-1].as_py():
-            yield search(one)
-
-    ids = entries.schema["ids"].dataType.simpleString()
-    met = dealt.mapInArrow(tidy(run), f"q array<long>, ids {ids}, distance int")
+    met = probed(opened, index, hot, layout, radius)
+    word = lambda c, j: F.get(c, F.lit(j))
+    apart = [word("q", j).bitwiseXOR(word("code", j)) for j in range(layout.words)]
+    met = met.withColumn("apart", F.array(*apart))
+    each = [F.bit_count(v) for v in layout.values(F.col("apart"))]
+    # Equal to the radius in its own segment; above it in those before, no less in those behind.
+    first = F.lit(True)
+    for s, far in enumerate(each):
+        first = first & F.when(F.col("segment") > s, far > radius).otherwise(far >= radius)
+    distance = sum(F.bit_count(word("apart", j)) for j in range(layout.words))
+    met = met.filter(first).withColumn("distance", distance.cast("int")).filter("distance <= bound")
     return met.select("q", F.explode("ids").alias("neighbour_id"), "distance")
