@@ -38,7 +38,7 @@ class CoFit:
     """How to fit. The bounds are of rows to learn from, never of rows to score or to choose among."""
 
     rows_a_class: int = 1500
-    rounds: int = 2
+    rounds: int = 3
     taught_a_class: int = 150
     sure: float = 0.95
     text: toxicity.Fit = field(default_factory=lambda: toxicity.Fit(sizes=(1, 2, 3), bits=18))
