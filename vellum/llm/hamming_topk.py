@@ -161,7 +161,8 @@ def probed(opened: DataFrame, index: DataFrame, hot: DataFrame, layout: Layout,
     probes = opened.select("q", "bound", F.inline(places)).withColumn("mask", F.explode(F.lit(masks).cast("array<long>")))
     probes = probes.select("q", "bound", "own", F.xxhash64("own", F.col("value").bitwiseXOR(F.col("mask"))).alias("key"))
     sent = spread(probes, hot, "key").select("q", "bound", "own", "key", F.col("__salt").alias("salt"))
-    return sent.join(index, ["key", "salt"]).filter("own = segment").select("q", "bound", "segment", "code", "ids")
+    # The index stays where it is: its size grows with the input, whatever Spark takes it for.
+    return sent.join(index.hint("merge"), ["key", "salt"]).filter("own = segment").select("q", "bound", "segment", "code", "ids")
 
 
 def ring(opened: DataFrame, index: DataFrame, hot: DataFrame, layout: Layout, radius: int) -> DataFrame:
