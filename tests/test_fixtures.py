@@ -173,8 +173,7 @@ def test_renderings(spark):
     assert make(render.html, "section_header", "a<b\nc", 9) == "<h6>a&lt;b<br>c</h6>"
     assert make(render.latex, "text", "50% \\ {a}_~", 1) == r"50\% \textbackslash{} \{a\}\_\textasciitilde{}"
     assert make(render.latex, "section_header", "a", 1) == r"\section{a}"
-    with pytest.raises(Exception, match="levels 1 to 3"):
-        make(render.latex, "section_header", "a", 4)
+    assert make(render.latex, "section_header", "x", 4) == "\\paragraph{x}"
     assert make(render.tagged, "section_header", "a", 1) == "<section_header_level_1>a</section_header_level_1>"
     assert one(spark, render.styled(F.lit("a"), F.lit(True), F.lit(True), F.lit("u"))) == "[***a***](u)"
 

@@ -47,10 +47,10 @@ def html(label: Column, text: Column, level: Column) -> Column:
 
 
 def latex(label: Column, text: Column, level: Column) -> Column:
-    """Sections down to level 3; deeper ones are an error."""
+    """Sections down to level 3; deeper headings begin paragraphs."""
     body = latex_escaped(text)
     name = F.when(level == 1, "section").when(level == 2, "subsection").when(level == 3, "subsubsection")
-    section = F.coalesce(name, F.raise_error(F.lit("LaTeX has sections of levels 1 to 3 only")))
+    section = F.coalesce(name, F.lit("paragraph"))
     return (
         F.when(label == "title", F.concat(F.lit(r"\title{"), body, F.lit("}")))
         .when(label == "section_header", F.concat(F.lit("\\"), section, F.lit("{"), body, F.lit("}")))

@@ -197,7 +197,8 @@ def best_table_match(texts: DataFrame, grid: DataFrame, excluded: DataFrame | No
         F.transform(F.sort_array(F.collect_list(F.struct("r", "said"))), lambda x: x["said"]).alias("rows"),
     )
     held = held.withColumn("rows", F.filter(F.slice("rows", 2, F.size("rows")), lambda x: x != ""))
-    met = wanted.join(held, "doc_id")
+    # Only texts that can score at all meet the tables of their document.
+    met = wanted.filter((F.size("headers") > 0) | (F.size("values") > 1)).join(held, "doc_id")
     if excluded is not None:
         met = met.join(excluded, ["doc_id", "text_id", "table_id"], "left_anti")
     alike = lambda h: (F.size(h) > 0) & (F.size("head") > 0) & (F.size(F.array_intersect(h, "head")) * 2 >= F.size(h))

@@ -68,22 +68,12 @@ def running_offsets(spark, sf_dir):
     )
 
 
-@query(
-    "context_frame",
-    "SELECT conv_id, turn, coalesce(string_agg(left(text, 20), '|') OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), '') AS frame FROM conversations",
-)
-def context_frame(spark, sf_dir):
-    frame = W.partitionBy("conv_id").orderBy("turn").rowsBetween(-3, -1)
-    last = F.array_join(F.collect_list(F.left("text", F.lit(20))).over(frame), "|")
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", last.alias("frame"))
-
-
 @query(
     "context_frame_whole",
     "SELECT conv_id, turn, coalesce(string_agg(text, '|') OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), '') AS frame FROM conversations",
 )
 def context_frame_whole(spark, sf_dir):
-    """context_frame with the whole texts."""
+    """The last three turns before each turn."""
     frame = W.partitionBy("conv_id").orderBy("turn").rowsBetween(-3, -1)
     last = F.array_join(F.collect_list("text").over(frame), "|")
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", last.alias("frame"))
@@ -244,22 +234,6 @@ def table_fuzzy_top1(spark, sf_dir):
     return tables.best_header_match(wanted, held, 0.2)
 
 
-@query(
-    "table_position_range_join",
-    """WITH u AS (SELECT user_id AS doc_id, event_id AS unit_id, event_id AS a, event_id + 20 AS b FROM events WHERE event_id % 97 = 0),
-t AS (SELECT user_id AS doc_id, event_id AS table_id, event_id AS pos FROM events WHERE event_type = 'error'),
-m AS (SELECT t.doc_id, table_id, unit_id, a, CASE WHEN pos >= a AND pos < b THEN 1 ELSE 2 END AS priority FROM t JOIN u ON t.doc_id = u.doc_id AND pos >= a - 5 AND pos < b + 5)
-SELECT doc_id, table_id, unit_id, priority FROM m QUALIFY row_number() OVER (PARTITION BY doc_id, table_id ORDER BY priority, a, unit_id) = 1""",
-)
-def table_position_range_join(spark, sf_dir):
-    events = table(spark, sf_dir, "events").withColumnRenamed("user_id", "doc_id")
-    units = events.filter("event_id % 97 = 0").select(
-        "doc_id", F.col("event_id").alias("unit_id"), F.col("event_id").alias("start"), (F.col("event_id") + 20).alias("end")
-    )
-    held = events.filter("event_type = 'error'").select("doc_id", F.col("event_id").alias("table_id"), F.col("event_id").alias("pos"))
-    return tables.assigned_by_position(held, units)
-
-
 @query(
     "table_position_range_join_whole",
     """WITH u AS (SELECT user_id AS doc_id, event_id AS unit_id, event_id AS a, event_id + 20 AS b FROM events),
@@ -455,17 +429,6 @@ def gap_merge(spark, sf_dir):
     return analytics.gaps(analytics.merged_ranges(ranges, "user_id"), "user_id")
 
 
-@query(
-    "heading_path",
-    """WITH i AS (SELECT conv_id AS doc_id, turn AS pos, CASE role WHEN 'system' THEN 1 WHEN 'user' THEN 2 END AS level, left(text, 30) AS text FROM conversations),
-h AS (SELECT *, last_value(CASE WHEN level = 1 THEN pos END IGNORE NULLS) OVER w AS p1, last_value(CASE WHEN level = 2 THEN pos END IGNORE NULLS) OVER w AS p2 FROM i WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-SELECT h.doc_id, h.pos, h.text, concat_ws(' > ', a.text, CASE WHEN p2 > coalesce(p1, -1) THEN b.text END) AS path
-FROM h LEFT JOIN i a ON a.doc_id = h.doc_id AND a.pos = p1 LEFT JOIN i b ON b.doc_id = h.doc_id AND b.pos = p2 WHERE h.level IS NULL""",
-)
-def heading_path(spark, sf_dir):
-    return chunks.heading_paths(_turns(spark, sf_dir), 2)
-
-
 @query(
     "heading_path_whole",
     """WITH i AS (SELECT conv_id AS doc_id, turn AS pos, CASE role WHEN 'system' THEN 1 WHEN 'user' THEN 2 END AS level, text FROM conversations),
@@ -474,30 +437,17 @@ SELECT h.doc_id, h.pos, h.text, concat_ws(' > ', a.text, CASE WHEN p2 > coalesce
 FROM h LEFT JOIN i a ON a.doc_id = h.doc_id AND a.pos = p1 LEFT JOIN i b ON b.doc_id = h.doc_id AND b.pos = p2 WHERE h.level IS NULL""",
 )
 def heading_path_whole(spark, sf_dir):
-    """heading_path with the whole texts."""
-    return chunks.heading_paths(_turns(spark, sf_dir, F.col("text")), 2)
+    """Each turn's headings, the system's and the user's turns before it."""
+    return chunks.heading_paths(_turns(spark, sf_dir), 2)
 
 
-def _turns(spark, sf_dir, text=None):
-    text = F.left("text", F.lit(30)) if text is None else text
+def _turns(spark, sf_dir):
     level = F.when(F.col("role") == "system", 1).when(F.col("role") == "user", 2)
     return table(spark, sf_dir, "conversations").select(
-        F.col("conv_id").alias("doc_id"), F.col("turn").alias("pos"), level.alias("level"), text.alias("text")
+        F.col("conv_id").alias("doc_id"), F.col("turn").alias("pos"), level.alias("level"), "text"
     )
 
 
-@query(
-    "contextualised_chunks",
-    """SELECT c.conv_id AS doc_id, c.turn AS pos, coalesce(left(u.text, 30) || chr(10), '') || left(c.text, 30) AS context
-FROM conversations c LEFT JOIN conversations u ON u.conv_id = c.conv_id AND u.role = 'user' AND u.turn = (SELECT max(turn) FROM conversations x WHERE x.conv_id = c.conv_id AND x.role = 'user' AND x.turn < c.turn)
-WHERE c.role = 'assistant'""",
-)
-def contextualised_chunks(spark, sf_dir):
-    found = chunks.heading_paths(_turns(spark, sf_dir).filter("level IS NULL OR level = 2"), 2)
-    kept = table(spark, sf_dir, "conversations").filter("role = 'assistant'").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("pos"))
-    return chunks.contextualised(found.join(kept, ["doc_id", "pos"], "left_semi")).select("doc_id", "pos", "context")
-
-
 @query(
     "contextualised_chunks_whole",
     """SELECT c.conv_id AS doc_id, c.turn AS pos, coalesce(nullif(u.text, '') || chr(10), '') || c.text AS context
@@ -505,8 +455,8 @@ FROM conversations c LEFT JOIN conversations u ON u.conv_id = c.conv_id AND u.ro
 WHERE c.role = 'assistant'""",
 )
 def contextualised_chunks_whole(spark, sf_dir):
-    """contextualised_chunks with the whole texts."""
-    turns = _turns(spark, sf_dir, F.col("text")).filter("level IS NULL OR level = 2")
+    """Texts to embed: each answer under the question before it."""
+    turns = _turns(spark, sf_dir).filter("level IS NULL OR level = 2")
     kept = table(spark, sf_dir, "conversations").filter("role = 'assistant'").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("pos"))
     found = chunks.heading_paths(turns, 2).join(kept, ["doc_id", "pos"], "left_semi")
     return chunks.contextualised(found).select("doc_id", "pos", "context")
@@ -791,21 +741,6 @@ _BOX = """WITH e AS (SELECT vec_id, label, round(embedding[1]::DOUBLE * 100, 3)
 box AS (SELECT vec_id, label, least(a, b) AS l, greatest(a, b) AS r, least(c, d) AS t, greatest(c, d) AS bo FROM e)"""
 
 
-@query(
-    "bbox_iou_join",
-    _BOX
-    + """, p AS (SELECT x.vec_id AS a, y.vec_id AS b, greatest(least(x.r, y.r) - greatest(x.l, y.l), 0) * greatest(least(x.bo, y.bo) - greatest(x.t, y.t), 0) AS i,
-  (x.r - x.l) * (x.bo - x.t) AS sa, (y.r - y.l) * (y.bo - y.t) AS sb FROM box x JOIN box y ON x.label = y.label AND x.vec_id // 10 = y.vec_id // 10 AND x.vec_id < y.vec_id)
-SELECT a, b, round(i, 6) AS inter, round(i / (sa + sb - i + 1e-6), 6) AS iou FROM p WHERE i > 0""",
-)
-def bbox_iou_join(spark, sf_dir):
-    boxes = _boxes(spark, sf_dir).withColumn("cell", F.expr("vec_id div 10"))
-    x, y = (boxes.select("label", "cell", F.col("vec_id").alias(n), F.col("box").alias(f"box_{n}")) for n in ("a", "b"))
-    met = x.join(y, ["label", "cell"]).filter("a < b")
-    both = g.intersection(F.col("box_a"), F.col("box_b"))
-    return met.filter(both > 0).select("a", "b", F.round(both, 6).alias("inter"), F.round(g.iou(F.col("box_a"), F.col("box_b")), 6).alias("iou"))
-
-
 @query("bbox_enclosing", _BOX + " SELECT label, min(l) AS l, min(t) AS t, max(r) AS r, max(bo) AS b FROM box GROUP BY label")
 def bbox_enclosing(spark, sf_dir):
     around = _boxes(spark, sf_dir).groupBy("label").agg(g.enclosing(F.col("box")).alias("box"))
