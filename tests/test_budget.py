@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from vellum.operators.budget import Budget, Counter, line_windows, pieces, tightness, token_chunks
+from vellum.operators.budget import Budget, Counter, judged, line_windows, pieces, token_chunks
 
 WORDS, BPE = None, public_tokenizers.path("word_bpe_49k.json")
 
@@ -81,7 +81,7 @@ def test_long_items_under_headings(spark, merge):
     first = [r for r in got if r.doc_id == 1 and r.first_pos <= 1]
     assert "".join(r.text for r in first).replace("\n", "") == (long + "short").replace("\n", "")
     assert [(r.path, r.text) for r in got if r.first_pos == 2] == [("", "words under long headings")]
-    facts = {r.doc_id: (r.within, r.tight) for r in tightness(chunks, budget).collect()}
+    facts = {r.doc_id: (r.within, r.tight) for r in judged(chunks, budget).collect()}
     assert all(f[0] for f in facts.values()) and (not merge or facts[1][1])
 
 

@@ -19,10 +19,11 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+#: What tokens never reach across: a tokenizer is taken to cut at white space, so the sizes of words add up.
+WORD, KNOWN = re.compile(r"[^\x20\x09-\x0D]+"), 500_000
 #: Where to cut, best first; a separator stays at the end of the part before it.
 SEPARATORS = (r"\n\s*\n", r"\n", r"(?<=[.!?…])\s+", r"(?<=[;:,])\s+", r"\s+")
 
@@ -41,7 +42,7 @@ class Budget:
 
 class Counter:
     def __init__(self, vocabulary: str | None):
-        self.model = None
+        self.model, self.known = None, {}
         if vocabulary is not None:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores out
             from tokenizers import Tokenizer
@@ -51,16 +52,28 @@ class Counter:
             self.model.no_padding()
             self.model.encode_special_tokens = True
 
+    def _learn(self, words: set[str]) -> dict[str, tuple[int, ...]]:
+        """Where the tokens of words begin: each distinct one is looked at once, as long as KNOWN of them are kept."""
+        if len(self.known) > KNOWN:
+            self.known.clear()
+        new = [w for w in words if w not in self.known]
+        if new and self.model is None:
+            self.known.update((w, (0,)) for w in new)
+        elif new:
+            found = self.model.encode_batch(new, add_special_tokens=False)
+            self.known.update((w, tuple(a for a, _ in e.offsets)) for w, e in zip(new, found, strict=True))
+        return self.known
+
     def sizes(self, texts: list[str]) -> np.ndarray:
-        if self.model is None:
-            return np.array([len(t.split()) for t in texts], np.int64)
-        return np.array([len(e.ids) for e in self.model.encode_batch(texts, add_special_tokens=False)], np.int64)
+        split = [WORD.findall(t) for t in texts]
+        known = self._learn({w for words in split for w in words})
+        return np.array([sum(map(len, map(known.__getitem__, words))) for words in split], np.int64)
 
     def begins(self, text: str) -> np.ndarray:
         """Where each token begins, in code points."""
-        if self.model is None:
-            return np.array([m.start() for m in re.finditer(r"\S+", text)], np.int64)
-        return np.array([a for a, _ in self.model.encode(text, add_special_tokens=False).offsets], np.int64)
+        found = [(m.start(), m.group()) for m in WORD.finditer(text)]
+        known = self._learn({w for _, w in found})
+        return np.array([at + a for at, w in found for a in known[w]], np.int64)
 
 
 @lru_cache(maxsize=4)
@@ -154,16 +167,18 @@ def token_chunks(items: DataFrame, budget: Budget = Budget()) -> DataFrame:
     kind = items.schema["doc_id"].dataType.simpleString()
     place = items.schema["pos"].dataType.simpleString()
 
-    def chunk(tool: Counter, rows: pa.Table, joint: int) -> Iterator[dict]:
+    def chunk(tool: Counter, rows: pa.Table) -> Iterator[dict]:
         """One chunk, or more where the tokens of joined items are more than those of the items."""
         piece, texts = rows.column("piece").to_pylist(), rows.column("text").to_pylist()
         path = rows.column("path")[0].as_py()
         text = "".join(("\n" if k and not piece[k] else "") + t for k, t in enumerate(texts))
-        tokens, alone = tool.sizes([f"{path}\n{text}" if path else text, text]).tolist()
+        # Parts of one item may meet within a word; else sizes add up.
+        alone = int(tool.sizes([text])[0]) if any(piece[1:]) else sum(rows.column("size").to_pylist())
+        tokens = alone + rows.column("head")[0].as_py()
         if tokens > budget.tokens and len(rows) > 1:
             half = len(rows) // 2
-            yield from chunk(tool, rows.slice(0, half), joint)
-            yield from chunk(tool, rows.slice(half), joint)
+            yield from chunk(tool, rows.slice(0, half))
+            yield from chunk(tool, rows.slice(half))
             return
         pos = rows.column("pos")
         yield {"doc_id": rows.column("doc_id")[0].as_py(), "path": path, "text": text, "tokens": tokens, "text_tokens": alone,
@@ -173,7 +188,6 @@ def token_chunks(items: DataFrame, budget: Budget = Budget()) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = counter(budget.vocabulary)
-        joint = int(tool.sizes(["\n"])[0])
         held: pa.Table | None = None
         last: list = [None, 0]  # the document in progress, and its next number
 
@@ -194,20 +208,20 @@ def token_chunks(items: DataFrame, budget: Budget = Budget()) -> DataFrame:
                 fresh |= np.ones(len(doc), bool)
             ends = np.append(np.flatnonzero(fresh)[1:], len(doc))
             end_of = ends[np.cumsum(fresh) - 1]
-            before = np.concatenate(([0], np.cumsum(table.column("size").to_numpy() + joint)))
+            before = np.concatenate(([0], np.cumsum(table.column("size").to_numpy())))
             head, at, done = table.column("head").to_numpy(), 0, []
             while at < len(doc):
-                room = budget.tokens - head[at] + joint
+                room = budget.tokens - head[at]
                 upto = min(int(end_of[at]), max(at + 1, int(np.searchsorted(before, before[at] + room, "right")) - 1))
                 if upto == len(doc):
                     break
-                done += chunk(tool, table.slice(at, upto - at), joint)
+                done += chunk(tool, table.slice(at, upto - at))
                 at = upto
             held = table.slice(at).combine_chunks()
             if done:
                 yield emitted(done)
         if held is not None and len(held):
-            yield emitted(list(chunk(tool, held, joint)))
+            yield emitted(list(chunk(tool, held)))
 
     return dealt.mapInArrow(run, f"doc_id {kind}, seq long, path string, text string, tokens long, text_tokens long, first_pos {place}, last_pos {place}")
 
@@ -247,9 +261,11 @@ def line_windows(chunks: DataFrame, budget: Budget, least: int = 300) -> DataFra
     return chunks.select("chunk_id", "text").mapInArrow(run, f"chunk_id {kind}, part int, text string, tokens long")
 
 
-def tightness(chunks: DataFrame, budget: Budget) -> DataFrame:
-    """doc_id, within, tight: whether no chunk is above the budget, and no two neighbours with equal headings would fit into one."""
-    order = W.partitionBy("doc_id").orderBy("seq")
-    fits = (F.lead("path").over(order) == F.col("path")) & (F.lead("text_tokens").over(order) + F.col("tokens") <= budget.tokens)
-    rows = chunks.withColumn("fits", F.coalesce(fits, F.lit(False)))
-    return rows.groupBy("doc_id").agg((F.max("tokens") <= budget.tokens).alias("within"), (~F.bool_or("fits")).alias("tight"))
+def judged(chunks: DataFrame, budget: Budget) -> DataFrame:
+    """doc_id, text, within, tight: the chunks' texts in a row, whether none is above the budget, and whether no two neighbours fit into one."""
+    each = F.sort_array(F.collect_list(F.struct("seq", "path", "text", "tokens", "text_tokens")))
+    held = chunks.groupBy("doc_id").agg(each.alias("all"), F.max("tokens").alias("most"))
+    pairs = F.zip_with(F.slice("all", F.lit(1), F.size("all") - 1), F.slice("all", F.lit(2), F.size("all")),
+                       lambda a, b: (a["path"] == b["path"]) & (a["tokens"] + b["text_tokens"] <= budget.tokens))
+    text = F.array_join(F.transform("all", lambda x: x["text"]), "")
+    return held.select("doc_id", text.alias("text"), (F.col("most") <= budget.tokens).alias("within"), (~F.exists(pairs, lambda x: x)).alias("tight"))

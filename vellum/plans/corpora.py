@@ -508,11 +508,8 @@ def token_chunks(spark, sf_dir):
     lines = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("pos", "text"))
     heading = F.concat_ws("\n", "lang", "source")
     limit = budget.Budget(128, vocabulary=public_tokenizers.path("word_bpe_49k.json"))
-    made = budget.token_chunks(lines.select("doc_id", "pos", heading.alias("path"), "text"), limit)
-    facts = budget.tightness(made, limit)
-    texts = F.transform(F.sort_array(F.collect_list(F.struct("seq", "text"))), lambda x: x["text"])
-    whole = made.groupBy("doc_id").agg(F.md5(F.regexp_replace(F.array_join(texts, ""), r"[\x20\x09-\x0D]", "")).alias("whole"))
-    return whole.join(facts, "doc_id").select("doc_id", "whole", "within", "tight")
+    facts = budget.judged(budget.token_chunks(lines.select("doc_id", "pos", heading.alias("path"), "text"), limit), limit)
+    return facts.select("doc_id", F.md5(F.regexp_replace("text", r"[\x20\x09-\x0D]", "")).alias("whole"), "within", "tight")
 
 
 # Trees and documents
