@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vellum.operators import chunks, context, structure
+from vellum.operators import chunks, context, sections, structure
 from vellum.plans.registry import query
 from vellum.sources.law_stream import law_items
 
@@ -276,3 +276,21 @@ SELECT doc_id, k::VARCHAR AS paragraph, k * 10000 AS start, nk * 10000 AS "end"
 )
 def full_paragraph_blocks(spark, sf_dir):
     return context.full_blocks(law_items(spark, sf_dir))
+
+
+@query(
+    "nested_sections",
+    ORD
+    + """,
+odseks AS (
+  SELECT doc_id, k, l_linenumber AS n, {type: 'odsek', marker: l_linenumber::VARCHAR, content: {text: 'flag ' || l_returnflag || '¹ [' || l_linenumber || ']',
+    subsubsections: [
+      {type: 'pismeno', marker: 'a', content: {text: 'quantity ' || l_quantity::BIGINT, subitems: []::STRUCT(type VARCHAR, marker VARCHAR, text VARCHAR)[]}},
+      {type: 'pismeno', marker: 'b', content: {text: 'status ' || l_linestatus || ':', subitems: [{type: 'subitem', marker: '1', text: 'ship ' || strftime(l_shipdate, '%Y-%m-%d')}]}}],
+    subitems: []::STRUCT(type VARCHAR, marker VARCHAR, text VARCHAR)[]}} AS odsek FROM ln)
+SELECT doc_id, k * 10000 AS pos, k::VARCHAR AS marker, to_json({type: 'paragraph', marker: k::VARCHAR, content: {text: o_orderpriority || ' podľa § ' || (o_orderkey % 5 + 1),
+  subsections: coalesce((SELECT list(odsek ORDER BY n) FROM odseks o WHERE o.doc_id = ord.doc_id AND o.k = ord.k), [])}})::VARCHAR AS section FROM ord""",
+)
+def nested_sections(spark, sf_dir):
+    made = sections.nested(_units(spark, sf_dir))
+    return made.select("doc_id", "pos", "marker", F.to_json("section").alias("section"))
