@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from vellum.operators import nested, trees
+from vellum.operators import nested, tables, trees
 
 ITEMS = (
     "doc_id long, node string, parent string, ord int, kind string, label string, text string, level int, marker string, "
@@ -134,10 +134,12 @@ line<lcel><nl><fcel>1<fcel> "q" <nl><caption>Table 'one' of two</caption></otsl>
 </doctag>"""
 
 
-def rendered(spark, rows, form, cells=CELLS):
+def rendered(spark, rows, form, cells=CELLS, **more):
     items = spark.createDataFrame(rows, ITEMS)
+    if cells is None:
+        return {r.doc_id: r.rendered for r in nested.document(items, form, **more).collect()}
     grid = spark.createDataFrame([(*c, False, False) for c in cells], "doc_id long, table_id string, r0 int, r1 int, c0 int, c1 int, text string, column_header boolean, row_header boolean, row_section boolean")
-    return {r.doc_id: r.rendered for r in nested.document(items, form, cells=grid).collect()}
+    return {r.doc_id: r.rendered for r in nested.document(items, form, cells=grid, **more).collect()}
 
 
 def test_markdown(spark):
@@ -152,6 +154,87 @@ def test_tags(spark):
     assert rendered(spark, LISTS, "tags") == {1: TAGS}
 
 
+LATEX = r"""\documentclass{article}
+\title{A\_b \& c}
+
+\begin{document}
+
+\maketitle
+
+\begin{enumerate}
+\item first
+  \begin{itemize}
+\item inner <x>
+    \begin{itemize}
+\item deep
+    \end{itemize}
+\item second
+  \end{itemize}
+\item \href{u}{\textbf{bold}}
+\item see \texttt{f(x)} $x^2$
+\item then
+\textit{more}
+\end{enumerate}
+
+\subsection{Head}
+
+\begin{figure}[h]
+% image
+\caption{Fig\_1}
+\end{figure}
+
+\begin{verbatim}
+a < b
+\end{verbatim}
+
+\begin{table}[h]
+\caption{Table 'one' of two}
+\begin{tabular}{|l|l|}
+\hline
+Head line & Head line \\ \hline
+1 &  "q"  \\ \hline
+\end{tabular}
+\end{table}
+
+\end{document}"""
+
+
+def test_latex(spark):
+    head = (r"\documentclass{article}",)
+    assert rendered(spark, LISTS, "latex", preamble=head) == {1: LATEX}
+    spanned = LATEX.replace("Head line & Head line", r"\multicolumn{2}{|l|}{Head line}").replace("{article}\n", "{article}\n\\usepackage{multirow}\n")
+    assert rendered(spark, LISTS, "latex", preamble=head, spans=True) == {1: spanned}
+
+
+def test_latex_heads(spark):
+    """Only the first title is set, those with braces stay, headings of any depth don't abort, and what is empty gives nothing."""
+    rows = [
+        row("a", None, 0, "text", "text", "before"), row("b", None, 1, "text", "title", "one"), row("c", None, 2, "text", "title", "two"),
+        row("d", None, 3, "text", "section_header", "deep", level=9), row("e", None, 4, "text", "formula", ""), row("f", None, 5, "text", "text", None),
+        row("g", None, 6, "table"), row("a", None, 0, "text", "title", "a{b}", doc=2), row("a", None, 0, "text", "text", "", doc=3),
+        row("I", None, 0, "inline", doc=4), row("i", "I", 0, "text", "code", "#1", doc=4), row("j", "I", 1, "text", "text", "50%", doc=4),
+    ]
+    begin, end = "\\begin{document}", "\\end{document}"
+    assert rendered(spark, rows, "latex", cells=None, preamble=()) == {
+        1: "\\title{one}\n\n" + "\n\n".join([begin, "\\maketitle", "before", "\\paragraph{deep}", end]),
+        2: "\n\n".join([begin, r"\title{a\{b\}}", end]), 3: f"{begin}\n\n{end}", 4: "\n\n".join([begin, r"\texttt{\\#1} 50\%", end]),
+    }
+    assert list(rendered(spark, rows[:1], "latex", cells=None).values())[0].startswith("\\documentclass[11pt,a4paper]{article}\n\n\\usepackage[utf8]")
+
+
+def test_latex_spans(spark):
+    """Cells across columns and rows, and a place without a cell, whose rules go on."""
+    cells = [(1, 0, 1, 0, 3, "A"), (1, 1, 3, 0, 1, "B"), (1, 1, 2, 1, 2, "c\nd"), (1, 2, 3, 1, 3, "E"), (2, 0, 2, 0, 2, "F"), (3, 0, 1, 1, 2, None)]
+    found = tables.as_latex(spark.createDataFrame(cells, "table_id long, r0 int, r1 int, c0 int, c1 int, text string"), spans=True)
+    bodies = {
+        1: ["|l|l|l|", r"\multicolumn{3}{|l|}{A} \\ \hline", r"\multirow{2}{*}{B} & c d &  \\ \cline{2-2} \cline{3-3}", r" & \multicolumn{2}{l|}{E} \\ \hline"],
+        2: ["|l|l|", r"\multicolumn{2}{|l|}{\multirow{2}{*}{F}} \\", r"\multicolumn{2}{|l|}{} \\ \hline"],
+        3: ["|l|l|", r" &  \\ \hline"],
+    }
+    made = {k: "\n".join([f"\\begin{{tabular}}{{{v[0]}}}", "\\hline", *v[1:], "\\end{tabular}"]) for k, v in bodies.items()}
+    assert {r.table_id: r.tabular for r in found.collect()} == made
+
+
 def test_numbers_of_a_list_without_markers(spark):
     rows = [row("L", None, 0, "list")] + [row(f"i{k}", "L", k, "text", "list_item", f"x{k}", enumerated=k == 0) for k in range(3)]
     assert rendered(spark, rows, "markdown") == {1: "1. x0\n2. x1\n3. x2"}

@@ -46,11 +46,47 @@ def html(label: Column, text: Column, level: Column) -> Column:
     return F.concat(F.lit("<"), tag, F.lit(">"), body, F.lit("</"), tag, F.lit(">"))
 
 
-def latex(label: Column, text: Column, level: Column) -> Column:
+def latex_section(level: Column) -> Column:
     """Sections down to level 3; deeper headings begin paragraphs."""
-    body = latex_escaped(text)
     name = F.when(level == 1, "section").when(level == 2, "subsection").when(level == 3, "subsubsection")
-    section = F.coalesce(name, F.lit("paragraph"))
+    return F.coalesce(name, F.lit("paragraph"))
+
+
+#: What stands before a LaTeX document, and how its title is found there; titles with braces stay in the body.
+LATEX_PREAMBLE = (
+    r"\documentclass[11pt,a4paper]{article}",
+    "",
+    r"\usepackage[utf8]{inputenc} % allow utf-8 input",
+    r"\usepackage[T1]{fontenc}    % use 8-bit T1 fonts",
+    r"\usepackage{hyperref}       % hyperlinks",
+    r"\usepackage{url}            % simple URL typesetting",
+    r"\usepackage{booktabs}       % professional-quality tables",
+    r"\usepackage{amsfonts}       % blackboard math symbols",
+    r"\usepackage{nicefrac}       % compact symbols for 1/2, etc.",
+    r"\usepackage{microtype}      % microtypography",
+    r"\usepackage{xcolor}         % colors",
+    r"\usepackage{graphicx}       % graphics",
+    r"\usepackage[normalem]{ulem} % strikethrough",
+)
+LATEX_TITLE = r"\\title\s*\{([^{}]*)\}"
+
+
+def latex_document(body: Column, preamble: tuple[str, ...] = LATEX_PREAMBLE) -> Column:
+    """A document with its head: the body's first title goes before it and is set by ``\\maketitle``, later ones are dropped."""
+    title = F.regexp_extract(body, LATEX_TITLE, 0) != ""
+    moved = F.when(title, F.concat(F.lit("\\title{"), F.regexp_extract(body, LATEX_TITLE, 1), F.lit("}\n"))).otherwise("")
+    rest = F.regexp_replace(F.regexp_replace(body, LATEX_TITLE, ""), "\n{3,}", "\n\n")
+    rest = F.when(title, F.regexp_replace(rest, r"(?U)^\s+|\s+$", "")).otherwise(body)
+    before = F.concat(F.lit("".join(f"{line}\n" for line in preamble)), moved)
+    begin = F.concat(F.when(before == "", "").otherwise(F.concat(before, F.lit("\n"))), F.lit("\\begin{document}"))
+    parts = F.array(begin, F.when(title, "\\maketitle").otherwise(""), rest, F.lit("\\end{document}"))
+    return F.array_join(F.filter(parts, lambda x: x != ""), "\n\n")
+
+
+def latex(label: Column, text: Column, level: Column) -> Column:
+    """An item as LaTeX."""
+    body = latex_escaped(text)
+    section = latex_section(level)
     return (
         F.when(label == "title", F.concat(F.lit(r"\title{"), body, F.lit("}")))
         .when(label == "section_header", F.concat(F.lit("\\"), section, F.lit("{"), body, F.lit("}")))

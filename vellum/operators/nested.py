@@ -11,12 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vellum.functions.render import TAGS
+from vellum.functions.render import LATEX_PREAMBLE, TAGS, latex_document, latex_escaped, latex_section
 from vellum.functions.text import html_escaped, markdown_escaped
 from vellum.operators import tables, trees
 from vellum.session import written
@@ -237,11 +238,54 @@ def _tags() -> Form:
     )
 
 
+# LaTeX
+
+
+def _latex(indent: int, placeholder: str, preamble: tuple[str, ...]) -> Form:
+    label, inside = F.col("label"), F.col("inlines") > 0
+
+    def floating(environment: str, *lines: Column | str) -> Column:
+        every = [F.lit(x) if isinstance(x, str) else x for x in (f"\\begin{{{environment}}}[h]", *lines, f"\\end{{{environment}}}")]
+        return F.array_join(F.filter(F.array(*every), lambda x: x != ""), "\n")
+
+    def own() -> Column:
+        raw, plain = F.col("said"), ~label.isin("code", "formula") & ~F.col("given")
+        link = _c("\\href{", latex_escaped(F.col("link")), "}{")
+        styles = _styles(("\\textbf{", "}"), ("\\textit{", "}"), (link, "}"))
+        text = _around(F.when(plain, latex_escaped(raw)).otherwise(raw), [(c & plain, x, y) for c, x, y in styles])
+        # In running code the mark of parameters alone is escaped.
+        code = _c("\\texttt{", F.replace(raw, F.lit("#"), F.lit("\\\\#")), "}")
+        code = F.when(inside, code).otherwise(_c("\\begin{verbatim}\n", raw, "\n\\end{verbatim}"))
+        dollars = F.when(inside, "$").otherwise("$$")
+        said = (
+            F.when(label == "title", _c("\\title{", text, "}"))
+            .when(label == "section_header", _c("\\", latex_section(F.col("level")), "{", text, "}"))
+            .when(label == "list_item", _c("\\item ", text))
+            .when(label == "code", code)
+            .when(label == "formula", _wrapped(raw, dollars, dollars))
+            .otherwise(text)
+        )
+        caption, body = _wrapped(latex_escaped(F.col("caption")), "\\caption{", "}"), F.coalesce("body", F.lit(""))
+        tabled = F.when((caption == "") & (body == ""), "").otherwise(floating("table", caption, body))
+        return F.when(F.col("kind") == "table", tabled).when(F.col("kind") == "picture", floating("figure", placeholder, caption)).otherwise(said)
+
+    def listed(parts: Column) -> Column:
+        lead, tag = F.repeat(F.lit(" "), F.col("lists") * indent), F.when(F.col("starts_enumerated"), "enumerate").otherwise("itemize")
+        return _wrapped(F.array_join(_texts(parts), "\n"), _c(lead, "\\begin{", tag, "}\n"), _c("\n", lead, "\\end{", tag, "}"))
+
+    return Form(
+        own=own, listed=listed, inline=lambda parts: F.array_join(_texts(parts), " "),
+        grouped=lambda parts: F.array_join(_texts(parts), "\n\n"),
+        document=lambda parts: latex_document(F.array_join(_texts(parts), "\n\n"), preamble),
+    )
+
+
 #: How the cells of a table become its body.
 _BODIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "markdown": lambda cells: tables.as_markdown(tables.densified(cells.withColumn("text", F.replace("text", F.lit("\n"), F.lit(" "))))),
     "html": tables.html_rows,
     "tags": tables.as_tokens,
+    "latex": tables.as_latex,
 }
 #: What an item has where its column lacks.
 _DEFAULTS = {"level": "1", "marker": "cast(null AS string)", "enumerated": "false", "bold": "false", "italic": "false",
@@ -249,9 +293,13 @@ _DEFAULTS = {"level": "1", "marker": "cast(null AS string)", "enumerated": "fals
 
 
 def document(
-    items: DataFrame, form: str, *, cells: DataFrame | None = None, indent: int = 4, placeholder: str = "<!-- image -->"
-) -> DataFrame:
-    """doc_id and the rendered text of each document's tree.
+    items: DataFrame, form: str, *, cells: DataFrame | None = None, indent: int | None = None, placeholder: str | None = None,
+    preamble: tuple[str, ...] = LATEX_PREAMBLE, spans: bool = False,
+) -> DataFrame:
+    """doc_id and the rendered text of each document's tree, as "markdown", "html", "tags" or "latex".
+
+    Lists indent by 4 in Markdown and by 2 in LaTeX, where ``preamble`` stands before the document, and where ``spans`` lets
+    cells stand once, across their rows and columns (its package is then added).
 
     items: doc_id, node, parent, ord, kind (text, list, inline, group, table or picture), label, text; and,
     where they are there, level, marker (of code: its language), enumerated, bold, italic, link, location and ``caption_of``, the table or
@@ -261,7 +309,13 @@ def document(
     rendered by it. Other children of tables and pictures aren't rendered. Null texts are empty, and empty parts
     are left out. Nodes that reach no root are left out; documents without nodes give no row.
     """
-    rules = {"markdown": lambda: _markdown(indent, placeholder), "html": _html, "tags": _tags}[form]()
+    if spans and form == "latex":
+        preamble = (*preamble, "\\usepackage{multirow}")
+    rules = {
+        "markdown": lambda: _markdown(4 if indent is None else indent, "<!-- image -->" if placeholder is None else placeholder),
+        "latex": lambda: _latex(2 if indent is None else indent, "% image" if placeholder is None else placeholder, preamble),
+        "html": _html, "tags": _tags,
+    }[form]()
     rows = items.withColumns({name: F.expr(value) for name, value in _DEFAULTS.items() if name not in items.columns})
     captions = rows.filter("caption_of IS NOT NULL").groupBy("doc_id", F.col("caption_of").alias("node"))
     texts = F.transform(F.sort_array(F.collect_list(F.struct("ord", "node", "text"))), lambda x: x["text"])
@@ -283,7 +337,8 @@ def document(
         tree = tree.withColumn("body", F.lit(None).cast("string"))
     else:
         # A node is one of its document only.
-        body = _BODIES[form](cells.withColumn("table_id", F.struct("doc_id", F.col("table_id").alias("node"))))
+        bodies = partial(tables.as_latex, spans=True) if spans and form == "latex" else _BODIES[form]
+        body = bodies(cells.withColumn("table_id", F.struct("doc_id", F.col("table_id").alias("node"))))
         tree = tree.join(body.select("table_id.*", F.col(body.columns[1]).alias("body")), ["doc_id", "node"], "left")
     empty = {"caption": F.coalesce("caption", F.lit("")), "starts_enumerated": F.coalesce("starts_enumerated", F.lit(False)), "text": F.coalesce("text", F.lit(""))}
     given = (F.col("text") == "") & (F.col("kind") == "text") & (F.coalesce("children", F.lit(0)) == 1) & (F.col("has_inline") == 1)

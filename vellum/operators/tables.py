@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vellum.functions.text import fold, html_escaped
+from vellum.functions.text import fold, html_escaped, latex_escaped
 
 #: What a cell of a table about the law itself begins with, and what a cell of a law's table holds.
 METADATA = (
@@ -106,6 +106,47 @@ def as_tokens(cells: DataFrame) -> DataFrame:
     return rows.groupBy("table_id").agg(F.array_join(lines, "").alias("tokens"))
 
 
+def as_latex(cells: DataFrame, spans: bool = False) -> DataFrame:
+    """table_id, tabular: texts escaped, lines made spaces, a rule below each row; places without a cell are empty.
+
+    A cell that spans places repeats its text in each of them. With ``spans`` it stands once, across its
+    columns and rows, and rules end at the columns that a cell continues in; cells mustn't overlap then.
+    """
+    text = F.replace(latex_escaped(F.coalesce("text", F.lit(""))), F.lit("\n"), F.lit(" "))
+    said = cells.withColumn("text", text)
+    whole = lambda lines, columns: F.concat(
+        F.lit("\\begin{tabular}{|"), F.repeat(F.lit("l|"), columns), F.lit("}\n\\hline\n"), F.array_join(lines, "\n"), F.lit("\n\\end{tabular}")
+    )
+    if not spans:
+        rows = rows_of(densified(said))
+        line = F.concat(F.array_join("cells", " & "), F.lit(" \\\\ \\hline"))
+        lines = F.transform(F.sort_array(F.collect_list(F.struct("r", line.alias("line")))), lambda x: x["line"])
+        return rows.groupBy("table_id").agg(whole(lines, F.max(F.size("cells"))).alias("tabular"))
+    # The cell of each place; a place without one is a cell of its own.
+    spread = said.withColumn("r", F.explode(F.sequence("r0", F.col("r1") - 1)))
+    spread = spread.withColumn("c", F.explode(F.sequence("c0", F.col("c1") - 1))).select("table_id", "r", "c", "text", "r0", "r1", "c0", "c1")
+    rows = densified(said).select("table_id", "r", "c").join(spread, ["table_id", "r", "c"], "left")
+    of_own = {"text": F.lit(""), "r0": F.col("r"), "r1": F.col("r") + 1, "c0": F.col("c"), "c1": F.col("c") + 1}
+    rows = rows.withColumns({name: F.coalesce(name, value) for name, value in of_own.items()})
+    tall, wide = F.col("r1") - F.col("r0"), F.col("c1") - F.col("c0")
+    piece = F.when(F.col("r") > F.col("r0"), "").when(
+        tall > 1, F.concat(F.lit("\\multirow{"), tall.cast("string"), F.lit("}{*}{"), "text", F.lit("}"))
+    ).otherwise(F.col("text"))
+    edge = F.when(F.col("c") == 0, "|l|").otherwise("l|")
+    across = F.concat(F.lit("\\multicolumn{"), wide.cast("string"), F.lit("}{"), edge, F.lit("}{"), piece, F.lit("}"))
+    piece = F.when(F.col("c") == F.col("c0"), F.when(wide > 1, across).otherwise(piece))
+    column = (F.col("c") + 1).cast("string")
+    rule = F.when(F.col("r1") == F.col("r") + 1, F.concat(F.lit("\\cline{"), column, F.lit("-"), column, F.lit("}")))
+    ordered = F.sort_array(F.collect_list(F.struct("c", piece.alias("piece"), rule.alias("rule"))))
+    some = lambda name: F.filter(F.transform("places", lambda x: x[name]), lambda x: x.isNotNull())
+    lines = rows.groupBy("table_id", "r").agg(ordered.alias("places"))
+    ruled = F.when(F.size(some("rule")) == F.size("places"), "\\hline").otherwise(F.array_join(some("rule"), " "))
+    line = F.regexp_replace(F.concat(F.array_join(some("piece"), " & "), F.lit(" \\\\ "), ruled), " $", "")
+    lines = lines.select("table_id", "r", F.size("places").alias("columns"), line.alias("line"))
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("r", "line"))), lambda x: x["line"])
+    return lines.groupBy("table_id").agg(whole(listed, F.max("columns")).alias("tabular"))
+
+
 def triplets(grid: DataFrame) -> DataFrame:
     """"row, column = value" of all inner cells; tables of one row or one column have none."""
     head = grid.filter("r = 0 AND c > 0").select("table_id", "c", F.col("text").alias("column"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vellum.operators import nested
+from vellum.operators import nested, tables
 from vellum.plans.registry import query
 from vellum.sources import markup, table
 
@@ -121,6 +121,52 @@ def nested_tags(spark, sf_dir):
     return nested.document(items, "tags", cells=cells)
 
 
+@query(
+    "nested_latex",
+    _sql(
+        order=r"'\item ' || o_orderpriority || ' ' || o_orderstatus",
+        orders=r"coalesce(chr(10) || '  \begin{itemize}' || chr(10) || kids || chr(10) || '  \end{itemize}', '')",
+        customer=r"'\item ' || replace(c_name, '#', '\#') || kids",
+        customers=r"'\begin{itemize}' || chr(10) || kids || chr(10) || '\end{itemize}' || chr(10) || chr(10)",
+        row=r"chr(10) || s_suppkey || ' & ' || replace(s_name, '#', '\#') || ' \\ \hline', ''",
+        whole=r"""'\documentclass{article}' || chr(10) || '\title{' || replace(n_name, '_', '\_') || '}' || chr(10) || chr(10) || '\begin{document}' || chr(10) || chr(10) || '\maketitle' || chr(10) || chr(10)
+  || coalesce(items, '') || 'of\_all \texttt{' || r_name || '}' || chr(10) || chr(10) || '\begin{figure}[h]' || chr(10) || '% image' || chr(10) || '\caption{' || r_name || '}' || chr(10) || '\end{figure}' || chr(10) || chr(10)
+  || '\begin{table}[h]' || chr(10) || '\caption{Suppliers \& ' || replace(n_name, '_', '\_') || '}' || chr(10) || '\begin{tabular}{|l|l|}' || chr(10) || '\hline' || chr(10) || 'key & name \\ \hline' || coalesce(lines, '')
+  || chr(10) || '\end{tabular}' || chr(10) || '\end{table}' || chr(10) || chr(10) || '\end{document}'""",
+    ),
+)
+def nested_latex(spark, sf_dir):
+    items, cells = nation_items(spark, sf_dir)
+    return nested.document(items, "latex", cells=cells, preamble=(r"\documentclass{article}",))
+
+
+@query(
+    "table_latex_spans",
+    r"""SELECT o_orderkey AS table_id, '\begin{tabular}{|l|l|l|}' || chr(10) || '\hline' || chr(10) || '\multicolumn{3}{|l|}{' || o_orderpriority || '} \\ \hline' || chr(10)
+  || string_agg(CASE WHEN k > 1 THEN '' WHEN n > 1 THEN '\multirow{' || n || '}{*}{' || o_orderstatus || '}' ELSE o_orderstatus END || ' & ' || l_linenumber || ' & ' || l_returnflag || ' \\ '
+    || CASE WHEN k < n THEN '\cline{2-2} \cline{3-3}' ELSE '\hline' END, chr(10) ORDER BY k) || chr(10) || '\end{tabular}' AS tabular
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_returnflag) AS k, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem) JOIN orders ON l_orderkey = o_orderkey
+GROUP BY o_orderkey, o_orderpriority, o_orderstatus""",
+)
+def table_latex_spans(spark, sf_dir):
+    """A table for each order: its priority across the top, its status down the side, its lines."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    by = W.partitionBy("l_orderkey")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.col("l_linenumber").cast("string").alias("number"), "l_returnflag",
+        F.row_number().over(by.orderBy("l_linenumber", "l_returnflag")).alias("k"), F.count("*").over(by).cast("int").alias("n"),
+    )
+    cell = lambda r0, r1, c0, c1, text: F.struct(
+        r0.cast("int").alias("r0"), r1.cast("int").alias("r1"), F.lit(c0).alias("c0"), F.lit(c1).alias("c1"), text.alias("text")
+    )
+    k, one = F.col("k"), F.lit(1)
+    heads = F.array(cell(F.lit(0), one, 0, 3, F.col("o_orderpriority")), cell(one, F.col("n") + 1, 0, 1, F.col("o_orderstatus")))
+    own = F.array(cell(k, k + 1, 1, 2, F.col("number")), cell(k, k + 1, 2, 3, F.col("l_returnflag")))
+    met = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    every = met.select(F.col("o_orderkey").alias("table_id"), F.explode(F.when(k == 1, F.concat(heads, own)).otherwise(own)).alias("x"))
+    return tables.as_latex(every.select("table_id", "x.*"), spans=True)
+
+
 # Markup as a tree
 
 
