@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vellum.plans import closure, corpora, depths, fragments, layouts, nested, registry, statutes  # noqa: F401
+from vellum.plans import closure, corpora, depths, fragments, layouts, nested, older, registry, statutes  # noqa: F401
 
 
 def queries() -> dict[str, registry.Query]:
