@@ -18,7 +18,7 @@ def unit_chunks(all_units: DataFrame, level: str, emit_leaf: bool = False) -> Da
     """
     if level not in CHUNK_LEVELS:
         raise ValueError(f"no such chunk level: {level}")
-    main = all_units.filter("level IN ('part', 'paragraph', 'odsek', 'pismeno', 'subitem')")
+    main = all_units.filter("level IN ('part', 'paragraph', 'odsek', 'pismeno', 'subitem', 'annex')")
     segments = F.split(F.regexp_extract("unit_id", r"^\w+-(.*)$", 1), r"\.")
     depth = {"paragraph": 1, "odsek": 2, "pismeno": 3}
     part = F.concat(F.lit("part-"), F.col("part_no").cast("string"))
@@ -27,11 +27,11 @@ def unit_chunks(all_units: DataFrame, level: str, emit_leaf: bool = False) -> Da
     else:
         name = {"paragraph": "paragraf"}.get(level, level)
         own = F.concat(F.lit(f"{name}-"), F.array_join(F.slice(segments, 1, depth[level]), "."))
-        inside = (F.col("level") != "part") & (F.size(segments) >= depth[level])
+        inside = ~F.col("level").isin("part", "annex") & (F.size(segments) >= depth[level])
         owned = main.withColumn("chunk_id", F.when(inside, own)).withColumn("chunk_level", F.lit(level))
         if level != "paragraph":
             paragraph = F.concat(F.lit("paragraf-"), F.element_at(segments, 1))
-            whole = W.partitionBy("doc_id", paragraph)
+            whole = W.partitionBy("doc_id", F.when(F.col("level") != "annex", paragraph))
             has = F.max(inside.cast("int")).over(whole)
             bare = (F.col("level") == "paragraph") & (has == 0)
             owned = owned.withColumn("chunk_level", F.when(bare, "paragraph").otherwise(F.col("chunk_level")))
@@ -42,23 +42,31 @@ def unit_chunks(all_units: DataFrame, level: str, emit_leaf: bool = False) -> Da
                 leaf = (F.col("level") == "odsek") & (full == 0)
                 owned = owned.withColumn("chunk_level", F.when(leaf, "odsek").otherwise(F.col("chunk_level")))
                 owned = owned.withColumn("chunk_id", F.coalesce("chunk_id", F.when(F.col("chunk_level") == "odsek", odsek)))
+    # Annexes are chunks as they stand; they go through the same grouping, one by one, so units are made once.
+    annex = F.col("level") == "annex"
+    rows = owned.withColumns(
+        {
+            "chunk_id": F.when(annex, F.col("unit_id")).otherwise(F.col("chunk_id")),
+            "chunk_level": F.when(annex, F.lit("annex")).otherwise(F.col("chunk_level")),
+            "alone": F.when(annex, F.col("pos")),
+        }
+    )
+    # Below a paragraph all is in its chunk: a test that stays short where Spark pushes it down into the units.
+    held = "level <> 'part'" if level == "paragraph" else "chunk_id IS NOT NULL"
     texts = F.transform(
-        F.sort_array(F.collect_list(F.when(F.col("text") != "", F.struct("pos", "text")))), lambda x: x["text"]
+        F.sort_array(F.collect_list(F.when((F.col("text") != "") & ~annex, F.struct("pos", "text")))), lambda x: x["text"]
     )
-    made = (
-        owned.filter("chunk_id IS NOT NULL")
-        .groupBy("doc_id", "chunk_id", F.col("chunk_level").alias("level"))
+    return (
+        rows.filter(held)
+        .groupBy("doc_id", "chunk_id", F.col("chunk_level").alias("level"), "alone", F.when(annex, F.col("text")).alias("said"))
         .agg(
-            F.array_join(texts, "\n").alias("content"),
+            F.array_join(texts, "\n").alias("joined"),
             F.bool_or(F.col("level") == "subitem").alias("has_subitems"),
             F.min("pos").alias("pos"),
         )
+        .withColumn("content", F.when(F.col("level") == "annex", F.col("said")).otherwise(F.col("joined")))
+        .select("doc_id", "chunk_id", "level", "content", "has_subitems", "pos", F.length("content").alias("content_length"))
     )
-    annexes = all_units.filter("level = 'annex'").select(
-        "doc_id", F.col("unit_id").alias("chunk_id"), "level", F.col("text").alias("content"),
-        F.lit(False).alias("has_subitems"), "pos",
-    )
-    return made.unionByName(annexes).withColumn("content_length", F.length("content"))
 
 
 def rag_records(chunks: DataFrame) -> DataFrame:

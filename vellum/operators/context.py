@@ -88,10 +88,10 @@ def resolved_one_level(all_units: DataFrame) -> DataFrame:
 
 def resolved_footnotes(all_units: DataFrame) -> DataFrame:
     """Bracketed footnote marks with the footnote's text, null where there is none."""
-    marks = footnote_marks(all_units).withColumn("number", F.regexp_extract("marker", r"(\d+)", 1)).filter("number <> ''")
-    notes = all_units.filter("level = 'footnote'").select(
-        "doc_id", F.regexp_replace("unit_id", "^footnote-", "").alias("number"), F.col("text").alias("footnote_text")
-    )
+    marks = footnote_marks(all_units).withColumn("number", m.extract(F.col("marker"), r"(\d+)")).filter("number IS NOT NULL")
+    # Never null, so the join asks nothing of the ids that units would have to be made for twice.
+    number = F.coalesce(F.regexp_replace("unit_id", "^footnote-", ""), F.lit(""))
+    notes = all_units.filter("level = 'footnote'").select("doc_id", number.alias("number"), F.col("text").alias("footnote_text"))
     return marks.join(notes, ["doc_id", "number"], "left").select("doc_id", "unit_id", "number", "footnote_text")
 
 
