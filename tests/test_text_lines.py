@@ -24,3 +24,10 @@ def test_every_box_has_a_line(spark):
     lines = catalogue.queries()["text_lines_whole"](spark, DATA)
     assert lines.count() == spark.read.parquet(f"{DATA}/embeddings.parquet").count()
     assert lines.filter("line LIKE '(-%'").count() > 0
+
+
+def test_zeros_keep_their_sign(spark, tmp_path):
+    rows = [(1, 0, [-0.000001, 0.5, -0.000002, 0.25])]
+    spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    (row,) = catalogue.queries()["text_lines_whole"](spark, str(tmp_path)).collect()
+    assert row.line == "(-00.00, -00.00) (050.00, 025.00) 0"
