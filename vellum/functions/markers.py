@@ -23,8 +23,12 @@ def normalised(text: Column) -> Column:
 
 
 def part(text: Column) -> Column:
-    found = F.upper(extract(text, rf"(?iu)^({'|'.join(PARTS)})\s+ČASŤ", 0))
-    return F.when(F.upper(text).contains("ČASŤ"), found)
+    return F.nullif(_part(text), F.lit(""))
+
+
+def _part(text: Column) -> Column:
+    found = F.upper(F.regexp_extract(text, rf"(?iu)^({'|'.join(PARTS)})\s+ČASŤ", 0))
+    return F.when((text.contains("Č") | text.contains("č")) & F.upper(text).contains("ČASŤ"), found)
 
 
 def _digit(text: Column) -> Column:
@@ -61,11 +65,30 @@ def odsek(text: Column, link: Column | None = None) -> Column:
 
 
 def pismeno(text: Column, link: Column | None = None) -> Column:
-    own = F.coalesce(extract(text, r"^(\p{L}+)\s*\)$"), extract(text, r"(?i)^([a-z]+)\s*\)"))
-    own = F.when(text.contains(")") & ~text.startswith("("), F.lower(own))
+    own = F.nullif(_pismeno(text), F.lit(""))
     return own if link is None else F.coalesce(F.lower(extract(link, r"(?i)pismeno-([a-z]+)")), own)
 
 
+def _pismeno(text: Column) -> Column:
+    """A word of any letters before a closing bracket that ends the text, or one of plain letters before any."""
+    own = F.regexp_extract(text, r"^(\p{L}+(?=\s*\)$)|[a-zA-Z]+(?=\s*\)))", 1)
+    return F.when(text.contains(")") & ~text.startswith("("), F.lower(own))
+
+
+def by_level(text: Column, free: Column) -> dict[str, Column]:
+    """What marker of the main text an element is, by level: null or empty where it is none, so that each pattern runs once.
+
+    ``free``: whether the element is no link; a linked "§ N" or "(N)" refers to a unit.
+    """
+    return {
+        "part": _part(text),
+        "paragraph": F.when(free & text.startswith("§ "), F.regexp_extract(text, r"^§\s+(\d+[a-zA-Z]*)", 1)),
+        "pismeno": _pismeno(text),
+        "odsek": F.when(free & text.startswith("("), F.regexp_extract(text, r"^\(\s*(\d+)\s*\)", 1)),
+        "subitem": F.when(_digit(text) & text.contains("."), F.regexp_extract(text, r"^(\d+)(?:\s*\.$|\.\s+)", 1)),
+    }
+
+
 def subitem(text: Column) -> Column:
     return F.when(_digit(text) & text.contains("."), extract(text, r"^(\d+)(?:\s*\.$|\.\s+)"))
 
@@ -92,7 +115,7 @@ def annex(text: Column) -> Column:
 
 
 def notes_start(text: Column, link: Column) -> Column:
-    return F.coalesce((F.lower(F.trim(text)) == "poznámky") & (link == "#poznamky"), F.lit(False))
+    return F.coalesce((link == "#poznamky") & (F.lower(F.trim(text)) == "poznámky"), F.lit(False))
 
 
 def footnote(text: Column, link: Column) -> Column:
@@ -110,6 +133,11 @@ def remainder(text: Column) -> Column:
 NAMES = r"písmene|písm\.|pismeno|písmena|písm"
 
 
+def may_name_letters(text: Column) -> Column:
+    """Whether one of NAMES may stand in the text, alone; a quick test for all elements."""
+    return F.coalesce(text.rlike("(?iuU)p[ií]sm"), F.lit(False))
+
+
 def is_reference(letter: Column, link: Column, before: Column, linked_before: Column | None = None) -> Column:
     """Whether "x)" is named in running text and no marker.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -13,10 +13,8 @@ from vellum.operators import structure
 
 def asof_context(items: DataFrame) -> DataFrame:
     """Content elements of the main text with the last § and, within it, the last (n) before them."""
-    rows = structure.placed(items).filter("zone = 'main' AND level IS NULL")
-    return rows.select(
-        "doc_id", "pos", "text", F.col("paragraph_at.marker").alias("paragraph"), F.col("odsek_at.marker").alias("odsek")
-    )
+    rows = structure.located(items).filter("zone = 'main' AND level IS NULL")
+    return rows.select("doc_id", "pos", "text", F.col("paragraph_mark").alias("paragraph"), F.col("odsek_mark").alias("odsek"))
 
 
 def table_context(nodes: DataFrame) -> DataFrame:
@@ -74,40 +72,49 @@ def resolved_one_level(all_units: DataFrame) -> DataFrame:
     own = F.filter(named, lambda t: F.concat(F.lit("paragraf-"), t) != F.col("unit_id"))
     asked = F.when(F.col("text").contains("§"), own)
     rows = all_units.select("doc_id", "unit_id", "level", "text", asked.alias("targets"))
-    # One exchange by document and paragraph brings references and targets together.
-    sought = rows.filter(F.size("targets") > 0).select("doc_id", "unit_id", F.explode("targets").alias("target"))
-    held = rows.filter("level = 'paragraph'").select(
-        "doc_id", F.regexp_replace("unit_id", "^paragraf-", "").alias("target"), F.col("unit_id").alias("target_id"),
-        F.col("text").alias("target_text"),
+    own_no = F.when(F.col("level") == "paragraph", F.regexp_replace("unit_id", "^paragraf-", ""))
+    held = F.struct(
+        F.col("unit_id").alias("target_id"), F.col("text").alias("target_text"),
         F.when(F.size("targets") > 0, F.array_join(F.array_sort("targets"), ",")).alias("target_refers_to"),
     )
-    return sought.join(held, ["doc_id", "target"], "left").select(
-        "doc_id", "unit_id", "target", "target_id", "target_text", "target_refers_to"
+    return _met(rows, F.col("targets"), own_no, held, "target")
+
+
+def _met(rows: DataFrame, asked: Column, own: Column, held: Column, name: str) -> DataFrame:
+    """doc_id, unit_id, ``name`` and the fields of ``held`` of each row of the document that goes by what a row asks for; nulls where none does.
+
+    Rows that ask and rows that answer come from one pass over ``rows``: they are laid side by side and meet in a window of their
+    document, so nothing is made twice and nothing is shuffled again.
+    """
+    none = F.array().cast("array<string>")
+    sides = F.concat(
+        F.transform(F.coalesce(asked, none), lambda x: F.struct(x.alias(name), F.lit(False).alias("answers"))),
+        F.when(own.isNotNull(), F.array(F.struct(own.alias(name), F.lit(True).alias("answers")))).otherwise(F.array()),
     )
+    dealt = rows.select("doc_id", "unit_id", held.alias("held"), F.inline(sides))
+    answers = F.collect_list(F.when(F.col("answers"), F.col("held"))).over(W.partitionBy("doc_id", name))
+    asking = dealt.withColumn("found", answers).filter(~F.col("answers"))
+    return asking.select("doc_id", "unit_id", name, F.inline_outer("found"))
 
 
 def resolved_footnotes(all_units: DataFrame) -> DataFrame:
     """Bracketed footnote marks with the footnote's text, null where there is none."""
-    marks = footnote_marks(all_units).withColumn("number", m.extract(F.col("marker"), r"(\d+)")).filter("number IS NOT NULL")
-    # Never null, so the join asks nothing of the ids that units would have to be made for twice.
-    number = F.coalesce(F.regexp_replace("unit_id", "^footnote-", ""), F.lit(""))
-    notes = all_units.filter("level = 'footnote'").select("doc_id", number.alias("number"), F.col("text").alias("footnote_text"))
-    return marks.join(notes, ["doc_id", "number"], "left").select("doc_id", "unit_id", "number", "footnote_text")
+    numbers = F.transform(refs.footnote_marks(F.col("text")), lambda x: F.regexp_extract(x["marker"], r"(\d+)", 1))
+    own = F.when(F.col("level") == "footnote", F.coalesce(F.regexp_replace("unit_id", "^footnote-", ""), F.lit("")))
+    return _met(all_units, F.filter(numbers, lambda n: n != ""), own, F.struct(F.col("text").alias("footnote_text")), "number")
 
 
 def superior(all_units: DataFrame) -> DataFrame:
     """Each unit below paragraphs with its paragraph's and its part's text."""
-    paragraph = F.concat(F.lit("paragraf-"), F.regexp_extract("unit_id", r"^\w+-([0-9a-zA-Z]+)", 1))
-    lower = all_units.filter("level IN ('odsek', 'pismeno', 'subitem')").withColumn("paragraph_id", paragraph)
-    above = all_units.filter("level = 'paragraph'").select(
-        "doc_id", F.col("unit_id").alias("paragraph_id"), F.col("text").alias("paragraph_text")
-    )
-    parts = all_units.filter("level = 'part'").select("doc_id", "part_no", F.col("text").alias("part_text"))
-    return (
-        lower.join(above, ["doc_id", "paragraph_id"], "left")
-        .join(parts, ["doc_id", "part_no"], "left")
-        .select("doc_id", "unit_id", "paragraph_id", "paragraph_text", "part_text")
-    )
+    level = F.col("level")
+    above = F.concat(F.lit("paragraf-"), F.regexp_extract("unit_id", r"^\w+-([0-9a-zA-Z]+)", 1))
+    # Units meet their paragraph and their part in windows of their document, so they are made once.
+    rows = all_units.withColumn("paragraph_id", F.when(level == "paragraph", F.col("unit_id")).otherwise(above))
+    texts = lambda of, name, *by: F.collect_list(F.when(level == of, F.struct(F.col("text").alias(name)))).over(W.partitionBy("doc_id", *by))
+    rows = rows.filter("level IN ('part', 'paragraph', 'odsek', 'pismeno', 'subitem')").withColumn("parts", texts("part", "part_text", "part_no"))
+    rows = rows.filter("level <> 'part'").withColumn("paragraphs", texts("paragraph", "paragraph_text", "paragraph_id")).filter("level <> 'paragraph'")
+    rows = rows.select("doc_id", "unit_id", "paragraph_id", "parts", F.inline_outer("paragraphs"))
+    return rows.select("doc_id", "unit_id", "paragraph_id", "paragraph_text", F.inline_outer("parts"))
 
 
 def full_blocks(items: DataFrame) -> DataFrame:
