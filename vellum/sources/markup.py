@@ -50,24 +50,39 @@ def items(pages: DataFrame, key: str, width: float = 1.0, height: float = 1.0) -
 
 
 def table_cells(tables: DataFrame, key: str, text: str) -> DataFrame:
-    """Cells with spans from table tokens: a span reaches as far as lcel goes right and ucel down."""
+    """Cells with spans from table tokens: a span reaches as far as lcel goes right and ucel down.
+
+    A table's tokens lie in one row, so its cells are found within that row: nothing is shuffled or sorted.
+    """
     token = r"<(fcel|ecel|ched|rhed|srow|lcel|ucel|xcel)>([^<]*)"
-    rows = tables.select(F.col(key).alias("table_id"), F.posexplode(F.split(F.regexp_replace(text, r"<nl>\s*$", ""), "<nl>")).alias("r", "line"))
-    tokens = F.regexp_extract_all("line", F.lit(token), F.lit(0))
-    places = rows.select("table_id", "r", F.posexplode(tokens).alias("c", "x"))
-    places = places.withColumn("kind", F.regexp_extract("x", token, 1)).withColumn("text", F.trim(F.regexp_extract("x", token, 2)))
-    # How many places of the kind follow without a break, to the right or down.
-    right = W.partitionBy("table_id", "r").orderBy(F.col("c").desc()).rowsBetween(W.unboundedPreceding, -1)
-    down = W.partitionBy("table_id", "c").orderBy(F.col("r").desc()).rowsBetween(W.unboundedPreceding, -1)
-    stop = lambda window, kind, at, size: F.coalesce(
-        F.last(F.when(F.col("kind") != kind, F.col(at)), ignorenulls=True).over(window), size
+    lines = F.split(F.regexp_replace(text, r"<nl>\s*$", ""), "<nl>")
+    parsed = F.transform(lines, lambda line: F.regexp_extract_all(line, F.lit(token), F.lit(0)))
+    # A letter a place tells its kind; what a row lacks doesn't stop a span that goes down.
+    letters = F.transform(parsed, lambda xs: F.array_join(F.transform(xs, lambda x: F.substring(x, 2, 1)), ""))
+    # Most tables are even and have no spans that go down.
+    wide, tall = F.col(text).contains("<lcel>"), F.col(text).contains("<ucel>")
+    held = tables.select(F.col(key).alias("table_id"), parsed.alias("parsed"), letters.alias("letters"), wide.alias("wide"), tall.alias("tall"))
+    sizes = F.transform("letters", F.length)
+    tall = F.col("tall") | (F.array_min(sizes) < F.array_max(sizes))
+    down = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.array_max(F.transform("letters", F.length)), F.lit(1))),
+        lambda c: F.array_join(F.transform("letters", lambda line: F.coalesce(F.nullif(F.substr(line, c, F.lit(1)), F.lit("")), F.lit("-"))), ""),
     )
-    sized = places.withColumn("columns", F.max("c").over(W.partitionBy("table_id", "r")) + 1).withColumn(
-        "rows", F.max("r").over(W.partitionBy("table_id")) + 1
-    )
-    ends = sized.withColumn("c1", stop(right, "lcel", "c", F.col("columns"))).withColumn("r1", stop(down, "ucel", "r", F.col("rows")))
-    return ends.filter("kind NOT IN ('lcel', 'ucel', 'xcel')").select(
-        "table_id", F.col("r").alias("r0"), F.col("r1"), F.col("c").alias("c0"), "c1", "text",
+    # Rows behind the last place are none.
+    rows = F.array_max(F.transform("letters", lambda line, r: F.when(line != "", r + 1)))
+    held = held.select("table_id", "letters", "wide", F.when(tall, down).alias("down"), rows.alias("rows"), F.posexplode("parsed").alias("r", "xs"))
+    line = F.element_at("letters", F.col("r") + 1)
+    places = held.select("table_id", "down", "rows", "r", F.when(F.col("wide"), line).alias("line"), F.posexplode("xs").alias("c", "x"))
+    places = places.withColumn("kind", F.substring("x", 2, 4)).filter("kind NOT IN ('lcel', 'ucel', 'xcel')")
+    # How many places of the kind follow without a break, to the right or down.
+    right = F.regexp_extract(F.substr("line", F.col("c") + 2), "^l*", 0)
+    below = F.regexp_extract(F.substr(F.element_at("down", F.col("c") + 1), F.col("r") + 2), "^[u-]*", 0)
+    follows = lambda at, text, letters: F.substr(at, text, F.lit(1)).isin(*letters)
+    c1 = F.col("c") + 1 + F.when(follows("line", F.col("c") + 2, "l"), F.length(right)).otherwise(0)
+    r1 = F.col("r") + 1 + F.when(follows(F.element_at("down", F.col("c") + 1), F.col("r") + 2, "u-"), F.length(below)).otherwise(0)
+    return places.select(
+        "table_id", F.col("r").alias("r0"), F.least(r1, "rows").alias("r1"), F.col("c").alias("c0"), c1.alias("c1"),
+        F.trim(F.substr("x", F.lit(7))).alias("text"),
         (F.col("kind") == "ched").alias("column_header"), (F.col("kind") == "rhed").alias("row_header"), (F.col("kind") == "srow").alias("row_section"),
     )
 
