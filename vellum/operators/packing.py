@@ -7,7 +7,10 @@ heading paths.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,46 +20,59 @@ def count_tokens(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"\S+"))
 
 
-def _split(text: str, most: int) -> list[str]:
-    """Words in order, up to ``most`` a piece."""
-    words = text.split()
-    return [" ".join(words[a : a + most]) for a in range(0, len(words), most)] or [""]
-
-
 def packed(items: DataFrame, most_tokens: int, merge_peers: bool = True) -> DataFrame:
     """doc_id, seq, path, text, tokens: chunks of at most ``most_tokens`` words, headings included.
 
     items: doc_id, pos, path, text. A chunk's headings count; where they leave no room they
     are dropped. With ``merge_peers`` small neighbours with the same headings share a chunk.
+    Documents come one after the other in Arrow batches; what is held is a batch's chunks.
     """
-
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        out: list[list] = []
-        for path, text in rows.sort_values("pos")[["path", "text"]].itertuples(index=False):
-            path = path or ""
-            head = len(path.split())
-            shown = path if head < most_tokens else ""
-            room = most_tokens - (head if shown else 0)
-            for piece in _split(text or "", room):
-                size = len(piece.split())
-                if not size:
-                    continue
-                last = out[-1] if out else None
-                if merge_peers and last and last[0] == path and last[2] + size <= most_tokens:
-                    last[1] += "\n" + piece
-                    last[2] += size
-                else:
-                    out.append([path, piece, size + (head if shown else 0)])
-        doc = rows["doc_id"].iloc[0]
-        return pd.DataFrame(
-            {
-                "doc_id": [doc] * len(out), "seq": range(len(out)), "path": [x[0] for x in out],
-                "text": [x[1] for x in out], "tokens": [x[2] for x in out],
-            }
-        )
-
-    schema = f"doc_id {items.schema['doc_id'].dataType.simpleString()}, seq long, path string, text string, tokens long"
-    return items.select("doc_id", "pos", "path", "text").groupBy("doc_id").applyInPandas(fold, schema)
+    kind = items.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "seq", "path", "text", "tokens"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc, seq, last, out = None, 0, None, []  # the document in progress, its next number, its open chunk: path, pieces, tokens
+
+        def close() -> None:
+            nonlocal seq, last
+            if last is not None:
+                out.append((doc, seq, last[0], "\n".join(last[1]), last[2]))
+                seq, last = seq + 1, None
+
+        def made(key: pa.DataType) -> pa.RecordBatch:
+            columns = zip(*out, strict=True)
+            kinds = (key, pa.int64(), pa.string(), pa.string(), pa.int64())
+            batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+            out.clear()
+            return batch
+
+        key = None
+        for batch in batches:
+            key = batch.column(0).type
+            for of, path, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                if of != doc:
+                    close()
+                    doc, seq = of, 0
+                path = path or ""
+                head = len(path.split()) if path else 0
+                shown = head if head < most_tokens else 0
+                words = (text or "").split()
+                for at in range(0, len(words), most_tokens - shown):
+                    piece = words[at : at + most_tokens - shown]
+                    if merge_peers and last is not None and last[0] == path and last[2] + len(piece) <= most_tokens:
+                        last[1].append(" ".join(piece))
+                        last[2] += len(piece)
+                    else:
+                        close()
+                        last = [path, [" ".join(piece)], len(piece) + shown]
+            if out:
+                yield made(key)
+        close()
+        if out:
+            yield made(key)
+
+    rows = items.select("doc_id", "pos", "path", "text").repartition("doc_id").sortWithinPartitions("doc_id", F.asc_nulls_last("pos"))
+    return rows.select("doc_id", "path", "text").mapInArrow(run, f"doc_id {kind}, seq long, path string, text string, tokens long")
 
 
 def deduplicated_boxes(boxes: DataFrame, most_iou: float = 0.9) -> DataFrame:
