@@ -16,7 +16,12 @@ def extract(text: Column, pattern: str, group: int = 1) -> Column:
 
 def normalised(text: Column) -> Column:
     """No-break spaces as spaces, white space trimmed."""
-    return F.regexp_replace(F.replace(text, F.lit(" "), F.lit(" ")), r"^\s+|\s+$", "")
+    plain = F.regexp_replace(F.replace(text, F.lit("\u00a0"), F.lit(" ")), r"^\s+|\s+$", "")
+    # The pattern runs only where it can match: most texts begin and end in something else. Its "$" also stands before a last line's end.
+    asked = (text < "!") | text.contains("\u00a0")
+    for end in " \t\n\x0b\f\r\x85\u2028\u2029":
+        asked = asked | text.endswith(end)
+    return F.when(asked, plain).otherwise(text)
 
 
 # Each marker asks something cheap of the text before its pattern runs: few elements are markers.
@@ -135,7 +140,11 @@ NAMES = r"písmene|písm\.|pismeno|písmena|písm"
 
 def may_name_letters(text: Column) -> Column:
     """Whether one of NAMES may stand in the text, alone; a quick test for all elements."""
-    return F.coalesce(text.rlike("(?iuU)p[ií]sm"), F.lit(False))
+    # "ſ" is a small "s" as well where patterns ignore case.
+    stem = F.lit(False)
+    for part_of in ("sm", "Sm", "sM", "SM", "ſ"):
+        stem = stem | text.contains(part_of)
+    return F.coalesce(stem & text.rlike("(?iuU)p[ií]sm"), F.lit(False))
 
 
 def is_reference(letter: Column, link: Column, before: Column, linked_before: Column | None = None) -> Column:
