@@ -85,9 +85,13 @@ def misplaced_list_items(items: DataFrame) -> DataFrame:
     return rows.filter("loose = 1").groupBy("doc_id", "run").agg(F.min("pos").alias("first"), F.max("pos").alias("last"), F.count("*").alias("n")).drop("run")
 
 
-def header_names(grid: DataFrame, headers: DataFrame) -> DataFrame:
-    """Names of columns: the leading header rows' texts, joined by dots. headers: table_id, r, is_header."""
+def header_names(grid: DataFrame) -> DataFrame:
+    """Names of columns: the leading header rows' texts, joined by dots. grid: table_id, r, c, text, is_header.
+
+    A row is a header if one of its cells is. Cells are shuffled and sorted once, by table and row, without a join.
+    """
     order = W.partitionBy("table_id").orderBy("r").rowsBetween(W.unboundedPreceding, W.currentRow)
-    leading = headers.withColumn("all", F.min(F.col("is_header").cast("int")).over(order)).filter("all = 1").select("table_id", "r")
+    rows = grid.withColumn("head", F.max(F.col("is_header").cast("int")).over(W.partitionBy("table_id", "r")))
+    leading = rows.withColumn("all", F.min("head").over(order)).filter("all = 1")
     texts = F.transform(F.sort_array(F.collect_list(F.struct("r", "text"))), lambda x: x["text"])
-    return grid.join(leading, ["table_id", "r"]).groupBy("table_id", "c").agg(F.array_join(texts, ".").alias("name"))
+    return leading.groupBy("table_id", "c").agg(F.array_join(texts, ".").alias("name"))
