@@ -31,8 +31,8 @@ units AS (
 )
 
 
-def _units(spark, sf_dir):
-    return structure.units(law_items(spark, sf_dir))
+def _units(spark, sf_dir, together=True):
+    return structure.units(law_items(spark, sf_dir), together=together)
 
 
 @query(
@@ -65,7 +65,7 @@ def law_end_annex_mode(spark, sf_dir):
 
 @query("unit_islands", UNITS + " SELECT doc_id, unit_id, level, pos::BIGINT AS pos, text FROM units")
 def unit_islands(spark, sf_dir):
-    return _units(spark, sf_dir).select("doc_id", "unit_id", "level", "pos", "text")
+    return _units(spark, sf_dir, together=False).select("doc_id", "unit_id", "level", "pos", "text")
 
 
 @query(
@@ -117,7 +117,7 @@ def references_index(spark, sf_dir):
 SELECT doc_id, 'paragraf-' || k AS unit_id, 'paragraph' AS type, (o_orderkey % 5 + 1)::VARCHAR AS target, length(o_orderpriority || ' podľa ')::BIGINT AS position FROM ord""",
 )
 def extract_refs(spark, sf_dir):
-    return context.references(_units(spark, sf_dir)).withColumn("position", F.col("position").cast("long"))
+    return context.references(_units(spark, sf_dir, together=False)).withColumn("position", F.col("position").cast("long"))
 
 
 @query(
@@ -128,7 +128,7 @@ SELECT doc_id, 'odsek-' || k || '.' || l_linenumber AS unit_id, x.m AS marker, x
   SELECT *, unnest([{'m': '¹', 't': 'superscript', 'p': 6}, {'m': '[' || l_linenumber || ']', 't': 'bracket', 'p': 8}]) AS x FROM ln)""",
 )
 def extract_footnotes(spark, sf_dir):
-    found = context.footnote_marks(_units(spark, sf_dir))
+    found = context.footnote_marks(_units(spark, sf_dir, together=False))
     return found.withColumn("position", F.col("position").cast("long"))
 
 
@@ -139,7 +139,7 @@ def extract_footnotes(spark, sf_dir):
 SELECT doc_id, 'paragraph' AS type, (o_orderkey % 5 + 1)::VARCHAR AS target, count(*) AS occurrences, count(*) AS units, min('paragraf-' || k) AS first_unit FROM ord GROUP BY ALL""",
 )
 def ref_occurrences(spark, sf_dir):
-    return context.occurrences(context.references(_units(spark, sf_dir)))
+    return context.occurrences(context.references(_units(spark, sf_dir, together=False)))
 
 
 @query(

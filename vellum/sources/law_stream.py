@@ -10,21 +10,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vellum.session import dealt
 from vellum.sources import table
 
 END = 1_000_000_000
 
 
 def law_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, pos, label, layer, text, hyperlink."""
-    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("doc_id"), "c_mktsegment")
-    number = F.row_number().over(W.partitionBy("o_custkey").orderBy("o_orderkey"))
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("doc_id"), "o_orderkey", "o_orderpriority", number.cast("long").alias("k")
-    )
+    """doc_id, pos, label, layer, text, hyperlink.
+
+    Customers, orders and lines are shuffled by document as they are; their elements are made after that, where they stay.
+    """
+    customers = dealt(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("doc_id"), "c_mktsegment"), "doc_id")
+    number = F.row_number().over(W.partitionBy("doc_id").orderBy("o_orderkey"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc_id"), "o_orderkey", "o_orderpriority")
+    orders = dealt(orders, "doc_id").withColumn("k", number.cast("long"))
     place = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
     lines = table(spark, sf_dir, "lineitem").withColumn("line", F.row_number().over(place).cast("long"))
     lines = lines.join(orders.select("doc_id", "k", F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
+    lines = dealt(lines.select("doc_id", "k", "line", "l_returnflag", "l_quantity", "l_linestatus", "l_shipdate"), "doc_id")
     start = F.col("k") * 10_000 + F.col("line") * 100
     number_text = F.col("line").cast("string")
     heads = _elements(
